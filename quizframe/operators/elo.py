@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quizframe.functions.columns import lr_beta, lr_theta, sigmoid
-from quizframe.operators.heavy import Heavy, find_heavy
 from quizframe.operators.joins import lookup_join
 from quizframe.operators.ordered import USER_ORD, RunCount, ordered_features
 from quizframe.runtime import written
@@ -35,24 +34,29 @@ def probability(theta: Column, beta: Column, formula: str, c: float = 0.0) -> Co
     raise ValueError(f"unknown formula: {formula}")
 
 
-def _param(params: DataFrame, key: str, kind: str, out: str) -> DataFrame:
-    chosen = params.where((F.col("key") == key) & (F.col("kind") == kind))
-    return chosen.select(F.col("id").alias(f"_{out}_id"), F.col("value").alias(out))
+def _rated(df: DataFrame, params: DataFrame, sizes: dict, keys: list[str]) -> DataFrame:
+    """Add the current ``_theta_<key>`` and ``_beta_<key>`` (0 where unknown).
 
-
-def _rated(df: DataFrame, params: DataFrame, sizes: dict, key: str) -> DataFrame:
-    """Add the current ``theta_<key>`` and ``beta_<key>`` (0 where unknown)."""
-    for kind, column in (("learner", "userID"), ("item", key)):
-        out = f"_{kind}_{key}"
-        known = _param(params, key, kind, out)
+    A learner's ratings for all keys come in one lookup row, so the log meets
+    the learners once, and each kind of question once.
+    """
+    value = {k: F.when(F.col("key") == k, F.col("value")) for k in keys}
+    thetas = (
+        params.where((F.col("kind") == "learner") & F.col("key").isin(keys))
+        .groupBy(F.col("id").alias("_id"))
+        .agg(*[F.max(value[k]).alias(f"_theta_{k}") for k in keys])
+    )
+    n_learners = max([sizes.get((k, "learner"), 0) for k in keys])
+    df = lookup_join(df.withColumn("_id", F.col("userID").cast("string")), thetas, ["_id"], n_learners)
+    for k in keys:
+        betas = params.where((F.col("kind") == "item") & (F.col("key") == k)).select(
+            F.col("id").alias("_id"), F.col("value").alias(f"_beta_{k}")
+        )
         df = lookup_join(
-            df.withColumn(f"_{out}_id", F.col(column).cast("string")),
-            known,
-            [f"_{out}_id"],
-            sizes.get((key, kind), 0),
+            df.withColumn("_id", F.col(k).cast("string")), betas, ["_id"], sizes.get((k, "item"), 0)
         )
-        df = df.withColumn(out, F.coalesce(out, F.lit(0.0))).drop(f"_{out}_id")
-    return df
+    known = [f"_{p}_{k}" for k in keys for p in ("theta", "beta")]
+    return df.drop("_id").fillna(0.0, subset=known)
 
 
 def _sizes(params: DataFrame) -> dict:
@@ -67,7 +71,7 @@ def elo_fit(
     rounds: int = 8,
     formula: str = "as_written",
     scored_only: bool = False,
-    heavy: Heavy | None = None,
+    log_rows: int | None = None,
 ) -> DataFrame:
     """Ratings ``(key, kind, id, value)`` for every column in ``keys``.
 
@@ -76,10 +80,10 @@ def elo_fit(
     """
     spark = log.sparkSession
     rows = (scored(log) if scored_only else log).select(*USER_ORD, "userID", "answerCode", *keys)
-    heavy = heavy or find_heavy(rows, ["userID"])
-    rows = ordered_features(rows, ["userID"], USER_ORD, [RunCount("n_user", current=False)], heavy)
+    n = rows.count() if log_rows is None else log_rows
+    rows = ordered_features(rows, ["userID"], USER_ORD, [RunCount("n_user", current=False)], rows=n)
     for k in keys:
-        rows = ordered_features(rows, [k], USER_ORD, [RunCount(f"n_{k}", current=False)])
+        rows = ordered_features(rows, [k], USER_ORD, [RunCount(f"n_{k}", current=False)], rows=n)
     most = rows.agg(F.max("n_user").alias("m")).first()["m"]
     batch = F.floor(F.col("n_user") * rounds / F.lit((most or 0) + 1)).cast("int")
     rows = rows.withColumn("batch", batch).drop(*USER_ORD)
@@ -89,13 +93,10 @@ def elo_fit(
     params = spark.createDataFrame([], PARAMS_SCHEMA)
     sizes: dict = {}
     for b in range(rounds):
-        part = rows.where(F.col("batch") == b)
+        part = _rated(rows.where(F.col("batch") == b), params, sizes, keys)
         changes = []
         for k in keys:
-            part = _rated(part, params, sizes, k)
-            miss = F.col("answerCode") - probability(
-                F.col(f"_learner_{k}"), F.col(f"_item_{k}"), formula
-            )
+            miss = F.col("answerCode") - probability(F.col(f"_theta_{k}"), F.col(f"_beta_{k}"), formula)
             changes += [
                 F.struct(
                     F.lit(k).alias("key"),
@@ -122,12 +123,11 @@ def elo_fit(
 
 def with_elo(log: DataFrame, params: DataFrame, outs: dict[str, str]) -> DataFrame:
     """Add ``sigmoid(theta - beta)`` per ``key column -> output name``."""
-    sizes = _sizes(params)
-    for k, out in outs.items():
-        log = _rated(log, params, sizes, k)
-        log = log.withColumn(out, sigmoid(F.col(f"_learner_{k}") - F.col(f"_item_{k}")))
-        log = log.drop(f"_learner_{k}", f"_item_{k}")
-    return log
+    keys = list(outs)
+    rated = _rated(log, params, _sizes(params), keys)
+    return rated.withColumns(
+        {out: sigmoid(F.col(f"_theta_{k}") - F.col(f"_beta_{k}")) for k, out in outs.items()}
+    ).drop(*[f"_{p}_{k}" for k in keys for p in ("theta", "beta")])
 
 
 def elo(

@@ -7,48 +7,57 @@ from pyspark.sql import functions as F
 
 from quizframe.functions.columns import rate
 from quizframe.operators.joins import lookup_join
-from quizframe.operators.ordered import quantiles
-from quizframe.runtime import distinct_estimates
+from quizframe.operators.ordered import Agg, quantiles
+from quizframe.runtime import key_sizes
+
+GRAIN_KEYS = ["userID", "assessmentItemID", "KnowledgeTag", "testId", "category_high", "problem_num"]
 
 
 def _with_medians(
-    log: DataFrame, key: str, aggregates: list[Column], medians: dict[str, Column]
+    log: DataFrame,
+    key: str,
+    aggregates: list[Agg],
+    medians: dict[str, Column],
+    rows: int | None = None,
 ) -> DataFrame:
     """One grouped pass: aggregates and median answer times in seconds."""
-    found = quantiles(log, [key], {f"_{out}": v for out, v in medians.items()}, [0.5], aggregates)
+    values = {f"_{out}": v for out, v in medians.items()}
+    found = quantiles(log, [key], values, [0.5], aggregates, rows)
     return found.withColumns(
         {out: F.get(f"_{out}", F.lit(0)) / F.lit(1e6) for out in medians}
     ).drop(*[f"_{out}" for out in medians])
 
 
-def user_features(log: DataFrame) -> DataFrame:
+def user_features(log: DataFrame, rows: int | None = None) -> DataFrame:
     return _with_medians(
         log,
         "userID",
         [
-            F.avg("answerCode").alias("answerRate_per_user"),
-            F.count("answerCode").alias("answer_cnt_per_user"),
-            F.count("assessmentItemID").alias("assessment_solved_per_user"),
+            Agg("answerRate_per_user", F.avg, F.col("answerCode")),
+            Agg("answer_cnt_per_user", F.count, F.col("answerCode")),
+            Agg("assessment_solved_per_user", F.count, F.col("assessmentItemID")),
         ],
         {"elapsed_time_median_per_user": F.col("elapsed_us")},
+        rows,
     )
 
 
-def item_features(log: DataFrame) -> DataFrame:
+def item_features(log: DataFrame, rows: int | None = None) -> DataFrame:
     """Rate, count and median answer time of all, of wrong and of right answers."""
     right, wrong = F.col("answerCode") == 1, F.col("answerCode") == 0
     return _with_medians(
         log,
         "assessmentItemID",
         [
-            F.avg("answerCode").alias("answerRate_per_item"),
-            F.count("answerCode").alias("answer_cnt_per_item"),
+            Agg("answerRate_per_item", F.avg, F.col("answerCode")),
+            Agg("answer_cnt_per_item", F.count, F.col("answerCode")),
         ],
         {
             "elapsed_time_median_per_item": F.col("elapsed_us"),
             "wrong_users_median_elapsed": F.when(wrong, F.col("elapsed_us")),
             "correct_users_median_elapsed": F.when(right, F.col("elapsed_us")),
         },
+        rows,
     )
 
 
@@ -59,13 +68,14 @@ def tag_features(log: DataFrame) -> DataFrame:
     )
 
 
-def grain_features(log: DataFrame, key: str, suffix: str) -> DataFrame:
+def grain_features(log: DataFrame, key: str, suffix: str, rows: int | None = None) -> DataFrame:
     """Median answer time and answer rate per test, category or question number."""
     return _with_medians(
         log,
         key,
-        [rate(F.col("answerCode")).alias(f"answerRate_per_{suffix}")],
+        [Agg(f"answerRate_per_{suffix}", rate, F.col("answerCode"))],
         {f"elapsed_median_per_{suffix}": F.col("elapsed_us")},
+        rows,
     )
 
 
@@ -75,17 +85,17 @@ def join_features(base: DataFrame, target: DataFrame) -> DataFrame:
     Keys of ``target`` that ``base`` does not know get NULL. One pass over the
     key columns of ``base`` bounds the size of all six lookups.
     """
+    rows, distinct = key_sizes(base, GRAIN_KEYS)
     lookups = {
-        "userID": user_features(base),
-        "assessmentItemID": item_features(base),
+        "userID": user_features(base, rows),
+        "assessmentItemID": item_features(base, rows),
         "KnowledgeTag": tag_features(base),
-        "testId": grain_features(base, "testId", "test"),
-        "category_high": grain_features(base, "category_high", "cat"),
-        "problem_num": grain_features(base, "problem_num", "problem_num"),
+        "testId": grain_features(base, "testId", "test", rows),
+        "category_high": grain_features(base, "category_high", "cat", rows),
+        "problem_num": grain_features(base, "problem_num", "problem_num", rows),
     }
-    rows = distinct_estimates(base, list(lookups))
     for key, lookup in lookups.items():
-        target = lookup_join(target, lookup, [key], rows[key])
+        target = lookup_join(target, lookup, [key], distinct[key])
     return target
 
 

@@ -15,11 +15,13 @@ class Heavy:
     """Groups of ``on`` with more rows than one task should hold in order.
 
     ``keys`` is None when there are none; otherwise a written table of at most
-    200,000 keys (see ``heavy_threshold``), small enough to broadcast.
+    200,000 keys (see ``heavy_threshold``), small enough to broadcast. ``rows``
+    is the size of the whole frame, an upper bound for any group of any key.
     """
 
     on: tuple[str, ...]
     keys: DataFrame | None
+    rows: int
 
     def without(self, df: DataFrame) -> DataFrame:
         return df.join(F.broadcast(self.keys), list(self.on), "left_anti")
@@ -28,15 +30,25 @@ class Heavy:
         return df.join(F.broadcast(self.keys), list(self.on), "left_semi")
 
 
-def find_heavy(df: DataFrame, on: list[str]) -> Heavy:
-    """One map-side combined count over the key columns of ``df``."""
-    spark = df.sparkSession
+def group_sizes(df: DataFrame, on: list[str]) -> tuple[int, int]:
+    """Rows of the frame and of its largest group: a map-side combined count."""
     sizes = df.groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
     top = sizes.agg(F.sum("rows").alias("total"), F.max("rows").alias("largest")).first()
-    if top["largest"] is None or top["largest"] <= limit(spark, "groupRows"):
-        return Heavy(tuple(on), None)
-    threshold = heavy_threshold(spark, top["total"])
-    if top["largest"] <= threshold:
-        return Heavy(tuple(on), None)
-    keys = sizes.where(F.col("rows") > threshold).select(*on)
-    return Heavy(tuple(on), written(keys, "heavy"))
+    return top["total"] or 0, top["largest"] or 0
+
+
+def find_heavy(df: DataFrame, on: list[str], rows: int | None = None) -> Heavy:
+    """The heavy groups of ``df``.
+
+    Nothing is counted when ``rows``, the known size of the frame, already fits
+    one task.
+    """
+    spark = df.sparkSession
+    if rows is not None and rows <= limit(spark, "groupRows"):
+        return Heavy(tuple(on), None, rows)
+    total, largest = group_sizes(df, on)
+    threshold = heavy_threshold(spark, total)
+    if largest <= threshold:
+        return Heavy(tuple(on), None, total)
+    keys = df.groupBy(*on).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > threshold)
+    return Heavy(tuple(on), written(keys.select(*on), "heavy"), total)

@@ -1,13 +1,15 @@
 """Ordered features (lags, running sums, running counts) over groups of any size.
 
-Small groups run in one plain window. A group larger than
-``quizframe.groupRows`` is laid out in contiguous blocks of its order; each
-block runs its own window and receives the sums, counts and last values of the
-blocks before it. Both ways give the same result.
+While every group fits one task, a plain window does the work. Otherwise the
+frame is laid out once in contiguous blocks of its order, and any number of
+features then run inside the blocks: each block has its own windows and
+receives the sums, counts and last values of the blocks before it. Both ways
+give the same result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from math import ceil
 
@@ -15,8 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quizframe.operators.heavy import Heavy, find_heavy
-from quizframe.runtime import heavy_threshold, limit, written
+from quizframe.operators.heavy import find_heavy, group_sizes
+from quizframe.operators.joins import lookup_join
+from quizframe.runtime import limit, written
 
 USER_ORD = ["Timestamp", "row_id"]
 FRAME_ORD = ["split", "userID", "Timestamp", "row_id"]
@@ -52,43 +55,92 @@ class RunCount:
 Feature = Lag | RunSum | RunCount
 
 
-def blocked(df: DataFrame, order: list[str], rows: int) -> DataFrame:
-    """``df`` in contiguous runs of ``order``, numbered by ``block``.
+def blocked(df: DataFrame, order: list[str], rows: int, column: str = "_block") -> DataFrame:
+    """``df`` in contiguous runs of ``order``, numbered by ``column``.
 
     ``order`` must be unique per row, so any run of rows can be cut. The range
     cuts come from a sample, so the numbered rows are written once: every later
     use then sees the same blocks.
     """
     n = max(1, ceil(rows / limit(df.sparkSession, "blockRows")))
-    cut = df.repartitionByRange(n, *order).withColumn("block", F.spark_partition_id())
+    cut = df.repartitionByRange(n, *order).withColumn(column, F.spark_partition_id())
     return written(cut, "blocks")
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How a frame is spread for ordered work inside the groups of ``by``.
+
+    ``block`` names the block column, or is None while every group fits one
+    task. ``spanning`` holds the groups that lie in more than one block: at
+    most one begins before each block, so there are fewer than blocks.
+    """
+
+    by: tuple[str, ...]
+    rows: int
+    block: str | None = None
+    spanning: DataFrame | None = None
+
+
+def lay_out(
+    df: DataFrame, by: list[str], order: list[str], rows: int | None = None
+) -> tuple[DataFrame, Layout]:
+    """Prepare ``df`` for ordered features of ``by`` and of finer groups.
+
+    ``rows``, the known size of the frame, saves the count of the groups when
+    it already fits one task.
+    """
+    most = limit(df.sparkSession, "groupRows")
+    if rows is not None and rows <= most:
+        return df, Layout(tuple(by), rows)
+    total, largest = group_sizes(df, by) if by else [df.count()] * 2
+    if largest <= most:
+        return df, Layout(tuple(by), total)
+    block = "_".join(["_block", *by])
+    cut = blocked(df, [*by, *order], total, block)
+    spanning = None
+    if by:
+        ends = cut.groupBy(*by).agg(F.min(block).alias("_lo"), F.max(block).alias("_hi"))
+        spanning = written(ends.where(F.col("_lo") < F.col("_hi")).select(*by), "spanning")
+    return cut, Layout(tuple(by), total, block, spanning)
+
+
+def in_layout(
+    df: DataFrame,
+    by: list[str],
+    order: list[str],
+    layout: Layout | None,
+    work: Callable[[DataFrame, Layout], DataFrame],
+) -> DataFrame:
+    """Run ``work`` in the given layout, or in one made for it."""
+    if layout is not None:
+        return work(df, layout)
+    laid, layout = lay_out(df, by, order)
+    return work(laid, layout).drop(layout.block or "_block")
+
+
 def ordered_features(
     df: DataFrame,
     by: list[str],
     order: list[str],
     features: list[Feature],
-    heavy: Heavy | None = None,
+    layout: Layout | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add ``features`` computed in ``order`` inside each group of ``by``.
 
     ``order`` must be unique inside a group and ``by`` must not be NULL.
-    ``heavy`` may name the heavy groups of a prefix of ``by`` when they are
-    already known, which saves the count.
+    ``layout`` is that of ``df`` for ``by`` or for a prefix of it, in the same
+    order; the block column then stays for the next features.
     """
-    spark = df.sparkSession
-    if not by:
-        total = df.count()
-        if total <= limit(spark, "groupRows"):
-            return _plain(df, by, order, features)
-        return _in_blocks(df, by, order, features, total)
-    heavy = heavy or find_heavy(df, by)
-    if heavy.keys is None:
+    if layout is None:
+        laid, layout = lay_out(df, by, order, rows)
+        return ordered_features(laid, by, order, features, layout).select(
+            *df.columns, *[f.out for f in features]
+        )
+    if layout.block is None:
         return _plain(df, by, order, features)
-    light = _plain(heavy.without(df), by, order, features)
-    large = heavy.only(df)
-    return light.unionByName(_in_blocks(large, by, order, features, large.count()))
+    return _in_blocks(df, by, order, features, layout)
 
 
 def index_keys(df: DataFrame, order: list[str], out: str = "idx", by: list[str] | None = None) -> DataFrame:
@@ -116,115 +168,142 @@ def _plain(df: DataFrame, by: list[str], order: list[str], features: list[Featur
     return df.withColumns(columns)
 
 
-def _in_blocks(
-    df: DataFrame, by: list[str], order: list[str], features: list[Feature], rows: int
+def _carried(
+    cut: DataFrame, by: list[str], order: list[str], features: list[Feature], layout: Layout
 ) -> DataFrame:
+    """What the earlier blocks of a group hand to a block: rows so far, sums so
+    far and the last values, one row per group and block that has a past."""
     sums = [f for f in features if isinstance(f, RunSum)]
     lags = [f for f in features if isinstance(f, Lag)]
     reach = max((f.k for f in lags), default=0)
-    inputs = {f"_in_{f.out}": f.value for f in [*sums, *lags]}
-    cut = blocked(df.withColumns(inputs) if inputs else df, [*by, *order], rows)
+    block = layout.block
+    if layout.spanning is not None:
+        cut = cut.join(F.broadcast(layout.spanning), list(layout.by), "left_semi")
 
-    # One row per (group, block): what the block adds, and its last `reach` rows.
-    totals = [F.count(F.lit(1)).alias("_n")]
-    totals += [F.sum(f"_in_{f.out}").alias(f"_s_{f.out}") for f in sums]
-    summary = cut.groupBy(*by, "block").agg(*totals)
+    totals = [F.count(F.lit(1)).alias("__n")]
+    totals += [F.sum(f"__in_{f.out}").alias(f"__s_{f.out}") for f in sums]
+    summary = cut.groupBy(*by, block).agg(*totals)
     if lags:
-        last = W.partitionBy(*by, "block").orderBy(*[F.desc(c) for c in order])
+        last = W.partitionBy(*by, block).orderBy(*[F.desc(c) for c in order])
         tail = (
-            cut.withColumn("_r", F.row_number().over(last))
-            .where(F.col("_r") <= reach)
-            .groupBy(*by, "block")
+            cut.withColumn("__r", F.row_number().over(last))
+            .where(F.col("__r") <= reach)
+            .groupBy(*by, block)
             .agg(
-                F.array_sort(
-                    F.collect_list(F.struct("_r", *[f"_in_{f.out}" for f in lags]))
-                ).alias("_tail")
+                F.array_sort(F.collect_list(F.struct("__r", *[f"__in_{f.out}" for f in lags]))).alias("__tail")
             )
         )
-        summary = summary.join(tail, [*by, "block"])
+        summary = summary.join(tail, [*by, block])
 
-    # What all earlier blocks of the group add up to.
-    blocks = W.partitionBy(*by).orderBy("block")
+    blocks = W.partitionBy(*by).orderBy(block)
     earlier = blocks.rowsBetween(W.unboundedPreceding, -1)
-    carry = [F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0")]
-    carry += [F.sum(f"_s_{f.out}").over(earlier).alias(f"_s0_{f.out}") for f in sums]
+    carry = [F.sum("__n").over(earlier).alias("__n0")]
+    carry += [F.sum(f"__s_{f.out}").over(earlier).alias(f"__s0_{f.out}") for f in sums]
     if lags:
-        # Nearest block first; every block holds at least one row, so `reach`
-        # blocks are enough.
-        near = F.collect_list("_tail").over(blocks.rowsBetween(-reach, -1))
-        carry.append(F.flatten(F.reverse(near)).alias("_hist"))
-    offsets = summary.select(*by, "block", *carry)
+        # Nearest block first; every block holds at least one row of the group,
+        # so `reach` blocks are enough.
+        near = F.collect_list("__tail").over(blocks.rowsBetween(-reach, -1))
+        carry.append(F.flatten(F.reverse(near)).alias("__hist"))
+    return summary.select(*by, block, *carry).where(F.col("__n0").isNotNull())
 
-    w = W.partitionBy(*by, "block").orderBy(*order)
+
+def _in_blocks(
+    df: DataFrame, by: list[str], order: list[str], features: list[Feature], layout: Layout
+) -> DataFrame:
+    block = layout.block
+    inputs = {f"__in_{f.out}": f.value for f in features if not isinstance(f, RunCount)}
+    cut = df.withColumns(inputs) if inputs else df
+    carried = written(_carried(cut, by, order, features, layout), "carried")
+
+    w = W.partitionBy(*by, block).orderBy(*order)
     upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
     before = w.rowsBetween(W.unboundedPreceding, -1)
-    inside = {"_pos": F.row_number().over(w)}
+    inside = {"__pos": F.row_number().over(w).cast("bigint")}
     for f in features:
         match f:
             case Lag():
-                inside[f"_w_{f.out}"] = F.lag(f"_in_{f.out}", f.k).over(w)
+                inside[f"__w_{f.out}"] = F.lag(f"__in_{f.out}", f.k).over(w)
             case RunSum():
-                inside[f"_w_{f.out}"] = F.sum(f"_in_{f.out}").over(upto if f.current else before)
-    rows_in = cut.withColumns(inside).join(offsets, [*by, "block"])
+                inside[f"__w_{f.out}"] = F.sum(f"__in_{f.out}").over(upto if f.current else before)
+    # A block bounds the rows of a join key, so this join cannot be skewed.
+    small = carried.count() <= limit(df.sparkSession, "broadcastRows")
+    rows = cut.withColumns(inside).join(F.broadcast(carried) if small else carried, [*by, block], "left")
 
     result = {}
     for f in features:
         match f:
             case Lag():
-                past = F.get("_hist", F.lit(f.k) - F.col("_pos"))[f"_in_{f.out}"]
-                value = F.when(F.col("_pos") > f.k, F.col(f"_w_{f.out}")).otherwise(past)
+                past = F.get("__hist", (F.lit(f.k) - F.col("__pos")).cast("int"))[f"__in_{f.out}"]
+                value = F.when(F.col("__pos") > f.k, F.col(f"__w_{f.out}")).otherwise(past)
                 result[f.out] = value if f.default is None else F.coalesce(value, f.default)
             case RunSum():
-                here, past = F.col(f"_w_{f.out}"), F.col(f"_s0_{f.out}")
+                here, past = F.col(f"__w_{f.out}"), F.col(f"__s0_{f.out}")
                 # NULL only while no non-NULL value has been met, as in a window.
                 total = F.coalesce(here + past, here, past)
                 result[f.out] = total if f.current else F.coalesce(total, F.lit(0))
             case RunCount():
-                n = F.col("_n0") + F.col("_pos")
+                n = F.coalesce("__n0", F.lit(0)) + F.col("__pos")
                 result[f.out] = n if f.current else n - 1
-    return rows_in.withColumns(result).select(*df.columns, *result)
+    return rows.withColumns(result).select(*df.columns, *result)
 
 
 # ---- exact quantiles ---------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Agg:
+    """An ordinary aggregate next to quantiles: ``fn`` of ``value``."""
+
+    out: str
+    fn: Callable[[Column], Column]
+    value: Column
+
+
 def quantiles(
     df: DataFrame,
     by: list[str],
     values: dict[str, Column],
     probs: list[float],
-    aggregates: list[Column] | None = None,
+    aggregates: list[Agg] | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Exact quantiles (linear interpolation) of every value per group.
 
     Adds one array column per entry of ``values`` (NULL for an empty input),
-    next to ordinary ``aggregates`` of the same grouping. Groups beyond the
-    limit do not build one in-memory state: their distinct values are counted,
-    sorted into blocks, and only the blocks holding a wanted rank are searched.
+    next to ``aggregates`` of the same grouping. Groups beyond the limit do not
+    build one in-memory state: their distinct values are counted, sorted into
+    blocks, and only the blocks holding a wanted rank are searched.
     """
-    spark = df.sparkSession
     aggregates = aggregates or []
-    exact = [F.percentile(v, F.lit(probs)).alias(out) for out, v in values.items()]
-    if by:
-        heavy = find_heavy(df, by)
-        if heavy.keys is None:
-            return df.groupBy(*by).agg(*aggregates, *exact)
-        light = heavy.without(df).groupBy(*by).agg(*aggregates, *exact)
-        large = _ranked_quantiles(heavy.only(df), by, values, probs)
-        # Both sides hold one row per heavy group.
-        groups = heavy.only(df).groupBy(*by).agg(*aggregates) if aggregates else heavy.keys
-        large = groups.join(large, by, "left")
-        return light.unionByName(large)
-    if df.count() <= heavy_threshold(spark, 0):
-        return df.agg(*aggregates, *exact)
-    large = _ranked_quantiles(df.withColumn("_all", F.lit(1)), ["_all"], values, probs)
-    if aggregates:
-        large = df.agg(*aggregates, F.lit(1).alias("_all")).join(large, "_all", "left")
-    return large.drop("_all")
+    narrow = df.select(
+        *by, *[a.value.alias(f"_a_{a.out}") for a in aggregates], *[v.alias(f"_q_{o}") for o, v in values.items()]
+    )
+    plain = [a.fn(F.col(f"_a_{a.out}")).alias(a.out) for a in aggregates]
+    exact = [F.percentile(f"_q_{out}", F.lit(probs)).alias(out) for out in values]
+    inputs = {out: F.col(f"_q_{out}") for out in values}
+    if not by:
+        rows = df.count() if rows is None else rows
+        if rows <= limit(df.sparkSession, "groupRows"):
+            return narrow.agg(*plain, *exact)
+        one = written(narrow.withColumn("_all", F.lit(1)), "values")
+        large = _ranked_quantiles(one, ["_all"], inputs, probs, rows)
+        return one.groupBy("_all").agg(*plain, F.max("_all")).select("_all", *[a.out for a in aggregates]).join(
+            large, "_all", "left"
+        ).drop("_all")
+    heavy = find_heavy(narrow, by, rows)
+    if heavy.keys is None:
+        return narrow.groupBy(*by).agg(*plain, *exact)
+    # Read three times from here on, so computed once.
+    narrow = written(narrow, "values")
+    light = heavy.without(narrow).groupBy(*by).agg(*plain, *exact)
+    part = heavy.only(narrow)
+    # Both sides hold one row per heavy group.
+    groups = part.groupBy(*by).agg(*plain) if plain else heavy.keys
+    return light.unionByName(groups.join(_ranked_quantiles(part, by, inputs, probs, heavy.rows), by, "left"))
 
 
 def _ranked_quantiles(
-    df: DataFrame, by: list[str], values: dict[str, Column], probs: list[float]
+    df: DataFrame, by: list[str], values: dict[str, Column], probs: list[float], rows: int
 ) -> DataFrame:
     """Quantiles of heavy groups by rank search over sorted blocks."""
     outs = list(values)
@@ -234,16 +313,16 @@ def _ranked_quantiles(
     ).where(F.col("_v").isNotNull())
     key = [*by, "_slot"]
     counted = long.groupBy(*key, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    cut = blocked(counted, [*key, "_v"], counted.count())
+    cut = blocked(counted, [*key, "_v"], rows * len(outs))
 
     group = W.partitionBy(*key)
-    before = group.orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    before = group.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     summary = (
-        cut.groupBy(*key, "block")
+        cut.groupBy(*key, "_block")
         .agg(F.sum("_c").alias("_m"))
         .select(
             *key,
-            "block",
+            "_block",
             F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_off"),
             "_m",
             F.sum("_m").over(group).alias("_total"),
@@ -269,11 +348,11 @@ def _ranked_quantiles(
             ),
         )
         .where(F.size("_want") > 0)
-        .select(*key, "block", "_off", "_total", "_want")
+        .select(*key, "_block", "_off", "_total", "_want")
     )
-    w = W.partitionBy(*key, "block").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    w = W.partitionBy(*key, "_block").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
     picks = (
-        cut.join(wanted, [*key, "block"])
+        cut.join(wanted, [*key, "_block"])
         .withColumn("_end", F.col("_off") + F.sum("_c").over(w))
         .select(
             *key,
@@ -284,7 +363,7 @@ def _ranked_quantiles(
                     "_want",
                     lambda r: (r["rank"] >= F.col("_end") - F.col("_c")) & (r["rank"] < F.col("_end")),
                 )
-            ).alias("_r"),
+            ).alias("__r"),
         )
     )
     ends = picks.groupBy(*by).agg(

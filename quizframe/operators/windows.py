@@ -19,16 +19,19 @@ from quizframe.functions.columns import (
     time_divide,
     to_epoch,
 )
-from quizframe.operators.heavy import Heavy, find_heavy
+from quizframe.operators.joins import lookup_join
 from quizframe.operators.ordered import (
     FRAME_ORD,
     USER_ORD,
     Lag,
+    Layout,
     RunCount,
     RunSum,
+    in_layout,
     ordered_features,
     quantiles,
 )
+from quizframe.runtime import written
 
 
 def with_calendar(log: DataFrame) -> DataFrame:
@@ -57,38 +60,37 @@ def with_context_codes(log: DataFrame) -> DataFrame:
     )
 
 
-def time_diff(log: DataFrame, by: list[str] | None = None, heavy: Heavy | None = None) -> DataFrame:
-    """Time since the previous row of the group: ``diff_us`` (exact) and ``diff``."""
+def time_diff(log: DataFrame, layout: Layout | None = None) -> DataFrame:
+    """Time since the previous row of (learner, test): ``diff_us`` (exact) and ``diff``."""
     lagged = ordered_features(
-        log, by or ["userID", "testId"], USER_ORD, [Lag("_prev", F.col("Timestamp"))], heavy
+        log, ["userID", "testId"], USER_ORD, [Lag("_prev", F.col("Timestamp"))], layout
     )
     diff = F.coalesce(micros_between(F.col("_prev"), F.col("Timestamp")), F.lit(0))
-    return (
-        lagged.withColumn("diff_us", diff).withColumn("diff", seconds(F.col("diff_us"))).drop("_prev")
-    )
+    return lagged.withColumn("diff_us", diff).withColumn("diff", seconds(F.col("diff_us"))).drop("_prev")
 
 
-def global_quantile(df: DataFrame, column: str, q: float) -> float | None:
+def global_quantile(df: DataFrame, column: str, q: float, rows: int | None = None) -> float | None:
     """Exact quantile over all rows; the one number goes through the driver."""
-    found = quantiles(df.select(column), [], {"q": F.col(column)}, [q]).first()["q"]
+    found = quantiles(df.select(column), [], {"q": F.col(column)}, [q], rows=rows).first()["q"]
     return None if found is None else found[0]
 
 
-def elapsed(log: DataFrame, q: float = 0.99, heavy: Heavy | None = None) -> DataFrame:
+def elapsed(log: DataFrame, q: float = 0.99, layout: Layout | None = None) -> DataFrame:
     """Answer time inside a session of one learner and test.
 
     A gap at or above the ``q`` quantile of all gaps starts a new session, and
     the first row of a session took 0. So the gap itself is the answer time of
     every row below the threshold; no second window is needed.
     """
-    diffs = time_diff(log, heavy=heavy)
-    # Below the threshold check the window runs again; at scale this pass reads
-    # four columns and returns one number.
-    threshold = global_quantile(diffs, "diff_us", q)
-    return _elapsed_from(diffs, threshold)
+    return in_layout(
+        log, ["userID", "testId"], USER_ORD, layout, lambda df, made: _elapsed(df, q, made).drop("_gap")
+    )
 
 
-def _elapsed_from(diffs: DataFrame, threshold: float | None) -> DataFrame:
+def _elapsed(log: DataFrame, q: float, layout: Layout) -> DataFrame:
+    diffs = time_diff(log, layout)
+    # A pass of its own over the four columns of the window, for one number.
+    threshold = global_quantile(diffs, "diff_us", q, layout.rows)
     gap = F.col("diff_us") >= F.lit(threshold)
     return (
         diffs.withColumn("_gap", gap.cast("int"))
@@ -97,16 +99,20 @@ def _elapsed_from(diffs: DataFrame, threshold: float | None) -> DataFrame:
     )
 
 
-def sessionize(log: DataFrame, q: float = 0.99, heavy: Heavy | None = None) -> DataFrame:
+def sessionize(log: DataFrame, q: float = 0.99, layout: Layout | None = None) -> DataFrame:
     """``elapsed`` plus the running session number of (learner, test)."""
-    timed = elapsed(log, q, heavy)
-    numbered = ordered_features(
-        timed, ["userID", "testId"], USER_ORD, [RunSum("session", F.col("_gap"))], heavy
-    )
-    return numbered.drop("_gap")
+    key = ["userID", "testId"]
+
+    def work(df: DataFrame, made: Layout) -> DataFrame:
+        timed = _elapsed(df, q, made)
+        return ordered_features(timed, key, USER_ORD, [RunSum("session", F.col("_gap"))], made).drop("_gap")
 
+    return in_layout(log, key, USER_ORD, layout, work)
 
-def user_running(log: DataFrame, exclude_current: bool = False, heavy: Heavy | None = None) -> DataFrame:
+
+def user_running(
+    log: DataFrame, exclude_current: bool = False, layout: Layout | None = None
+) -> DataFrame:
     """Right answers, answers, their rate and answer time so far per learner.
 
     ``exclude_current`` leaves the row's own answer out of every feature.
@@ -121,7 +127,7 @@ def user_running(log: DataFrame, exclude_current: bool = False, heavy: Heavy | N
             RunCount("problem_solved_per_user", current),
             RunSum("_acc_us", F.col("elapsed_us"), current),
         ],
-        heavy,
+        layout,
     ).withColumns(
         {
             "cum_answerRate_per_user": ratio(
@@ -132,28 +138,31 @@ def user_running(log: DataFrame, exclude_current: bool = False, heavy: Heavy | N
     ).drop("_acc_us")
 
 
-def category_running(log: DataFrame, heavy: Heavy | None = None) -> DataFrame:
-    """Running features of the category.
-
-    ``correct_answer_per_cat`` is per learner and category and always leaves the
-    current row out; ``acc_count_per_cat`` counts all earlier rows of the
-    category over the whole table. Their ratio mixes the two grains on purpose.
-    """
-    own = ordered_features(
+def category_correct(log: DataFrame, layout: Layout | None = None) -> DataFrame:
+    """Right answers before this row per learner and category."""
+    return ordered_features(
         log,
         ["userID", "category_high"],
         USER_ORD,
         [RunSum("correct_answer_per_cat", F.col("answerCode"), current=False)],
-        heavy,
+        layout,
     )
+
+
+def category_running(log: DataFrame, rows: int | None = None) -> DataFrame:
+    """Earlier rows of the category over the whole table, and its ratio.
+
+    Expects ``correct_answer_per_cat``, which is per learner and category; the
+    ratio mixes the two grains on purpose.
+    """
     return ordered_features(
-        own, ["category_high"], FRAME_ORD, [RunCount("acc_count_per_cat", current=False)]
+        log, ["category_high"], FRAME_ORD, [RunCount("acc_count_per_cat", current=False)], rows=rows
     ).withColumn(
         "acc_answerRate_per_cat", ratio(F.col("correct_answer_per_cat"), F.col("acc_count_per_cat"))
     )
 
 
-def week_running(log: DataFrame, exclude_current: bool = False) -> DataFrame:
+def week_running(log: DataFrame, exclude_current: bool = False, rows: int | None = None) -> DataFrame:
     """Right answers, answers and their rate so far per ISO week over the whole table."""
     current = not exclude_current
     return ordered_features(
@@ -164,46 +173,39 @@ def week_running(log: DataFrame, exclude_current: bool = False) -> DataFrame:
             RunSum("problem_correct_per_woy", F.col("answerCode"), current),
             RunCount("problem_solved_per_woy", current),
         ],
+        rows=rows,
     ).withColumn(
         "cum_answerRate_per_woy",
         ratio(F.col("problem_correct_per_woy"), F.col("problem_solved_per_woy")),
     )
 
 
-def time_delta_user(log: DataFrame, heavy: Heavy | None = None) -> DataFrame:
+def time_delta_user(log: DataFrame, layout: Layout | None = None) -> DataFrame:
     """Answer time minus the learner's own median answer time."""
-    heavy = heavy or find_heavy(log, ["userID"])
-    # Light learners keep the learner-partitioned layout: the median is one more
-    # aggregate over the same window partition.
-    inside = F.percentile("elapsed_us", 0.5).over(W.partitionBy("userID"))
-    if heavy.keys is None:
-        with_median = log.withColumn("_median", inside)
+    return in_layout(log, ["userID"], USER_ORD, layout, _time_delta)
+
+
+def _time_delta(log: DataFrame, layout: Layout) -> DataFrame:
+    if layout.block is None:
+        # The log is or will be partitioned by learner for the other features;
+        # the median is one more aggregate over the same partitions.
+        with_median = log.withColumn("_m", F.percentile("elapsed_us", 0.5).over(W.partitionBy("userID")))
     else:
-        large = heavy.only(log)
-        medians = quantiles(large, ["userID"], {"_q": F.col("elapsed_us")}, [0.5])
-        with_median = (
-            heavy.without(log)
-            .withColumn("_median", inside)
-            .unionByName(
-                # One row per heavy learner, so the broadcast is bounded.
-                large.join(F.broadcast(medians), "userID", "left")
-                .withColumn("_median", F.get("_q", F.lit(0)))
-                .drop("_q")
-            )
-        )
-    return with_median.withColumn(
-        "timeDelta_userAverage", (F.col("elapsed_us") - F.col("_median")) / F.lit(1e6)
-    ).drop("_median")
-
-
-def answer_lags(log: DataFrame, n: int = 5, heavy: Heavy | None = None) -> DataFrame:
+        log = written(log, "timed")
+        medians = quantiles(log, ["userID"], {"_q": F.col("elapsed_us")}, [0.5], rows=layout.rows)
+        with_median = lookup_join(log, medians, ["userID"]).withColumn("_m", F.get("_q", F.lit(0))).drop("_q")
+    delta = (F.col("elapsed_us") - F.col("_m")) / F.lit(1e6)
+    return with_median.withColumn("timeDelta_userAverage", delta).drop("_m")
+
+
+def answer_lags(log: DataFrame, n: int = 5, layout: Layout | None = None) -> DataFrame:
     """The last 1..n results of the learner; 1 where there is none."""
     return ordered_features(
         log,
         ["userID"],
         USER_ORD,
         [Lag(f"timestep_{k}", F.col("answerCode"), k, F.lit(1)) for k in range(1, n + 1)],
-        heavy,
+        layout,
     )
 
 
@@ -214,13 +216,13 @@ def tag_occurrence(log: DataFrame) -> DataFrame:
     )
 
 
-def segment_users(log: DataFrame, n: int = 20, heavy: Heavy | None = None) -> DataFrame:
+def segment_users(log: DataFrame, n: int = 20) -> DataFrame:
     """Cut every learner's rows into segments of ``n`` rows."""
-    placed = ordered_features(log, ["userID"], USER_ORD, [RunCount("_pos")], heavy)
+    placed = ordered_features(log, ["userID"], USER_ORD, [RunCount("_place")])
     return (
-        placed.withColumn("chunk", chunk_of(F.col("_pos"), n))
+        placed.withColumn("chunk", chunk_of(F.col("_place"), n))
         .withColumn("segment_id", segment_id(F.col("userID"), F.col("chunk")))
-        .drop("_pos")
+        .drop("_place")
     )
 
 

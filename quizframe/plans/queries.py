@@ -59,7 +59,7 @@ def line_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def timed(log: DataFrame) -> DataFrame:
-    return windows.elapsed(log).drop("_gap")
+    return windows.elapsed(log)
 
 
 def micros(ts: str) -> Column:
@@ -302,14 +302,14 @@ def lineitem_user_running(spark, sf_dir):
 
 @query("category_running")
 def category_running(spark, sf_dir):
-    return windows.category_running(windows.with_codes(event_log(spark, sf_dir))).select(
+    return windows.category_running(windows.category_correct(windows.with_codes(event_log(spark, sf_dir)))).select(
         "row_id", "correct_answer_per_cat", "acc_count_per_cat", "acc_answerRate_per_cat"
     )
 
 
 @query("lineitem_category_running")
 def lineitem_category_running(spark, sf_dir):
-    return windows.category_running(windows.with_codes(line_log(spark, sf_dir))).select(
+    return windows.category_running(windows.category_correct(windows.with_codes(line_log(spark, sf_dir)))).select(
         "row_id", "correct_answer_per_cat", "acc_count_per_cat", "acc_answerRate_per_cat"
     )
 
@@ -541,7 +541,7 @@ def elo_assessment_logistic(spark, sf_dir):
 
 
 def _boosting(spark, sf_dir, part):
-    parts = tables.boosting_parts(event_log(spark, sf_dir), ELO_ROUNDS)
+    parts = tables.boosting_parts(event_log(spark, sf_dir), ELO_ROUNDS, (part,))
     return parts[part].withColumns({c: F.round(c, 6) for c in tables.ELO_FEATURES.values()})
 
 
@@ -577,7 +577,8 @@ def sequence_table(spark, sf_dir):
 
 @query("boosting_scores")
 def boosting_scores(spark, sf_dir):
-    parts, _ = tables.encoded_parts(tables.boosting_parts(event_log(spark, sf_dir), ELO_ROUNDS))
+    wanted = ("train_split", "valid", "test")
+    parts, _ = tables.encoded_parts(tables.boosting_parts(event_log(spark, sf_dir), ELO_ROUNDS, wanted))
     model = models.fit_boosting(
         written(parts["train_split"], "train"), written(parts["valid"], "valid"),
         tables.BOOSTING_FEATURES, max_iter=5, max_depth=4,

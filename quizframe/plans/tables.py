@@ -20,11 +20,11 @@ from quizframe.operators.encode import (
     text_columns,
 )
 from quizframe.operators.grains import join_features, mean_encoding, quartiles, value_counts
-from quizframe.operators.heavy import find_heavy
-from quizframe.operators.ordered import FRAME_ORD
+from quizframe.operators.ordered import FRAME_ORD, USER_ORD, lay_out
 from quizframe.operators.splits import context_rows, split_last
 from quizframe.operators.windows import (
     answer_lags,
+    category_correct,
     category_running,
     consumed_time,
     elapsed,
@@ -101,34 +101,38 @@ def row_features(
     Learner windows run back to back, so the log is partitioned by learner once
     for all of them; the table-wide running counts follow.
     """
-    heavy = find_heavy(log, ["userID"])
-    df = with_codes(with_calendar(log))
-    df = answer_lags(df, heavy=heavy)
-    df = elapsed(df, heavy=heavy).drop("_gap")
-    df = user_running(df, exclude_current, heavy)
-    df = time_delta_user(df, heavy)
-    df = category_running(df, heavy)
-    df = week_running(df, exclude_current)
-    params = elo_fit(log, list(ELO_FEATURES), rounds, formula, scored_only, heavy)
+    df, layout = lay_out(with_codes(with_calendar(log)), ["userID"], USER_ORD)
+    df = answer_lags(df, layout=layout)
+    df = elapsed(df, layout=layout)
+    df = user_running(df, exclude_current, layout)
+    df = category_correct(df, layout)
+    df = time_delta_user(df, layout).drop(layout.block or "_block")
+    df = category_running(df, layout.rows)
+    df = week_running(df, exclude_current, layout.rows)
+    params = elo_fit(log, list(ELO_FEATURES), rounds, formula, scored_only, layout.rows)
     return with_elo(df, params, ELO_FEATURES)
 
 
-def boosting_parts(log: DataFrame, rounds: int = 8, **options) -> dict[str, DataFrame]:
-    """Boosting table as ``train``, ``train_split``, ``valid`` and ``test``.
+def boosting_parts(
+    log: DataFrame, rounds: int = 8, parts: tuple[str, ...] = ("train", "train_split", "valid", "test"), **options
+) -> dict[str, DataFrame]:
+    """The wanted parts of the boosting table.
 
     The row features are read by the six aggregates and by the targets, so they
     are written once. ``test`` and ``train`` take their aggregates from all
-    scored rows, ``valid`` only from the rows before it.
+    scored rows, ``valid`` and ``train_split`` only from the rows before the
+    held-out ones.
     """
     rows = written(split_last(row_features(log, rounds, **options)), "row-features")
     base = scored(rows)
     before = base.where(F.col("part") == "train")
-    return {
-        "train": _selected(join_features(base, base)),
-        "train_split": _selected(join_features(before, before)),
-        "valid": _selected(join_features(before, base.where(F.col("part") == "valid"))),
-        "test": _selected(join_features(base, unscored(rows))),
+    sources = {
+        "train": (base, base),
+        "train_split": (before, before),
+        "valid": (before, base.where(F.col("part") == "valid")),
+        "test": (base, unscored(rows)),
     }
+    return {name: _selected(join_features(*sources[name])) for name in parts}
 
 
 def _selected(df: DataFrame) -> DataFrame:
@@ -136,8 +140,9 @@ def _selected(df: DataFrame) -> DataFrame:
 
 
 def encoded_parts(parts: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Text columns of all parts coded by one dictionary fitted on ``train``."""
-    dictionary = written(fit_ordinal(parts["train"], text_columns(parts["train"])), "dictionary")
+    """Text columns of all parts coded by one dictionary fitted on ``train_split``."""
+    train = parts["train_split"]
+    dictionary = written(fit_ordinal(train, text_columns(train)), "dictionary")
     return {name: encode_text_columns(df, dictionary) for name, df in parts.items()}, dictionary
 
 

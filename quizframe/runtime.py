@@ -62,11 +62,12 @@ def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
-def distinct_estimates(df: DataFrame, columns: list[str]) -> dict[str, int]:
-    """Distinct values of every column in one pass over ``df``.
+def key_sizes(df: DataFrame, columns: list[str]) -> tuple[int, dict[str, int]]:
+    """Rows of ``df`` and distinct values of every column, in one pass.
 
-    HyperLogLog at 1 % standard error plus 10 % margin: an upper bound for the
-    choice between broadcast and shuffle.
+    Sketches of 2^14 registers (0.8 % standard error) plus 10 % margin: an
+    upper bound for the choice between broadcast and shuffle.
     """
-    row = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in columns]).first()
-    return {c: int(row[c] * 1.1) + 1 for c in columns}
+    sketch = {c: F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"), 14)) for c in columns}
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[e.alias(c) for c, e in sketch.items()]).first()
+    return row["_rows"], {c: int((row[c] or 0) * 1.1) + 1 for c in columns}
