@@ -368,7 +368,7 @@ def _ranked_quantiles(
     )
     ends = picks.groupBy(*by).agg(
         *[
-            F.max(F.when((F.col("_slot") == s) & (F.col("_r.p") == i) & (F.col("_r.end") == e), F.col("_v"))).alias(
+            F.max(F.when((F.col("_slot") == s) & (F.col("__r.p") == i) & (F.col("__r.end") == e), F.col("_v"))).alias(
                 f"_{s}_{i}_{e}"
             )
             for s in range(len(outs))
