@@ -285,11 +285,12 @@ def quantiles(
         rows = df.count() if rows is None else rows
         if rows <= limit(df.sparkSession, "groupRows"):
             return narrow.agg(*plain, *exact)
-        one = written(narrow.withColumn("_all", F.lit(1)), "values")
-        large = _ranked_quantiles(one, ["_all"], inputs, probs, rows)
-        return one.groupBy("_all").agg(*plain, F.max("_all")).select("_all", *[a.out for a in aggregates]).join(
-            large, "_all", "left"
-        ).drop("_all")
+        one = narrow.withColumn("_all", F.lit(1))
+        if not plain:
+            return _counted_quantiles(one, ["_all"], inputs, probs).drop("_all")
+        one = written(one, "values")
+        found = _counted_quantiles(one, ["_all"], inputs, probs)
+        return one.groupBy("_all").agg(*plain).join(found, "_all", "left").drop("_all")
     heavy = find_heavy(narrow, by, rows)
     if heavy.keys is None:
         return narrow.groupBy(*by).agg(*plain, *exact)
@@ -299,21 +300,37 @@ def quantiles(
     part = heavy.only(narrow)
     # Both sides hold one row per heavy group.
     groups = part.groupBy(*by).agg(*plain) if plain else heavy.keys
-    return light.unionByName(groups.join(_ranked_quantiles(part, by, inputs, probs, heavy.rows), by, "left"))
+    return light.unionByName(groups.join(_counted_quantiles(part, by, inputs, probs), by, "left"))
 
 
-def _ranked_quantiles(
-    df: DataFrame, by: list[str], values: dict[str, Column], probs: list[float], rows: int
+def _counted_quantiles(
+    df: DataFrame, by: list[str], values: dict[str, Column], probs: list[float]
 ) -> DataFrame:
-    """Quantiles of heavy groups by rank search over sorted blocks."""
-    outs = list(values)
+    """Quantiles of heavy groups from the counts of their distinct values."""
     long = df.select(
         *by,
         F.posexplode(F.array(*[v.cast("double") for v in values.values()])).alias("_slot", "_v"),
     ).where(F.col("_v").isNotNull())
     key = [*by, "_slot"]
-    counted = long.groupBy(*key, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    cut = blocked(counted, [*key, "_v"], rows * len(outs))
+    counted = written(long.groupBy(*key, "_v").agg(F.count(F.lit(1)).alias("_c")), "counts")
+    total, largest = group_sizes(counted, key)
+    if largest <= limit(df.sparkSession, "groupRows"):
+        # Many rows but few distinct values: they fit one state per group.
+        return counted.groupBy(*by).agg(
+            *[
+                F.percentile(F.when(F.col("_slot") == s, F.col("_v")), F.lit(probs), F.col("_c")).alias(out)
+                for s, out in enumerate(values)
+            ]
+        )
+    return _ranked_quantiles(counted, by, list(values), probs, total)
+
+
+def _ranked_quantiles(
+    counted: DataFrame, by: list[str], outs: list[str], probs: list[float], rows: int
+) -> DataFrame:
+    """Quantiles by rank search: only blocks that hold a wanted rank are read."""
+    key = [*by, "_slot"]
+    cut = blocked(counted, [*key, "_v"], rows)
 
     group = W.partitionBy(*key)
     before = group.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)

@@ -209,10 +209,10 @@ def answer_lags(log: DataFrame, n: int = 5, layout: Layout | None = None) -> Dat
     )
 
 
-def tag_occurrence(log: DataFrame) -> DataFrame:
-    """How often the learner has met the tag, this row included; each split on its own."""
+def tag_occurrence(log: DataFrame, frame: str = "split", rows: int | None = None) -> DataFrame:
+    """How often the learner has met the tag, this row included; each ``frame`` on its own."""
     return ordered_features(
-        log, ["split", "userID", "KnowledgeTag"], USER_ORD, [RunCount("tagCount")]
+        log, [frame, "userID", "KnowledgeTag"], USER_ORD, [RunCount("tagCount")], rows=rows
     )
 
 

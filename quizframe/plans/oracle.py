@@ -275,9 +275,9 @@ PARTS["counted"] = """
   SELECT *, count(*) OVER (PARTITION BY assessmentItemID) AS vi, count(*) OVER (PARTITION BY testId) AS vt FROM clean"""
 PARTS["scaled"] = """
   SELECT * EXCLUDE (consumedTime),
-         (consumedTime - (SELECT avg(consumedTime) FROM counted)) / (SELECT stddev_pop(consumedTime) FROM counted) AS consumedTime,
-         (vi - (SELECT avg(vi) FROM counted)) / (SELECT stddev_pop(vi) FROM counted) AS value_counts_assessmentItemID,
-         (vt - (SELECT avg(vt) FROM counted)) / (SELECT stddev_pop(vt) FROM counted) AS value_counts_testId
+         (consumedTime - (SELECT avg(consumedTime) FROM counted)) / (SELECT coalesce(nullif(stddev_pop(consumedTime), 0), 1) FROM counted) AS consumedTime,
+         (vi - (SELECT avg(vi) FROM counted)) / (SELECT coalesce(nullif(stddev_pop(vi), 0), 1) FROM counted) AS value_counts_assessmentItemID,
+         (vt - (SELECT avg(vt) FROM counted)) / (SELECT coalesce(nullif(stddev_pop(vt), 0), 1) FROM counted) AS value_counts_testId
   FROM counted"""
 
 # ---- dictionaries ------------------------------------------------------------------------
@@ -485,6 +485,11 @@ FINALS: dict[str, str] = {
       LEFT JOIN (SELECT KnowledgeTag, avg(answerCode) AS mg FROM tr GROUP BY 1) USING (KnowledgeTag)
       WHERE a.split = 1""",
     "outlier_replace": "SELECT row_id, consumedTime FROM clean",
+    "outlier_replace_elapsed": """SELECT row_id,
+        CASE WHEN elapsed_us > q3 + 1.5 * (q3 - q1) THEN q2 ELSE CAST(elapsed_us AS DOUBLE) END AS elapsed_us
+      FROM el JOIN (SELECT assessmentItemID, quantile_cont(CAST(elapsed_us AS DOUBLE), 0.25) AS q1,
+        quantile_cont(CAST(elapsed_us AS DOUBLE), 0.5) AS q2, quantile_cont(CAST(elapsed_us AS DOUBLE), 0.75) AS q3
+        FROM el GROUP BY 1) USING (assessmentItemID)""",
     "scaler_fit": " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std FROM seqr"
         for c in ("consumedTime", "answerCode", "beforeCorrect")

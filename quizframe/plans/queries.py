@@ -205,8 +205,8 @@ def dict_sizes(spark, sf_dir):
 
 @query("field_dims")
 def field_dims(spark, sf_dir):
-    train, _ = tables.context_raw(event_log(spark, sf_dir))
-    return grains.field_dims(train, tables.CONTEXT_FIELDS)
+    rows = tables.context_raw(event_log(spark, sf_dir))
+    return grains.field_dims(rows.where("part = 'train'"), tables.CONTEXT_FIELDS)
 
 
 @query("freq_encoding")
@@ -446,6 +446,12 @@ def outlier_replace(spark, sf_dir):
     return encode.replace_outliers(rows, "assessmentItemID", "consumedTime").select("row_id", "consumedTime")
 
 
+@query("outlier_replace_elapsed")
+def outlier_replace_elapsed(spark, sf_dir):
+    rows = timed(event_log(spark, sf_dir))
+    return encode.replace_outliers(rows, "assessmentItemID", "elapsed_us").select("row_id", "elapsed_us")
+
+
 _SCALED = ["consumedTime", "answerCode", "beforeCorrect"]
 
 
@@ -563,7 +569,7 @@ def features_test(spark, sf_dir):
 @query("context_table")
 def context_table(spark, sf_dir):
     rows, _ = tables.context_table(event_log(spark, sf_dir))
-    return rows.drop("user", "Timestamp", "split")
+    return rows
 
 
 @query("sequence_table")

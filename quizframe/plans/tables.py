@@ -159,13 +159,25 @@ CONTEXT_FIELDS = [
 ]
 
 
-def context_raw(log: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Seven context fields before indexing: deduplicated scored rows, rows to predict."""
-    # The scored rows of both splits form one train frame, so tags are counted
-    # per learner inside it; rows to predict are counted on their own.
-    train = tag_occurrence(with_context_codes(context_rows(log)))
-    test = tag_occurrence(with_context_codes(unscored(log)))
-    return train, test
+def context_raw(log: DataFrame) -> DataFrame:
+    """Seven context fields before indexing.
+
+    ``part`` train: scored rows, the latest per learner and item. ``part``
+    test: rows to predict. Tags are counted in each part on its own.
+    """
+    rows = (
+        context_rows(log)
+        .withColumn("part", F.lit("train"))
+        .unionByName(unscored(log).withColumn("part", F.lit("test")))
+    )
+    # Deduplicated once, read by the tag counts, the dictionary and the table.
+    rows = written(
+        with_context_codes(rows).select(
+            *FRAME_ORD, "part", "answerCode", *[c for c in CONTEXT_FIELDS if c not in ("userID", "tagCount")]
+        ),
+        "context-rows",
+    )
+    return tag_occurrence(rows, "part", rows.count())
 
 
 def fit_context_dictionary(log: DataFrame, train: DataFrame) -> DataFrame:
@@ -179,19 +191,14 @@ def fit_context_dictionary(log: DataFrame, train: DataFrame) -> DataFrame:
 def context_table(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Indexed context rows with ``part`` train or test, and their dictionary.
 
-    Train and test rows are coded by the same dictionary; a value unseen in
-    training is NULL.
+    Both parts are coded by the same dictionary; a value unseen in training is
+    NULL.
     """
-    train, test = context_raw(log)
+    rows = context_raw(log)
+    train = rows.where(F.col("part") == "train")
     dictionary = written(fit_context_dictionary(log, train), "context-dictionary")
-    rows = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
-    # Order columns stay available next to the coded ones.
-    rows = rows.withColumn("user", F.col("userID"))
     coded = apply_dictionary(rows, dictionary, CONTEXT_FIELDS)
-    return (
-        coded.select("row_id", "part", "user", "Timestamp", "split", *CONTEXT_FIELDS, "answerCode"),
-        dictionary,
-    )
+    return coded.select("row_id", "part", *CONTEXT_FIELDS, "answerCode"), dictionary
 
 
 # ---- sequence model --------------------------------------------------------------
