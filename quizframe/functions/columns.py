@@ -39,11 +39,20 @@ def time_divide(ts: Column) -> Column:
 
 def to_epoch(ts: Column) -> Column:
     """Whole seconds since 1970, read as UTC."""
-    return F.timestamp_diff("SECOND", F.expr(_EPOCH), ts)
+    return F.floor(micros_between(F.expr(_EPOCH), ts) / 1_000_000)
 
 
 def micros_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end)
+    """Exact microseconds from one zone-free time to another.
+
+    The difference of two TIMESTAMP_NTZ is an interval that knows no session
+    time zone, so no summer-time hour can slip in.
+    """
+    gap = end - start
+    parts = {"DAY": 86_400_000_000, "HOUR": 3_600_000_000, "MINUTE": 60_000_000}
+    whole = [F.extract(F.lit(p), gap).cast("bigint") * size for p, size in parts.items()]
+    below_minute = (F.extract(F.lit("SECOND"), gap) * 1_000_000).cast("bigint")
+    return whole[0] + whole[1] + whole[2] + below_minute
 
 
 def seconds(micros: Column) -> Column:

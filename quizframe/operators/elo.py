@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quizframe.functions.columns import lr_beta, lr_theta, sigmoid
+from quizframe.operators.heavy import group_sizes
 from quizframe.operators.joins import lookup_join
 from quizframe.operators.ordered import USER_ORD, RunCount, ordered_features
 from quizframe.runtime import written
@@ -71,7 +72,6 @@ def elo_fit(
     rounds: int = 8,
     formula: str = "as_written",
     scored_only: bool = False,
-    log_rows: int | None = None,
 ) -> DataFrame:
     """Ratings ``(key, kind, id, value)`` for every column in ``keys``.
 
@@ -80,12 +80,11 @@ def elo_fit(
     """
     spark = log.sparkSession
     rows = (scored(log) if scored_only else log).select(*USER_ORD, "userID", "answerCode", *keys)
-    n = rows.count() if log_rows is None else log_rows
+    n, most = group_sizes(rows, ["userID"])
     rows = ordered_features(rows, ["userID"], USER_ORD, [RunCount("n_user", current=False)], rows=n)
     for k in keys:
         rows = ordered_features(rows, [k], USER_ORD, [RunCount(f"n_{k}", current=False)], rows=n)
-    most = rows.agg(F.max("n_user").alias("m")).first()["m"]
-    batch = F.floor(F.col("n_user") * rounds / F.lit((most or 0) + 1)).cast("int")
+    batch = F.floor(F.col("n_user") * rounds / F.lit(max(most, 1))).cast("int")
     rows = rows.withColumn("batch", batch).drop(*USER_ORD)
     # One folder per batch: a round reads its own rows only.
     rows = written(rows, "elo-rows", ("batch",))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quizframe.operators.heavy import find_heavy
-from quizframe.runtime import limit
+from quizframe.runtime import limit, written
 
 
 def lookup_join(
@@ -14,12 +14,14 @@ def lookup_join(
 ) -> DataFrame:
     """Left join ``target`` with ``lookup`` (unique on ``on``).
 
-    A lookup of checked size is broadcast and the log stays where it is. A
-    larger one is joined by shuffle, except for the heavy keys of ``target``:
+    A lookup of checked size is broadcast and the log stays where it is; one of
+    unknown size is written first, so that its rows are computed once. A larger
+    one is joined by shuffle, except for the heavy keys of ``target``:
     their few lookup rows are broadcast so that no task receives a whole heavy
     key.
     """
     if lookup_rows is None:
+        lookup = written(lookup, "lookup")
         lookup_rows = lookup.count()
     if lookup_rows <= limit(target.sparkSession, "broadcastRows"):
         return target.join(F.broadcast(lookup), on, "left")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quizframe.functions.columns import to_class
 from quizframe.operators.ordered import RunSum, ordered_features
+from quizframe.runtime import written
 
 
 def accuracy(label: Column, p: Column, threshold: float = 0.5) -> Column:
@@ -43,10 +44,14 @@ def auc(df: DataFrame, label: str, p: str) -> DataFrame:
     Rows shrink to one per distinct score first; the running count of negatives
     then works over any number of distinct scores.
     """
-    by_score = df.groupBy(F.col(p).alias("_p")).agg(
-        F.sum(label).alias("_pos"), F.sum(1 - F.col(label)).alias("_neg")
+    by_score = written(
+        df.groupBy(F.col(p).alias("_p")).agg(
+            F.sum(label).alias("_pos"), F.sum(1 - F.col(label)).alias("_neg")
+        ),
+        "scores",
     )
-    ranked = ordered_features(by_score, [], ["_p"], [RunSum("_below", F.col("_neg"), current=False)])
+    below = RunSum("_below", F.col("_neg"), current=False)
+    ranked = ordered_features(by_score, [], ["_p"], [below], rows=by_score.count())
     pos, neg = F.col("_pos").cast("double"), F.col("_neg").cast("double")
     return ranked.agg(
         F.try_divide(

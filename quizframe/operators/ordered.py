@@ -24,6 +24,9 @@ from quizframe.runtime import limit, written
 USER_ORD = ["Timestamp", "row_id"]
 FRAME_ORD = ["split", "userID", "Timestamp", "row_id"]
 
+# Reducers one range shuffle should have at most; above it blocks grow instead.
+MAX_BLOCKS = 50_000
+
 
 @dataclass(frozen=True)
 class Lag:
@@ -62,7 +65,7 @@ def blocked(df: DataFrame, order: list[str], rows: int, column: str = "_block")
     cuts come from a sample, so the numbered rows are written once: every later
     use then sees the same blocks.
     """
-    n = max(1, ceil(rows / limit(df.sparkSession, "blockRows")))
+    n = min(max(1, ceil(rows / limit(df.sparkSession, "blockRows"))), MAX_BLOCKS)
     cut = df.repartitionByRange(n, *order).withColumn(column, F.spark_partition_id())
     return written(cut, "blocks")
 
@@ -131,10 +134,12 @@ def ordered_features(
 
     ``order`` must be unique inside a group and ``by`` must not be NULL.
     ``layout`` is that of ``df`` for ``by`` or for a prefix of it, in the same
-    order; the block column then stays for the next features.
+    order; the block column then stays for the next features. Without one, the
+    groups of the first column are looked at: they are cheaper to count than
+    finer ones, and blocks of them serve the finer ones too.
     """
     if layout is None:
-        laid, layout = lay_out(df, by, order, rows)
+        laid, layout = lay_out(df, by[:1], order, rows)
         return ordered_features(laid, by, order, features, layout).select(
             *df.columns, *[f.out for f in features]
         )
@@ -145,7 +150,9 @@ def ordered_features(
 
 def index_keys(df: DataFrame, order: list[str], out: str = "idx", by: list[str] | None = None) -> DataFrame:
     """Dense 0-based index of unique rows in ``order`` (inside ``by``)."""
-    return ordered_features(df, by or [], order, [RunCount(out, current=False)])
+    # Read for its size and for the index, so computed once.
+    df = written(df, "keys")
+    return ordered_features(df, by or [], order, [RunCount(out, current=False)], rows=df.count())
 
 
 def _plain(df: DataFrame, by: list[str], order: list[str], features: list[Feature]) -> DataFrame:

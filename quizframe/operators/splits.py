@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quizframe.operators.joins import lookup_join, minus_rows
 from quizframe.operators.ordered import FRAME_ORD
 from quizframe.operators.windows import keep_last, tail_per_user
+from quizframe.runtime import written
 from quizframe.sources.answers import scored, unscored
 
 ITEM_KEY = ["userID", "assessmentItemID"]
@@ -35,7 +36,10 @@ def context_rows(log: DataFrame) -> DataFrame:
 
 
 def split_last3(log: DataFrame, n: int = 3) -> DataFrame:
-    """``part``: valid = last ``n`` rows per learner (latest per item), train = the rest."""
+    """``part``: valid = last ``n`` rows per learner (latest per item), train = the rest.
+
+    ``log`` is read twice; pass a written table if it is costly to compute.
+    """
     valid = keep_last(tail_per_user(log, n), ITEM_KEY, FRAME_ORD)
     return (
         minus_rows(log, valid, "row_id")
@@ -59,7 +63,7 @@ def split_random(df: DataFrame, key: str, ratio: float, seed: int = 42) -> DataF
 def matrix_parts(log: DataFrame) -> DataFrame:
     """``part`` for the learner-item matrix: train split deduplicated; of the
     scored, deduplicated test split the last row per learner is eval."""
-    deduped = keep_last(log, ["split", *ITEM_KEY], FRAME_ORD)
+    deduped = written(keep_last(log, ["split", *ITEM_KEY], FRAME_ORD), "deduped")
     test = scored(deduped.where(F.col("split") == 1))
     held = tail_per_user(test, 1)
     train = deduped.where(F.col("split") == 0)

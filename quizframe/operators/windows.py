@@ -83,7 +83,7 @@ def elapsed(log: DataFrame, q: float = 0.99, layout: Layout | None = None) -> Da
     every row below the threshold; no second window is needed.
     """
     return in_layout(
-        log, ["userID", "testId"], USER_ORD, layout, lambda df, made: _elapsed(df, q, made).drop("_gap")
+        log, ["userID"], USER_ORD, layout, lambda df, made: _elapsed(df, q, made).drop("_gap")
     )
 
 
@@ -101,13 +101,14 @@ def _elapsed(log: DataFrame, q: float, layout: Layout) -> DataFrame:
 
 def sessionize(log: DataFrame, q: float = 0.99, layout: Layout | None = None) -> DataFrame:
     """``elapsed`` plus the running session number of (learner, test)."""
-    key = ["userID", "testId"]
 
     def work(df: DataFrame, made: Layout) -> DataFrame:
         timed = _elapsed(df, q, made)
-        return ordered_features(timed, key, USER_ORD, [RunSum("session", F.col("_gap"))], made).drop("_gap")
+        return ordered_features(
+            timed, ["userID", "testId"], USER_ORD, [RunSum("session", F.col("_gap"))], made
+        ).drop("_gap")
 
-    return in_layout(log, key, USER_ORD, layout, work)
+    return in_layout(log, ["userID"], USER_ORD, layout, work)
 
 
 def user_running(
@@ -212,7 +213,7 @@ def answer_lags(log: DataFrame, n: int = 5, layout: Layout | None = None) -> Dat
 def tag_occurrence(log: DataFrame, frame: str = "split", rows: int | None = None) -> DataFrame:
     """How often the learner has met the tag, this row included; each ``frame`` on its own."""
     return ordered_features(
-        log, [frame, "userID", "KnowledgeTag"], USER_ORD, [RunCount("tagCount")], rows=rows
+        log, ["userID", frame, "KnowledgeTag"], USER_ORD, [RunCount("tagCount")], rows=rows
     )
 
 

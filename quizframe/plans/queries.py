@@ -16,6 +16,7 @@ from quizframe.functions.columns import (
     category_of,
     hour_of,
     iso_week_of,
+    micros_between,
     problem_num_of,
     rate,
     time_divide,
@@ -64,7 +65,7 @@ def timed(log: DataFrame) -> DataFrame:
 
 def micros(ts: str) -> Column:
     epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    return F.timestamp_diff("MICROSECOND", epoch, F.col(ts)).alias("ts_us")
+    return micros_between(epoch, F.col(ts)).alias("ts_us")
 
 
 def joined(column: str) -> Column:
@@ -368,7 +369,8 @@ def split_last(spark, sf_dir):
 
 @query("split_last3")
 def split_last3(spark, sf_dir):
-    return splits.split_last3(splits.context_rows(event_log(spark, sf_dir))).select("row_id", "part")
+    rows = written(splits.context_rows(event_log(spark, sf_dir)), "context-rows")
+    return splits.split_last3(rows).select("row_id", "part")
 
 
 @query("split_random")

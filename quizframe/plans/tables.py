@@ -109,7 +109,7 @@ def row_features(
     df = time_delta_user(df, layout).drop(layout.block or "_block")
     df = category_running(df, layout.rows)
     df = week_running(df, exclude_current, layout.rows)
-    params = elo_fit(log, list(ELO_FEATURES), rounds, formula, scored_only, layout.rows)
+    params = elo_fit(log, list(ELO_FEATURES), rounds, formula, scored_only)
     return with_elo(df, params, ELO_FEATURES)
 
 

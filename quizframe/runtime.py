@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _DEFAULTS = {
-    "quizframe.groupRows": 500_000,
+    "quizframe.groupRows": 1_000_000,
     "quizframe.blockRows": 1_000_000,
     "quizframe.broadcastRows": 500_000,
 }
