@@ -15,7 +15,7 @@ class Heavy:
     """Groups of ``on`` with more rows than one task should hold in order.
 
     ``keys`` is None when there are none; otherwise a written table of at most
-    200,000 keys (see ``heavy_threshold``), small enough to broadcast. ``rows``
+    a million keys (see ``heavy_threshold``), small enough to broadcast. ``rows``
     is the size of the whole frame, an upper bound for any group of any key.
     """
 
@@ -37,17 +37,19 @@ def group_sizes(df: DataFrame, on: list[str]) -> tuple[int, int]:
     return top["total"] or 0, top["largest"] or 0
 
 
-def find_heavy(df: DataFrame, on: list[str], rows: int | None = None) -> Heavy:
-    """The heavy groups of ``df``.
+def find_heavy(
+    df: DataFrame, on: list[str], rows: int | None = None, bound: str = "groupRows"
+) -> Heavy:
+    """The groups of ``df`` with more rows than the limit ``bound``.
 
     Nothing is counted when ``rows``, the known size of the frame, already fits
     one task.
     """
     spark = df.sparkSession
-    if rows is not None and rows <= limit(spark, "groupRows"):
+    if rows is not None and rows <= limit(spark, bound):
         return Heavy(tuple(on), None, rows)
     total, largest = group_sizes(df, on)
-    threshold = heavy_threshold(spark, total)
+    threshold = heavy_threshold(spark, total, bound)
     if largest <= threshold:
         return Heavy(tuple(on), None, total)
     keys = df.groupBy(*on).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > threshold)

@@ -298,7 +298,8 @@ def quantiles(
         one = written(one, "values")
         found = _counted_quantiles(one, ["_all"], inputs, probs)
         return one.groupBy("_all").agg(*plain).join(found, "_all", "left").drop("_all")
-    heavy = find_heavy(narrow, by, rows)
+    # A task may hold the states of many groups at a time, hence the lower limit.
+    heavy = find_heavy(narrow, by, rows, "stateRows")
     if heavy.keys is None:
         return narrow.groupBy(*by).agg(*plain, *exact)
     # Read three times from here on, so computed once.
@@ -321,7 +322,7 @@ def _counted_quantiles(
     key = [*by, "_slot"]
     counted = written(long.groupBy(*key, "_v").agg(F.count(F.lit(1)).alias("_c")), "counts")
     total, largest = group_sizes(counted, key)
-    if largest <= limit(df.sparkSession, "groupRows"):
+    if largest <= limit(df.sparkSession, "stateRows"):
         # Many rows but few distinct values: they fit one state per group.
         return counted.groupBy(*by).agg(
             *[

@@ -1,9 +1,10 @@
 """Session helpers: size limits, the shared scratch folder, size checks.
 
-Three limits steer the physical strategy and never the result. They are
+Four limits steer the physical strategy and never the result. They are
 session settings, so a cluster (or a test) can change them:
 
 * ``quizframe.groupRows``     most rows of one ordered group for one task
+* ``quizframe.stateRows``     most values of one in-memory quantile state
 * ``quizframe.blockRows``     rows per block once a group is split
 * ``quizframe.broadcastRows`` most rows of a lookup that is broadcast
 """
@@ -17,12 +18,13 @@ from pyspark.sql import functions as F
 
 _DEFAULTS = {
     "quizframe.groupRows": 1_000_000,
+    "quizframe.stateRows": 100_000,
     "quizframe.blockRows": 1_000_000,
     "quizframe.broadcastRows": 500_000,
 }
 # A list of heavy groups is broadcast, so its length is bounded: a group counts
 # as heavy only from total/_MAX_HEAVY rows on.
-_MAX_HEAVY = 200_000
+_MAX_HEAVY = 1_000_000
 
 
 def limit(spark: SparkSession, name: str) -> int:
@@ -30,8 +32,8 @@ def limit(spark: SparkSession, name: str) -> int:
     return int(spark.conf.get(key, str(_DEFAULTS[key])))
 
 
-def heavy_threshold(spark: SparkSession, total: int) -> int:
-    return max(limit(spark, "groupRows"), total // _MAX_HEAVY)
+def heavy_threshold(spark: SparkSession, total: int, name: str = "groupRows") -> int:
+    return max(limit(spark, name), total // _MAX_HEAVY)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -44,7 +44,7 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def tiny_limits(spark):
     """Every group is too large for a task, every lookup too large to broadcast."""
-    settings = {"groupRows": 3, "blockRows": 4, "broadcastRows": 1}
+    settings = {"groupRows": 3, "stateRows": 3, "blockRows": 4, "broadcastRows": 1}
     for name, value in settings.items():
         spark.conf.set(f"quizframe.{name}", str(value))
     yield
