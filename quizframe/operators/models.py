@@ -20,7 +20,7 @@ def fit_boosting(
     features: list[str],
     label: str = "answerCode",
     max_iter: int = 100,
-    learning_rate: float = 0.1,
+    learning_rate: float = 0.001,
     max_depth: int = 6,
     seed: int = 42,
 ) -> PipelineModel:

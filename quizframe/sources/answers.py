@@ -55,7 +55,8 @@ def read_answers(spark: SparkSession, path: str, split: int = 0, parse_ts: bool
         "*",
         F.lit(split).alias("split"),
         F.format_string(
-            "%s|%020d|%012d",
+            "%d|%s|%020d|%012d",
+            F.lit(split),
             F.col("_metadata.file_name"),
             F.col("_metadata.file_block_start"),
             position,
