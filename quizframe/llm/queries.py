@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quizframe.llm.bpe import digests, tokenizer_path
+from quizframe.llm.decontaminate import contaminated
 from quizframe.llm.near_dups import near_duplicates
 
 
@@ -11,10 +13,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_near_duplicates,)}
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(_table(spark, sf_dir, "documents"), tokenizer_path(spark))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination,
+        op8_near_duplicates,
+        op10_bpe,
+    )
+}
 
 ORACLE: dict[str, str] = {}
