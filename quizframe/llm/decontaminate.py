@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quizframe.llm.bits import bit_table, in_table
 from quizframe.llm.texts import (
-    U,
     distinct_per_text,
     long_lists,
     mix,
@@ -99,27 +99,6 @@ def indexed(items: DataFrame, key: str, text: str, percent: int) -> DataFrame:
     return items.mapInArrow(run, schema)
 
 
-def bit_table(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
-    """Packed table of 2^bits bits with the bits of all hashes set; its size does not depend on the rows."""
-    place = F.shiftrightunsigned(column, 64 - bits)
-    words = (
-        hashes.select(F.shiftright(place, 6).alias("word"), F.expr("1L").alias("one"), place.alias("place"))
-        .select("word", F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .collect()
-    )
-    table = np.zeros(1 << (bits - 6), np.int64)
-    for row in words:
-        table[row["word"]] = row["bits"]
-    return table.view(np.uint8)
-
-
-def in_table(table: np.ndarray, bits: int, hashes: np.ndarray) -> np.ndarray:
-    place = hashes >> U(64 - bits)
-    return (table[place >> U(3)] >> (place & U(7)).astype(np.uint8)) & 1 == 1
-
-
 def probed(docs: DataFrame, key: str, text: str, sketch_table: np.ndarray, full_table: np.ndarray, bits: int) -> DataFrame:
     """``(key, row, hits, shared)`` of the documents with at least one hit in the sketch table."""
     docs = docs.filter(F.col(key).isNotNull()).select(key, F.col(text).alias("body"), F.xxhash64(key, text).alias("row"))

@@ -13,16 +13,18 @@ Method
    similarity and with the concentration of independent minhashes.
 3. **Banding.** 32 bands of 4 coordinates: a pair of similarity 0.75 misses all
    bands with a probability of (1 - 0.75^4)^32 = 5e-6, and less above.
-4. **Candidates without pairs of a whole bucket.** Every class of a bucket is
-   compared with the bucket's smallest class only. Verified links give components.
-   A bucket whose classes are then all in one component needs nothing more. In the
-   others, the remaining classes of different components are compared with each
-   other: small buckets by a join, larger ones in square blocks of ``BLOCK`` by
-   ``BLOCK`` classes, each block one task's work with bounded memory.
-   No bucket is capped or skipped.
-5. **Exact verification.** Candidates whose sketches agree in fewer than half of
-   the coordinates go (a pair of similarity 0.75 does with a probability under
-   1e-10); the others are confirmed on their full shingle sets.
+4. **Candidates without the pairs of a bucket.** Every class of a bucket is compared
+   with the bucket's smallest class only. Verified links give components. A bucket
+   whose classes are then all in one component needs nothing more. In the others,
+   classes outside the bucket's largest component meet all classes of other
+   components: in blocks of about ``BLOCK`` by ``BLOCK`` classes with their sets, each
+   block one task's work with bounded memory, which emits only verified links. A pair
+   is looked at in the first band it shares. No bucket is capped or skipped.
+5. **Exact verification.** Pairs whose sketches agree in fewer than ``ALIKE`` of the
+   128 coordinates go (a pair of similarity 0.75 does with a probability of 4e-7); the
+   others are confirmed on their full shingle sets. Sets are computed again for
+   candidates only, from a scan that a bit table of their ids filters; neither texts
+   nor the sets of all documents are shuffled.
 
 Results are defined for NULL and empty texts (empty set, linked with nothing), for
 repeated texts (one class), for repeated rows (each row gets the same component)
@@ -39,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quizframe.llm.bits import bit_table, bits_for, in_table
 from quizframe.llm.components import components
 from quizframe.llm.texts import U, long_lists, mix, packed, seeds, shingle_sets, text_slices
 from quizframe.runtime import written
@@ -46,9 +49,10 @@ from quizframe.runtime import written
 BINS = 128
 BAND_ROWS = 4
 BANDS = BINS // BAND_ROWS
-#: Most classes of an unresolved bucket that one join compares; larger buckets go in blocks.
-PAIR_JOIN = 64
+#: Classes of an unresolved bucket in either side of a block, on average.
 BLOCK = 256
+#: Coordinates of alike sketches.
+ALIKE = 71
 
 _ROUND = seeds(2 * BINS, 3000)
 _BAND = seeds(BANDS, 4000)
@@ -120,24 +124,41 @@ def sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-def shingled(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, shingles)``: the sorted distinct shingle hashes as one binary value."""
+def shingled(docs: DataFrame, key: str, text: str, ids: DataFrame) -> DataFrame:
+    """``(rep, shingles)``: the set of every document of ``ids``, as one binary value; a few others come along."""
+    named = F.xxhash64(key)
+    ids = written(ids.select(named.alias("id")).distinct(), "ids")
+    bits = bits_for(ids.count())
+    table = docs.sparkSession.sparkContext.broadcast(bit_table(ids, "id", bits))
     schema = T.StructType(
-        [T.StructField(key, docs.schema[key].dataType), T.StructField("shingles", T.BinaryType())]
+        [T.StructField("rep", docs.schema[key].dataType), T.StructField("shingles", T.BinaryType())]
     )
 
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch, text):
+            wanted = batch.filter(pa.array(in_table(table.value, bits, batch.column("id").to_numpy().view(U))))
+            for part in text_slices(wanted, text):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(key), packed(*shingle_sets(part.column(text)))], names=schema.names
                 )
 
-    return docs.select(key, text).mapInArrow(run, schema)
+    wanted = docs.filter(F.col(key).isNotNull()).select(key, text, named.alias("id"))
+    return written(wanted.mapInArrow(run, schema), "shingles")
+
+
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    both = np.concatenate((x, y))
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    shared = _shared(x, y)
+    return 100 * shared >= percent * (len(x) + len(y) - shared)
 
 
 def _alike(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` whose sketches agree in half of the coordinates or more."""
+    """Pairs ``(a, b)`` with alike sketches."""
     left = sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa"))
     right = sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
 
@@ -147,67 +168,111 @@ def _alike(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
                 np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS)
                 for c in ("sa", "sb")
             )
-            same = (sa == sb).sum(axis=1) * 2 >= BINS
-            yield batch.select(["a", "b"]).filter(pa.array(same))
+            yield batch.select(["a", "b"]).filter(pa.array((sa == sb).sum(axis=1) >= ALIKE))
 
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb").mapInArrow(
-        run, pairs.select("a", "b").schema
-    )
+    joined = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a")
+    return joined.select("a", "b", "sa", "sb").mapInArrow(run, pairs.select("a", "b").schema)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` with 100 * |intersection| >= percent * |union| of their full sets."""
-    ids = pairs.select(F.col("a").alias(key)).union(pairs.select("b")).distinct()
-    sets = written(shingled(docs.join(ids, key, "left_semi"), key, text), "shingles")
-    left = sets.select(F.col(key).alias("a"), F.col("shingles").alias("xa"))
-    right = sets.select(F.col(key).alias("b"), F.col("shingles").alias("xb"))
+    sets = shingled(docs, key, text, pairs.select(F.col("a").alias(key)).union(pairs.select("b")))
+    left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("xa"))
+    right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("xb"))
 
     def run(batches):
         for batch in batches:
-            linked = []
             xa, xb = batch.column("xa"), batch.column("xb")
-            for i in range(batch.num_rows):
-                x, y = (np.frombuffer(v[i].as_buffer(), U) for v in (xa, xb))
-                both = np.concatenate((x, y))
-                both.sort(kind="stable")
-                shared = int((both[1:] == both[:-1]).sum())
-                linked.append(100 * shared >= percent * (len(both) - shared))
+            linked = [
+                _linked(*(np.frombuffer(v[i].as_buffer(), U) for v in (xa, xb)), percent)
+                for i in range(batch.num_rows)
+            ]
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "xa", "xb").mapInArrow(
-        run, pairs.select("a", "b").schema
-    )
+    joined = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a")
+    return joined.select("a", "b", "xa", "xb").mapInArrow(run, pairs.select("a", "b").schema)
 
 
-def _block_pairs(members: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Alike pairs of different components within large buckets, square block by square block."""
-    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "key").withColumn("i", F.expr("cast(pmod(xxhash64(rep), blocks) as int)"))
-    dealt = dealt.join(sigs.select("rep", "sig"), "rep")
-    # Block i meets every block j: as rows of (i, j) if i <= j, as columns of (j, i) if i >= j.
-    sent = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "rep", "comp", "sig"
+def _rest_links(members: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, percent: int, block: int):
+    """Links between components that ``members`` (key, band, rep, comp), the leads left out, still hide."""
+    counted = members.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    open_ = (
+        counted.groupBy("key")
+        .agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("n"), F.count("*").alias("comps"))
+        .filter("comps > 1")
+        .select(
+            "key",
+            F.col("top.comp").alias("top"),
+            F.ceil((F.col("n") - F.col("top.c")) / block).cast("int").alias("few"),
+            F.ceil(F.col("n") / block).cast("int").alias("all"),
+        )
     )
-
-    def run(frame):
-        frame = frame.sort_values("rep")
-        sig = np.frombuffer(b"".join(frame["sig"]), np.uint8).reshape(-1, BINS)
-        rep, comp, block = (frame[c].to_numpy() for c in ("rep", "comp", "i"))
-        lo, hi = int(frame["lo"].iloc[0]), int(frame["hi"].iloc[0])
-        rows, columns = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+    rest = written(members.join(open_.hint("merge"), "key"), "unresolved")
+    sets = shingled(docs, key, text, rest.select(F.col("rep").alias(key)))
+    full = (
+        rest.join(classes.select("rep", "sig", "bands").hint("merge"), "rep")
+        .join(sets.hint("merge"), "rep")
+        .withColumn("minor", F.expr("comp != top"))
+    )
+    # A minor class goes to its block of minor classes and meets every block of all; both deal by hash.
+    sides = F.array(
+        F.struct(
+            F.lit(True).alias("asks"),
+            F.expr("cast(pmod(xxhash64(rep), few) as int)").alias("i"),
+            F.expr("sequence(0, all - 1)").alias("other"),
+        ),
+        F.struct(
+            F.lit(False).alias("asks"),
+            F.expr("cast(pmod(xxhash64(rep), all) as int)").alias("i"),
+            F.expr("sequence(0, few - 1)").alias("other"),
+        ),
+    )
+    sent = (
+        full.withColumn("side", F.explode(sides))
+        .filter("minor or not side.asks")
+        .withColumn("j", F.explode("side.other"))
+        .select(
+            "key",
+            F.expr("if(side.asks, side.i, j)").alias("i"),
+            F.expr("if(side.asks, j, side.i)").alias("j"),
+            F.col("side.asks").alias("asks"),
+            "band",
+            "rep",
+            "comp",
+            "minor",
+            "sig",
+            "bands",
+            "shingles",
+        )
+    )
+    kind = members.schema["rep"].dataType
+
+    def links(table: pa.Table) -> tuple[list, list]:
+        rep = table["rep"].to_numpy()
+        comp, asks, minor = (table[c].to_numpy() for c in ("comp", "asks", "minor"))
+        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(-1, BINS)
+        bands = np.stack(table["bands"].to_pylist())
+        sets = [np.frombuffer(x.as_buffer(), U) for x in table["shingles"]]
+        band = table["band"][0].as_py()
         a, b = [], []
-        for r in rows:
-            other = columns[comp[columns] != comp[r]]
-            if lo == hi:
-                other = other[other > r]
-            other = other[(sig[other] == sig[r]).sum(axis=1) * 2 >= BINS]
-            a.append(np.minimum(rep[r], rep[other]))
-            b.append(np.maximum(rep[r], rep[other]))
-        empty = np.empty(0, np.int64)
-        return type(frame)({"a": np.concatenate(a or [empty]), "b": np.concatenate(b or [empty])})
-
-    kind = members.schema["rep"].dataType.simpleString()
-    return sent.groupBy("key", "lo", "hi").applyInPandas(run, f"a {kind}, b {kind}").distinct()
+        columns = np.flatnonzero(~asks)
+        for r in np.flatnonzero(asks):
+            y = columns[(comp[columns] != comp[r]) & (~minor[columns] | (rep[columns] > rep[r]))]
+            y = y[(sig[y] == sig[r]).sum(axis=1) >= ALIKE]
+            y = y[(bands[y, :band] != bands[r, :band]).all(axis=1)]
+            for c in y:
+                if _linked(sets[r], sets[c], percent):
+                    a.append(min(rep[r], rep[c]))
+                    b.append(max(rep[r], rep[c]))
+        return a, b
+
+    def run(table: pa.Table) -> pa.Table:
+        a, b = links(table)
+        of = table.schema.field("rep").type
+        return pa.table({"a": pa.array(a, of), "b": pa.array(b, of)})
+
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+    return written(sent.groupBy("key", "i", "j").applyInArrow(run, schema).distinct(), "links")
 
 
 def near_duplicates(
@@ -215,7 +280,7 @@ def near_duplicates(
     key: str = "doc_id",
     text: str = "text",
     percent: int = 75,
-    pair_join: int = PAIR_JOIN,
+    block: int = BLOCK,
 ) -> DataFrame:
     """``(key, n_shingles, component_id, kept)``, one row for every row of ``docs``.
 
@@ -230,57 +295,39 @@ def near_duplicates(
         .agg(F.min(key).alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")),
         "classes",
     )
-    sigs = classes.select("rep", "sig")
-    keys = classes.select("rep", F.explode("bands").alias("key"))
-    leads = keys.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).filter("n > 1")
-    members = written(keys.join(leads.select("key", "lead", "n"), "key"), "members")
+    keys = classes.select("rep", F.posexplode("bands").alias("band", "key"))
+    leads = keys.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    members = written(keys.join(leads.hint("merge"), "key").filter("rep != lead"), "members")
 
-    stars = members.filter("rep != lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
-    alike = written(_alike(stars, sigs), "alike")
+    stars = members.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
+    alike = written(_alike(stars, classes.select("rep", "sig")), "alike")
     links = written(_confirmed(alike, docs, key, text, percent), "links")
-    found = components(links).withColumnRenamed("node", "rep").withColumnRenamed("component", "comp")
+    found = components(links).toDF("rep", "comp")
 
     # What the stars leave: buckets with classes of several components.
-    labelled = written(
-        members.join(found, "rep", "left").withColumn("comp", F.coalesce("comp", "rep")).drop("n"), "labelled"
+    labelled = members.join(found.hint("merge"), "rep", "left").select(
+        "key", "band", "rep", F.coalesce("comp", "rep").alias("comp")
     )
-    open_ = (
-        labelled.filter("rep != lead")
-        .groupBy("key")
-        .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"))
-        .filter("lo != hi")
-        .select("key", "n")
-    )
-    rest = written(labelled.filter("rep != lead").join(open_, "key").select("key", "rep", "comp", "n"), "unresolved")
-    if not rest.isEmpty():
-        small = rest.filter(F.col("n") <= pair_join).drop("n")
-        other = small.select("key", F.col("rep").alias("b"), F.col("comp").alias("comp_b"))
-        pairs = (
-            small.join(other, "key")
-            .filter("rep < b and comp != comp_b")
-            .select(F.col("rep").alias("a"), "b")
-            .distinct()
-        )
-        large = rest.filter(F.col("n") > pair_join).drop("n")
-        if not large.isEmpty():
-            pairs = _alike(pairs, sigs).unionByName(_block_pairs(large, sigs)).distinct()
-        else:
-            pairs = _alike(pairs, sigs)
-        more = written(_confirmed(written(pairs, "alike"), docs, key, text, percent), "links")
-        if not more.isEmpty():
-            found = components(links.unionByName(more)).toDF("rep", "comp")
+    more = _rest_links(written(labelled, "labelled"), classes, docs, key, text, percent, block)
+    if not more.isEmpty():
+        found = components(links.unionByName(more)).toDF("rep", "comp")
 
     named = (
         classes.select("c1", "c2", "rep")
-        .join(found, "rep", "left")
+        .join(found.hint("merge"), "rep", "left")
         .select("c1", "c2", F.coalesce("comp", "rep").alias("class_component"))
     )
     return (
         sketches.select(key, "n_shingles", "c1", "c2")
-        .join(named, ["c1", "c2"], "left")
+        .join(named.hint("merge"), ["c1", "c2"], "left")
         .withColumn(
             "component_id",
             F.when(F.col("n_shingles") > 0, F.col("class_component")).otherwise(F.col(key)),
         )
-        .select(key, "n_shingles", "component_id", F.coalesce(F.col(key) == F.col("component_id"), F.lit(False)).alias("kept"))
+        .select(
+            key,
+            "n_shingles",
+            "component_id",
+            F.coalesce(F.col(key) == F.col("component_id"), F.lit(False)).alias("kept"),
+        )
     )
