@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quizframe.llm.bpe import digests, tokenizer_path
 from quizframe.llm.decontaminate import contaminated
+from quizframe.llm.language import held_out_languages
 from quizframe.llm.near_dups import near_duplicates
+from quizframe.llm.pii import personal_digests
+from quizframe.llm.secrets import secret_digests
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,10 +20,22 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return held_out_languages(_table(spark, sf_dir, "documents"))
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_digests(_table(spark, sf_dir, "documents"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(_table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(_table(spark, sf_dir, "documents"), tokenizer_path(spark))
 
@@ -29,7 +44,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination,
+        op2_language,
+        op3_personal_data,
         op8_near_duplicates,
+        op9_secrets,
         op10_bpe,
     )
 }
