@@ -7,9 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from quizframe.llm.bpe import digests, tokenizer_path
 from quizframe.llm.decontaminate import contaminated
 from quizframe.llm.language import held_out_languages
+from quizframe.llm.line_dedup import SQL as LINE_DEDUP_SQL
+from quizframe.llm.line_dedup import dedup_lines
 from quizframe.llm.near_dups import near_duplicates
 from quizframe.llm.pii import personal_digests
+from quizframe.llm.quality import held_out_quality
 from quizframe.llm.secrets import secret_digests
+from quizframe.llm.topk import SQL as TOP_K_SQL
+from quizframe.llm.topk import top_k
+from quizframe.llm.urls import judged
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +34,23 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_digests(_table(spark, sf_dir, "documents"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(_table(spark, sf_dir, "pages"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return held_out_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -46,10 +69,14 @@ QUERIES = {
         op1_decontamination,
         op2_language,
         op3_personal_data,
+        op4_url_filter,
+        op5_quality,
+        op6_line_dedup,
+        op7_top_k,
         op8_near_duplicates,
         op9_secrets,
         op10_bpe,
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_line_dedup": LINE_DEDUP_SQL, "op7_top_k": TOP_K_SQL}
