@@ -55,7 +55,7 @@ def cuts(docs: DataFrame, key: str, text: str) -> DataFrame:
     marked = found.join(repeated.hint("merge"), ["a", "b"]).select(
         "id", "row", F.struct("a", "b", "pos", F.expr("id <=> first").alias("stays")).alias("w")
     )
-    grouped = marked.groupBy("id", "row").agg(F.sort_array(F.collect_list("w")).alias("w"))
+    grouped = marked.groupBy("id", "row").agg(F.sort_array(F.collect_set("w")).alias("w"))
     # In the first document, the first of each name stays.
     later = F.filter(
         "w",
