@@ -2,11 +2,14 @@
 
 The serial rating folds one answer after another: every answer depends on all
 earlier ones of its learner and of its question, so it cannot be spread over a
-cluster exactly. Here the answers are cut by attempt number into ``rounds``
-batches; a batch is rated with the parameters reached by the batches before
-it, and its changes are summed. The result equals the serial fold in
-(batch, row) order when a batch holds a learner and a question at most once;
-otherwise it is a mini-batch approximation of it.
+cluster exactly. Here an answer's batch follows from its learner's attempt
+number alone (0, 1, 2-3, 4-7, ...), so a million answers of one learner take
+twenty batches and move nobody else's. A batch is rated with the parameters
+reached by the batches before it. The steps of a parameter in one batch are
+summed and damped: serial steps would each start from where the one before
+ended, which shrinks their sum by the slope of the probability. A parameter
+with one answer in the batch moves as in the serial fold, so the result equals
+that fold where a batch holds each learner and question at most once.
 """
 
 from __future__ import annotations
@@ -35,6 +38,11 @@ def probability(theta: Column, beta: Column, formula: str, c: float = 0.0) -> Co
     raise ValueError(f"unknown formula: {formula}")
 
 
+def batch_of(attempt: Column) -> Column:
+    """0 for a learner's first answer, then one batch per power of two."""
+    return F.when(attempt == 0, 0).otherwise(F.length(F.bin(attempt)))
+
+
 def _rated(df: DataFrame, params: DataFrame, sizes: dict, keys: list[str]) -> DataFrame:
     """Add the current ``_theta_<key>`` and ``_beta_<key>`` (0 where unknown).
 
@@ -67,16 +75,12 @@ def _sizes(params: DataFrame) -> dict:
 
 
 def elo_fit(
-    log: DataFrame,
-    keys: list[str],
-    rounds: int = 8,
-    formula: str = "as_written",
-    scored_only: bool = False,
+    log: DataFrame, keys: list[str], formula: str = "logistic", scored_only: bool = True
 ) -> DataFrame:
     """Ratings ``(key, kind, id, value)`` for every column in ``keys``.
 
-    All keys share one pass per round. Rows to be predicted count as answers
-    unless ``scored_only``.
+    All keys share one pass per batch. ``scored_only`` leaves out the rows to
+    be predicted, which otherwise count as answers of value -1.
     """
     spark = log.sparkSession
     rows = (scored(log) if scored_only else log).select(*USER_ORD, "userID", "answerCode", *keys)
@@ -84,34 +88,36 @@ def elo_fit(
     rows = ordered_features(rows, ["userID"], USER_ORD, [RunCount("n_user", current=False)], rows=n)
     for k in keys:
         rows = ordered_features(rows, [k], USER_ORD, [RunCount(f"n_{k}", current=False)], rows=n)
-    batch = F.floor(F.col("n_user") * rounds / F.lit(max(most, 1))).cast("int")
-    rows = rows.withColumn("batch", batch).drop(*USER_ORD)
+    rows = rows.withColumn("batch", batch_of(F.col("n_user"))).drop(*USER_ORD)
     # One folder per batch: a round reads its own rows only.
     rows = written(rows, "elo-rows", ("batch",))
 
     params = spark.createDataFrame([], PARAMS_SCHEMA)
     sizes: dict = {}
-    for b in range(rounds):
+    for b in range(max(most - 1, 0).bit_length() + 1 if most else 0):
         part = _rated(rows.where(F.col("batch") == b), params, sizes, keys)
-        changes = []
+        steps = []
         for k in keys:
-            miss = F.col("answerCode") - probability(F.col(f"_theta_{k}"), F.col(f"_beta_{k}"), formula)
-            changes += [
-                F.struct(
-                    F.lit(k).alias("key"),
-                    F.lit("learner").alias("kind"),
-                    F.col("userID").cast("string").alias("id"),
-                    (lr_theta(F.col("n_user")) * miss).alias("value"),
-                ),
-                F.struct(
-                    F.lit(k).alias("key"),
-                    F.lit("item").alias("kind"),
-                    F.col(k).cast("string").alias("id"),
-                    (-lr_beta(F.col(f"n_{k}")) * miss).alias("value"),
-                ),
-            ]
-        moved = part.select(F.inline(F.array(*changes)))
+            theta, beta = F.col(f"_theta_{k}"), F.col(f"_beta_{k}")
+            miss = F.col("answerCode") - probability(theta, beta, formula)
+            slope = sigmoid(theta - beta) * (1 - sigmoid(theta - beta))
+            for kind, of, rate, sign in (
+                ("learner", "userID", lr_theta(F.col("n_user")), 1),
+                ("item", k, lr_beta(F.col(f"n_{k}")), -1),
+            ):
+                steps.append(
+                    F.struct(
+                        F.lit(k).alias("key"),
+                        F.lit(kind).alias("kind"),
+                        F.col(of).cast("string").alias("id"),
+                        (sign * rate * miss).alias("step"),
+                        (rate * slope).alias("pull"),
+                    )
+                )
         # Summed per task before the shuffle, so a heavy key moves few rows.
+        moved = part.select(F.inline(F.array(*steps))).groupBy("key", "kind", "id").agg(
+            (F.sum("step") / (1 + F.sum("pull") - F.max("pull"))).alias("value")
+        )
         params = written(
             params.unionByName(moved).groupBy("key", "kind", "id").agg(F.sum("value").alias("value")),
             "elo-params",
@@ -120,21 +126,22 @@ def elo_fit(
     return params
 
 
+def with_ratings(log: DataFrame, params: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``theta_<key>`` and ``beta_<key>`` for every rated key column."""
+    rated = _rated(log, params, _sizes(params), keys)
+    return rated.withColumnsRenamed({f"_{p}_{k}": f"{p}_{k}" for k in keys for p in ("theta", "beta")})
+
+
 def with_elo(log: DataFrame, params: DataFrame, outs: dict[str, str]) -> DataFrame:
     """Add ``sigmoid(theta - beta)`` per ``key column -> output name``."""
     keys = list(outs)
-    rated = _rated(log, params, _sizes(params), keys)
+    rated = with_ratings(log, params, keys)
     return rated.withColumns(
-        {out: sigmoid(F.col(f"_theta_{k}") - F.col(f"_beta_{k}")) for k, out in outs.items()}
-    ).drop(*[f"_{p}_{k}" for k in keys for p in ("theta", "beta")])
+        {out: sigmoid(F.col(f"theta_{k}") - F.col(f"beta_{k}")) for k, out in outs.items()}
+    ).drop(*[f"{p}_{k}" for k in keys for p in ("theta", "beta")])
 
 
 def elo(
-    log: DataFrame,
-    key: str,
-    out: str,
-    rounds: int = 8,
-    formula: str = "as_written",
-    scored_only: bool = False,
+    log: DataFrame, key: str, out: str, formula: str = "logistic", scored_only: bool = True
 ) -> DataFrame:
-    return with_elo(log, elo_fit(log, [key], rounds, formula, scored_only), {key: out})
+    return with_elo(log, elo_fit(log, [key], formula, scored_only), {key: out})

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quizframe.functions.columns import rate
 from quizframe.operators.joins import lookup_join
 from quizframe.operators.ordered import Agg, quantiles
-from quizframe.runtime import key_sizes
+from quizframe.runtime import key_sizes, written
 
 GRAIN_KEYS = ["userID", "assessmentItemID", "KnowledgeTag", "testId", "category_high", "problem_num"]
 
@@ -79,11 +79,10 @@ def grain_features(log: DataFrame, key: str, suffix: str, rows: int | None = Non
     )
 
 
-def join_features(base: DataFrame, target: DataFrame) -> DataFrame:
-    """Left join the six grains of ``base`` onto ``target``.
+def grain_lookups(base: DataFrame) -> dict[str, tuple[DataFrame, int]]:
+    """The six grains of ``base`` per key, written once, with a bound of their rows.
 
-    Keys of ``target`` that ``base`` does not know get NULL. One pass over the
-    key columns of ``base`` bounds the size of all six lookups.
+    One pass over the key columns of ``base`` bounds the size of all of them.
     """
     rows, distinct = key_sizes(base, GRAIN_KEYS)
     lookups = {
@@ -94,11 +93,23 @@ def join_features(base: DataFrame, target: DataFrame) -> DataFrame:
         "category_high": grain_features(base, "category_high", "cat", rows),
         "problem_num": grain_features(base, "problem_num", "problem_num", rows),
     }
-    for key, lookup in lookups.items():
-        target = lookup_join(target, lookup, [key], distinct[key])
+    return {key: (written(lookup, f"grain-{key}"), distinct[key]) for key, lookup in lookups.items()}
+
+
+def join_lookups(target: DataFrame, lookups: dict[str, tuple[DataFrame, int]]) -> DataFrame:
+    for key, (lookup, rows) in lookups.items():
+        target = lookup_join(target, lookup, [key], rows)
     return target
 
 
+def join_features(base: DataFrame, target: DataFrame) -> DataFrame:
+    """Left join the six grains of ``base`` onto ``target``.
+
+    Keys of ``target`` that ``base`` does not know get NULL.
+    """
+    return join_lookups(target, grain_lookups(base))
+
+
 def value_counts(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("value"))
 

@@ -9,6 +9,7 @@ from quizframe.operators.joins import lookup_join
 from quizframe.operators.ordered import FRAME_ORD, index_keys
 from quizframe.operators.splits import ITEM_KEY
 from quizframe.operators.windows import keep_last
+from quizframe.runtime import written
 
 
 def user_item_cells(log: DataFrame) -> DataFrame:
@@ -23,6 +24,8 @@ def user_item_centered(cells: DataFrame, fill: float = 0.5) -> DataFrame:
     mean follows from the observed cells and the number of items; the unmet
     cells of a row all share one value, ``row_default``. Nothing is densified.
     """
+    # Read three times, so computed once.
+    cells = written(cells, "cells")
     n_items = cells.agg(F.count_distinct("assessmentItemID").alias("n")).scalar()
     rows = cells.groupBy("userID").agg(F.sum("value").alias("_s"), F.count(F.lit(1)).alias("_n"))
     means = rows.select(
@@ -38,9 +41,9 @@ def user_item_centered(cells: DataFrame, fill: float = 0.5) -> DataFrame:
 
 def graph_nodes(log: DataFrame) -> DataFrame:
     """Learners get 0..U-1 in id order, items follow from U on."""
-    users = index_keys(log.select("userID").distinct(), ["userID"])
+    users = written(index_keys(log.select("userID").distinct(), ["userID"]), "users")
     items = index_keys(log.select("assessmentItemID").distinct(), ["assessmentItemID"])
-    n_users = log.agg(F.count_distinct("userID").alias("n")).scalar()
+    n_users = users.agg(F.count(F.lit(1)).alias("n")).scalar()
     return users.select(
         F.col("userID").cast("string").alias("id"), F.lit("user").alias("kind"), "idx"
     ).unionByName(
@@ -52,8 +55,9 @@ def graph_nodes(log: DataFrame) -> DataFrame:
 
 def graph_edges(log: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """One edge per learner and item with the latest answer as label."""
-    nodes = graph_nodes(log) if nodes is None else nodes
-    rows = keep_last(log, ITEM_KEY, FRAME_ORD)
+    # One row per learner and item holds all nodes and all edges.
+    rows = written(keep_last(log, ITEM_KEY, FRAME_ORD).select(*ITEM_KEY, "answerCode"), "deduped")
+    nodes = graph_nodes(rows) if nodes is None else nodes
     src = nodes.where(F.col("kind") == "user").select(F.col("id").alias("_u"), F.col("idx").alias("src"))
     dst = nodes.where(F.col("kind") == "item").select(
         F.col("id").alias("assessmentItemID"), F.col("idx").alias("dst")

@@ -5,33 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quizframe.operators.heavy import find_heavy
-from quizframe.runtime import limit, written
+from quizframe.runtime import fits_broadcast
 
 
 def lookup_join(
     target: DataFrame, lookup: DataFrame, on: list[str], lookup_rows: int | None = None
 ) -> DataFrame:
-    """Left join ``target`` with ``lookup`` (unique on ``on``).
+    """Left join ``target`` with ``lookup`` (unique on ``on``), one plan at every size.
 
-    A lookup of checked size is broadcast and the log stays where it is; one of
-    unknown size is written first, so that its rows are computed once. A larger
-    one is joined by shuffle, except for the heavy keys of ``target``:
-    their few lookup rows are broadcast so that no task receives a whole heavy
-    key.
+    A lookup whose known (or bounded) row count keeps it within the limit of
+    bytes is broadcast and the log stays where it is. Any other is left to
+    Spark: it broadcasts by the size it meets, or joins by shuffle and splits
+    the partitions of the log's heavy keys.
     """
-    if lookup_rows is None:
-        lookup = written(lookup, "lookup")
-        lookup_rows = lookup.count()
-    if lookup_rows <= limit(target.sparkSession, "broadcastRows"):
-        return target.join(F.broadcast(lookup), on, "left")
-    heavy = find_heavy(target, on)
-    if heavy.keys is None:
-        return target.join(lookup, on, "left")
-    light = heavy.without(target).join(lookup, on, "left")
-    return light.unionByName(
-        heavy.only(target).join(F.broadcast(heavy.only(lookup)), on, "left")
-    )
+    if lookup_rows is not None and fits_broadcast(lookup, lookup_rows):
+        lookup = F.broadcast(lookup)
+    return target.join(lookup, on, "left")
 
 
 def apply_lookup(

@@ -9,9 +9,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# One weight vector per one-hot column travels to every task and back, so the
-# width of the one-hot space is bounded; wider fields are hashed into it.
-MAX_ONE_HOT = 1 << 18
+# One weight vector per one-hot column travels to every task and back.
+MAX_WEIGHTS = 1 << 27
 
 
 def fit_boosting(
@@ -22,28 +21,52 @@ def fit_boosting(
     max_iter: int = 100,
     learning_rate: float = 0.001,
     max_depth: int = 6,
+    patience: int = 50,
     seed: int = 42,
 ) -> PipelineModel:
-    """Boosted trees that stop early on the validation rows; NULL features count as -1."""
+    """Boosted trees, cut after ``patience`` trees without a better validation loss.
+
+    All ``max_iter`` trees are grown; the model keeps those up to the best loss
+    on ``valid`` that a stop with this patience would have seen. NULL features
+    count as -1.
+    """
     columns = [*features, label]
-    rows = (
-        train.select(*columns, F.lit(False).alias("_valid"))
-        .unionByName(valid.select(*columns, F.lit(True).alias("_valid")))
-        .withColumn(label, F.col(label).cast("double"))
-    )
+
+    def prepared(df: DataFrame) -> DataFrame:
+        return filled(df.select(*columns), features).withColumn(label, F.col(label).cast("double"))
+
     stages = [
         VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="keep"),
         GBTClassifier(
             labelCol=label,
             featuresCol="_x",
-            validationIndicatorCol="_valid",
             maxIter=max_iter,
             stepSize=learning_rate,
             maxDepth=max_depth,
             seed=seed,
         ),
     ]
-    return Pipeline(stages=stages).fit(filled(rows, features))
+    model = Pipeline(stages=stages).fit(prepared(train))
+    assembler, trees = model.stages
+    checked = assembler.transform(prepared(valid))
+    if checked.isEmpty():
+        return model
+    losses = trees.evaluateEachIteration(checked)
+    kept = best_round(losses, patience)
+    if kept < len(losses):
+        model = Pipeline(stages=[stages[0], stages[1].setMaxIter(kept)]).fit(prepared(train))
+    return model
+
+
+def best_round(losses: list[float], patience: int) -> int:
+    """Rounds up to the lowest loss met before ``patience`` rounds brought nothing better."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
 
 
 def filled(df: DataFrame, features: list[str]) -> DataFrame:
@@ -57,15 +80,21 @@ def fit_fm(
     factor_size: int = 16,
     max_iter: int = 50,
     step_size: float = 0.05,
+    hash_width: int | None = None,
     seed: int = 0,
 ) -> PipelineModel:
     """Factorisation machine over indexed fields (``field -> number of codes``).
 
-    Codes unseen in training share one extra column per field.
+    Codes unseen in training share one extra column per field. The caller
+    chooses the encoder, whatever the size: one column per code, or
+    ``hash_width`` columns that codes share by hash.
     """
     columns = list(fields)
-    if sum(fields.values()) <= MAX_ONE_HOT:
-        shifted = [f"_{c}" for c in columns]
+    shifted = [f"_{c}" for c in columns]
+    if hash_width is None:
+        width = sum(fields.values()) + len(fields)
+        if width * (factor_size + 1) > MAX_WEIGHTS:
+            raise ValueError(f"{width} one-hot columns need too many weights: pass hash_width")
         encode = [
             OneHotEncoder(
                 inputCols=shifted,
@@ -78,10 +107,7 @@ def fit_fm(
     else:
         encode = [
             FeatureHasher(
-                inputCols=[f"_{c}" for c in columns],
-                categoricalCols=[f"_{c}" for c in columns],
-                outputCol="_x",
-                numFeatures=MAX_ONE_HOT,
+                inputCols=shifted, categoricalCols=shifted, outputCol="_x", numFeatures=hash_width
             )
         ]
     fm = FMClassifier(

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from quizframe.operators.heavy import find_heavy, group_sizes
 from quizframe.operators.joins import lookup_join
-from quizframe.runtime import limit, written
+from quizframe.runtime import fits_broadcast, limit, written
 
 USER_ORD = ["Timestamp", "row_id"]
 FRAME_ORD = ["split", "userID", "Timestamp", "row_id"]
@@ -233,7 +233,7 @@ def _in_blocks(
             case RunSum():
                 inside[f"__w_{f.out}"] = F.sum(f"__in_{f.out}").over(upto if f.current else before)
     # A block bounds the rows of a join key, so this join cannot be skewed.
-    small = carried.count() <= limit(df.sparkSession, "broadcastRows")
+    small = fits_broadcast(carried, carried.count())
     rows = cut.withColumns(inside).join(F.broadcast(carried) if small else carried, [*by, block], "left")
 
     result = {}
@@ -408,7 +408,9 @@ def _ranked_quantiles(
         for i, p in enumerate(probs):
             at = F.lit(p) * (F.col(f"_total_{s}") - 1)
             lo, hi = F.col(f"_{s}_{i}_0"), F.col(f"_{s}_{i}_1")
-            points.append(lo + (at - F.floor(at)) * (hi - lo))
+            # As in F.percentile, to the last digit.
+            between = (F.ceil(at) - at) * lo + (at - F.floor(at)) * hi
+            points.append(F.when((F.ceil(at) == F.floor(at)) | (lo == hi), lo).otherwise(between))
         return F.when(F.col(f"_total_{s}").isNotNull(), F.array(*points))
 
     return ends.select(*by, *[interpolated(s).alias(out) for s, out in enumerate(outs)])

@@ -36,7 +36,7 @@ def padded_sequences(
     nums: list[str],
     target: str,
     n: int = 20,
-    by: str = "userID",
+    by: tuple[str, ...] = ("userID",),
 ) -> DataFrame:
     """The last ``n`` rows of every group as arrays of length ``n``.
 
@@ -44,10 +44,10 @@ def padded_sequences(
     rows. Each task keeps ``n`` rows per group before the shuffle, so the
     arrays are bounded whatever the length of a learner.
     """
-    recent = W.partitionBy(by).orderBy(*[F.desc(c) for c in USER_ORD])
+    recent = W.partitionBy(*by).orderBy(*[F.desc(c) for c in USER_ORD])
     columns = [*cats, *nums, target]
     last = df.withColumn("_r", F.row_number().over(recent)).where(F.col("_r") <= n)
-    arrays = to_sequences(last, [by], columns)
+    arrays = to_sequences(last, list(by), columns)
     padded = {"mask": pad_mask(F.col(f"{target}_seq"), n)}
     for c in cats:
         padded[f"{c}_seq"] = left_pad(shift_codes(F.col(f"{c}_seq").cast("array<int>")), n, F.lit(0))

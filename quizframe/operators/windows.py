@@ -80,8 +80,10 @@ def elapsed(log: DataFrame, q: float = 0.99, layout: Layout | None = None) -> Da
 
     A gap at or above the ``q`` quantile of all gaps starts a new session, and
     the first row of a session took 0. So the gap itself is the answer time of
-    every row below the threshold; no second window is needed.
+    every row below the threshold; no second window is needed. Without a layout
+    the log is written first: it is counted, searched for the threshold and read.
     """
+    log = log if layout else written(log, "log")
     return in_layout(
         log, ["userID"], USER_ORD, layout, lambda df, made: _elapsed(df, q, made).drop("_gap")
     )
@@ -108,6 +110,7 @@ def sessionize(log: DataFrame, q: float = 0.99, layout: Layout | None = None) ->
             timed, ["userID", "testId"], USER_ORD, [RunSum("session", F.col("_gap"))], made
         ).drop("_gap")
 
+    log = log if layout else written(log, "log")
     return in_layout(log, ["userID"], USER_ORD, layout, work)
 
 
@@ -227,18 +230,32 @@ def segment_users(log: DataFrame, n: int = 20) -> DataFrame:
     )
 
 
-def consumed_time(segments: DataFrame, by: str = "segment_id") -> DataFrame:
+def _consumed(previous_answer, previous_test, previous_time) -> dict:
+    same_test = F.col("testId") == previous_test
+    spent = to_epoch(F.col("Timestamp")) - to_epoch(previous_time)
+    return {
+        "beforeCorrect": F.coalesce(previous_answer + 1, F.lit(0)),
+        "consumedTime": F.when(same_test, spent).otherwise(F.lit(0)),
+    }
+
+
+def consumed_time(segments: DataFrame) -> DataFrame:
     """Previous result (0 none, 1 wrong, 2 right) and seconds since the previous
-    row of the segment, 0 where the test changes. Segments have bounded length."""
-    w = W.partitionBy(by).orderBy(*USER_ORD)
-    now = to_epoch(F.col("Timestamp"))
-    same_test = F.col("testId") == F.lag("testId").over(w)
-    return segments.withColumns(
-        {
-            "beforeCorrect": F.coalesce(F.lag(F.col("answerCode") + 1).over(w), F.lit(0)),
-            "consumedTime": F.when(same_test, now - F.lag(now).over(w)).otherwise(F.lit(0)),
-        }
-    )
+    row of the segment, 0 where the test changes.
+
+    Segments have bounded length and lie where their learner lies, so the rows
+    are not dealt out again.
+    """
+    w = W.partitionBy("userID", "chunk").orderBy(*USER_ORD)
+    before = [F.lag(c).over(w) for c in ("answerCode", "testId", "Timestamp")]
+    return segments.withColumns(_consumed(*before))
+
+
+def consumed_time_user(log: DataFrame, layout: Layout | None = None) -> DataFrame:
+    """The same over the whole learner, of any length."""
+    columns = ("answerCode", "testId", "Timestamp")
+    lagged = ordered_features(log, ["userID"], USER_ORD, [Lag(f"_{c}", F.col(c)) for c in columns], layout)
+    return lagged.withColumns(_consumed(*[F.col(f"_{c}") for c in columns])).drop(*[f"_{c}" for c in columns])
 
 
 def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

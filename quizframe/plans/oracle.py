@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import re
 
-ELO_ROUNDS = 3
+# Batches of the attempt numbers 0, 1, 2-3, ...: enough for 2,048 answers of one learner.
+ELO_ROUNDS = 12
 
 _ELO_KEYS = {"assessmentItemID": "elo_assessment", "testId": "elo_test", "KnowledgeTag": "elo_tag"}
 _FRAME = "split, userID, Timestamp, row_id"
@@ -106,7 +107,7 @@ PARTS["lags"] = (
 )
 
 
-# ---- Elo: three rounds, unrolled -------------------------------------------------
+# ---- Elo: the batches unrolled ------------------------------------------------------
 
 
 def _elo_parts(key: str, p: str, formula: str, source: str) -> None:
@@ -114,35 +115,39 @@ def _elo_parts(key: str, p: str, formula: str, source: str) -> None:
     prob = sig if formula == "logistic" else f"1 + {sig}"
     PARTS[f"{p}rows"] = f"""
       SELECT userID, {key} AS ik, answerCode, n_u, n_i,
-             CAST(n_u * {ELO_ROUNDS} // (max(n_u) OVER () + 1) AS INT) AS batch
+             CASE WHEN n_u = 0 THEN 0 ELSE CAST(floor(log2(n_u + 0.5)) AS INT) + 1 END AS batch
       FROM (SELECT *, row_number() OVER (PARTITION BY userID ORDER BY Timestamp, row_id) - 1 AS n_u,
                    row_number() OVER (PARTITION BY {key} ORDER BY Timestamp, row_id) - 1 AS n_i
             FROM {source})"""
-    theta, beta = "(SELECT NULL AS id, 0.0 AS v WHERE false)", "(SELECT NULL AS id, 0.0 AS v WHERE false)"
     for r in range(ELO_ROUNDS):
         t_join = f"LEFT JOIN {p}t{r - 1} t ON r.userID = t.id" if r else "LEFT JOIN (SELECT 0 AS id, 0.0 AS v) t ON false"
         b_join = f"LEFT JOIN {p}b{r - 1} b ON r.ik = b.id" if r else "LEFT JOIN (SELECT 0 AS id, 0.0 AS v) b ON false"
         PARTS[f"{p}m{r}"] = f"""
-          SELECT r.userID, r.ik, greatest(0.3::DOUBLE / (1 + 0.01::DOUBLE * r.n_u), 0.04::DOUBLE) * miss AS dt,
-                 -1::DOUBLE / (1 + 0.05::DOUBLE * r.n_i) * miss AS db
-          FROM (SELECT r.*, r.answerCode - ({prob}) AS miss FROM {p}rows r {t_join} {b_join} WHERE r.batch = {r}) r"""
-        for short, col, d in (("t", "userID", "dt"), ("b", "ik", "db")):
+          SELECT userID, ik, lt * miss AS dt, -lb * miss AS db, lt * s * (1 - s) AS wt, lb * s * (1 - s) AS wb
+          FROM (SELECT r.userID, r.ik, {sig} AS s, r.answerCode - ({prob}) AS miss,
+                       greatest(0.3::DOUBLE / (1 + 0.01::DOUBLE * r.n_u), 0.04::DOUBLE) AS lt,
+                       1::DOUBLE / (1 + 0.05::DOUBLE * r.n_i) AS lb
+                FROM {p}rows r {t_join} {b_join} WHERE r.batch = {r})"""
+        for short, col, d, w in (("t", "userID", "dt", "wt"), ("b", "ik", "db", "wb")):
             old = f"UNION ALL SELECT id, v FROM {p}{short}{r - 1}" if r else ""
             PARTS[f"{p}{short}{r}"] = (
-                f"SELECT id, sum(v) AS v FROM (SELECT {col} AS id, {d} AS v FROM {p}m{r} {old}) GROUP BY id"
+                f"SELECT id, sum(v) AS v FROM (SELECT {col} AS id, sum({d}) / (1 + sum({w}) - max({w})) AS v "
+                f"FROM {p}m{r} GROUP BY 1 {old}) GROUP BY id"
             )
 
 
 _LAST = ELO_ROUNDS - 1
 for _key, _out in _ELO_KEYS.items():
-    _elo_parts(_key, f"e_{_out}_", "as_written", "ans")
-_elo_parts("assessmentItemID", "e_logistic_", "logistic", "sc")
+    _elo_parts(_key, f"e_{_out}_", "logistic", "sc")
+_elo_parts("assessmentItemID", "e_written_", "as_written", "ans")
 
 
 def _elo_final(key: str, p: str, out: str) -> str:
     return (
-        f"SELECT a.row_id, round(1 / (1 + exp(-(coalesce(t.v, 0) - coalesce(b.v, 0)))), 6) AS {out} "
-        f"FROM ans a LEFT JOIN {p}t{_LAST} t ON a.userID = t.id LEFT JOIN {p}b{_LAST} b ON a.{key} = b.id"
+        f"SELECT row_id, round(th, 6) AS theta, round(be, 6) AS beta, round(th - be, 6) AS difference, "
+        f"round(1 / (1 + exp(-(th - be))), 6) AS {out} "
+        f"FROM (SELECT a.row_id, coalesce(t.v, 0) AS th, coalesce(b.v, 0) AS be "
+        f"FROM ans a LEFT JOIN {p}t{_LAST} t ON a.userID = t.id LEFT JOIN {p}b{_LAST} b ON a.{key} = b.id)"
     )
 
 
@@ -254,11 +259,11 @@ def _segments(src: str, n: int) -> str:
       FROM (SELECT *, row_number() OVER (PARTITION BY userID ORDER BY Timestamp, row_id) AS rn FROM {src})"""
 
 
-def _consumed(src: str) -> str:
+def _consumed(src: str, by: str = "segment_id") -> str:
     epoch = "CAST(floor(epoch(Timestamp)) AS BIGINT)"
     return f"""SELECT *, coalesce(lag(answerCode) OVER w + 1, 0) AS beforeCorrect,
         CASE WHEN testId = lag(testId) OVER w THEN {epoch} - lag({epoch}) OVER w ELSE 0 END AS consumedTime
-      FROM {src} WINDOW w AS (PARTITION BY segment_id ORDER BY Timestamp, row_id)"""
+      FROM {src} WINDOW w AS (PARTITION BY {by} ORDER BY Timestamp, row_id)"""
 
 
 PARTS["seg"] = _segments("sc", 20)
@@ -307,9 +312,9 @@ def _ordinal_codes(dictionary: str, columns: list[str], src: str, keep: list[str
 
 
 PARTS["dict_all"] = _ordinal("ans", _DICT)
-PARTS["seen"] = "SELECT * FROM ans WHERE split = 0 AND KnowledgeTag < 3"
-PARTS["dict_seen"] = _ordinal("seen", _DICT)
 PARTS["tr"] = "SELECT * FROM ans WHERE split = 0"
+PARTS["te"] = "SELECT * FROM ans WHERE split = 1"
+PARTS["dict_seen"] = _ordinal("tr", ["userID", *_DICT])
 PARTS["tr_coded"] = "SELECT * FROM coded WHERE split = 0"
 PARTS["dict_train"] = _ordinal("tr", _DICT)
 _TEXT = ["assessmentItemID", "testId", "category_high", "problem_num"]
@@ -346,23 +351,22 @@ PARTS["ctx_all"] = (
 
 # ---- sequences ---------------------------------------------------------------------------
 
-PARTS["seg30"] = _segments("ans", 30)
 PARTS["seg50"] = _segments("ans", 50)
-PARTS["con30"] = _consumed("seg30")
-PARTS["code30"] = f"""
-  SELECT y.segment_id, y.Timestamp, y.answerCode, y.consumedTime, c.* FROM con30 y
-  JOIN ({_ordinal_codes('dict_all', _DICT, 'con30', ['row_id'])}) c USING (row_id)"""
+PARTS["con_user"] = _consumed("ans", "userID")
+PARTS["code_user"] = f"""
+  SELECT y.userID, y.Timestamp, y.answerCode, y.consumedTime, c.* FROM con_user y
+  JOIN ({_ordinal_codes('dict_all', _DICT, 'con_user', ['row_id'])}) c USING (row_id)"""
 PARTS["last20"] = """
-  SELECT *, count(*) OVER (PARTITION BY segment_id) AS size
-  FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY Timestamp DESC, row_id DESC) AS back FROM code30)
+  SELECT *, count(*) OVER (PARTITION BY userID) AS size
+  FROM (SELECT *, row_number() OVER (PARTITION BY userID ORDER BY Timestamp DESC, row_id DESC) AS back FROM code_user)
   WHERE back <= 20"""
-# Every segment has 20 places; a place without a row holds 0.
+# Every learner has 20 places; a place without a row holds 0.
 PARTS["places"] = """
-  SELECT segment_id, 20 - back AS pos, assessmentItemID + 1 AS i, testId + 1 AS t, KnowledgeTag + 1 AS g,
+  SELECT userID, 20 - back AS pos, assessmentItemID + 1 AS i, testId + 1 AS t, KnowledgeTag + 1 AS g,
          consumedTime AS c, answerCode AS a, 1 AS m FROM last20
   UNION ALL
-  SELECT segment_id, p AS pos, 0, 0, 0, 0, 0, 0
-  FROM (SELECT segment_id, max(size) AS size FROM last20 GROUP BY segment_id), range(0, 20) r(p) WHERE p < 20 - size"""
+  SELECT userID, p AS pos, 0, 0, 0, 0, 0, 0
+  FROM (SELECT userID, max(size) AS size FROM last20 GROUP BY userID), range(0, 20) r(p) WHERE p < 20 - size"""
 
 
 def _line(expr: str, order: str = "pos") -> str:
@@ -378,24 +382,67 @@ PARTS["auc"] = """
   SELECT sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) AS auc
   FROM (SELECT *, coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
         FROM by_score)"""
-_CLASSES = ["click", "error", "purchase", "signup", "view"]
-PARTS["shares"] = (
-    "SELECT user_id, "
-    + ", ".join(f"(count(*) FILTER (WHERE event_type = '{c}') + 1) / (count(*) + 5) AS s{i}" for i, c in enumerate(_CLASSES))
-    + " FROM events GROUP BY user_id"
-)
-PARTS["own"] = (
-    "SELECT e.*, s.*, CASE event_type "
-    + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(_CLASSES))
-    + " END AS label, CASE event_type "
-    + " ".join(f"WHEN '{c}' THEN s{i}" for i, c in enumerate(_CLASSES))
-    + " END AS mine FROM (SELECT user_id AS u, event_type FROM events) e JOIN shares s ON e.u = s.user_id"
-)
-_BETTER = " + ".join(f"CAST(s{i} > mine OR (s{i} = mine AND {i} > label) AS INT)" for i in range(5))
+PARTS["kinds"] = "SELECT event_type, row_number() OVER (ORDER BY event_type) - 1 AS label FROM (SELECT DISTINCT event_type FROM events)"
+PARTS["shares"] = """
+  SELECT user_id, label, (coalesce(c, 0) + 1) / (sum(coalesce(c, 0)) OVER (PARTITION BY user_id) + count(*) OVER (PARTITION BY user_id)) AS share
+  FROM (SELECT u.user_id, k.label, k.event_type FROM (SELECT DISTINCT user_id FROM events) u, kinds k)
+  LEFT JOIN (SELECT user_id, event_type, count(*) AS c FROM events GROUP BY 1, 2) USING (user_id, event_type)"""
+PARTS["own"] = """
+  SELECT user_id, label, share AS mine,
+         (SELECT count(*) FROM shares o WHERE o.user_id = s.user_id
+            AND (o.share > s.share OR (o.share = s.share AND o.label > s.label))) AS better
+  FROM shares s"""
+PARTS["owned"] = "SELECT mine, better FROM events JOIN kinds USING (event_type) JOIN own USING (user_id, label)"
 
 _US = "date_diff('microsecond', TIMESTAMP '1970-01-01', Timestamp) AS ts_us"
 _RUN = "row_id, problem_correct_per_user, problem_solved_per_user, cum_answerRate_per_user, acc_elapsed_per_user"
 
+def _centered(src: str) -> str:
+    cells = f"SELECT userID, assessmentItemID, avg(answerCode) AS v FROM {src} GROUP BY 1, 2"
+    return f"""SELECT userID, assessmentItemID, round(v, 6) AS value, round(v - m, 6) AS centered,
+      round(0.5 - m, 6) AS row_default
+      FROM ({cells})
+      JOIN (SELECT userID, avg(coalesce(v, 0.5)) AS m FROM
+              (SELECT u.userID, i.assessmentItemID, c.v
+               FROM (SELECT DISTINCT userID FROM {src}) u, (SELECT DISTINCT assessmentItemID FROM {src}) i
+               LEFT JOIN ({cells}) c
+                 ON c.userID = u.userID AND c.assessmentItemID = i.assessmentItemID) GROUP BY userID) USING (userID)"""
+
+
+# The sequence columns of the segments, not rounded; and the fits of the train log for new rows.
+PARTS["seq_full"] = f"""
+  SELECT c.*, x.segment_id, x.Timestamp, x.answerCode, x.consumedTime, x.value_counts_assessmentItemID, x.value_counts_testId,
+    {', '.join(f'm{i}.a AS mean_{k}_answerCode, m{i}.t AS mean_{k}_consumedTime' for i, k in enumerate(_DICT))}
+  FROM scaled x JOIN ({_ordinal_codes('dict_seq', _SEQ_CATS, 'seqr', ['row_id'])}) c USING (row_id)
+  {' '.join(f'JOIN (SELECT {k}, avg(answerCode) AS a, avg(consumedTime) AS t FROM scaled GROUP BY 1) m{i} ON m{i}.{k} = x.{k}' for i, k in enumerate(_DICT))}"""
+_SEQ_NUMS = [*[f"mean_{k}_{t}" for t in ("answerCode", "consumedTime") for k in _DICT], "consumedTime", "value_counts_assessmentItemID", "value_counts_testId"]
+PARTS["f_sc"] = "SELECT * FROM sc WHERE split = 0"
+PARTS["f_seg"] = _segments("f_sc", 20)
+PARTS["f_seqr"] = _consumed("f_seg")
+for _name in ("quart", "clean", "counted", "scaled"):
+    PARTS[f"f_{_name}"] = re.sub(r"\b(seqr|quart|clean|counted)\b", r"f_\1", PARTS[_name])
+PARTS["f_dict"] = _ordinal("f_seqr", _SEQ_CATS)
+PARTS["new_rows"] = _consumed("te", "userID")
+PARTS["new_clean"] = """
+  SELECT n.* EXCLUDE (consumedTime),
+         CASE WHEN consumedTime > Q3 + 1.5 * (Q3 - Q1) THEN Q2 ELSE CAST(consumedTime AS DOUBLE) END AS consumedTime
+  FROM new_rows n LEFT JOIN f_quart USING (assessmentItemID)"""
+
+
+def _scaled(value: str, column: str) -> str:
+    return (
+        f"({value} - (SELECT avg({column}) FROM f_counted)) / "
+        f"(SELECT coalesce(nullif(stddev_pop({column}), 0), 1) FROM f_counted)"
+    )
+
+
+def _padded_list(value: str, pad: str = "0") -> str:
+    return (
+        f"array_to_string(list_concat(list_transform(range(0, 20 - count(*)), lambda z: '{pad}'), "
+        f"list(coalesce(CAST({value} AS VARCHAR), 'NULL') ORDER BY Timestamp, row_id)), ',')"
+    )
+
+
 FINALS: dict[str, str] = {
     "answers": f"SELECT userID, assessmentItemID, testId, answerCode, {_US}, KnowledgeTag, split, row_id FROM ans",
     "lineitem_answers": f"SELECT userID, assessmentItemID, testId, answerCode, {_US}, KnowledgeTag, split, row_id FROM line",
@@ -435,14 +482,8 @@ FINALS: dict[str, str] = {
     ),
     "item_quartiles": "SELECT assessmentItemID AS key, Q1, Q2, Q3 FROM quart",
     "user_item_cells": "SELECT userID, assessmentItemID, avg(answerCode) AS value FROM mx WHERE part = 'train' GROUP BY 1, 2",
-    "user_item_centered": """SELECT userID, assessmentItemID, round(v, 6) AS value, round(v - m, 6) AS centered,
-      round(0.5 - m, 6) AS row_default
-      FROM (SELECT userID, assessmentItemID, avg(answerCode) AS v FROM sc GROUP BY 1, 2)
-      JOIN (SELECT userID, avg(coalesce(v, 0.5)) AS m FROM
-              (SELECT u.userID, i.assessmentItemID, c.v
-               FROM (SELECT DISTINCT userID FROM sc) u, (SELECT DISTINCT assessmentItemID FROM sc) i
-               LEFT JOIN (SELECT userID, assessmentItemID, avg(answerCode) AS v FROM sc GROUP BY 1, 2) c
-                 ON c.userID = u.userID AND c.assessmentItemID = i.assessmentItemID) GROUP BY userID) USING (userID)""",
+    "user_item_centered": _centered("sc"),
+    "user_item_centered_train": _centered("(SELECT * FROM mx WHERE part = 'train')"),
     "matrix_parts": "SELECT row_id, userID, answerCode, part FROM mx",
     "time_diff": "SELECT row_id, diff_us, diff_us / 1e6 AS diff FROM diffs",
     "session_elapsed": "SELECT row_id, session, elapsed FROM el",
@@ -472,11 +513,12 @@ FINALS: dict[str, str] = {
     "context_rows": "SELECT row_id, userID, assessmentItemID, answerCode FROM ctx",
     "held_out_removed": """SELECT row_id, userID FROM parts WHERE part = 'train'""",
     "encode_ordinal": _ordinal_codes("dict_all", _DICT, "ans", ["row_id"]),
-    "encode_ordinal_unseen": _ordinal_codes("dict_seen", _DICT, "ans", ["row_id"]),
+    "encode_ordinal_unseen": _ordinal_codes("dict_seen", ["userID", *_DICT], "te", ["row_id"]),
     "encode_table": _ordinal_codes("dict_text", _TEXT, "coded", ["row_id"]),
     "encode_first_seen": _first_seen("sc", _DICT),
-    "lookup_apply": """SELECT row_id, testId, coalesce(r, 0.5) AS test_rate FROM ans
-      LEFT JOIN (SELECT testId, avg(answerCode) AS r FROM sc WHERE KnowledgeTag < 3 GROUP BY 1) USING (testId)""",
+    "lookup_apply": """SELECT row_id, testId, coalesce(r, 0.5) AS test_rate, coalesce(u, 0.5) AS user_rate FROM te
+      LEFT JOIN (SELECT testId, avg(answerCode) AS r FROM sc WHERE split = 0 GROUP BY 1) USING (testId)
+      LEFT JOIN (SELECT userID, avg(answerCode) AS u FROM sc WHERE split = 0 GROUP BY 1) USING (userID)""",
     "encoders_apply": """SELECT a.row_id, vi AS value_counts_assessmentItemID, vt AS value_counts_testId,
         mi AS mean_assessmentItemID_answerCode, mt AS mean_testId_answerCode, mg AS mean_KnowledgeTag_answerCode
       FROM ans a
@@ -505,12 +547,12 @@ FINALS: dict[str, str] = {
         f"{_line(c, 'Timestamp, row_id')} AS {c}_seq" for c in ("testId", "assessmentItemID", "KnowledgeTag", "answerCode")
     )
     + " FROM seg50 GROUP BY userID, chunk",
-    "padded_sequences": f"""SELECT segment_id, {_line('i')} AS assessmentItemID_seq, {_line('t')} AS testId_seq,
+    "padded_sequences": f"""SELECT userID, {_line('i')} AS assessmentItemID_seq, {_line('t')} AS testId_seq,
       {_line('g')} AS KnowledgeTag_seq, {_line('c')} AS consumedTime_seq, {_line('a')} AS answerCode_seq,
-      {_line('m')} AS mask FROM places GROUP BY segment_id""",
-    "interaction_seq": f"""SELECT segment_id, {_line('inter')} AS interaction_seq, {_line('m')} AS mask
-      FROM (SELECT *, coalesce(lag((a + 1) * m) OVER (PARTITION BY segment_id ORDER BY pos), 0) AS inter FROM places)
-      GROUP BY segment_id""",
+      {_line('m')} AS mask FROM places GROUP BY userID""",
+    "interaction_seq": f"""SELECT userID, {_line('inter')} AS interaction_seq, {_line('m')} AS mask
+      FROM (SELECT *, coalesce(lag((a + 1) * m) OVER (PARTITION BY userID ORDER BY pos), 0) AS inter FROM places)
+      GROUP BY userID""",
     "graph_nodes": """SELECT CAST(userID AS VARCHAR) AS id, 'user' AS kind, row_number() OVER (ORDER BY userID) - 1 AS idx
       FROM (SELECT DISTINCT userID FROM ans)
       UNION ALL SELECT assessmentItemID, 'item',
@@ -522,7 +564,7 @@ FINALS: dict[str, str] = {
       JOIN (SELECT assessmentItemID, row_number() OVER (ORDER BY assessmentItemID) - 1 AS idx
             FROM (SELECT DISTINCT assessmentItemID FROM ans)) i USING (assessmentItemID)""",
     **{out: _elo_final(key, f"e_{out}_", out) for key, out in _ELO_KEYS.items()},
-    "elo_assessment_logistic": _elo_final("assessmentItemID", "e_logistic_", "elo_assessment"),
+    "elo_assessment_as_written": _elo_final("assessmentItemID", "e_written_", "elo_assessment"),
     "boosting_table": _table("answerCode >= 0", "answerCode >= 0"),
     "features_valid": _table("part = 'train'", "part = 'valid'"),
     "features_test": _table("answerCode >= 0", "part = 'test'", label=False),
@@ -539,12 +581,35 @@ FINALS: dict[str, str] = {
         round(x.value_counts_testId, 6) AS value_counts_testId
       FROM scaled x JOIN ({_ordinal_codes('dict_seq', _SEQ_CATS, 'seqr', ['row_id'])}) c USING (row_id)
       {' '.join(f'JOIN (SELECT {k}, avg(answerCode) AS a, avg(consumedTime) AS t FROM scaled GROUP BY 1) m{i} ON m{i}.{k} = x.{k}' for i, k in enumerate(_DICT))}""",
+    "sequence_padded": "SELECT segment_id, "
+    + ", ".join(f"{_padded_list(f'{c} + 1')} AS {c}_seq" for c in _SEQ_CATS)
+    + f", {_padded_list('answerCode')} AS answerCode_seq, "
+    + ", ".join(f"{_padded_list(f'CAST(round({c} * 10000) AS BIGINT)')} AS {c}_seq" for c in _SEQ_NUMS)
+    + f", {_padded_list('1')} AS mask FROM seq_full GROUP BY segment_id",
+    "sequence_test": f"""SELECT c.*, x.userID, x.answerCode,
+        {', '.join(f'round(m{i}.a, 6) AS mean_{k}_answerCode, round(m{i}.t, 6) AS mean_{k}_consumedTime' for i, k in enumerate(_DICT))},
+        round({_scaled('x.consumedTime', 'consumedTime')}, 6) AS consumedTime,
+        round({_scaled('vi', 'vi')}, 6) AS value_counts_assessmentItemID,
+        round({_scaled('vt', 'vt')}, 6) AS value_counts_testId
+      FROM new_clean x JOIN ({_ordinal_codes('f_dict', _SEQ_CATS, 'new_rows', ['row_id'])}) c USING (row_id)
+      LEFT JOIN (SELECT assessmentItemID, count(*) AS vi FROM f_clean GROUP BY 1) i ON i.assessmentItemID = x.assessmentItemID
+      LEFT JOIN (SELECT testId, count(*) AS vt FROM f_clean GROUP BY 1) t ON t.testId = x.testId
+      {' '.join(f'LEFT JOIN (SELECT {k}, avg(answerCode) AS a, avg(consumedTime) AS t FROM f_scaled GROUP BY 1) m{i} ON m{i}.{k} = x.{k}' for i, k in enumerate(_DICT))}""",
+    "csv_round_trip": """SELECT userID, assessmentItemID, testId, answerCode, CAST(floor(epoch(Timestamp)) AS BIGINT) AS epoch,
+      KnowledgeTag, split FROM tr""",
+    "assets_round_trip": "SELECT 'value_counts_testId' AS asset, testId AS key, 'value' AS stat, CAST(count(*) AS DOUBLE) AS value FROM sc GROUP BY testId UNION ALL "
+    + " UNION ALL ".join(
+        f"SELECT 'mean_{c}_answerCode', CAST({c} AS VARCHAR), 'value', avg(answerCode) FROM sc GROUP BY {c}" for c in _DICT
+    ),
+    "dictionary_round_trip": "SELECT field, value, idx FROM dict_train",
+    "lineitem_session_elapsed_blocks": "SELECT row_id, session, elapsed FROM l_el",
+    "lineitem_user_running_blocks": f"SELECT {_RUN} FROM l_run",
     "metrics": """SELECT round(avg(CAST((CASE WHEN p >= 0.5 THEN 1 ELSE 0 END = y) AS INT)), 6) AS accuracy,
       round((SELECT auc FROM auc), 6) AS auc, round(sqrt(avg(pow(p - y, 2)) + 1e-6), 6) AS rmse,
       round(avg(greatest(p * 4 - 2, 0) - (p * 4 - 2) * y + ln(1 + exp(-abs(p * 4 - 2)))), 6) AS bce FROM rated""",
-    "metrics_multiclass": "SELECT round(avg(-ln(mine)), 6) AS nll FROM own",
-    "top_k_accuracy": f"""SELECT round(avg(CAST(({_BETTER}) < 1 AS INT)), 6) AS top_1,
-      round(avg(CAST(({_BETTER}) < 3 AS INT)), 6) AS top_3 FROM own""",
+    "metrics_multiclass": "SELECT round(avg(-ln(mine)), 6) AS nll FROM owned",
+    "top_k_accuracy": """SELECT round(avg(CAST(better < 1 AS INT)), 6) AS top_1,
+      round(avg(CAST(better < 3 AS INT)), 6) AS top_3 FROM owned""",
 }
 
 

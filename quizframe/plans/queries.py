@@ -7,6 +7,8 @@ that results compare across engines.
 
 from __future__ import annotations
 
+import contextlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +21,7 @@ from quizframe.functions.columns import (
     micros_between,
     problem_num_of,
     rate,
+    sigmoid,
     time_divide,
     to_epoch,
 )
@@ -27,13 +30,11 @@ from quizframe.operators import encode, grains, graph, metrics, models, sequence
 from quizframe.operators.joins import apply_lookup, minus_rows
 from quizframe.operators.ordered import FRAME_ORD
 from quizframe.plans import tables
-from quizframe.runtime import written
+from quizframe.runtime import run_dir, written
 from quizframe.sources import answers as src
-from quizframe.sources.assets import cardinality
+from quizframe.sources.assets import cardinality, load_assets, load_dictionary, save_assets, save_dictionary
 
-ELO_ROUNDS = 3
 DICT_COLUMNS = ["assessmentItemID", "testId", "KnowledgeTag"]
-EVENT_CLASSES = ["click", "error", "purchase", "signup", "view"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,6 +103,36 @@ def union_logs(spark, sf_dir):
     return src.union_logs(train, test).select("row_id", "userID", "answerCode", "split")
 
 
+def _saved(spark: SparkSession) -> str:
+    return f"{run_dir(spark)}/saved-{uuid.uuid4().hex}"
+
+
+@query("csv_round_trip")
+def csv_round_trip(spark, sf_dir):
+    """The train log written as CSV in two folders and read by path."""
+    log = event_log(spark, sf_dir).where("split = 0")
+    folder = _saved(spark)
+    for half in (0, 1):
+        part = log.where(F.col("userID") % 2 == half)
+        part.select("userID", "assessmentItemID", "testId", "answerCode", F.date_format("Timestamp", "yyyy-MM-dd HH:mm:ss").alias("Timestamp"), "KnowledgeTag").write.csv(f"{folder}/day={half}", header=True)
+    found = src.read_answers(spark, f"{folder}/*")
+    return found.select("userID", "assessmentItemID", "testId", "answerCode", to_epoch(F.col("Timestamp")).alias("epoch"), "KnowledgeTag", "split")
+
+
+@query("assets_round_trip")
+def assets_round_trip(spark, sf_dir):
+    folder = _saved(spark)
+    save_assets(encode.fit_encoders(src.scored(event_log(spark, sf_dir)), ["testId"], DICT_COLUMNS), folder)
+    return load_assets(spark, folder)
+
+
+@query("dictionary_round_trip")
+def dictionary_round_trip(spark, sf_dir):
+    folder = _saved(spark)
+    save_dictionary(encode.fit_ordinal(event_log(spark, sf_dir).where("split = 0"), DICT_COLUMNS), folder)
+    return load_dictionary(spark, folder)
+
+
 @query("scored_rows")
 def scored_rows(spark, sf_dir):
     return src.scored(event_log(spark, sf_dir)).select("row_id", "userID", "answerCode")
@@ -251,6 +282,14 @@ def user_item_centered(spark, sf_dir):
     )
 
 
+@query("user_item_centered_train")
+def user_item_centered_train(spark, sf_dir):
+    """The matrix of the deduplicated train log."""
+    log = event_log(spark, sf_dir)
+    found = graph.user_item_centered(graph.user_item_cells(splits.matrix_parts(log).where("part = 'train'")))
+    return found.select("userID", "assessmentItemID", rounded("value"), rounded("centered"), rounded("row_default"))
+
+
 @query("matrix_parts")
 def matrix_parts(spark, sf_dir):
     return splits.matrix_parts(event_log(spark, sf_dir)).select("row_id", "userID", "answerCode", "part")
@@ -274,6 +313,26 @@ def lineitem_session_elapsed(spark, sf_dir):
     return windows.sessionize(line_log(spark, sf_dir)).select("row_id", "session", "elapsed")
 
 
+@contextlib.contextmanager
+def blocks(spark):
+    """Limits under which every learner is too long for one task, so that blocks are laid out."""
+    lowered = {"quizframe.groupRows": "8", "quizframe.stateRows": "8", "quizframe.blockRows": "5000"}
+    before = {k: spark.conf.get(k, None) for k in lowered}
+    for k, v in lowered.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@query("lineitem_session_elapsed_blocks")
+def lineitem_session_elapsed_blocks(spark, sf_dir):
+    with blocks(spark):
+        return lineitem_session_elapsed(spark, sf_dir)
+
+
 _USER_RUNNING = [
     "row_id",
     "problem_correct_per_user",
@@ -301,6 +360,12 @@ def lineitem_user_running(spark, sf_dir):
     return windows.user_running(timed(line_log(spark, sf_dir))).select(*_USER_RUNNING)
 
 
+@query("lineitem_user_running_blocks")
+def lineitem_user_running_blocks(spark, sf_dir):
+    with blocks(spark):
+        return lineitem_user_running(spark, sf_dir)
+
+
 @query("category_running")
 def category_running(spark, sf_dir):
     return windows.category_running(windows.category_correct(windows.with_codes(event_log(spark, sf_dir)))).select(
@@ -399,11 +464,11 @@ def encode_ordinal(spark, sf_dir):
 
 @query("encode_ordinal_unseen")
 def encode_ordinal_unseen(spark, sf_dir):
-    """Dictionary of one test only, so that most values are unseen."""
+    """Fitted on the train log, applied to the test log, whose learners are all unseen."""
     log = event_log(spark, sf_dir)
-    seen = log.where("split = 0 AND KnowledgeTag < 3")
-    dictionary = written(encode.fit_ordinal(seen, DICT_COLUMNS), "dictionary")
-    return encode.apply_ordinal(log, dictionary, DICT_COLUMNS).select("row_id", *DICT_COLUMNS)
+    columns = ["userID", *DICT_COLUMNS]
+    dictionary = written(encode.fit_ordinal(log.where("split = 0"), columns), "dictionary")
+    return encode.apply_ordinal(log.where("split = 1"), dictionary, columns).select("row_id", *columns)
 
 
 @query("encode_table")
@@ -426,8 +491,14 @@ def encode_first_seen(spark, sf_dir):
 @query("lookup_apply")
 def lookup_apply(spark, sf_dir):
     log = event_log(spark, sf_dir)
-    rates = grains.mean_encoding(src.scored(log).where("KnowledgeTag < 3"), "testId", "answerCode")
-    return apply_lookup(log, "testId", rates, "test_rate", F.lit(0.5)).select("row_id", "testId", "test_rate")
+    """Fitted on the train log, applied to the test log."""
+    train, test = src.scored(log).where("split = 0"), log.where("split = 1")
+    rates = grains.mean_encoding(train, "testId", "answerCode")
+    found = apply_lookup(test, "testId", rates, "test_rate", F.lit(0.5))
+    users = grains.mean_encoding(train, "userID", "answerCode")
+    return apply_lookup(found, "userID", users, "user_rate", F.lit(0.5)).select(
+        "row_id", "testId", "test_rate", "user_rate"
+    )
 
 
 @query("encoders_apply")
@@ -483,26 +554,50 @@ def user_sequences(spark, sf_dir):
 
 
 def _padded(spark, sf_dir):
+    """The last 20 rows of every learner."""
     log = event_log(spark, sf_dir)
     dictionary = written(encode.fit_ordinal(log, DICT_COLUMNS), "dictionary")
-    coded = encode.apply_ordinal(windows.segment_users(log, 30), dictionary, DICT_COLUMNS)
-    timed_rows = windows.consumed_time(coded)
-    return sequences.padded_sequences(
-        timed_rows, DICT_COLUMNS, ["consumedTime"], "answerCode", 20, "segment_id"
-    )
+    rows = encode.apply_ordinal(windows.consumed_time_user(log), dictionary, DICT_COLUMNS)
+    return sequences.padded_sequences(rows, DICT_COLUMNS, ["consumedTime"], "answerCode", 20)
 
 
 @query("padded_sequences")
 def padded_sequences(spark, sf_dir):
     rows = _padded(spark, sf_dir).withColumn("consumedTime_seq", F.col("consumedTime_seq").cast("array<bigint>"))
     names = [f"{c}_seq" for c in [*DICT_COLUMNS, "consumedTime", "answerCode"]]
-    return rows.select("segment_id", *[joined(c) for c in names], joined("mask"))
+    return rows.select("userID", *[joined(c) for c in names], joined("mask"))
 
 
 @query("interaction_seq")
 def interaction_seq(spark, sf_dir):
     rows = sequences.with_interaction(_padded(spark, sf_dir))
-    return rows.select("segment_id", joined("interaction_seq"), joined("mask"))
+    return rows.select("userID", joined("interaction_seq"), joined("mask"))
+
+
+def _ten_thousandths(column: str) -> Column:
+    """Numbers as whole ten-thousandths, so that texts compare across engines."""
+    whole = F.transform(column, lambda x: F.round(x * 10000).cast("bigint"))
+    return F.array_join(whole, ",", "NULL").alias(column)
+
+
+@query("sequence_padded")
+def sequence_padded(spark, sf_dir):
+    rows = tables.sequence_padded(tables.sequence_table(event_log(spark, sf_dir)))
+    codes = [joined(f"{c}_seq") for c in [*tables.SEQUENCE_CATS, "answerCode"]]
+    return rows.select("segment_id", *codes, *[_ten_thousandths(f"{c}_seq") for c in tables.SEQUENCE_NUMS], joined("mask"))
+
+
+@query("sequence_test")
+def sequence_test(spark, sf_dir):
+    """Fitted on the train log, saved, loaded, applied to the whole learners of the test log."""
+    log = event_log(spark, sf_dir)
+    fitted = tables.fit_sequences(log.where("split = 0"))
+    folder = _saved(spark)
+    save_assets(fitted[0], f"{folder}/assets")
+    save_dictionary(fitted[1], f"{folder}/dictionary")
+    assets, dictionary = load_assets(spark, f"{folder}/assets"), load_dictionary(spark, f"{folder}/dictionary")
+    rows = tables.sequence_inference(log.where("split = 1"), assets, dictionary).drop("Timestamp")
+    return rows.withColumns({c: F.round(c, 6) for c in tables.SEQUENCE_NUMS})
 
 
 @query("graph_nodes")
@@ -519,8 +614,17 @@ def graph_edges(spark, sf_dir):
 
 
 def _elo(spark, sf_dir, key, out, **options):
+    """The rating, and the parameters behind it."""
     log = event_log(spark, sf_dir)
-    return elo_ops.elo(log, key, out, ELO_ROUNDS, **options).select("row_id", rounded(out))
+    rows = elo_ops.with_ratings(log, elo_ops.elo_fit(log, [key], **options), [key])
+    theta, beta = F.col(f"theta_{key}"), F.col(f"beta_{key}")
+    return rows.select(
+        "row_id",
+        F.round(theta, 6).alias("theta"),
+        F.round(beta, 6).alias("beta"),
+        F.round(theta - beta, 6).alias("difference"),
+        F.round(sigmoid(theta - beta), 6).alias(out),
+    )
 
 
 @query("elo_assessment")
@@ -538,18 +642,17 @@ def elo_tag(spark, sf_dir):
     return _elo(spark, sf_dir, "KnowledgeTag", "elo_tag")
 
 
-@query("elo_assessment_logistic")
-def elo_assessment_logistic(spark, sf_dir):
-    return _elo(
-        spark, sf_dir, "assessmentItemID", "elo_assessment", formula="logistic", scored_only=True
-    )
+@query("elo_assessment_as_written")
+def elo_assessment_as_written(spark, sf_dir):
+    """The sum of the three terms as probability, rows to be predicted included."""
+    return _elo(spark, sf_dir, "assessmentItemID", "elo_assessment", formula="as_written", scored_only=False)
 
 
 # ---- model tables ---------------------------------------------------------------------
 
 
 def _boosting(spark, sf_dir, part):
-    parts = tables.boosting_parts(event_log(spark, sf_dir), ELO_ROUNDS, (part,))
+    parts = tables.boosting_parts(event_log(spark, sf_dir), (part,))
     return parts[part].withColumns({c: F.round(c, 6) for c in tables.ELO_FEATURES.values()})
 
 
@@ -583,27 +686,59 @@ def sequence_table(spark, sf_dir):
 # ---- models and metrics -----------------------------------------------------------------
 
 
+def _boosted(spark, sf_dir, wanted):
+    parts, _ = tables.encoded_parts(tables.boosting_parts(event_log(spark, sf_dir), ("train_split", "valid", wanted)))
+    train, valid = written(parts["train_split"], "train"), written(parts["valid"], "valid")
+    model = models.fit_boosting(train, valid, tables.BOOSTING_FEATURES)
+    rows = valid if wanted == "valid" else parts[wanted]
+    return models.score(model, models.filled(rows, tables.BOOSTING_FEATURES), "p")
+
+
 @query("boosting_scores")
 def boosting_scores(spark, sf_dir):
-    wanted = ("train_split", "valid", "test")
-    parts, _ = tables.encoded_parts(tables.boosting_parts(event_log(spark, sf_dir), ELO_ROUNDS, wanted))
-    model = models.fit_boosting(
-        written(parts["train_split"], "train"), written(parts["valid"], "valid"),
-        tables.BOOSTING_FEATURES, max_iter=5, max_depth=4,
+    return _boosted(spark, sf_dir, "test").select("row_id", "p")
+
+
+def _scored_well(rows):
+    """AUC, accuracy and RMSE of a model's scores, one row."""
+    rows = written(rows.select("answerCode", "p"), "scores")
+    label, p = F.col("answerCode"), F.col("p")
+    plain = rows.agg(
+        metrics.accuracy(label, p).alias("accuracy"), metrics.rmse(label, p).alias("rmse"), F.count("*").alias("n")
     )
-    test = models.filled(parts["test"], tables.BOOSTING_FEATURES)
-    return models.score(model, test, "p").select("row_id", "p")
+    return plain.withColumn("auc", metrics.auc(rows, "answerCode", "p").scalar())
 
 
-@query("fm_scores")
-def fm_scores(spark, sf_dir):
-    rows, dictionary = tables.context_table(event_log(spark, sf_dir))
+@query("boosting_metrics")
+def boosting_metrics(spark, sf_dir):
+    """Fitted on the rows before each learner's last, measured on these."""
+    return _scored_well(_boosted(spark, sf_dir, "valid"))
+
+
+def _fm(spark, sf_dir, held_out):
+    log = event_log(spark, sf_dir)
+    rows, dictionary = tables.context_table(log)
     rows = written(rows, "context-table")
     dims = {r["field"]: r["size"] for r in cardinality(dictionary).collect()}
     fields = {c: dims[c] for c in tables.CONTEXT_FIELDS}
-    model = models.fit_fm(rows.where("part = 'train'"), fields, max_iter=20)
-    test = models.fm_fields(rows.where("part = 'test'"), fields)
-    return models.score(model, test, "p").select("row_id", "p")
+    train, test = rows.where("part = 'train'"), rows.where("part = 'test'")
+    if held_out:
+        parts = splits.split_last3(written(splits.context_rows(log), "context-rows")).select("row_id", F.col("part").alias("half"))
+        train = written(train.join(parts, "row_id"), "context-split")
+        train, test = train.where("half = 'train'"), train.where("half = 'valid'")
+    model = models.fit_fm(train, fields)
+    return models.score(model, models.fm_fields(test, fields), "p")
+
+
+@query("fm_scores")
+def fm_scores(spark, sf_dir):
+    return _fm(spark, sf_dir, False).select("row_id", "p")
+
+
+@query("fm_metrics")
+def fm_metrics(spark, sf_dir):
+    """Fitted without the last three rows of every learner, measured on these."""
+    return _scored_well(_fm(spark, sf_dir, True))
 
 
 def _rated_rows(spark, sf_dir):
@@ -631,18 +766,23 @@ def score_metrics(spark, sf_dir):
 def _class_scores(spark, sf_dir):
     """Event type as class; smoothed shares of the learner's types as class scores."""
     events = table(spark, sf_dir, "events")
-    classes = F.array(*[F.lit(c) for c in EVENT_CLASSES])
-    rows = events.select(
+    kinds = events.agg(F.array_sort(F.collect_set("event_type")).alias("classes"))
+    rows = events.join(F.broadcast(kinds)).select(
         F.col("user_id").cast("string").alias("user"),
-        (F.array_position(classes, F.col("event_type")) - 1).cast("int").alias("label"),
+        (F.array_position("classes", F.col("event_type")) - 1).cast("int").alias("label"),
+        F.size("classes").alias("n"),
     )
-    shares = rows.groupBy(F.col("user").alias("key")).agg(
-        F.array(
-            *[
-                (F.sum((F.col("label") == i).cast("int")) + 1) / (F.count(F.lit(1)) + len(EVENT_CLASSES))
-                for i in range(len(EVENT_CLASSES))
-            ]
-        ).alias("value")
+    counts = rows.groupBy("user", "label", "n").agg(F.count(F.lit(1)).alias("c"))
+    shares = (
+        counts.groupBy(F.col("user").alias("key"), "n")
+        .agg(F.map_from_entries(F.collect_list(F.struct("label", "c"))).alias("met"), F.sum("c").alias("total"))
+        .select(
+            "key",
+            F.transform(
+                F.sequence(F.lit(0), F.col("n") - 1),
+                lambda i: (F.coalesce(F.try_element_at("met", i), F.lit(0)) + 1) / (F.col("total") + F.col("n")),
+            ).alias("value"),
+        )
     )
     return apply_lookup(rows, "user", shares, "shares")
 

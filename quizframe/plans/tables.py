@@ -19,14 +19,16 @@ from quizframe.operators.encode import (
     replace_outliers,
     text_columns,
 )
-from quizframe.operators.grains import join_features, mean_encoding, quartiles, value_counts
+from quizframe.operators.grains import grain_lookups, join_lookups, mean_encoding, quartiles, value_counts
 from quizframe.operators.ordered import FRAME_ORD, USER_ORD, lay_out
+from quizframe.operators.sequences import padded_sequences
 from quizframe.operators.splits import context_rows, split_last
 from quizframe.operators.windows import (
     answer_lags,
     category_correct,
     category_running,
     consumed_time,
+    consumed_time_user,
     elapsed,
     segment_users,
     tag_occurrence,
@@ -40,6 +42,7 @@ from quizframe.operators.windows import (
 from quizframe.runtime import written
 from quizframe.sources.answers import scored, unscored
 
+# The output schema of the table.
 ROW_FEATURES = [
     "userID",
     "assessmentItemID",
@@ -91,16 +94,18 @@ BOOSTING_FEATURES = [*ROW_FEATURES, *GRAIN_FEATURES, *ELO_FEATURES.values()]
 
 def row_features(
     log: DataFrame,
-    rounds: int = 8,
-    formula: str = "as_written",
-    scored_only: bool = False,
+    formula: str = "logistic",
+    scored_only: bool = True,
     exclude_current: bool = False,
 ) -> DataFrame:
     """The log with all per-row features of the boosting table.
 
     Learner windows run back to back, so the log is partitioned by learner once
-    for all of them; the table-wide running counts follow.
+    for all of them; the table-wide running counts follow. The log is written
+    once, since its size is counted, the answer times need a threshold over all
+    rows, and the ratings start from it again.
     """
+    log = written(log, "log")
     df, layout = lay_out(with_codes(with_calendar(log)), ["userID"], USER_ORD)
     df = answer_lags(df, layout=layout)
     df = elapsed(df, layout=layout)
@@ -109,12 +114,12 @@ def row_features(
     df = time_delta_user(df, layout).drop(layout.block or "_block")
     df = category_running(df, layout.rows)
     df = week_running(df, exclude_current, layout.rows)
-    params = elo_fit(log, list(ELO_FEATURES), rounds, formula, scored_only)
+    params = elo_fit(log, list(ELO_FEATURES), formula, scored_only)
     return with_elo(df, params, ELO_FEATURES)
 
 
 def boosting_parts(
-    log: DataFrame, rounds: int = 8, parts: tuple[str, ...] = ("train", "train_split", "valid", "test"), **options
+    log: DataFrame, parts: tuple[str, ...] = ("train", "train_split", "valid", "test"), **options
 ) -> dict[str, DataFrame]:
     """The wanted parts of the boosting table.
 
@@ -123,16 +128,19 @@ def boosting_parts(
     scored rows, ``valid`` and ``train_split`` only from the rows before the
     held-out ones.
     """
-    rows = written(split_last(row_features(log, rounds, **options)), "row-features")
+    rows = written(split_last(row_features(log, **options)), "row-features")
     base = scored(rows)
     before = base.where(F.col("part") == "train")
     sources = {
-        "train": (base, base),
-        "train_split": (before, before),
-        "valid": (before, base.where(F.col("part") == "valid")),
-        "test": (base, unscored(rows)),
+        "train": ("all", base),
+        "train_split": ("before", before),
+        "valid": ("before", base.where(F.col("part") == "valid")),
+        "test": ("all", unscored(rows)),
     }
-    return {name: _selected(join_features(*sources[name])) for name in parts}
+    # One set of aggregates per base, however many parts use it.
+    known = {"all": base, "before": before}
+    sets = {name: grain_lookups(known[name]) for name in {sources[p][0] for p in parts}}
+    return {p: _selected(join_lookups(sources[p][1], sets[sources[p][0]])) for p in parts}
 
 
 def _selected(df: DataFrame) -> DataFrame:
@@ -272,7 +280,30 @@ def sequence_table(log: DataFrame, n: int = 20) -> DataFrame:
     rows = written(sequence_rows(log, n), "sequence-rows")
     assets = written(fit_sequence_assets(rows), "assets")
     dictionary = written(fit_ordinal(rows, SEQUENCE_CATS), "dictionary")
+    return _sequence_columns(rows, assets, dictionary, "segment_id")
+
+
+def _sequence_columns(rows: DataFrame, assets: DataFrame, dictionary: DataFrame, *keys: str) -> DataFrame:
     coded = apply_ordinal(apply_sequence_assets(rows, assets), dictionary, SEQUENCE_CATS)
-    return coded.select(
-        "segment_id", "row_id", "Timestamp", *SEQUENCE_CATS, *SEQUENCE_NUMS, "answerCode"
-    )
+    return coded.select(*keys, "row_id", "Timestamp", *SEQUENCE_CATS, *SEQUENCE_NUMS, "answerCode")
+
+
+def fit_sequences(log: DataFrame, n: int = 20) -> tuple[DataFrame, DataFrame]:
+    """Assets and dictionary of the sequence table, to be saved for inference."""
+    rows = written(sequence_rows(log, n), "sequence-rows")
+    return written(fit_sequence_assets(rows), "assets"), written(fit_ordinal(rows, SEQUENCE_CATS), "dictionary")
+
+
+def sequence_inference(log: DataFrame, assets: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """The sequence columns of whole learners with rows to predict, by saved fits.
+
+    Learners are not cut; a value that the dictionary does not know gets the
+    code of ``unknown``, a key that an asset does not know gets NULL.
+    """
+    rows = written(consumed_time_user(log), "inference-rows")
+    return _sequence_columns(rows, assets, dictionary, "userID")
+
+
+def sequence_padded(rows: DataFrame, n: int = 20, by: tuple[str, ...] = ("segment_id",)) -> DataFrame:
+    """The model input: four categories, nine numbers and the target as padded arrays."""
+    return padded_sequences(rows, SEQUENCE_CATS, SEQUENCE_NUMS, "answerCode", n, by)

@@ -6,7 +6,7 @@ session settings, so a cluster (or a test) can change them:
 * ``quizframe.groupRows``     most rows of one ordered group for one task
 * ``quizframe.stateRows``     most values of one in-memory quantile state
 * ``quizframe.blockRows``     rows per block once a group is split
-* ``quizframe.broadcastRows`` most rows of a lookup that is broadcast
+* ``quizframe.broadcastBytes`` most bytes of a lookup that is broadcast, by its row count and types
 """
 
 from __future__ import annotations
@@ -15,12 +15,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _DEFAULTS = {
     "quizframe.groupRows": 1_000_000,
     "quizframe.stateRows": 100_000,
     "quizframe.blockRows": 1_000_000,
-    "quizframe.broadcastRows": 500_000,
+    "quizframe.broadcastBytes": 64 << 20,
 }
 # A list of heavy groups is broadcast, so its length is bounded: a group counts
 # as heavy only from total/_MAX_HEAVY rows on.
@@ -39,31 +40,59 @@ def heavy_threshold(spark: SparkSession, total: int, name: str = "groupRows") ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir`` of the session."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    import tempfile
+    return folder.rstrip("/")
 
-    folder = tempfile.mkdtemp(prefix="quizframe-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir()
+
+def run_dir(spark: SparkSession) -> str:
+    """This application's own folder below the shared one."""
+    return f"{shared_dir(spark)}/quizframe/{spark.sparkContext.applicationId}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete all tables this application has written.
+
+    Results are computed when they are read, from these tables: call it only
+    when every result has been read or saved.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` as a parquet table in the shared folder and read it back.
+    """Write ``df`` as a parquet table in the application's folder and read it back.
 
     Cuts the lineage, survives lost executors, and lets later steps read only
-    the columns (and partitions) they use.
+    the columns (and partitions) they use. ``clean_up`` deletes the tables.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quizframe/{name}-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
     # Schema given: partition columns keep their type and no file is opened
     # to infer one.
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_bytes(kind: T.DataType) -> int:
+    """Estimated bytes of a value: texts count 48, arrays 32 elements."""
+    match kind:
+        case T.StructType():
+            return 16 + sum(row_bytes(f.dataType) for f in kind.fields)
+        case T.ArrayType():
+            return 16 + 32 * row_bytes(kind.elementType)
+        case T.StringType() | T.BinaryType():
+            return 48
+        case _:
+            return 16
+
+
+def fits_broadcast(df: DataFrame, rows: int) -> bool:
+    """Is a table of so many rows within the limit for a broadcast?"""
+    return rows * row_bytes(df.schema) <= limit(df.sparkSession, "broadcastBytes")
+
+
 def key_sizes(df: DataFrame, columns: list[str]) -> tuple[int, dict[str, int]]:
     """Rows of ``df`` and distinct values of every column, in one pass.
 

@@ -57,7 +57,7 @@ def read_answers(spark: SparkSession, path: str, split: int = 0, parse_ts: bool
         F.format_string(
             "%d|%s|%020d|%012d",
             F.lit(split),
-            F.col("_metadata.file_name"),
+            F.col("_metadata.file_path"),
             F.col("_metadata.file_block_start"),
             position,
         ).alias("row_id"),
