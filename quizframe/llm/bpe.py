@@ -9,12 +9,12 @@ letter runs, single digits and runs of other characters.
 
 Words to ids: a task gathers the distinct words of a slice that it has not met
 yet and lays their bytes out as symbols in one flat array. In every round the keys
-of all neighbouring pairs are looked up by binary search in the sorted table of
-mergeable pairs; each word merges all places of its lowest-ranked pair, left to
-right, and words without a mergeable pair leave the array. Where such a merge would
-make a pair of a rank as low as the merged one, the word merges its leftmost place
-only, since that new pair comes first. The result is that of merging one place at a
-time, lowest rank first, leftmost first.
+of neighbouring pairs that are new are looked up by binary search in the sorted table of mergeable
+pairs; each word merges all places of its lowest-ranked pair, left to right, and words
+without a mergeable pair leave the array. Where the merged symbol may be part of a pair
+of as low a rank, the word merges its leftmost place only, since such a pair would come
+first. The result is that of merging one place at a time, lowest rank first, leftmost
+first.
 
 NULL is encoded as the empty text, which has no ids and decodes to the empty text.
 """
@@ -63,6 +63,10 @@ def load_vocabulary(path: str) -> dict:
     # A pair listed twice has the rank of its last place.
     last = len(pairs) - 1 - np.unique(pairs[::-1], return_index=True)[1]
     merged = np.array([vocab[a + b] for a, b in model["merges"]], np.int64)
+    # The lowest rank of a pair that each symbol is part of.
+    least = np.full(max(vocab.values()) + 1, _NONE)
+    for side in (pairs >> 32, pairs & 0xFFFFFFFF):
+        np.minimum.at(least, side, np.arange(len(pairs)))
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in special.items()}
     return {
@@ -71,6 +75,7 @@ def load_vocabulary(path: str) -> dict:
         "pairs": pairs[last],
         "ranks": last.astype(np.int64),
         "merged": merged[last],
+        "least": least,
         "tokens": [tokens.get(i, "") for i in range(max(tokens) + 1)],
         "special": special,
     }
@@ -84,61 +89,63 @@ def _ranked(vocabulary: dict, left: np.ndarray, right: np.ndarray):
     return np.where(known, vocabulary["ranks"][at], _NONE), vocabulary["merged"][at]
 
 
-def merge_words(vocabulary: dict, words: list[bytes]) -> list[np.ndarray]:
-    """Ids of every (non-empty) word."""
-    out: list[np.ndarray] = [np.empty(0, np.int64)] * len(words)
+def merge_words(vocabulary: dict, words: list[bytes]) -> list[bytes]:
+    """Ids of every (non-empty) word, as packed 32-bit numbers."""
+    out: list[bytes] = [b""] * len(words)
+    if not words:
+        return out
     sizes = np.array([len(w) for w in words])
     raw = np.frombuffer(b"".join(words), np.uint8)
     symbols = vocabulary["inner"][raw]
     ends = np.cumsum(sizes)
     symbols[ends - 1] = vocabulary["final"][raw[ends - 1]]
-    name = np.arange(len(words))
-    owner = np.repeat(np.arange(len(words)), sizes)
+    # Of every place: its word, and rank and result of merging it with the next.
+    name, owner = np.arange(len(words)), np.repeat(np.arange(len(words)), sizes)
+    ranks, merged = np.full(len(symbols), _NONE), np.zeros(len(symbols), np.int64)
+    fresh = np.ones(len(symbols), bool)
     while len(symbols):
-        count = len(name)
-        starts = np.searchsorted(owner, np.arange(count))
-        ranks = np.full(len(symbols), _NONE)
-        new = np.zeros(len(symbols), np.int64)
-        ranks[:-1], new[:-1] = _ranked(vocabulary, symbols[:-1], symbols[1:])
-        ranks[np.append(starts[1:], len(symbols)) - 1] = _NONE
+        fresh[-1] = False
+        fresh[:-1] &= owner[1:] == owner[:-1]
+        at = np.flatnonzero(fresh)
+        ranks[at], merged[at] = _ranked(vocabulary, symbols[at], symbols[at + 1])
+        starts = np.flatnonzero(np.diff(owner, prepend=-1))
         lowest = np.minimum.reduceat(ranks, starts)
         done = lowest == _NONE
         if done.any():
-            bounds = np.append(starts, len(symbols))
-            for w in np.flatnonzero(done):
-                out[name[w]] = symbols[bounds[w] : bounds[w + 1]]
-            stay = ~done[owner]
-            symbols, ranks, new, lowest, name = symbols[stay], ranks[stay], new[stay], lowest[~done], name[~done]
-            owner = (np.cumsum(~done) - 1)[owner[stay]]
+            gone = done[owner]
+            packed = symbols[gone].astype(np.int32).tobytes()
+            stops = (4 * np.cumsum(np.diff(starts, append=len(symbols))[done])).tolist()
+            begin = 0
+            for w, stop in zip(name[done].tolist(), stops, strict=True):
+                out[w] = packed[begin:stop]
+                begin = stop
+            symbols, ranks, merged = symbols[~gone], ranks[~gone], merged[~gone]
+            owner = (np.cumsum(~done) - 1)[owner[~gone]]
+            lowest, name = lowest[~done], name[~done]
             if not len(symbols):
                 break
-        low = lowest[owner]
-        places = np.flatnonzero(ranks == low)
+        places = np.flatnonzero(ranks == lowest[owner])
         # Of places in a row (a pair of equal symbols), every second one.
-        fresh = np.ones(len(places), bool)
-        fresh[1:] = (places[1:] != places[:-1] + 1) | (owner[places[1:]] != owner[places[:-1]])
-        run = np.maximum.accumulate(np.where(fresh, np.arange(len(places)), 0))
+        first = np.ones(len(places), bool)
+        first[1:] = (places[1:] != places[:-1] + 1) | (owner[places[1:]] != owner[places[:-1]])
+        run = np.maximum.accumulate(np.where(first, np.arange(len(places)), 0))
         places = places[(np.arange(len(places)) - run) % 2 == 0]
-        # Would a merge make a pair that comes before the places left?
-        made = new[places]
+        # Might the merged symbol make a pair that comes before the places left?
         own = owner[places]
-        before, after = np.maximum(places - 1, 0), np.minimum(places + 2, len(symbols) - 1)
-        early = np.minimum.reduce(
-            [
-                np.where(owner[before] == own, _ranked(vocabulary, symbols[before], made)[0], _NONE),
-                np.where(owner[after] == own, _ranked(vocabulary, made, symbols[after])[0], _NONE),
-                _ranked(vocabulary, made, made)[0],
-            ]
-        )
-        careful = np.zeros(len(name), bool)
-        careful[own[early <= low[places]]] = True
+        careful = vocabulary["least"][merged[places]] <= ranks[places]
         first = np.ones(len(places), bool)
         first[1:] = own[1:] != own[:-1]
-        places = places[first | ~careful[own]]
-        symbols[places] = new[places]
+        places = places[first | ~careful]
+        symbols[places] = merged[places]
         left = np.ones(len(symbols), bool)
         left[places + 1] = False
-        symbols, owner = symbols[left], owner[left]
+        fresh = np.zeros(len(symbols), bool)
+        fresh[places] = True
+        # The pairs on both sides of a merged symbol are new.
+        before = places[places > 0] - 1
+        fresh[np.where(left[before], before, before - 1)] = True
+        symbols, owner, ranks, merged, fresh = symbols[left], owner[left], ranks[left], merged[left], fresh[left]
+        ranks[fresh] = _NONE
     return out
 
 
@@ -172,7 +179,7 @@ class Encoder:
         if len(self.known) > CACHE_WORDS:
             self._forget()
         missing = [c for c in chunks if c not in self.known]
-        cut = [self.words.findall(c) for c in missing]
+        cut = [(c,) if c.isalpha() else self.words.findall(c) for c in missing]
         words = list(dict.fromkeys(w for ws in cut for w in ws))
         ids: dict[str, bytes] = {}
         at = 0
@@ -180,10 +187,12 @@ class Encoder:
         ends = np.cumsum([len(w) for w in encoded], dtype=np.int64)
         while at < len(words):
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + MERGE_BYTES, side="right")))
-            found = merge_words(self.vocabulary, encoded[at:to])
-            ids |= zip(words[at:to], (x.astype(np.int32).tobytes() for x in found), strict=True)
+            ids |= zip(words[at:to], merge_words(self.vocabulary, encoded[at:to]), strict=True)
             at = to
-        self.known |= zip(missing, (b"".join(map(ids.__getitem__, ws)) for ws in cut), strict=True)
+        self.known |= ids
+        for chunk, ws in zip(missing, cut, strict=True):
+            if len(ws) != 1:
+                self.known[chunk] = b"".join([ids[w] for w in ws])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         chunks = [self.chunks(t) for t in texts]

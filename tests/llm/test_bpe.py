@@ -53,9 +53,10 @@ def test_new_pairs_come_before_places_left():
         return {
             "inner": np.array([ids[c] for c in letters]), "final": np.array([ids[c + "_"] for c in letters]),
             "pairs": pairs[order], "ranks": order, "merged": merged[order],
+            "least": np.array([min([r for r, m in enumerate(merges) if t in m], default=2**62) for t in names]),
         }
 
-    shown = lambda merges, w: [names[i] for i in merge_words(tables(merges), [w])[0]]
+    shown = lambda merges, w: [names[i] for i in np.frombuffer(merge_words(tables(merges), [w])[0], np.int32)]
     assert shown([("ab", "a"), ("a", "b")], b"abababc") == ["aba", "b", "ab", "c_"]
     assert shown([("a", "b"), ("ab", "a")], b"abababc") == ["ab", "ab", "ab", "c_"]
 
