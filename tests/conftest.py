@@ -34,6 +34,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -44,7 +45,7 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def tiny_limits(spark):
     """Every group is too large for a task, every lookup too large to broadcast."""
-    settings = {"groupRows": 3, "stateRows": 3, "blockRows": 4, "broadcastRows": 1}
+    settings = {"groupRows": 3, "stateRows": 3, "blockRows": 4, "broadcastBytes": 1}
     for name, value in settings.items():
         spark.conf.set(f"quizframe.{name}", str(value))
     yield

@@ -1,13 +1,16 @@
 """Ordered features: goldens, and the block layout against plain windows."""
 
+import math
 import random
 
+import numpy as np
+import pytest
 from conftest import column
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quizframe.operators import windows
-from quizframe.operators.elo import elo_fit
+from quizframe.operators.elo import elo, elo_fit
 from quizframe.operators.joins import lookup_join
 from quizframe.operators.ordered import (
     USER_ORD,
@@ -184,21 +187,84 @@ def test_segments_and_consumed_time(make_log):
     assert column(rows, "beforeCorrect") == [0, 2, 1, 0]
 
 
-def test_elo_equals_serial_fold_without_conflicts(make_log):
-    """Latin square: every batch holds each learner and each item once."""
-    n = 4
-    rows = [(u + 1, f"A0100000100{(u + t) % n}", (u * t + u) % 2, t) for t in range(n) for u in range(n)]
-    import math
-
+def serial_elo(rows):
+    """theta and beta of the serial fold, from (user, item, answer) in order."""
     theta, beta, nu, ni = {}, {}, {}, {}
-    for u, item, y, _ in rows:
+    for u, item, y in rows:
         miss = y - 1 / (1 + math.exp(-(theta.get(u, 0) - beta.get(item, 0))))
         a, b = nu.get(u, 0), ni.get(item, 0)
         theta[u] = theta.get(u, 0) + max(0.3 / (1 + 0.01 * a), 0.04) * miss
         beta[item] = beta.get(item, 0) - 1 / (1 + 0.05 * b) * miss
         nu[u], ni[item] = a + 1, b + 1
-    params = elo_fit(make_log(rows), ["assessmentItemID"], rounds=n, formula="logistic")
+    return theta, beta
+
+
+def test_elo_equals_serial_fold_without_conflicts(make_log):
+    """Batches 0 and 1 hold each learner and each item once."""
+    n = 4
+    rows = [(u + 1, f"A0100000100{(u + t) % n}", (u * t + u) % 2, t) for t in range(2) for u in range(n)]
+    theta, beta = serial_elo([r[:3] for r in rows])
+    params = elo_fit(make_log(rows), ["assessmentItemID"])
     got = {(r["kind"], r["id"]): r["value"] for r in params.collect()}
     want = {("learner", str(u)): v for u, v in theta.items()} | {("item", i): v for i, v in beta.items()}
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+@pytest.fixture(scope="module")
+def skilled():
+    """150 learners of 67 answers by skill and difficulty, and one of 20,000."""
+    rng = np.random.default_rng(0)
+    skill, hard = rng.normal(size=151), rng.normal(size=100)
+
+    def answers(user, n):
+        items = rng.integers(0, 100, n)
+        right = rng.random(n) < 1 / (1 + np.exp(hard[items] - skill[user]))
+        return [(user, f"A0{1 + i % 9}000001{i:03d}", int(y), int(t), int(i % 7)) for t, (i, y) in enumerate(zip(items, right, strict=True))]
+
+    rows = [r for u in range(150) for r in answers(u, 67)]
+    rows = [(u, i, y, t * 150 + u, g) for u, i, y, t, g in rows]
+    return rows, [(u, i, y, t, g) for u, i, y, t, g in answers(150, 20_000)]
+
+
+def ratings(log, key):
+    return {r["row_id"]: r["e"] for r in elo(log, key, "e").select("row_id", "e").collect()}
+
+
+@pytest.mark.parametrize("key,column_", [("assessmentItemID", 1), ("KnowledgeTag", 4)])
+def test_elo_is_close_to_the_serial_fold(make_log, skilled, key, column_):
+    rows, long = skilled
+    theta, beta = serial_elo([(r[0], r[column_], r[2]) for r in sorted(rows, key=lambda r: r[3])])
+    want = np.array([1 / (1 + math.exp(-(theta[r[0]] - beta[r[column_]]))) for r in rows])
+    found = ratings(make_log(rows), key)
+    got = np.array([found[i] for i in range(len(rows))])
+    assert np.corrcoef(want, got)[0, 1] > 0.9 and np.abs(want - got).mean() < 0.05
+    assert len(set(got.round(6))) > 100
+    # One long learner moves the others' ratings little.
+    more = ratings(make_log(rows + long), key)
+    assert abs(np.mean([more[i] - found[i] for i in range(len(rows))])) < 0.02
+
+
+def test_elo_of_an_empty_log(make_log):
+    assert elo_fit(make_log([]), ["testId"]).count() == 0
+
+
+def test_quantiles_have_the_same_digits_on_every_path(spark):
+    rng = np.random.default_rng(1)
+    rows = [(int(k), float(v)) for k, v in zip(rng.integers(0, 3, 900), rng.normal(size=900) * 1e7 / 3, strict=True)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    probs = [0.01, 0.1, 1 / 3, 0.5, 0.77, 0.99]
+
+    def found(**limits):
+        for name, value in limits.items():
+            spark.conf.set(f"quizframe.{name}", str(value))
+        try:
+            per = {r["k"]: r["q"] for r in quantiles(df, ["k"], {"q": F.col("v")}, probs).collect()}
+            return per, quantiles(df, [], {"q": F.col("v")}, probs).first()["q"]
+        finally:
+            for name in limits:
+                spark.conf.unset(f"quizframe.{name}")
+
+    plain = found()
+    assert found(groupRows=3, stateRows=3, blockRows=40) == plain
+    assert found(groupRows=3, stateRows=800) == plain

@@ -10,6 +10,8 @@ from conftest import SMALL
 from quizframe.plans.oracle import FINALS, oracle
 from quizframe.plans.queries import QUERIES, event_log, line_log
 from quizframe.operators import windows
+from quizframe.operators.grains import grain_lookups, join_lookups
+from quizframe.runtime import run_dir, written
 
 
 @pytest.fixture(scope="module")
@@ -40,12 +42,23 @@ def test_oracle(spark, duck, name):
     assert as_rows(df.columns, df.collect()) == as_rows(columns, found.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(FINALS)))
+@pytest.mark.parametrize("name", ["boosting_scores", "fm_scores"])
 def test_scores_are_probabilities(spark, name):
     rows = QUERIES[name](spark, SMALL).collect()
     assert rows and all(0 <= r["p"] <= 1 for r in rows)
 
 
+@pytest.mark.parametrize("name", ["boosting_metrics", "fm_metrics"])
+def test_model_metrics_are_in_bounds(spark, name):
+    (row,) = QUERIES[name](spark, SMALL).collect()
+    assert row["n"] > 0 and all(0 <= row[c] <= 1 for c in ("auc", "accuracy"))
+    assert 0 <= row["rmse"] <= 1.001
+
+
+def test_every_query_has_an_oracle_or_a_test_of_its_own():
+    assert set(QUERIES) - set(FINALS) == {"boosting_scores", "fm_scores", "boosting_metrics", "fm_metrics"}
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -74,4 +87,33 @@ def test_scan_reads_only_needed_columns(spark):
 
 
 def test_small_lookups_are_broadcast(spark):
-    assert "BroadcastHashJoin" in plan(QUERIES["lookup_apply"](spark, SMALL))
+    df = QUERIES["lookup_apply"](spark, SMALL)
+    df.collect()
+    assert "BroadcastHashJoin" in plan(df)
+
+
+def test_chained_lookups_read_the_log_once(spark, make_log, tiny_limits):
+    """Lookups too large to broadcast, with a heavy key: still one plan."""
+    log = windows.with_codes(windows.elapsed(make_log([(1 + i % 3 // 2, f"A0100000{i % 7}00{i % 5}", i % 2, i) for i in range(40)])))
+    log = written(log, "log")
+    joined = join_lookups(log, grain_lookups(log))
+    assert plan(joined).count(log.inputFiles()[0].rsplit("/", 1)[0].split(":")[-1]) <= 1
+    assert joined.count() == 40
+
+
+def test_events_are_read_without_a_write(spark):
+    before = len(os.listdir(local(run_dir(spark)))) if os.path.isdir(local(run_dir(spark))) else 0
+    event_log(spark, SMALL)
+    after = len(os.listdir(local(run_dir(spark)))) if os.path.isdir(local(run_dir(spark))) else 0
+    assert before == after
+
+
+def local(path):
+    return path.split(":")[-1]
+
+
+def test_segment_windows_share_the_learner_shuffle(spark):
+    from quizframe.plans.tables import sequence_rows
+
+    log = written(event_log(spark, SMALL), "log")
+    assert plan(sequence_rows(log)).count("Exchange hashpartitioning") == 1

@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+import pytest
 from conftest import column
 from pyspark.sql import functions as F
 
@@ -34,6 +35,29 @@ def test_csv_keeps_file_order_and_time(spark, tmp_path):
     assert text.orderBy("row_id").collect() == rows
 
 
+def test_row_ids_differ_between_folders_with_equal_file_names(spark, tmp_path):
+    for day in ("day1", "day2"):
+        (tmp_path / day).mkdir()
+        write(tmp_path / day, CSV)
+    log = src.read_answers(spark, f"{tmp_path}/day*")
+    assert log.count() == 6 and log.select("row_id").distinct().count() == 6
+
+
+def test_scratch_tables_lie_in_one_folder_and_can_be_deleted(spark, make_log, tmp_path, monkeypatch):
+    from quizframe import runtime
+
+    log = make_log([(1, "A01000001001", 1, 0)])
+    table = runtime.written(log, "x")
+    assert table.count() == 1 and all(runtime.run_dir(spark) in f for f in table.inputFiles())
+    monkeypatch.setattr(runtime, "shared_dir", lambda _: str(tmp_path))
+    again = runtime.written(log, "x")
+    assert again.count() == 1
+    runtime.clean_up(spark)
+    with pytest.raises(Exception, match="(?i)not exist|not found"):
+        again.count()
+    assert table.count() == 1
+
+
 def test_csv_order_survives_many_file_splits(spark, tmp_path):
     body = "".join(f"{i},A06{i:04d}001,A06{i:04d},1,2020-01-01 00:00:00,1\n" for i in range(2000))
     path = write(tmp_path, CSV.splitlines()[0] + "\n" + body)
@@ -109,6 +133,30 @@ def test_boosting_finds_planted_signal(spark, tmp_path):
     assert column(again, "p") == column(scored, "p")
 
 
+def test_boosting_keeps_many_trees_and_beats_one(spark):
+    df = spark.range(600).select(
+        F.col("id").alias("row_id"),
+        ((F.col("id") * 37 % 101) / 101).alias("x"),
+        ((F.col("id") * 53 % 97) / 97).alias("z"),
+    ).withColumn("answerCode", (F.col("x") + F.col("z") > 1).cast("int"))
+    train, valid = df.where("row_id % 4 < 3"), df.where("row_id % 4 = 3")
+
+    def fitted(trees):
+        model = models.fit_boosting(train, valid, ["x", "z"], max_iter=trees, learning_rate=0.3, max_depth=3)
+        return model, auc_of(models.score(model, models.filled(valid, ["x", "z"]), "p"))
+
+    many, good = fitted(12)
+    assert many.stages[-1].getNumTrees > 1
+    assert good > fitted(1)[1]
+
+
+def test_patience():
+    assert models.best_round([5, 4, 3, 2], 2) == 4
+    assert models.best_round([5, 4, 6, 6, 1], 2) == 2
+    assert models.best_round([5, 4, 6, 6, 1], 3) == 5
+    assert models.best_round([1, 1, 1], 5) == 1
+
+
 def test_fm_finds_planted_interaction(spark):
     """Right exactly when both codes are equal: no single field tells."""
     df = spark.range(400).select(
@@ -117,13 +165,20 @@ def test_fm_finds_planted_interaction(spark):
         (F.floor(F.col("id") / 2) % 2).cast("int").alias("b"),
     ).withColumn("answerCode", (F.col("a") == F.col("b")).cast("int"))
     fields = {"a": 2, "b": 2}
-    model = models.fit_fm(df, fields, factor_size=4, max_iter=100, step_size=0.1)
-    scored = models.score(model, models.fm_fields(df, fields), "p")
-    assert auc_of(scored) > 0.95
+    for width in (None, 64):
+        model = models.fit_fm(df, fields, factor_size=4, max_iter=100, step_size=0.1, hash_width=width)
+        scored = models.score(model, models.fm_fields(df, fields), "p")
+        assert auc_of(scored) > 0.95
     unseen = df.limit(1).withColumn("a", F.lit(None).cast("int"))
     assert 0 <= models.score(model, models.fm_fields(unseen, fields), "p").first()["p"] <= 1
 
 
+def test_wide_fields_need_a_chosen_hash_width(spark):
+    df = spark.createDataFrame([(1, 1, 1)], "row_id int, a int, answerCode int")
+    with pytest.raises(ValueError, match="hash_width"):
+        models.fit_fm(df, {"a": 1 << 30})
+
+
 def test_calendar(make_log):
     log = make_log([(1, "A01000001007", 1, 3600 * 7)])
     row = windows.with_context_codes(windows.with_codes(windows.with_calendar(log))).first()

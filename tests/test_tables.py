@@ -168,11 +168,11 @@ def test_sequence_table_on_a_small_log(spark, make_log):
 def test_row_features_in_blocks_equal_plain(spark, make_log):
     rows = [(1 + (i % 5 == 0) * (i % 3), [A, B, C][i % 3], i % 2, i * 7 % 40, i % 2) for i in range(18)]
     log = make_log(rows)
-    plain = sorted(map(str, tables.row_features(log, 2, "logistic").select(*tables.ROW_FEATURES).collect()))
+    plain = sorted(map(str, tables.row_features(log).select(*tables.ROW_FEATURES).collect()))
     spark.conf.set("quizframe.groupRows", "5")
     spark.conf.set("quizframe.blockRows", "6")
     try:
-        cut = sorted(map(str, tables.row_features(log, 2, "logistic").select(*tables.ROW_FEATURES).collect()))
+        cut = sorted(map(str, tables.row_features(log).select(*tables.ROW_FEATURES).collect()))
     finally:
         spark.conf.unset("quizframe.groupRows")
         spark.conf.unset("quizframe.blockRows")
