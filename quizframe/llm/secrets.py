@@ -10,7 +10,7 @@ The lexer adds the kind ``literal``:
    ``"name": value``, ``name := value``, ``name => value``. A value is a quoted
    literal, a bare word, or a sum of such terms.
 2. Constants are propagated: a term that is a name assigned earlier stands for that
-   name's literals, through chains and sums, in text order.
+   name's literals, through chains and sums of any length, in text order.
 3. Each literal is scored by the most sensitive name it reaches: the name's words
    (``dbPassword`` and ``DB_PASSWORD`` both hold ``password``) give a weight, the
    literal's length and variety another; placeholders such as ``changeme`` or
@@ -34,8 +34,6 @@ from quizframe.llm.spans import Span, digests, with_spans
 BASE = ["assign", "access", "hex"]
 KINDS = [*BASE, "literal"]
 REPORT = 0.5
-#: A name stands for at most so many literals; of a longer sum the first ones are followed.
-TERMS = 64
 
 _ASSIGN = re.compile(
     r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE
@@ -45,9 +43,9 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _HINTS = ("password", "passwd", "secret", "token", "api")
 
-_TERM = r"\"(?:[^\"\\\n]|\\.){0,512}\"|'(?:[^'\\\n]|\\.){0,512}'|[A-Za-z0-9_$./+=-]{1,512}"
+_TERM = r"\"(?:[^\"\\\n]|\\.)*+\"|'(?:[^'\\\n]|\\.)*+'|[A-Za-z0-9_$./+=-]++"
 _PAIR = re.compile(
-    rf"(?<![A-Za-z0-9_.-])([A-Za-z_][A-Za-z0-9_.-]{{0,63}})[\"']?[ \t]*(?::=|=>|=(?!=)|:)[ \t]*((?:{_TERM})(?:[ \t]*\+[ \t]*(?:{_TERM}))*)"
+    rf"(?<![A-Za-z0-9_.-])([A-Za-z_][A-Za-z0-9_.-]*+)[\"']?[ \t]*(?::=|=>|=(?!=)|:)[ \t]*((?:{_TERM})(?:[ \t]*\+[ \t]*(?:{_TERM}))*)"
 )
 _TERMS = re.compile(_TERM)
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*\Z")
@@ -93,27 +91,33 @@ def strength(literal: str) -> float:
 
 def literals(text: str) -> list[Span]:
     """Literals that sensitive names take, directly or through other names."""
-    known: dict[str, tuple] = {}
-    score: dict[tuple[int, int], float] = {}
+    pairs: list[tuple[list, list]] = []  # literals of the pair, and the earlier pairs that it names
+    weights: list[float] = []
+    latest: dict[str, int] = {}
     for m in _PAIR.finditer(text):
-        name, reached = m[1], []
+        own, named = [], []
         for t in _TERMS.finditer(m[2]):
             start, end = m.start(2) + t.start(), m.start(2) + t.end()
             word = t[0]
             if word[0] in "\"'":
-                reached.append((start + 1, end - 1))
-            elif word in known:
-                reached += known[word]
+                own.append((start + 1, end - 1))
+            elif word in latest:
+                named.append(latest[word])
             elif any(c.isdigit() for c in word) or not _NAME.match(word):
-                reached.append((start, end))
-        known[name] = tuple(reached[:TERMS])
-        weight = sensitivity(name)
+                own.append((start, end))
+        latest[m[1]] = len(pairs)
+        pairs.append((own, named))
+        weights.append(sensitivity(m[1]))
+    found = []
+    # Pairs name earlier pairs only: backwards, every weight is final when its pair comes.
+    for at in range(len(pairs) - 1, -1, -1):
+        (own, named), weight = pairs[at], weights[at]
+        for i in named:
+            weights[i] = max(weights[i], weight)
         if weight:
-            for a, b in reached:
-                value = weight * strength(text[a:b])
-                if value > score.get((a, b), 0.0):
-                    score[a, b] = value
-    return [("literal", a, b, s) for (a, b), s in score.items() if s >= REPORT]
+            scored = ((a, b, weight * strength(text[a:b])) for a, b in own)
+            found += [("literal", a, b, value) for a, b, value in scored if value >= REPORT]
+    return found
 
 
 def find_secrets(text: str) -> list[Span]:

@@ -84,6 +84,13 @@ def test_assignments_propagate():
     assert literal("k = 'Zx81-qwErty_77'\ndb_password = k\n") == {"Zx81-qwErty_77"}
     assert literal("a = 'Zx81qwErty'\nb = a + '-77plmQ3x'\nclientSecret: b") == {"Zx81qwErty", "-77plmQ3x"}
     assert literal('{"apiKey": "9f8e7d6c5b4a3210ZZ"}') == {"9f8e7d6c5b4a3210ZZ"}
+    parts = [f"Zx81qwErty-{i:03d}" for i in range(200)]
+    assert literal("long = " + " + ".join(f"'{x}'" for x in parts) + "\na = long\nb = a\nsecret = b") == set(parts)
+    chain = "v0 = 'Zx81-qwErty_77'\n" + "".join(f"v{i} = v{i - 1} + v{i - 1}\n" for i in range(1, 300))
+    assert literal(chain) == set() and literal(chain + "password = v299") == {"Zx81-qwErty_77"}
+    assert literal("k = 'Zx81-qwErty_77'\nk = 'other thing 42'\npassword = k") == {"other thing 42"}
+    wide = "Zx81-" * 1000
+    assert literal(f"secret = '{wide}'") == literal(f"{'n' * 500}_secret: {wide}") == {wide}
     assert literal("name = 'Zx81-qwErty_77'") == literal("password = 'changeme123'") == literal("token = ${TOKEN_VALUE_1}") == set()
     assert sensitivity("dbPassword") == sensitivity("DB_PASSWORD") == 1.0 and sensitivity("keyboard") == 0
 
