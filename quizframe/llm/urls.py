@@ -9,9 +9,10 @@
   file names of digits are variable by shape. Then, level by level from the host down,
   a node with more than ``FAN`` children keeps the children that hold a share of
   1 / ``FAN`` of its urls and puts the others under one wildcard ``{*}``.
-* **Merging.** Sister branches become one if they are statistically similar: the same
-  profile of what lies below them (shares in eighths) and the same smoothed share of
-  blocked urls (in quarters). They are grouped by that signature, not compared in pairs.
+* **Merging.** Level by level from the deepest branches up, sister branches become one if
+  they are statistically similar: the same profile of what lies below them (shares in
+  eighths) and the same smoothed share of blocked urls (in quarters). They are grouped by
+  that signature, not compared in pairs. A wildcard stays apart from named branches.
 * **Verdict.** A template is rejected if its share of blocked urls among the labelled
   ones, smoothed by ``WEIGHT`` urls of the overall share, is at least ``REJECT``.
 
@@ -39,6 +40,7 @@ FAN = 12
 DEPTH = 6
 WEIGHT = 10
 REJECT = 0.9
+WILD = "{*}"
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -94,32 +96,33 @@ def _widened(nodes: DataFrame, level: int) -> DataFrame:
     )
     rare = children.join(fans, ["host", "prefix"]).filter(F.col("n") * FAN < F.col("total")).select("host", "prefix", "child", F.lit(True).alias("rare"))
     marked = nodes.withColumn("prefix", prefix).withColumn("child", F.get("template", F.lit(level))).join(rare, ["host", "prefix", "child"], "left")
-    wild = F.concat("prefix", F.array(F.lit("{*}")), F.slice("template", level + 2, DEPTH + 1))
+    wild = F.concat("prefix", F.array(F.lit(WILD)), F.slice("template", level + 2, DEPTH + 1))
     return marked.select(
         "host", "shape", F.when(F.col("rare"), wild).otherwise(F.col("template")).alias("template"), "n", "blocked", "labelled"
     )
 
 
-def _merged(nodes: DataFrame, base: Column) -> DataFrame:
-    """``nodes`` with similar sister branches at the first level named as one."""
-    branch = nodes.filter(F.size("template") > 1).withColumn("branch", F.col("template")[0])
-    below = branch.groupBy("host", "branch", F.array_join(F.slice("template", 2, DEPTH + 1), "/").alias("below")).agg(
+def _merged(nodes: DataFrame, base: Column, level: int) -> DataFrame:
+    """``nodes`` with similar sister branches at ``level`` named as one."""
+    prefix = F.slice("template", 1, level) if level else F.array().cast("array<string>")
+    inside = (F.size("template") > level + 1) & (F.get("template", F.lit(level)) != WILD)
+    place = ["host", "prefix", "branch"]
+    marked = nodes.withColumn("prefix", prefix).withColumn("branch", F.when(inside, F.get("template", F.lit(level))))
+    rest = F.array_join(F.slice("template", level + 2, DEPTH + 1), "/")
+    below = marked.filter(inside).groupBy(*place, rest.alias("below")).agg(
         *[F.sum(c).alias(c) for c in ("n", "blocked", "labelled")]
     )
-    whole = Window.partitionBy("host", "branch")
+    whole = Window.partitionBy(*place)
     profile = below.withColumn("share", F.round(8 * F.col("n") / F.sum("n").over(whole)).cast("int"))
-    signatures = profile.groupBy("host", "branch").agg(
+    signatures = profile.groupBy(*place).agg(
         F.array_sort(F.collect_set(F.when(F.col("share") > 0, F.concat_ws(":", "below", "share")))).alias("profile"),
         F.round(4 * (F.sum("blocked") + WEIGHT * base) / (F.sum("labelled") + WEIGHT)).alias("lean"),
     )
-    groups = signatures.groupBy("host", "profile", "lean").agg(F.min("branch").alias("name"), F.count("*").alias("sisters"))
-    names = (
-        signatures.join(groups.filter("sisters > 1"), ["host", "profile", "lean"])
-        .select("host", "branch", F.concat(F.lit("{"), "name", F.lit("~}")).alias("name"))
-    )
-    marked = nodes.withColumn("branch", F.when(F.size("template") > 1, F.col("template")[0])).join(names, ["host", "branch"], "left")
-    renamed = F.concat(F.array("name"), F.slice("template", 2, DEPTH + 1))
-    return marked.select(
+    alike = ["host", "prefix", "profile", "lean"]
+    groups = signatures.groupBy(*alike).agg(F.min("branch").alias("name"), F.count("*").alias("sisters"))
+    names = signatures.join(groups.filter("sisters > 1"), alike).select(*place, F.concat(F.lit("{"), "name", F.lit("~}")).alias("name"))
+    renamed = F.concat("prefix", F.array("name"), F.slice("template", level + 2, DEPTH + 1))
+    return marked.join(names, place, "left").select(
         "host", "shape", F.when(F.col("name").isNotNull(), renamed).otherwise(F.col("template")).alias("template"), "n", "blocked", "labelled"
     )
 
@@ -147,7 +150,8 @@ def judged(urls: DataFrame, key: str = "page_id", url: str = "url", rules: list[
     base = F.lit((total["b"] or 0) / total["l"] if total["l"] else 0.0)
     for level in range(total["depth"] or 0):
         nodes = written(_widened(nodes, level), "templates")
-    nodes = written(_merged(nodes, base), "templates")
+    for level in range((total["depth"] or 0) - 2, -1, -1):
+        nodes = written(_merged(nodes, base, level), "templates")
     templates = nodes.groupBy("host", "template").agg(
         ((F.sum("blocked") + WEIGHT * base) / (F.sum("labelled") + WEIGHT)).alias("purity")
     )

@@ -54,6 +54,7 @@ def test_templates_generalise_merge_and_reject(spark, few):
     rows += [f"http://h.org/good/{i}" for i in range(10, 30)]
     rows += [f"http://h.org/user/name{i}/post" for i in range(30)] + ["http://h.org/user/me/post"] * 40
     rows += [f"http://g.org/x{j}/{i}/p" for j in (1, 2) for i in range(50)]
+    rows += [f"http://m.org/{a}/y{j}/{i}/p" for a in ("d", "e") for j in (1, 2) for i in range(20)]
     rows += [f"http://k.org/{i}" for i in range(300)]
     frame = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
     found = {rows[r["page_id"]]: r for r in judged(frame, rules=rules).collect()}
@@ -67,6 +68,8 @@ def test_templates_generalise_merge_and_reject(spark, few):
     assert found["http://h.org/user/me/post"]["template"] == "/user/me/post"
     # Sisters with the same profile and the same labels are one branch.
     assert found["http://g.org/x1/3/p"]["template"] == found["http://g.org/x2/4/p"]["template"] == "/{x1~}/{n}/p"
+    # The same deeper down, and then for the branches that have become alike.
+    assert {found[f"http://m.org/{a}/y{j}/3/p"]["template"] for a in ("d", "e") for j in (1, 2)} == {"/{d~}/{y1~}/{n}/p"}
 
 
 def test_empty_table(spark):
