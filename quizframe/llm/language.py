@@ -41,6 +41,8 @@ HASHES = 3
 SIZES = (3, 4)
 RIVAL = 10
 UNDETERMINED = "und"
+#: Bytes of text looked up at once; its n-grams and their places take about 100 times that.
+SLICE = 500_000
 
 _PLACE = seeds(max(SIZES), 7000) | U(1)
 _HASH = seeds(HASHES, 7100)
@@ -114,7 +116,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     def count(batches):
         is_letter = np.unpackbits(alphabet.value)
         for batch in batches:
-            for part in text_slices(batch, "body"):
+            for part in text_slices(batch, "body", SLICE):
                 slots = part.column("slot").to_numpy()
                 found, _ = ngrams(part.column("body").to_pylist(), is_letter)
                 hashes = np.concatenate([h for h, _ in found])
@@ -175,7 +177,7 @@ def identify(docs: DataFrame, filters: Filters, text: str = "text", lang_pred: s
         names, table, rates, default, alphabet = model.value
         is_letter = np.unpackbits(alphabet)
         for batch in batches:
-            for part in text_slices(batch, text):
+            for part in text_slices(batch, text, SLICE):
                 found, has = ngrams([t or "" for t in part.column(text).to_pylist()], is_letter)
                 n = part.num_rows
                 seen, hits = np.zeros(n), np.zeros((n, max(1, len(names))))
