@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quizframe.llm import packing
+from quizframe.llm.audit import SQL as AUDIT_SQL
+from quizframe.llm.audit import audited
 from quizframe.llm.bpe import digests, tokenizer_path
 from quizframe.llm.decontaminate import contaminated
 from quizframe.llm.language import held_out_languages
@@ -16,6 +19,7 @@ from quizframe.llm.secrets import secret_digests
 from quizframe.llm.topk import SQL as TOP_K_SQL
 from quizframe.llm.topk import top_k
 from quizframe.llm.urls import judged
+from quizframe.llm.whitening import whitened
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +67,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(_table(spark, sf_dir, "documents"), tokenizer_path(spark))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audited(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(_table(spark, sf_dir, "documents"), packing.tokenizer_path(spark))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -76,7 +92,14 @@ QUERIES = {
         op8_near_duplicates,
         op9_secrets,
         op10_bpe,
+        op11_whitening,
+        op12_filter_audit,
+        op13_packing,
     )
 }
 
-ORACLE: dict[str, str] = {"op6_line_dedup": LINE_DEDUP_SQL, "op7_top_k": TOP_K_SQL}
+ORACLE: dict[str, str] = {
+    "op6_line_dedup": LINE_DEDUP_SQL,
+    "op7_top_k": TOP_K_SQL,
+    "op12_filter_audit": AUDIT_SQL,
+}

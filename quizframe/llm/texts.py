@@ -50,6 +50,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+AS_IS = np.arange(256, dtype=np.uint8)
 
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -75,11 +76,14 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[ends[0] : ends[-1]], ends - ends[0]
 
 
-def word_hashes(raw: np.ndarray, ends: np.ndarray, space: np.ndarray = SPACE, drop: np.ndarray | None = None):
+def word_hashes(
+    raw: np.ndarray, ends: np.ndarray, space: np.ndarray = SPACE, drop: np.ndarray | None = None, fold: np.ndarray = LOWER
+):
     """(hash of every word, index of the first word of every text plus the total).
 
     ``space`` marks the bytes between words. Bytes marked in ``drop`` are left out
-    of the words; a word of such bytes only is no word.
+    of the words; a word of such bytes only is no word. ``fold`` says which bytes
+    count as one; ``AS_IS`` keeps upper and lower case apart.
     """
     if drop is not None:
         kept = ~drop[raw]
@@ -105,7 +109,7 @@ def word_hashes(raw: np.ndarray, ends: np.ndarray, space: np.ndarray = SPACE, dr
     powers[0] = U(1)
     with np.errstate(over="ignore"):
         np.multiply.accumulate(powers, out=powers)
-        value = _BYTE[LOWER[raw]] * powers[place]
+        value = _BYTE[fold[raw]] * powers[place]
         value *= inside
         return mix(np.add.reduceat(value, starts - starts[0]) + _STEP), firsts
 
