@@ -8,10 +8,12 @@ from quizframe.llm import packing
 from quizframe.llm.audit import SQL as AUDIT_SQL
 from quizframe.llm.audit import audited
 from quizframe.llm.bpe import digests, tokenizer_path
+from quizframe.llm.decontaminate import SQL as DECONTAMINATION_SQL
 from quizframe.llm.decontaminate import contaminated
 from quizframe.llm.language import held_out_languages
 from quizframe.llm.line_dedup import SQL as LINE_DEDUP_SQL
 from quizframe.llm.line_dedup import dedup_lines
+from quizframe.llm.near_dups import SQL as NEAR_DUPLICATES_SQL
 from quizframe.llm.near_dups import near_duplicates
 from quizframe.llm.pii import personal_digests
 from quizframe.llm.quality import held_out_quality
@@ -99,7 +101,9 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_decontamination": DECONTAMINATION_SQL,
     "op6_line_dedup": LINE_DEDUP_SQL,
     "op7_top_k": TOP_K_SQL,
+    "op8_near_duplicates": NEAR_DUPLICATES_SQL,
     "op12_filter_audit": AUDIT_SQL,
 }

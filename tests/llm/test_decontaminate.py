@@ -5,7 +5,10 @@ import re
 
 from llm_cases import docs, words  # noqa: F401
 
-from quizframe.llm.decontaminate import contaminated, sketch_size
+from pyspark.sql import functions as F
+
+from quizframe.llm.bits import bit_table
+from quizframe.llm.decontaminate import contaminated, indexed, needed, probed, sketch_size
 
 ITEMS = "item_id long, text string"
 
@@ -49,9 +52,31 @@ def test_random_passages(spark, docs):  # noqa: F811
     assert found(contaminated(docs(rows), spark.createDataFrame(items, ITEMS), bits=10)) == expected
 
 
+    # Items searched in many blocks, each in a scan of its own.
+    assert found(contaminated(docs(rows), spark.createDataFrame(items, ITEMS), block_hashes=300)) == expected
+
+
 def test_sketch_is_longer_than_what_may_be_missing():
-    for n in range(1, 300):
-        assert n * 25 // 100 < sketch_size(n, 75) <= n
+    for percent in (50, 75, 100):
+        for n in range(1, 300):
+            missing = n * (100 - percent) // 100
+            assert missing < sketch_size(n, percent) <= n
+            assert needed(n, percent) == sketch_size(n, percent) - missing >= 1
+
+
+def test_the_estimate_drops_pairs_before_the_exact_join(spark, docs):  # noqa: F811
+    """Documents that share one passage of an item, far too little to contain it, send nothing on."""
+    rng = random.Random(8)
+    items = [(i, " ".join(f"v{rng.randint(0, 10**6)}" for _ in range(60))) for i in range(20)]
+    rows = [(i, " ".join(f"z{rng.randint(0, 10**6)}" for _ in range(50)) + " " + " ".join(items[i % 20][1].split()[:20])) for i in range(200)]
+    table = spark.createDataFrame(items, ITEMS)
+    index = indexed(table, "item_id", "text", 75)
+    sketch = index.select(F.explode("sketch").alias("h"))
+    every = index.select(F.explode("shingles").alias("h"))
+    least = index.agg(F.min("need")).first()[0]
+    sent = probed(docs(rows), "doc_id", "text", {6: (bit_table(sketch, "h", 20), 20, least)}, (bit_table(every, "h", 20), 20))
+    assert least > 10 and sent.count() == 0
+    assert contaminated(docs(rows), table).collect() == []
 
 
 def test_nulls_empties_repeats_and_clashing_columns(spark, docs):  # noqa: F811
