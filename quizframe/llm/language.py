@@ -8,8 +8,8 @@ set of all languages whose filter holds the n-gram, in one look-up for all of th
   of their id, are counted as (language, n-gram); counting is a Spark aggregation. An
   n-gram enters a language's filter if it occurs there twice or more and at least a
   ``RIVAL``-th as often as in the language where it is most frequent. Filters have
-  2^``FILTER_BITS`` positions whatever the sample, so the model is a few megabytes
-  per 8 languages; it is broadcast.
+  about ``BITS_PER_GRAM`` positions per n-gram of the largest language, which are counted
+  before the filters are built; the sample bounds them. The model is broadcast.
 * **Predict.** Every n-gram of the whole text is looked up; per language the set bits
   are counted (popcount), and the count is corrected for the false positives that the
   filter's fill predicts: (count - n * rate) / (1 - rate). The largest corrected count
@@ -36,7 +36,8 @@ from quizframe.llm.texts import U, mix, seeds, text_slices
 from quizframe.runtime import written
 
 SAMPLE_DOCS = 2000
-FILTER_BITS = 20
+BITS_PER_GRAM = 10
+LEAST_BITS, MOST_BITS = 12, 27
 HASHES = 3
 SIZES = (3, 4)
 RIVAL = 10
@@ -82,8 +83,14 @@ def ngrams(texts: list[str], is_letter: np.ndarray):
     return found, has
 
 
-def places(grams: np.ndarray, j: int) -> np.ndarray:
-    return mix(grams ^ _HASH[j]) >> U(64 - FILTER_BITS)
+def bits_for(grams: int) -> int:
+    """Log2 of a filter's positions for so many n-grams."""
+    return min(MOST_BITS, max(LEAST_BITS, (BITS_PER_GRAM * grams).bit_length()))
+
+
+def places(grams: np.ndarray, j: int, positions: int) -> np.ndarray:
+    """Position of the j-th hash among ``positions``, a power of two."""
+    return mix(grams ^ _HASH[j]) >> U(65 - positions.bit_length())
 
 
 @dataclass
@@ -102,9 +109,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(counts)
     words = max(1, -(-len(languages) // 64))
-    table = np.zeros((1 << FILTER_BITS, words), U)
     if not languages:
-        return Filters([], table, np.zeros(0), UNDETERMINED)
+        return Filters([], np.zeros((1 << LEAST_BITS, words), U), np.zeros(0), UNDETERMINED)
     spark = docs.sparkSession
     share = spark.createDataFrame(
         [(name, i, min(1.0, sample_docs / counts[name])) for i, name in enumerate(languages)],
@@ -131,6 +137,9 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     counted = sample.mapInArrow(count, "slot int, gram long, n long").groupBy("slot", "gram").agg(F.sum("n").alias("n"))
     counted = written(counted.filter("n >= 2"), "ngrams")
     totals = counted.groupBy("slot").agg(F.sum("n").alias("total"))
+    most = counted.groupBy("slot").agg(F.count("*").alias("grams")).agg(F.max("grams")).first()[0] or 0
+    table = np.zeros((1 << bits_for(most), words), U)
+    positions = len(table)
     best = Window.partitionBy("gram")
     chosen = (
         counted.join(F.broadcast(totals), "slot")
@@ -144,7 +153,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
             grams = batch.column("gram").to_numpy().view(U)
             for j in range(HASHES):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(places(grams, j).astype(np.int64)), batch.column("slot")], names=["place", "slot"]
+                    [pa.array(places(grams, j, positions).astype(np.int64)), batch.column("slot")], names=["place", "slot"]
                 )
 
     masks = (
@@ -188,14 +197,14 @@ def identify(docs: DataFrame, filters: Filters, text: str = "text", lang_pred: s
                     seen[owner[starts]] += np.diff(starts, append=len(owner))
                     for word in range(table.shape[1]):
                         column = table[:, word]
-                        mask = column[places(grams, 0)]
+                        mask = column[places(grams, 0, len(column))]
                         for j in range(1, HASHES):
-                            mask &= column[places(grams, j)]
+                            mask &= column[places(grams, j, len(column))]
                         for i in range(word * 64, min(len(names), word * 64 + 64)):
                             bit = (mask >> mask.dtype.type(i % 64)) & mask.dtype.type(1)
                             hits[owner[starts], i] += np.add.reduceat(bit, starts, dtype=np.int64)
                 if names:
-                    true = np.maximum(0, (hits - seen[:, None] * rates) / (1 - rates))
+                    true = np.maximum(0, (hits - seen[:, None] * rates) / np.maximum(1 - rates, 1e-9))
                     best = true.argmax(axis=1)
                     top = true[np.arange(n), best]
                     share = np.clip(top / np.maximum(seen, 1), 0, 1)
