@@ -7,8 +7,10 @@ confirms it), ``local_phone`` and ``national_id`` (no checksum: a context word m
 near). A score starts from the kind's own weight; words of the kind's context within
 ``NEAR`` characters raise it, words of other numberings lower it.
 
-Per kind, spans are leftmost and do not overlap; a match that fails its check is
-dropped and not tried again. NULL and empty texts have no spans.
+Per kind, spans are leftmost and do not overlap; a match of a base kind that fails its
+check is dropped and not tried again. An ``iban`` is the longest run of 15 to 34 letters
+and digits from a country code to the end of a word that mod-97 confirms, so words in
+capitals behind it do not hide it. NULL and empty texts have no spans.
 """
 
 from __future__ import annotations
@@ -45,7 +47,8 @@ _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*")
 _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+_IBAN_BODY = re.compile(r"(?:\x20?[A-Z0-9]){11,30}")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
 _NATIONAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _DIGIT = re.compile(r"[0-9]")
@@ -61,6 +64,12 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def ip_part(digits: str) -> bool:
+    """At most 255, whatever the number of leading zeros."""
+    digits = digits.lstrip("0")
+    return len(digits) <= 3 and int(digits or "0") <= 255
+
+
 def emails(text: str) -> list[tuple[int, int]]:
     found, end = [], 0
     for m in _DOMAIN.finditer(text):
@@ -74,6 +83,25 @@ def emails(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def ibans(text: str) -> list[tuple[int, int]]:
+    """Leftmost spans that mod-97 confirms, each as long as it can be."""
+    found, end = [], 0
+    for head in _IBAN_HEAD.finditer(text):
+        if head.start() < end or not (body := _IBAN_BODY.match(text, head.end())):
+            continue
+        for stop in range(body.end(), head.end() + 10, -1):
+            if text[stop - 1] == " " or text[stop : stop + 1].isalnum():
+                continue
+            compact = text[head.start() : stop].replace(" ", "")
+            if len(compact) < 15:
+                break
+            if mod97(compact):
+                found.append((head.start(), stop))
+                end = stop
+                break
+    return found
+
+
 def digits_of(text: str) -> str:
     return "".join(filter(str.isdigit, text))
 
@@ -91,14 +119,14 @@ def find_personal(text: str) -> list[Span]:
         found += [("email", a, b) for a, b in emails(text)]
     proposed: list[tuple[str, int, int]] = []
     if _DIGIT.search(text):
-        found += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.groups())]
+        found += [("ip", *m.span()) for m in _IP.finditer(text) if all(map(ip_part, m.groups()))]
         for m in _CARD.finditer(text):
             # Longer runs hold too many digits; they are not even counted.
             if 14 <= m.end() - m.start() <= 37 and 14 <= len(d := digits_of(m[0])) <= 19 and luhn(d):
                 found.append(("card", *m.span()))
         if "+" in text:
             found += [("phone", *m.span()) for m in _PHONE.finditer(text) if 10 <= len(digits_of(m[0])) <= 15]
-        proposed += [("iban", *m.span()) for m in _IBAN.finditer(text) if mod97(m[0].replace(" ", ""))]
+        proposed += [("iban", a, b) for a, b in ibans(text)]
         proposed += [("local_phone", *m.span()) for m in _LOCAL_PHONE.finditer(text)]
         proposed += [("national_id", *m.span()) for m in _NATIONAL.finditer(text)]
     spans = [(k, a, b, weigh(k, text, a, b)) for k, a, b in found]
@@ -111,5 +139,5 @@ def personal_spans(docs: DataFrame, text: str = "text", spans: str = "spans") ->
 
 
 def personal_digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, n_email, n_ip, n_card, n_phone, base_sha256, spans)`` of every row."""
+    """``(key, n_email, n_ip, n_card, n_phone, base_sha256, spans, scores)`` of every row."""
     return digests(personal_spans(docs.select(key, text), text, "found"), key, "found", BASE)

@@ -54,8 +54,13 @@ def listed(spans: Column) -> Column:
     return F.array_join(parts, ",")
 
 
+def scored(spans: Column) -> Column:
+    """The scores of all spans in percent, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.round(100 * s["score"]).cast("int").cast("string")), ",")
+
+
 def digests(found: DataFrame, key: str, spans: str, base: list[str]) -> DataFrame:
-    """``(key, n_<kind> of every base kind, base_sha256, spans)``."""
+    """``(key, n_<kind> of every base kind, base_sha256, spans, scores)``; ``scores`` in percent, in the order of ``spans``."""
     column = F.col(spans)
     of_base = F.filter(column, lambda s: s["kind"].isin(base))
 
@@ -67,4 +72,5 @@ def digests(found: DataFrame, key: str, spans: str, base: list[str]) -> DataFram
         *[count(kind) for kind in base],
         F.sha2(listed(of_base), 256).alias("base_sha256"),
         listed(column).alias("spans"),
+        scored(column).alias("scores"),
     )
