@@ -11,14 +11,18 @@
   1 / ``FAN`` of its urls and puts the others under one wildcard ``{*}``.
 * **Merging.** Level by level from the deepest branches up, sister branches become one if
   they are statistically similar: the same profile of what lies below them (shares in
-  eighths) and the same smoothed share of blocked urls (in quarters). They are grouped by
-  that signature, not compared in pairs. A wildcard stays apart from named branches.
+  eighths) and, where both have labelled urls, the same share of blocked ones among these
+  (in quarters). A branch without labels joins the labelled ones of its profile if they
+  agree, whatever their numbers; if they differ, those without labels stay among
+  themselves. They are grouped by that signature, not compared in pairs. A wildcard stays
+  apart from named branches.
 * **Verdict.** A template is rejected if its share of blocked urls among the labelled
   ones, smoothed by ``WEIGHT`` urls of the overall share, is at least ``REJECT``.
 
 Urls are counted per (host, template) first, so a host with a third of all urls is a
 few rows when the tree is built; urls meet their template again in a join whose skew
-adaptive execution splits. Paths deeper than ``DEPTH`` have the rest as one segment.
+adaptive execution splits. Beyond ``DEPTH`` segments, the rest of a path is one segment,
+with its shapes named, so different deep paths stay different.
 """
 
 from __future__ import annotations
@@ -37,7 +41,7 @@ RULES = [
     ("block", "net/fr/"),
 ]
 FAN = 12
-DEPTH = 6
+DEPTH = 8
 WEIGHT = 10
 REJECT = 0.9
 WILD = "{*}"
@@ -68,7 +72,7 @@ def decided(rules: list[tuple[str, str]]) -> tuple[Column, Column]:
 
 
 def shapes(path: str) -> Column:
-    """Segments of the path with variable shapes named; the part beyond DEPTH is one segment."""
+    """Segments of the path with variable shapes named; all beyond DEPTH are one segment."""
 
     def shape(s: Column) -> Column:
         return (
@@ -78,9 +82,9 @@ def shapes(path: str) -> Column:
             .otherwise(s)
         )
 
-    segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    deep = F.concat(F.slice(segments, 1, DEPTH), F.array(F.lit("{...}")))
-    return F.transform(F.when(F.size(segments) > DEPTH, deep).otherwise(segments), shape)
+    segments = F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), shape)
+    tail = F.array_join(F.slice(segments, DEPTH + 1, F.greatest(F.size(segments) - DEPTH, F.lit(0))), "/")
+    return F.when(F.size(segments) > DEPTH, F.concat(F.slice(segments, 1, DEPTH), F.array(tail))).otherwise(segments)
 
 
 def _widened(nodes: DataFrame, level: int) -> DataFrame:
@@ -102,7 +106,7 @@ def _widened(nodes: DataFrame, level: int) -> DataFrame:
     )
 
 
-def _merged(nodes: DataFrame, base: Column, level: int) -> DataFrame:
+def _merged(nodes: DataFrame, level: int) -> DataFrame:
     """``nodes`` with similar sister branches at ``level`` named as one."""
     prefix = F.slice("template", 1, level) if level else F.array().cast("array<string>")
     inside = (F.size("template") > level + 1) & (F.get("template", F.lit(level)) != WILD)
@@ -116,9 +120,14 @@ def _merged(nodes: DataFrame, base: Column, level: int) -> DataFrame:
     profile = below.withColumn("share", F.round(8 * F.col("n") / F.sum("n").over(whole)).cast("int"))
     signatures = profile.groupBy(*place).agg(
         F.array_sort(F.collect_set(F.when(F.col("share") > 0, F.concat_ws(":", "below", "share")))).alias("profile"),
-        F.round(4 * (F.sum("blocked") + WEIGHT * base) / (F.sum("labelled") + WEIGHT)).alias("lean"),
+        F.round(4 * F.try_divide(F.sum("blocked"), F.sum("labelled"))).cast("int").alias("lean"),
+    )
+    # Per profile: the lean of the labelled branches, if they have one only; -1 if they differ or there are none.
+    said = signatures.groupBy("host", "prefix", "profile").agg(
+        F.when(F.min("lean") == F.max("lean"), F.min("lean")).otherwise(-1).alias("one")
     )
     alike = ["host", "prefix", "profile", "lean"]
+    signatures = signatures.join(said, alike[:3]).withColumn("lean", F.coalesce("lean", "one")).drop("one")
     groups = signatures.groupBy(*alike).agg(F.min("branch").alias("name"), F.count("*").alias("sisters"))
     names = signatures.join(groups.filter("sisters > 1"), alike).select(*place, F.concat(F.lit("{"), "name", F.lit("~}")).alias("name"))
     renamed = F.concat("prefix", F.array("name"), F.slice("template", level + 2, DEPTH + 1))
@@ -134,7 +143,7 @@ def judged(urls: DataFrame, key: str = "page_id", url: str = "url", rules: list[
         parsed(urls.select(F.col(key).alias("key"), F.col(url).alias("url")), "url")
         .withColumn("rule", rule)
         .withColumn("said", said)
-        .withColumn("shape", F.array_join(shapes("path"), "/"))
+        .withColumn("shape", shapes("path"))
         .drop("url")
     )
     counts = written(
@@ -145,13 +154,13 @@ def judged(urls: DataFrame, key: str = "page_id", url: str = "url", rules: list[
         ),
         "shapes",
     )
-    nodes = counts.withColumn("template", F.filter(F.split("shape", "/"), lambda s: s != ""))
+    nodes = counts.withColumn("template", F.col("shape"))
     total = nodes.agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("l"), F.max(F.size("template")).alias("depth")).first()
     base = F.lit((total["b"] or 0) / total["l"] if total["l"] else 0.0)
     for level in range(total["depth"] or 0):
         nodes = written(_widened(nodes, level), "templates")
     for level in range((total["depth"] or 0) - 2, -1, -1):
-        nodes = written(_merged(nodes, base, level), "templates")
+        nodes = written(_merged(nodes, level), "templates")
     templates = nodes.groupBy("host", "template").agg(
         ((F.sum("blocked") + WEIGHT * base) / (F.sum("labelled") + WEIGHT)).alias("purity")
     )
