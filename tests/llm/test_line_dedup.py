@@ -12,11 +12,11 @@ def brute_force(rows):
     order = lambda i: (i is None, i or 0)
     seen = {}
     for i, text in {(i, t) for i, t in rows if t is not None}:
-        lines = ["" if not x.strip(" ") else x for x in text.split("\n")]
+        lines = ["\nbegin", *["" if not x.strip(" ") else x for x in text.split("\n")], "\nend"]
         for p in range(len(lines) - 2):
             w = tuple(lines[p : p + 3])
-            if w != ("", "", ""):
-                seen.setdefault(w, []).append((i, text, p))
+            if any(x and x[0] != "\n" for x in w):
+                seen.setdefault(w, []).append((i, text, p - 1))
     gone = {}
     for w, places in seen.items():
         if len(places) > 1:
@@ -26,7 +26,7 @@ def brute_force(rows):
                 if i == first and (i, text) not in kept:
                     kept.add((i, text))
                 else:
-                    gone.setdefault((i, text), set()).update((p, p + 1, p + 2))
+                    gone.setdefault((i, text), set()).update({p, p + 1, p + 2} & set(range(text.count("\n") + 1)))
     out = []
     for i, text in rows:
         cut = gone.get((i, text), set())
@@ -47,6 +47,16 @@ def test_random_documents(spark, docs):  # noqa: F811
         assert found(dedup_lines(docs(rows))) == brute_force(rows)
 
 
+def test_short_texts_take_part(spark, docs):  # noqa: F811
+    one, two = "one long line of words", "first line\nsecond line"
+    rows = [(1, one), (2, one), (3, two), (4, two), (5, two + "\nthird"), (6, "zero\n" + two), (7, one + "\n" + two), (8, " "), (9, " "), (10, "")]
+    result = found(dedup_lines(docs(rows)))
+    assert result == brute_force(rows)
+    left = {i: t for i, t, _ in result}
+    # Copies of short texts go; two lines go where a text begins or ends with them, as earlier texts do.
+    assert (left[2], left[4], left[5], left[6]) == ("", "", "third", "zero") and left[1] == one and left[8] == left[9] == " "
+
+
 def test_nulls_empties_repeats_long_texts_and_clashing_columns(spark, docs):  # noqa: F811
     license_ = "one\ntwo\nthree\nfour"
     rows = [
