@@ -15,16 +15,20 @@ Method
    bands with a probability of (1 - 0.75^4)^32 = 5e-6, and less above.
 4. **Candidates without the pairs of a bucket.** Every class of a bucket is compared
    with the bucket's smallest class only. Verified links give components. A bucket
-   whose classes are then all in one component needs nothing more. In the others,
-   classes outside the bucket's largest component meet all classes of other
-   components: in blocks of about ``BLOCK`` by ``BLOCK`` classes with their sets, each
-   block one task's work with bounded memory, which emits only verified links. A pair
-   is looked at in the first band it shares. No bucket is capped or skipped.
+   whose classes are then all in one component needs nothing more. In the others a new
+   star is tried, around the smallest class outside the components led so far, while
+   that brings links (``STAR_ROUNDS`` at most): a dense group under an unrelated lead
+   becomes one component. What is still open, classes outside the bucket's largest
+   component, meet all classes of other components: in blocks of about ``BLOCK`` classes
+   with their long sketches of 128 bytes, each pair of blocks one task's work with bounded
+   memory. No bucket is capped or skipped.
 5. **Exact verification.** Pairs whose sketches agree in fewer than ``ALIKE`` of the
-   128 coordinates go (a pair of similarity 0.75 does with a probability of 4e-7); the
-   others are confirmed on their full shingle sets. Sets are computed again for
-   candidates only, from a scan that a bit table of their ids filters; neither texts
-   nor the sets of all documents are shuffled.
+   128 coordinates go (a pair of similarity 0.75 does with a probability of 4e-7). For the
+   others, **long sketches** of 1,024 coordinates with one bit of each are made: pairs that
+   agree in fewer than ``CLOSE`` bits go (probability 1e-7 at 0.75; of pairs of similarity
+   0.5 less than one in a million stays). What is left is confirmed on full shingle sets.
+   Long sketches and sets are computed for candidates only, from a scan that a bit table
+   of their ids filters; neither texts nor the sets of all documents are shuffled.
 
 Results are defined for NULL and empty texts (empty set, linked with nothing), for
 repeated texts (one class), for repeated rows (each row gets the same component)
@@ -44,17 +48,24 @@ from pyspark.sql import types as T
 from quizframe.llm.bits import bit_table, bits_for, in_table
 from quizframe.llm.components import components
 from quizframe.llm.texts import U, long_lists, mix, packed, seeds, shingle_sets, text_slices
-from quizframe.runtime import written
+from quizframe.runtime import limit, written
 
 BINS = 128
 BAND_ROWS = 4
 BANDS = BINS // BAND_ROWS
-#: Classes of an unresolved bucket in either side of a block, on average.
-BLOCK = 256
+#: Classes in a block of an unresolved bucket, on average.
+BLOCK = 4096
+#: Further stars tried in unresolved buckets before all their classes meet.
+STAR_ROUNDS = 4
 #: Coordinates of alike sketches.
 ALIKE = 71
+#: Coordinates of the long sketches, of which one bit is kept, and those that close ones share.
+LONG_BINS = 1024
+CLOSE = 840
+#: The similarity that bands and ALIKE are made for.
+LEAST_PERCENT = 75
 
-_ROUND = seeds(2 * BINS, 3000)
+_ROUND = seeds(2 * LONG_BINS, 10_000)
 _BAND = seeds(BANDS, 4000)
 _CLASS = seeds(2, 5000)
 _EMPTY = U(0xFFFFFFFFFFFFFFFF)
@@ -64,20 +75,26 @@ def fast_sketch(hashes: np.ndarray, bounds: np.ndarray, bins: int = BINS) -> np.
     """Sketch matrix (text, coordinate); a text without shingles keeps empty coordinates."""
     n = len(bounds) - 1
     out = np.full(n * bins, _EMPTY)
+    table = out.reshape(n, bins)
     owner = np.repeat(np.arange(n), np.diff(bounds))
+    alive = np.flatnonzero(np.diff(bounds))
     shift = U(64 - bins.bit_length() + 1)
-    low = U((1 << 56) - 1)
+    room = 64 - (2 * bins - 1).bit_length()
+    low = U((1 << room) - 1)
     for i in range(2 * bins):
         if not len(hashes):
             break
         x = mix(hashes ^ _ROUND[i])
         place = (x >> shift).astype(np.int64) if i < bins else i - bins
-        np.minimum.at(out, owner * bins + place, (x & low) | U(i << 56))
-        open_ = (out.reshape(n, bins) == _EMPTY).any(axis=1)
-        left = open_[owner]
-        if not left.all():
+        np.minimum.at(out, owner * bins + place, (x & low) | U(i << room))
+        still = (table[alive] == _EMPTY).any(axis=1)
+        if not still.all():
+            alive = alive[still]
+            open_ = np.zeros(n, bool)
+            open_[alive] = True
+            left = open_[owner]
             hashes, owner = hashes[left], owner[left]
-    return out.reshape(n, bins)
+    return table
 
 
 def band_keys(sketch: np.ndarray) -> np.ndarray:
@@ -124,26 +141,45 @@ def sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-def shingled(docs: DataFrame, key: str, text: str, ids: DataFrame) -> DataFrame:
-    """``(rep, shingles)``: the set of every document of ``ids``, as one binary value; a few others come along."""
+def _of_wanted(docs: DataFrame, key: str, text: str, ids: DataFrame, name: str, make) -> DataFrame:
+    """``(rep, <name>)``: what ``make`` packs of the texts of all ``ids``; a few others come along."""
     named = F.xxhash64(key)
     ids = written(ids.select(named.alias("id")).distinct(), "ids")
     bits = bits_for(ids.count())
     table = docs.sparkSession.sparkContext.broadcast(bit_table(ids, "id", bits))
     schema = T.StructType(
-        [T.StructField("rep", docs.schema[key].dataType), T.StructField("shingles", T.BinaryType())]
+        [T.StructField("rep", docs.schema[key].dataType), T.StructField(name, T.BinaryType())]
     )
 
     def run(batches):
         for batch in batches:
             wanted = batch.filter(pa.array(in_table(table.value, bits, batch.column("id").to_numpy().view(U))))
             for part in text_slices(wanted, text):
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(key), packed(*shingle_sets(part.column(text)))], names=schema.names
-                )
+                yield pa.RecordBatch.from_arrays([part.column(key), make(part.column(text))], names=schema.names)
 
     wanted = docs.filter(F.col(key).isNotNull()).select(key, text, named.alias("id"))
-    return written(wanted.mapInArrow(run, schema), "shingles")
+    return written(wanted.mapInArrow(run, schema), name)
+
+
+def shingled(docs: DataFrame, key: str, text: str, ids: DataFrame) -> DataFrame:
+    """``(rep, shingles)``: the sets of ``ids`` as 64-bit hashes."""
+    return _of_wanted(docs, key, text, ids, "shingles", lambda texts: packed(*shingle_sets(texts)))
+
+
+def long_sketch(texts: pa.Array) -> pa.Array:
+    """One bit of each coordinate, packed."""
+    sketch = fast_sketch(*shingle_sets(texts), LONG_BINS)
+    return packed(np.packbits((sketch & U(1)).astype(np.uint8), axis=1).ravel(), np.arange(len(texts) + 1) * (LONG_BINS // 8))
+
+
+def long_sketched(docs: DataFrame, key: str, text: str, ids: DataFrame) -> DataFrame:
+    """``(rep, bits)``: the long sketches of ``ids``."""
+    return _of_wanted(docs, key, text, ids, "bits", long_sketch)
+
+
+def words_of(column: pa.Array) -> np.ndarray:
+    """Packed sketches as rows of 64-bit words."""
+    return np.frombuffer(b"".join(column.to_pylist()), U).reshape(len(column), -1)
 
 
 def _shared(x: np.ndarray, y: np.ndarray) -> int:
@@ -157,21 +193,38 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(x) + len(y) - shared)
 
 
-def _alike(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` with alike sketches."""
-    left = sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa"))
-    right = sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
+def _tested(pairs: DataFrame, values: DataFrame, column: str, passes) -> DataFrame:
+    """Pairs ``(a, b)`` whose values, by ``rep``, pass a vectorised test.
+
+    Stars have few centres ``a`` and many rays ``b``: if the values of all centres fit a
+    broadcast, by their count, the pairs are dealt by ``b`` only.
+    """
+    left = values.select(F.col("rep").alias("a"), F.col(column).alias("xa"))
+    right = values.select(F.col("rep").alias("b"), F.col(column).alias("xb"))
+    centres = written(pairs.select("a").distinct(), "centres")
+    n = centres.count()
+    few = n * (BINS + 64) <= limit(pairs.sparkSession, "broadcastBytes")
+    if few:
+        left = F.broadcast(left.join(F.broadcast(centres), "a", "left_semi"))
+    else:
+        left = left.hint("merge")
 
     def run(batches):
         for batch in batches:
-            sa, sb = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS)
-                for c in ("sa", "sb")
-            )
-            yield batch.select(["a", "b"]).filter(pa.array((sa == sb).sum(axis=1) >= ALIKE))
+            yield batch.select(["a", "b"]).filter(pa.array(passes(words_of(batch.column("xa")), words_of(batch.column("xb")))))
 
-    joined = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a")
-    return joined.select("a", "b", "sa", "sb").mapInArrow(run, pairs.select("a", "b").schema)
+    joined = pairs.join(right.hint("merge"), "b").join(left, "a")
+    return joined.select("a", "b", "xa", "xb").mapInArrow(run, pairs.select("a", "b").schema)
+
+
+def _alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Do sketches agree in enough coordinates?"""
+    return (x.view(np.uint8) == y.view(np.uint8)).sum(axis=1) >= ALIKE
+
+
+def _close(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Do long sketches agree in enough bits?"""
+    return LONG_BINS - np.bitwise_count(x ^ y).sum(axis=1) >= CLOSE
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
@@ -193,86 +246,82 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent:
     return joined.select("a", "b", "xa", "xb").mapInArrow(run, pairs.select("a", "b").schema)
 
 
-def _rest_links(members: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, percent: int, block: int):
-    """Links between components that ``members`` (key, band, rep, comp), the leads left out, still hide."""
-    counted = members.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    open_ = (
+def _open_rows(members: DataFrame, found: DataFrame) -> DataFrame:
+    """``(key, rep, comp)`` of the buckets whose classes lie in several components; written."""
+    labelled = written(
+        members.join(found.hint("merge"), "rep", "left").select("key", "rep", F.coalesce("comp", "rep").alias("comp")),
+        "labelled",
+    )
+    open_ = labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high")
+    # A table of its own, so that the join deals both sides and a large bucket can be split.
+    return written(labelled.join(written(open_.select("key"), "open").hint("merge"), "key", "left_semi"), "unresolved")
+
+
+def _star_pairs(rows: DataFrame, leads: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs of one new lead per bucket with the classes of other components, all leads so far)."""
+    led = leads.join(found.hint("merge"), F.col("lead") == F.col("rep"), "left").select(
+        "key", F.coalesce("comp", "lead").alias("comp")
+    )
+    fresh = (
+        rows.join(led.distinct().hint("merge"), ["key", "comp"], "left_anti")
+        .groupBy("key")
+        .agg(F.min(F.struct("rep", "comp")).alias("first"))
+        .select("key", F.col("first.rep").alias("lead"), F.col("first.comp").alias("own"))
+    )
+    fresh = written(fresh, "leads")
+    pairs = (
+        rows.join(fresh.hint("merge"), "key")
+        .filter("comp != own")
+        .select(F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b"))
+        .distinct()
+    )
+    return pairs, leads.unionByName(fresh.select("key", "lead"))
+
+
+def _block_pairs(rows: DataFrame, classes: DataFrame, long: DataFrame, block: int) -> DataFrame:
+    """Pairs ``(a, b)`` of open buckets, between components, that both sketches allow."""
+    counted = rows.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    sizes = (
         counted.groupBy("key")
-        .agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("n"), F.count("*").alias("comps"))
-        .filter("comps > 1")
+        .agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("n"))
         .select(
             "key",
             F.col("top.comp").alias("top"),
             F.ceil((F.col("n") - F.col("top.c")) / block).cast("int").alias("few"),
-            F.ceil(F.col("n") / block).cast("int").alias("all"),
+            F.ceil(F.col("top.c") / block).cast("int").alias("many"),
         )
     )
-    rest = written(members.join(open_.hint("merge"), "key"), "unresolved")
-    sets = shingled(docs, key, text, rest.select(F.col("rep").alias(key)))
-    full = (
-        rest.join(classes.select("rep", "sig", "bands").hint("merge"), "rep")
-        .join(sets.hint("merge"), "rep")
+    dealt = (
+        rows.join(written(sizes, "sizes").hint("merge"), "key")
         .withColumn("minor", F.expr("comp != top"))
+        .withColumn("own", F.expr("cast(pmod(xxhash64(rep), if(minor, few, many)) + if(minor, 0, few) as int)"))
+        .join(long.hint("merge"), "rep")
     )
-    # A minor class goes to its block of minor classes and meets every block of all; both deal by hash.
-    sides = F.array(
-        F.struct(
-            F.lit(True).alias("asks"),
-            F.expr("cast(pmod(xxhash64(rep), few) as int)").alias("i"),
-            F.expr("sequence(0, all - 1)").alias("other"),
-        ),
-        F.struct(
-            F.lit(False).alias("asks"),
-            F.expr("cast(pmod(xxhash64(rep), all) as int)").alias("i"),
-            F.expr("sequence(0, few - 1)").alias("other"),
-        ),
-    )
-    sent = (
-        full.withColumn("side", F.explode(sides))
-        .filter("minor or not side.asks")
-        .withColumn("j", F.explode("side.other"))
-        .select(
-            "key",
-            F.expr("if(side.asks, side.i, j)").alias("i"),
-            F.expr("if(side.asks, j, side.i)").alias("j"),
-            F.col("side.asks").alias("asks"),
-            "band",
-            "rep",
-            "comp",
-            "minor",
-            "sig",
-            "bands",
-            "shingles",
-        )
-    )
-    kind = members.schema["rep"].dataType
-
-    def links(table: pa.Table) -> tuple[list, list]:
-        rep = table["rep"].to_numpy()
-        comp, asks, minor = (table[c].to_numpy() for c in ("comp", "asks", "minor"))
-        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(-1, BINS)
-        bands = np.stack(table["bands"].to_pylist())
-        sets = [np.frombuffer(x.as_buffer(), U) for x in table["shingles"]]
-        band = table["band"][0].as_py()
-        a, b = [], []
-        columns = np.flatnonzero(~asks)
-        for r in np.flatnonzero(asks):
-            y = columns[(comp[columns] != comp[r]) & (~minor[columns] | (rep[columns] > rep[r]))]
-            y = y[(sig[y] == sig[r]).sum(axis=1) >= ALIKE]
-            y = y[(bands[y, :band] != bands[r, :band]).all(axis=1)]
-            for c in y:
-                if _linked(sets[r], sets[c], percent):
-                    a.append(min(rep[r], rep[c]))
-                    b.append(max(rep[r], rep[c]))
-        return a, b
+    # Blocks 0 to few - 1 hold minor classes, the next ones the others. Minor blocks meet all blocks, and each other once.
+    sent = dealt.withColumn("other", F.explode(F.expr("sequence(0, few - 1 + if(minor, many, 0))"))).select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "comp", "minor", "bits"
+    )
+    kind = rows.schema["rep"].dataType
 
     def run(table: pa.Table) -> pa.Table:
-        a, b = links(table)
+        rep, comp, own = (table[c].to_numpy() for c in ("rep", "comp", "own"))
+        within = table["i"][0] == table["j"][0]
+        sketches = words_of(table["bits"])
+        first, second = (np.arange(len(rep)),) * 2 if within else (np.flatnonzero(own == x[0].as_py()) for x in (table["i"], table["j"]))
+        a, b = [], []
+        for r in first:
+            y = second[comp[second] != comp[r]]
+            if within:
+                y = y[rep[y] > rep[r]]
+            y = y[_close(sketches[y], sketches[r])]
+            a.append(np.minimum(rep[y], rep[r]))
+            b.append(np.maximum(rep[y], rep[r]))
         of = table.schema.field("rep").type
-        return pa.table({"a": pa.array(a, of), "b": pa.array(b, of)})
+        return pa.table({c: pa.array(np.concatenate([rep[:0], *x]), of) for c, x in (("a", a), ("b", b))})
 
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
-    return written(sent.groupBy("key", "i", "j").applyInArrow(run, schema).distinct(), "links")
+    found = written(sent.groupBy("key", "i", "j").applyInArrow(run, schema).distinct(), "candidates")
+    return _tested(found, classes.select("rep", "sig"), "sig", _alike)
 
 
 def near_duplicates(
@@ -285,8 +334,11 @@ def near_duplicates(
     """``(key, n_shingles, component_id, kept)``, one row for every row of ``docs``.
 
     ``component_id`` is the smallest key that links of ``percent`` similarity
-    reach, the row's own included; ``kept`` marks the row that carries it.
+    reach, the row's own included; ``kept`` marks the row that carries it. ``percent``
+    is 75 or more: below, pairs could share no band, so it is refused.
     """
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"bands and sketches find pairs of {LEAST_PERCENT} percent or more, not of {percent}")
     docs = docs.select(key, text)
     sketches = written(sketched(docs, key, text), "sketches")
     classes = written(
@@ -295,22 +347,44 @@ def near_duplicates(
         .agg(F.min(key).alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")),
         "classes",
     )
-    keys = classes.select("rep", F.posexplode("bands").alias("band", "key"))
+    # A key names its band too.
+    keys = classes.select("rep", F.explode("bands").alias("key"))
     leads = keys.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    leads = written(leads, "leads")
     members = written(keys.join(leads.hint("merge"), "key").filter("rep != lead"), "members")
 
-    stars = members.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
-    alike = written(_alike(stars, classes.select("rep", "sig")), "alike")
-    links = written(_confirmed(alike, docs, key, text, percent), "links")
+    def confirmed(pairs: DataFrame) -> DataFrame | None:
+        """Written links of the pairs, or None if there are none."""
+        alike = written(_tested(pairs, classes.select("rep", "sig"), "sig", _alike), "alike")
+        if alike.isEmpty():
+            return None
+        ids = alike.select(F.col("a").alias(key)).union(alike.select("b"))
+        close = written(_tested(alike, long_sketched(docs, key, text, ids), "bits", _close), "close")
+        verified = written(_confirmed(close, docs, key, text, percent), "links")
+        return None if verified.isEmpty() else verified
+
+    none = classes.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)
+    links = confirmed(members.select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct())
+    links = none if links is None else links
     found = components(links).toDF("rep", "comp")
 
     # What the stars leave: buckets with classes of several components.
-    labelled = members.join(found.hint("merge"), "rep", "left").select(
-        "key", "band", "rep", F.coalesce("comp", "rep").alias("comp")
-    )
-    more = _rest_links(written(labelled, "labelled"), classes, docs, key, text, percent, block)
-    if not more.isEmpty():
-        found = components(links.unionByName(more)).toDF("rep", "comp")
+    inner = members.select("key", "rep")
+    rows, led = _open_rows(inner, found), leads
+    for _ in range(STAR_ROUNDS):
+        pairs, led = _star_pairs(rows, led, found)
+        more = confirmed(pairs)
+        if more is None:
+            break
+        links = links.unionByName(more)
+        found = components(links).toDF("rep", "comp")
+        rows = _open_rows(rows.select("key", "rep"), found)
+    if not rows.isEmpty():
+        long = long_sketched(docs, key, text, rows.select(F.col("rep").alias(key)))
+        pairs = written(_block_pairs(rows, classes, long, block), "pairs")
+        if not pairs.isEmpty():
+            more = written(_confirmed(pairs, docs, key, text, percent), "links")
+            found = components(links.unionByName(more)).toDF("rep", "comp")
 
     named = (
         classes.select("c1", "c2", "rep")
@@ -331,3 +405,30 @@ def near_duplicates(
             F.coalesce(F.col(key) == F.col("component_id"), F.lit(False)).alias("kept"),
         )
     )
+
+
+#: The same result in SQL over ``documents``, by exact shingles of all pairs that share one.
+SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingled AS (
+  SELECT DISTINCT doc_id, unnest(
+           CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM worded),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingled a JOIN shingled b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM shared h JOIN sizes x ON h.a = x.doc_id JOIN sizes y ON h.b = y.doc_id
+  WHERE 100 * h.n >= 75 * (x.n + y.n - h.n)),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+found AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT f.doc_id, coalesce(n, 0) AS n_shingles, component_id, f.doc_id = component_id AS kept
+FROM found f LEFT JOIN sizes s ON s.doc_id = f.doc_id
+"""

@@ -2,11 +2,12 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from llm_cases import docs, words  # noqa: F401
 from llm_cases import plain_shingles
 
-from quizframe.llm.near_dups import near_duplicates
+from quizframe.llm.near_dups import _close, long_sketch, near_duplicates, words_of
 
 
 def brute_force(rows):
@@ -64,6 +65,34 @@ def test_links_that_stars_miss(spark, docs):
     assert found == {i: (n, c, i == c) for i, (n, c) in brute_force(rows).items()}
 
 
+def test_alike_but_unlinked_texts_beside_groups(spark, docs):
+    """Boilerplate texts of similarity near 0.5 share buckets with a dense group; the group is found, nothing else."""
+    rng = random.Random(9)
+    common = words(110, 10_000)
+    rows = [(i, common + " " + words(50, 1000 * i)) for i in range(150)]
+    base = common + " " + words(50, 990_000)
+    rows += [(500 + i, edited(rng, base, 0.01)) for i in range(30)]
+    for block in (4096, 8):
+        found = result(near_duplicates(docs(rows), block=block))
+        assert found == {i: (n, c, i == c) for i, (n, c) in brute_force(rows).items()}
+
+
+def test_long_sketches_tell_similarities_apart():
+    rng = random.Random(10)
+    base = [f"w{rng.random()}" for _ in range(400)]
+    text = lambda edits: " ".join(w if i >= edits * 5 or i % 5 else "x" for i, w in enumerate(base))
+    bits = words_of(long_sketch(pa.array([" ".join(base), text(8), text(45), "a b c", "a b c", ""])))
+    near = len(plain_shingles(text(8)) & plain_shingles(" ".join(base))) / len(plain_shingles(text(8)) | plain_shingles(" ".join(base)))
+    far = len(plain_shingles(text(45)) & plain_shingles(" ".join(base))) / len(plain_shingles(text(45)) | plain_shingles(" ".join(base)))
+    assert near > 0.75 and far < 0.55
+    assert _close(bits[:1], bits[1:2]).all() and not _close(bits[:1], bits[2:3]).any() and _close(bits[3:4], bits[4:5]).all()
+
+
+def test_low_thresholds_are_refused(spark, docs):
+    with pytest.raises(ValueError, match="75"):
+        near_duplicates(docs([(1, "a")]), percent=50)
+
+
 def test_nulls_empties_ties_and_extra_columns(spark, docs):
     long = words(30000)
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A B"), (6, "a b c"), (7, long), (8, long + " end"), (None, "a b"), (9, "x"), (9, "x")]
