@@ -117,6 +117,8 @@ def failed_filters(docs: DataFrame, key: str = "doc_id", text: str = "text", par
 
     judged = written(rows.mapInArrow(run, schema), "failures")
     copied = judged.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # A table of its own, so that the join deals both sides and a text with many copies can be split.
+    copied = written(copied, "copies")
     later = F.coalesce(F.col("id") > F.col("first"), F.lit(False)).cast("int") * (1 << (STEPS - 1))
     return judged.join(copied.hint("merge"), "digest", "left").select(
         F.col("id").alias(key), F.col("part").alias("part"), (F.col("mask") + later).alias("mask")
