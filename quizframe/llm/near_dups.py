@@ -15,17 +15,19 @@ Method
    bands with a probability of (1 - 0.75^4)^32 = 5e-6, and less above.
 4. **Candidates without the pairs of a bucket.** Every class of a bucket is compared
    with the bucket's smallest class only. Verified links give components. A bucket
-   whose classes are then all in one component needs nothing more. In the others a new
-   star is tried, around the smallest class outside the components led so far, while
-   that brings links (``STAR_ROUNDS`` at most): a dense group under an unrelated lead
-   becomes one component. What is still open, classes outside the bucket's largest
-   component, meet all classes of other components: in blocks of about ``BLOCK`` classes
-   with their long sketches of 128 bytes, each pair of blocks one task's work with bounded
-   memory. No bucket is capped or skipped.
+   whose classes are then all in one component needs nothing more. While the others hold
+   more than ``EACH`` pairs per class between components, new stars are tried, around the
+   smallest class outside the components led so far, as long as each halves the pairs: a
+   dense group under an unrelated lead becomes one component. What is still open, classes
+   outside the bucket's largest component, meet all classes of other components: in blocks
+   of about ``BLOCK`` classes with their long sketches of 128 bytes, each pair of blocks one
+   task's work with bounded memory. A task leaves out pairs that its own pairs of ``SURE``
+   agreement connect already (an unlinked pair reaches that with a probability of 1e-9), so
+   a dense group sends few. No bucket is capped or skipped.
 5. **Exact verification.** Pairs whose sketches agree in fewer than ``ALIKE`` of the
-   128 coordinates go (a pair of similarity 0.75 does with a probability of 4e-7). For the
-   others, **long sketches** of 1,024 coordinates with one bit of each are made: pairs that
-   agree in fewer than ``CLOSE`` bits go (probability 1e-7 at 0.75; of pairs of similarity
+   128 coordinates go (a pair of similarity 0.75 does with a probability of 4e-7). If more
+   pairs than classes are left, and in the blocks, **long sketches** of 1,024 coordinates
+   with one bit of each are made: pairs that agree in fewer than ``CLOSE`` bits go (probability 1e-7 at 0.75; of pairs of similarity
    0.5 less than one in a million stays). What is left is confirmed on full shingle sets.
    Long sketches and sets are computed for candidates only, from a scan that a bit table
    of their ids filters; neither texts nor the sets of all documents are shuffled.
@@ -55,13 +57,14 @@ BAND_ROWS = 4
 BANDS = BINS // BAND_ROWS
 #: Classes in a block of an unresolved bucket, on average.
 BLOCK = 4096
-#: Further stars tried in unresolved buckets before all their classes meet.
-STAR_ROUNDS = 4
+#: Pairs per class between the components of open buckets that are looked at without trying further stars.
+EACH = 2000
 #: Coordinates of alike sketches.
 ALIKE = 71
 #: Coordinates of the long sketches, of which one bit is kept, and those that close ones share.
 LONG_BINS = 1024
 CLOSE = 840
+SURE = 960
 #: The similarity that bands and ALIKE are made for.
 LEAST_PERCENT = 75
 
@@ -222,9 +225,13 @@ def _alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x.view(np.uint8) == y.view(np.uint8)).sum(axis=1) >= ALIKE
 
 
+def _agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bits in which long sketches agree."""
+    return LONG_BINS - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+
+
 def _close(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Do long sketches agree in enough bits?"""
-    return LONG_BINS - np.bitwise_count(x ^ y).sum(axis=1) >= CLOSE
+    return _agreement(x, y) >= CLOSE
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
@@ -257,6 +264,13 @@ def _open_rows(members: DataFrame, found: DataFrame) -> DataFrame:
     return written(labelled.join(written(open_.select("key"), "open").hint("merge"), "key", "left_semi"), "unresolved")
 
 
+def _cross_pairs(rows: DataFrame) -> int:
+    """Pairs of classes in open buckets that lie in different components."""
+    counted = rows.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    per_key = counted.groupBy("key").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("same"))
+    return int(per_key.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()[0] or 0)
+
+
 def _star_pairs(rows: DataFrame, leads: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pairs of one new lead per bucket with the classes of other components, all leads so far)."""
     led = leads.join(found.hint("merge"), F.col("lead") == F.col("rep"), "left").select(
@@ -308,16 +322,32 @@ def _block_pairs(rows: DataFrame, classes: DataFrame, long: DataFrame, block: in
         within = table["i"][0] == table["j"][0]
         sketches = words_of(table["bits"])
         first, second = (np.arange(len(rep)),) * 2 if within else (np.flatnonzero(own == x[0].as_py()) for x in (table["i"], table["j"]))
+        # Local components: those known, joined by the sure pairs met so far.
+        parent = {c: c for c in comp.tolist()}
+
+        def root(c):
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
         a, b = [], []
         for r in first:
             y = second[comp[second] != comp[r]]
             if within:
                 y = y[rep[y] > rep[r]]
-            y = y[_close(sketches[y], sketches[r])]
-            a.append(np.minimum(rep[y], rep[r]))
-            b.append(np.maximum(rep[y], rep[r]))
+            agree = _agreement(sketches[y], sketches[r])
+            near = np.flatnonzero(agree >= CLOSE)
+            # The most alike first, so that sure pairs connect before others are looked at.
+            for at in near[np.argsort(-agree[near], kind="stable")].tolist():
+                own, other = root(comp[r].item()), root(comp[y[at]].item())
+                if own != other:
+                    a.append(min(rep[r], rep[y[at]]))
+                    b.append(max(rep[r], rep[y[at]]))
+                    if agree[at] >= SURE:
+                        parent[other] = own
         of = table.schema.field("rep").type
-        return pa.table({c: pa.array(np.concatenate([rep[:0], *x]), of) for c, x in (("a", a), ("b", b))})
+        return pa.table({"a": pa.array(a, of), "b": pa.array(b, of)})
 
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
     found = written(sent.groupBy("key", "i", "j").applyInArrow(run, schema).distinct(), "candidates")
@@ -347,6 +377,7 @@ def near_duplicates(
         .agg(F.min(key).alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")),
         "classes",
     )
+    n_classes = classes.count()
     # A key names its band too.
     keys = classes.select("rep", F.explode("bands").alias("key"))
     leads = keys.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).filter("n > 1").drop("n")
@@ -356,11 +387,14 @@ def near_duplicates(
     def confirmed(pairs: DataFrame) -> DataFrame | None:
         """Written links of the pairs, or None if there are none."""
         alike = written(_tested(pairs, classes.select("rep", "sig"), "sig", _alike), "alike")
-        if alike.isEmpty():
+        n = alike.count()
+        if not n:
             return None
-        ids = alike.select(F.col("a").alias(key)).union(alike.select("b"))
-        close = written(_tested(alike, long_sketched(docs, key, text, ids), "bits", _close), "close")
-        verified = written(_confirmed(close, docs, key, text, percent), "links")
+        if n > n_classes:
+            # Many pairs for their classes: most are not linked, and long sketches cost less than sets.
+            ids = alike.select(F.col("a").alias(key)).union(alike.select("b"))
+            alike = written(_tested(alike, long_sketched(docs, key, text, ids), "bits", _close), "close")
+        verified = written(_confirmed(alike, docs, key, text, percent), "links")
         return None if verified.isEmpty() else verified
 
     none = classes.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)
@@ -369,9 +403,9 @@ def near_duplicates(
     found = components(links).toDF("rep", "comp")
 
     # What the stars leave: buckets with classes of several components.
-    inner = members.select("key", "rep")
-    rows, led = _open_rows(inner, found), leads
-    for _ in range(STAR_ROUNDS):
+    rows, led = _open_rows(members.select("key", "rep"), found), leads
+    work = _cross_pairs(rows)
+    while work > EACH * n_classes:
         pairs, led = _star_pairs(rows, led, found)
         more = confirmed(pairs)
         if more is None:
@@ -379,6 +413,9 @@ def near_duplicates(
         links = links.unionByName(more)
         found = components(links).toDF("rep", "comp")
         rows = _open_rows(rows.select("key", "rep"), found)
+        before, work = work, _cross_pairs(rows)
+        if 2 * work > before:
+            break
     if not rows.isEmpty():
         long = long_sketched(docs, key, text, rows.select(F.col("rep").alias(key)))
         pairs = written(_block_pairs(rows, classes, long, block), "pairs")

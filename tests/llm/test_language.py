@@ -1,6 +1,7 @@
 """Language filters: held-out accuracy, false-positive correction and the cases of the contract."""
 
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 from llm_cases import SMALL, docs  # noqa: F401
@@ -58,6 +59,49 @@ def test_nulls_und_unseen_ties_and_clashing_columns(spark, docs):  # noqa: F811
     assert all(found[i][0][0] == "en" for i in range(40))
 
 
+def plain_grams(text):
+    """Runs of three and four letters, each run of other characters one boundary."""
+    runs = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+    line = "|" + "|".join(runs) + "|" if runs else ""
+    return [line[i : i + n] for n in language.SIZES for i in range(len(line) - n + 1)]
+
+
+def test_op2_language_against_plain_sets(spark):
+    """Sets of n-grams instead of filters: the same languages, and shares within what false positives may add."""
+    table = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in table.collect()]
+    counts = defaultdict(Counter)
+    for i, text, lang in rows:
+        if lang is not None and text is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            counts[lang].update(plain_grams(text))
+    counts = {lang: {g: n for g, n in c.items() if n >= 2} for lang, c in counts.items()}
+    shares = {lang: {g: n / sum(c.values()) for g, n in c.items()} for lang, c in counts.items()}
+    best = Counter()
+    for c in shares.values():
+        for g, f in c.items():
+            best[g] = max(best[g], f)
+    sets = {lang: {g for g, f in c.items() if f * language.RIVAL >= best[g]} for lang, c in shares.items()}
+    found = {r["doc_id"]: r for r in held_out_languages(table).collect()}
+    for i, text, _ in rows:
+        grams = plain_grams(text)
+        hits = {lang: sum(g in s for g in grams) / max(1, len(grams)) for lang, s in sets.items()}
+        top = sorted(hits.values())[-2:]
+        assert abs(found[i]["score"] - max(hits.values())) < 0.02
+        if top[1] - top[0] > 0.02:
+            assert found[i]["lang_pred"] == max(hits, key=hits.get)
+
+
+def test_filters_are_sized_by_their_ngrams(spark, docs, monkeypatch):  # noqa: F811
+    assert language.bits_for(0) == language.LEAST_BITS and 2 ** language.bits_for(10**6) > 10**7
+    texts = [(i, "abc def ghi", "x") for i in range(9)]
+    assert len(fit(docs(texts)).rows) == 2**language.LEAST_BITS
+    # A filter whose bits are all set tells nothing, but no score is NaN.
+    filters = fit(docs(texts))
+    full = language.Filters(["x"], np.full_like(filters.rows, -1 & (2**64 - 1)), np.array([1.0]), "x")
+    said = identify(docs(texts).select("doc_id", "text"), full).first()
+    assert said["lang_pred"] == "x" and 0 <= said["score"] <= 1
+
+
 def test_nothing_to_learn_from(spark, docs):  # noqa: F811
     assert held_out_languages(docs([])).collect() == []
     rows = held_out_languages(docs([(1, "abc def", None)])).collect()

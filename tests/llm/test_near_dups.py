@@ -7,6 +7,7 @@ import pytest
 from llm_cases import docs, words  # noqa: F401
 from llm_cases import plain_shingles
 
+from quizframe.llm import near_dups
 from quizframe.llm.near_dups import _close, long_sketch, near_duplicates, words_of
 
 
@@ -65,14 +66,16 @@ def test_links_that_stars_miss(spark, docs):
     assert found == {i: (n, c, i == c) for i, (n, c) in brute_force(rows).items()}
 
 
-def test_alike_but_unlinked_texts_beside_groups(spark, docs):
+def test_alike_but_unlinked_texts_beside_groups(spark, docs, monkeypatch):
     """Boilerplate texts of similarity near 0.5 share buckets with a dense group; the group is found, nothing else."""
     rng = random.Random(9)
     common = words(110, 10_000)
     rows = [(i, common + " " + words(50, 1000 * i)) for i in range(150)]
     base = common + " " + words(50, 990_000)
     rows += [(500 + i, edited(rng, base, 0.01)) for i in range(30)]
-    for block in (4096, 8):
+    # Once with further stars, once with blocks alone.
+    for block, each in ((4096, 2000), (8, 2000), (8, 0)):
+        monkeypatch.setattr(near_dups, "EACH", each)
         found = result(near_duplicates(docs(rows), block=block))
         assert found == {i: (n, c, i == c) for i, (n, c) in brute_force(rows).items()}
 

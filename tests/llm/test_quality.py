@@ -1,12 +1,16 @@
 """Quality classifier: held-out accuracy, shape of the model and the cases of the contract."""
 
+import bisect
+import math
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
-from llm_cases import docs  # noqa: F401
+from llm_cases import SMALL, docs, plain_shingles  # noqa: F401
 
-from quizframe.llm.quality import FEATURES, boost, features, held_out_quality, sigmoid, tree_grid, tree_row
+from quizframe.llm.language import remainder
+from quizframe.llm.quality import FEATURES, boost, features, fit, held_out_quality, sigmoid, tree_grid, tree_row
 
 SF = "/root/testdata/sf0.01"
 LABELS = "doc_id long, quality int, toxic int"
@@ -55,6 +59,59 @@ def test_pairs_learn_an_interaction():
     assert auc(model.logits(x), y) > 0.9
 
 
+def plain_features(text):
+    """The features of one text, byte by byte and word by word."""
+    raw = (text or "").encode()
+    low = bytes(b + 32 if 65 <= b <= 90 else b for b in raw)
+    spaces = b" \t\n\x0b\x0c\r"
+    words, folded = (re.findall(rb"[^ \t\n\x0b\x0c\r]+", x) for x in (raw, low))
+    lines = re.findall(rb"[^\n]+", low)
+    count, rows, size = max(1, len(words)), max(1, len(lines)), max(1, len(raw))
+    share = lambda test: sum(map(test, raw)) / size
+    symbol = lambda b: 33 <= b < 127 and not chr(b).isalnum() and chr(b) not in ".,;:?|'\"()-"
+    shingles = [tuple(folded[i : i + 5]) for i in range(len(folded) - 4)] or ([tuple(folded)] if folded else [])
+    assert len(set(shingles)) == len(plain_shingles(text))
+    blank = sum(b in spaces for b in raw)
+    return [
+        math.log1p(len(raw)),
+        math.log1p(len(words)),
+        (len(raw) - blank) / count,
+        len(words) / rows,
+        share(lambda b: 65 <= b <= 90),
+        share(lambda b: 48 <= b <= 57),
+        blank / size,
+        share(lambda b: b in b".,;:?"),
+        share(symbol),
+        share(lambda b: b == 124),
+        share(lambda b: b >= 128),
+        len(set(folded)) / count,
+        sum(a == b for a, b in zip(folded, folded[1:])) / count,
+        len(set(shingles)) / max(1, len(shingles)),
+        len(set(lines)) / rows,
+        sum(symbol(w[-1]) for w in words) / count,
+        sum(65 <= w[0] <= 90 for w in words) / count,
+        sum(len(w) <= 3 for w in words) / count,
+    ]
+
+
+def test_op5_quality_scored_one_text_at_a_time(spark):
+    """Features in plain Python, then table entries added one by one."""
+    table, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    model = fit(table, labels.filter(remainder("doc_id", 3) != 1))
+    found = {r["doc_id"]: r for r in held_out_quality(table, labels).collect()}
+    assert model.tables and model.pairs
+    for r in table.collect():
+        x = plain_features(r["text"])
+        assert np.allclose(x, features(pa.array([r["text"]], pa.string()))[0])
+        at = [bisect.bisect_right(list(edges), v) for edges, v in zip(model.edges, x, strict=True)]
+        logit = model.base + sum(t[b] for t, b in zip(model.tables, at, strict=True))
+        for (i, j), grid in zip(model.pairs, model.grids, strict=True):
+            logit += grid[model.coarse[i][at[i]]][model.coarse[j][at[j]]]
+        p = 1 / (1 + math.exp(-logit))
+        assert abs(p - found[r["doc_id"]]["score"]) < 1e-9
+        assert found[r["doc_id"]]["predicted"] == int(found[r["doc_id"]]["score"] >= 0.5)
+
+
 def test_few_labels():
     assert sigmoid(boost(np.zeros((0, 2)), np.zeros(0)).logits(np.zeros((1, 2))))[0] == 0.5
     assert sigmoid(boost(np.zeros((30, 2)), np.ones(30)).logits(np.zeros((1, 2))))[0] > 0.9
