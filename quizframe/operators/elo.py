@@ -21,7 +21,7 @@ from quizframe.functions.columns import lr_beta, lr_theta, sigmoid
 from quizframe.operators.heavy import group_sizes
 from quizframe.operators.joins import lookup_join
 from quizframe.operators.ordered import USER_ORD, RunCount, ordered_features
-from quizframe.runtime import written
+from quizframe.runtime import key_sizes, written
 from quizframe.sources.answers import scored
 
 PARAMS_SCHEMA = "key STRING, kind STRING, id STRING, value DOUBLE"
@@ -43,35 +43,45 @@ def batch_of(attempt: Column) -> Column:
     return F.when(attempt == 0, 0).otherwise(F.length(F.bin(attempt)))
 
 
-def _rated(df: DataFrame, params: DataFrame, sizes: dict, keys: list[str]) -> DataFrame:
+def _lookup(params: DataFrame, kind: str, keys: list[str]) -> DataFrame:
+    """``(id, one value per key)`` of a kind."""
+    name = "_theta_" if kind == "learner" else "_beta_"
+    found = params.where((F.col("kind") == kind) & F.col("key").isin(keys))
+    return found.groupBy("id").agg(
+        *[F.max(F.when(F.col("key") == k, F.col("value"))).alias(name + k) for k in keys]
+    )
+
+
+def _rated(
+    df: DataFrame, learners: DataFrame | None, items: DataFrame | None, sizes: dict, keys: list[str]
+) -> DataFrame:
     """Add the current ``_theta_<key>`` and ``_beta_<key>`` (0 where unknown).
 
     A learner's ratings for all keys come in one lookup row, so the log meets
-    the learners once, and each kind of question once.
+    the learners once, and each kind of question once. Ids take the type of the
+    log's column, so a log that is bucketed by learner stays where it is.
     """
-    value = {k: F.when(F.col("key") == k, F.col("value")) for k in keys}
-    thetas = (
-        params.where((F.col("kind") == "learner") & F.col("key").isin(keys))
-        .groupBy(F.col("id").alias("_id"))
-        .agg(*[F.max(value[k]).alias(f"_theta_{k}") for k in keys])
-    )
-    n_learners = max([sizes.get((k, "learner"), 0) for k in keys])
-    df = lookup_join(df.withColumn("_id", F.col("userID").cast("string")), thetas, ["_id"], n_learners)
-    for k in keys:
-        betas = params.where((F.col("kind") == "item") & (F.col("key") == k)).select(
-            F.col("id").alias("_id"), F.col("value").alias(f"_beta_{k}")
-        )
-        df = lookup_join(
-            df.withColumn("_id", F.col(k).cast("string")), betas, ["_id"], sizes.get((k, "item"), 0)
-        )
+
+    def met(rows: DataFrame, column: str, lookup: DataFrame) -> DataFrame:
+        kind = df.schema[column].dataType
+        return lookup_join(rows, lookup.withColumn("id", F.col("id").cast(kind)).withColumnRenamed("id", column), [column], sizes[column])
+
+    if learners is not None:
+        df = met(df, "userID", _lookup(learners, "learner", keys))
+    if items is not None:
+        for k in keys:
+            df = met(df, k, _lookup(items, "item", [k]))
     known = [f"_{p}_{k}" for k in keys for p in ("theta", "beta")]
-    return df.drop("_id").fillna(0.0, subset=known)
+    missing = {c: F.lit(0.0) for c in known if c not in df.columns}
+    return df.withColumns(missing).fillna(0.0, subset=known)
 
 
-def _sizes(params: DataFrame) -> dict:
-    # At most two rows per rated key column come to the driver.
-    counts = params.groupBy("key", "kind").agg(F.count(F.lit(1)).alias("n")).collect()
-    return {(r["key"], r["kind"]): r["n"] for r in counts}
+def _latest(rounds: list[DataFrame]) -> DataFrame:
+    """Every parameter as of the last round that moved it."""
+    moved = rounds[0]
+    for more in rounds[1:]:
+        moved = moved.unionByName(more)
+    return moved.groupBy("key", "kind", "id").agg(F.max_by("value", "round").alias("value"))
 
 
 def elo_fit(
@@ -81,29 +91,37 @@ def elo_fit(
 
     All keys share one pass per batch. ``scored_only`` leaves out the rows to
     be predicted, which otherwise count as answers of value -1.
+
+    A round writes the parameters that it moved and no others, so all rounds
+    together write at most one row per answer and parameter. A learner of one
+    batch was in all batches before, so a round reads learners from the round
+    before it only; a question is looked up in all rounds so far.
     """
     spark = log.sparkSession
     rows = (scored(log) if scored_only else log).select(*USER_ORD, "userID", "answerCode", *keys)
     n, most = group_sizes(rows, ["userID"])
+    if not n:
+        return spark.createDataFrame([], PARAMS_SCHEMA)
     rows = ordered_features(rows, ["userID"], USER_ORD, [RunCount("n_user", current=False)], rows=n)
     for k in keys:
         rows = ordered_features(rows, [k], USER_ORD, [RunCount(f"n_{k}", current=False)], rows=n)
     rows = rows.withColumn("batch", batch_of(F.col("n_user"))).drop(*USER_ORD)
     # One folder per batch: a round reads its own rows only.
     rows = written(rows, "elo-rows", ("batch",))
+    # Upper bounds for every round's look-ups, counted once.
+    _, sizes = key_sizes(rows, ["userID", *keys])
 
-    params = spark.createDataFrame([], PARAMS_SCHEMA)
-    sizes: dict = {}
-    for b in range(max(most - 1, 0).bit_length() + 1 if most else 0):
-        part = _rated(rows.where(F.col("batch") == b), params, sizes, keys)
+    rounds: list[DataFrame] = []
+    for b in range(max(most - 1, 0).bit_length() + 1):
+        part = _rated(rows.where(F.col("batch") == b), *((rounds[-1], _latest(rounds)) if rounds else (None, None)), sizes, keys)
         steps = []
         for k in keys:
             theta, beta = F.col(f"_theta_{k}"), F.col(f"_beta_{k}")
             miss = F.col("answerCode") - probability(theta, beta, formula)
             slope = sigmoid(theta - beta) * (1 - sigmoid(theta - beta))
-            for kind, of, rate, sign in (
-                ("learner", "userID", lr_theta(F.col("n_user")), 1),
-                ("item", k, lr_beta(F.col(f"n_{k}")), -1),
+            for kind, of, rate, sign, old in (
+                ("learner", "userID", lr_theta(F.col("n_user")), 1, theta),
+                ("item", k, lr_beta(F.col(f"n_{k}")), -1, beta),
             ):
                 steps.append(
                     F.struct(
@@ -112,23 +130,24 @@ def elo_fit(
                         F.col(of).cast("string").alias("id"),
                         (sign * rate * miss).alias("step"),
                         (rate * slope).alias("pull"),
+                        old.alias("old"),
                     )
                 )
         # Summed per task before the shuffle, so a heavy key moves few rows.
         moved = part.select(F.inline(F.array(*steps))).groupBy("key", "kind", "id").agg(
-            (F.sum("step") / (1 + F.sum("pull") - F.max("pull"))).alias("value")
-        )
-        params = written(
-            params.unionByName(moved).groupBy("key", "kind", "id").agg(F.sum("value").alias("value")),
-            "elo-params",
+            (F.max("old") + F.sum("step") / (1 + F.sum("pull") - F.max("pull"))).alias("value")
         )
-        sizes = _sizes(params)
-    return params
+        rounds.append(written(moved.withColumn("round", F.lit(b)), "elo-moved"))
+    return written(_latest(rounds), "elo-params")
 
 
 def with_ratings(log: DataFrame, params: DataFrame, keys: list[str]) -> DataFrame:
     """Add ``theta_<key>`` and ``beta_<key>`` for every rated key column."""
-    rated = _rated(log, params, _sizes(params), keys)
+    # At most two rows per rated key column come to the driver.
+    counts = params.groupBy("key", "kind").agg(F.count(F.lit(1)).alias("n")).collect()
+    sizes = {"userID": max([r["n"] for r in counts if r["kind"] == "learner"], default=0)}
+    sizes |= dict.fromkeys(keys, 0) | {r["key"]: r["n"] for r in counts if r["kind"] == "item"}
+    rated = _rated(log, params, params, sizes, keys)
     return rated.withColumnsRenamed({f"_{p}_{k}": f"{p}_{k}" for k in keys for p in ("theta", "beta")})
 
 

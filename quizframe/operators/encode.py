@@ -104,15 +104,24 @@ def fit_encoders(
 
 
 def apply_encoders(df: DataFrame, assets: DataFrame, encoders: dict[str, str]) -> DataFrame:
-    """Add one column per ``asset -> key column``; unseen keys are NULL."""
+    """Add one column per ``asset -> key column``; unseen keys are NULL.
+
+    All statistics of one key column come in one lookup row, so ``df`` is joined once
+    per key column, however many statistics there are.
+    """
     sizes = {r["asset"]: r["n"] for r in assets.groupBy("asset").agg(F.count(F.lit(1)).alias("n")).collect()}
+    by_key: dict[str, list[str]] = {}
     for asset, key in encoders.items():
-        lookup = assets.where(F.col("asset") == asset).select(
-            F.col("key").alias("_k"), F.col("value").alias(asset)
+        by_key.setdefault(key, []).append(asset)
+    for key, names in by_key.items():
+        lookup = (
+            assets.where(F.col("asset").isin(names))
+            .groupBy(F.col("key").alias("_k"))
+            .agg(*[F.max(F.when(F.col("asset") == a, F.col("value"))).alias(a) for a in names])
         )
-        df = lookup_join(df.withColumn("_k", F.col(key).cast("string")), lookup, ["_k"], sizes.get(asset, 0))
-        df = df.drop("_k")
-    return df
+        rows = sum(sizes.get(a, 0) for a in names)
+        df = lookup_join(df.withColumn("_k", F.col(key).cast("string")), lookup, ["_k"], rows).drop("_k")
+    return df.select(*[c for c in df.columns if c not in encoders], *encoders)
 
 
 def replace_outliers(

@@ -38,22 +38,22 @@ def top_k_accuracy(scores: Column, label: Column, k: int = 3) -> Column:
     return F.avg(F.array_contains(top_k_classes(scores, k), label).cast("int"))
 
 
-def auc(df: DataFrame, label: str, p: str) -> DataFrame:
-    """Exact area under the ROC curve, ties counted half; NULL for one class only.
+def auc(df: DataFrame, label: str, p: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Exact area under the ROC curve (per group of ``by``), ties counted half; NULL for one class only.
 
     Rows shrink to one per distinct score first; the running count of negatives
     then works over any number of distinct scores.
     """
     by_score = written(
-        df.groupBy(F.col(p).alias("_p")).agg(
+        df.groupBy(*by, F.col(p).alias("_p")).agg(
             F.sum(label).alias("_pos"), F.sum(1 - F.col(label)).alias("_neg")
         ),
         "scores",
     )
     below = RunSum("_below", F.col("_neg"), current=False)
-    ranked = ordered_features(by_score, [], ["_p"], [below], rows=by_score.count())
+    ranked = ordered_features(by_score, list(by), ["_p"], [below], rows=by_score.count())
     pos, neg = F.col("_pos").cast("double"), F.col("_neg").cast("double")
-    return ranked.agg(
+    return (ranked.groupBy(*by) if by else ranked).agg(
         F.try_divide(
             F.sum(pos * (F.col("_below") + neg / 2)), F.sum(pos) * F.sum(neg)
         ).alias("auc")

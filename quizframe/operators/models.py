@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import re
+
+import numpy as np
+import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import FMClassifier, GBTClassifier
+from pyspark.ml.classification import FMClassifier, GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quizframe.operators.metrics import auc, rmse
+from quizframe.runtime import written
+
 # One weight vector per one-hot column travels to every task and back.
 MAX_WEIGHTS = 1 << 27
 
@@ -24,11 +32,11 @@ def fit_boosting(
     patience: int = 50,
     seed: int = 42,
 ) -> PipelineModel:
-    """Boosted trees, cut after ``patience`` trees without a better validation loss.
+    """Boosted trees, cut after ``patience`` trees without a better AUC on ``valid``.
 
-    All ``max_iter`` trees are grown; the model keeps those up to the best loss
-    on ``valid`` that a stop with this patience would have seen. NULL features
-    count as -1.
+    All ``max_iter`` trees are grown once; the model keeps those up to the best AUC that
+    a stop with this patience would have seen (up to the best log loss if ``valid`` holds
+    one class only). NULL features count as -1.
     """
     columns = [*features, label]
 
@@ -51,11 +59,61 @@ def fit_boosting(
     checked = assembler.transform(prepared(valid))
     if checked.isEmpty():
         return model
-    losses = trees.evaluateEachIteration(checked)
-    kept = best_round(losses, patience)
-    if kept < len(losses):
-        model = Pipeline(stages=[stages[0], stages[1].setMaxIter(kept)]).fit(prepared(train))
-    return model
+    quality = staged_auc(trees, checked, label)
+    losses = [-q for q in quality] if quality else trees.evaluateEachIteration(checked)
+    return PipelineModel([assembler, first_trees(trees, best_round(losses, patience))])
+
+
+def _leaf_values(trees: GBTClassificationModel) -> list[list[float]]:
+    """The predictions of every tree's leaves, from left to right."""
+    return [[float(x) for x in re.findall(r"Predict: (\S+)", t.toDebugString)] for t in trees.trees]
+
+
+def staged_auc(trees: GBTClassificationModel, rows: DataFrame, label: str) -> list[float]:
+    """Exact AUC of the first 1, 2, ... trees on ``rows``; empty if they hold one class only.
+
+    One pass finds each row's leaf in every tree; margins of all stages follow by running
+    sums, in batches, and are ranked per stage.
+    """
+    weights = np.array(trees.treeWeights)
+    leaves = _leaf_values(trees)
+    table = np.zeros((len(leaves), max(map(len, leaves))))
+    for i, values in enumerate(leaves):
+        table[i, : len(values)] = values
+
+    def staged(batches):
+        for batch in batches:
+            found = np.array(batch.column("_leaves").to_pylist(), np.int64).reshape(batch.num_rows, -1)
+            margins = np.cumsum(table[np.arange(found.shape[1]), found] * weights, axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.tile(np.arange(found.shape[1], dtype=np.int32), len(found))),
+                    pa.array(np.repeat(batch.column("_label").to_numpy(zero_copy_only=False), found.shape[1])),
+                    pa.array(margins.ravel()),
+                ],
+                names=["_stage", "_label", "_margin"],
+            )
+
+    placed = trees.copy().setLeafCol("_leaf").transform(rows)
+    narrow = placed.select(vector_to_array("_leaf").alias("_leaves"), F.col(label).cast("double").alias("_label"))
+    long = narrow.mapInArrow(staged, "_stage int, _label double, _margin double")
+    found = auc(long, "_label", "_margin", ("_stage",)).orderBy("_stage").collect()
+    return [] if any(r["auc"] is None for r in found) else [r["auc"] for r in found]
+
+
+def first_trees(trees: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The ensemble of the first ``n`` trees: nothing is grown again."""
+    if n >= trees.getNumTrees:
+        return trees
+    context = SparkContext._active_spark_context
+    ml = context._jvm.org.apache.spark.ml
+    java = trees._java_obj
+    kept = context._gateway.new_array(ml.regression.DecisionTreeRegressionModel, n)
+    weights = context._gateway.new_array(context._jvm.double, n)
+    for i in range(n):
+        kept[i], weights[i] = java.trees()[i], java.treeWeights()[i]
+    cut = ml.classification.GBTClassificationModel(java.uid(), kept, weights, java.numFeatures(), java.numClasses())
+    return GBTClassificationModel(java.copyValues(cut, ml.param.ParamMap.empty()))
 
 
 def best_round(losses: list[float], patience: int) -> int:
@@ -76,18 +134,22 @@ def filled(df: DataFrame, features: list[str]) -> DataFrame:
 def fit_fm(
     train: DataFrame,
     fields: dict[str, int],
+    valid: DataFrame | None = None,
     label: str = "answerCode",
     factor_size: int = 16,
-    max_iter: int = 50,
+    iterations: tuple[int, ...] = (3, 9, 27),
     step_size: float = 0.05,
+    reg_param: float = 0.01,
     hash_width: int | None = None,
     seed: int = 0,
 ) -> PipelineModel:
     """Factorisation machine over indexed fields (``field -> number of codes``).
 
-    Codes unseen in training share one extra column per field. The caller
-    chooses the encoder, whatever the size: one column per code, or
-    ``hash_width`` columns that codes share by hash.
+    Weights decay by ``reg_param``. With ``valid`` rows, models of more and more
+    ``iterations`` are fitted until one has no smaller RMSE on them, and the best is
+    returned; without, the model of the last number. Codes unseen in training share one
+    extra column per field. The caller chooses the encoder, whatever the size: one
+    column per code, or ``hash_width`` columns that codes share by hash.
     """
     columns = list(fields)
     shifted = [f"_{c}" for c in columns]
@@ -114,12 +176,28 @@ def fit_fm(
         labelCol=label,
         featuresCol="_x",
         factorSize=factor_size,
-        maxIter=max_iter,
         stepSize=step_size,
+        regParam=reg_param,
         seed=seed,
     )
-    rows = fm_fields(train, fields).withColumn(label, F.col(label).cast("double"))
-    return Pipeline(stages=[*encode, fm]).fit(rows)
+
+    def prepared(df: DataFrame) -> DataFrame:
+        return fm_fields(df, fields).select(*shifted, F.col(label).cast("double").alias(label))
+
+    coder = Pipeline(stages=encode).fit(prepared(train))
+    coded = written(coder.transform(prepared(train)).select("_x", label), "fm-rows")
+    if valid is None:
+        return PipelineModel([*coder.stages, fm.setMaxIter(iterations[-1]).fit(coded)])
+    checked = written(coder.transform(prepared(valid)).select("_x", label), "fm-valid")
+    best, least = None, None
+    for n in iterations:
+        model = fm.copy().setMaxIter(n).fit(coded)
+        p = vector_to_array("probability")[1]
+        loss = model.transform(checked).agg(rmse(F.col(label), p)).first()[0]
+        if best is not None and (loss is None or loss >= least):
+            break
+        best, least = model, loss
+    return PipelineModel([*coder.stages, best])
 
 
 def fm_fields(df: DataFrame, fields: dict[str, int]) -> DataFrame:

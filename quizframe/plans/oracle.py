@@ -443,15 +443,41 @@ def _padded_list(value: str, pad: str = "0") -> str:
     )
 
 
+# Label means of earlier rows in a random order for training rows, of all training rows for the others.
+PARTS["turned"] = """
+  SELECT *, (SELECT avg(answerCode) FROM parts WHERE part = 'train') AS prior, md5(concat(row_id, '|42')) AS turn
+  FROM parts WHERE answerCode >= 0"""
+
+
+def _targets(columns: list[str]) -> str:
+    earlier = ", ".join(
+        f"round((coalesce(sum(answerCode) OVER (PARTITION BY {c} ORDER BY turn, row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + prior)"
+        f" / (row_number() OVER (PARTITION BY {c} ORDER BY turn, row_id) - 1 + 1), 9) AS target_{c}"
+        for c in columns
+    )
+    fitted = ", ".join(
+        f"round((coalesce((SELECT sum(answerCode) FROM turned t WHERE t.part = 'train' AND t.{c} = x.{c}), 0) + prior)"
+        f" / (coalesce((SELECT count(*) FROM turned t WHERE t.part = 'train' AND t.{c} = x.{c}), 0) + 1), 9) AS target_{c}"
+        for c in columns
+    )
+    return (
+        f"SELECT row_id, part, {earlier} FROM turned WHERE part = 'train' UNION ALL "
+        f"SELECT row_id, part, {fitted} FROM turned x WHERE part = 'valid'"
+    )
+
+
+_SUBMISSION = f"""SELECT row_number() OVER (ORDER BY {_FRAME}) - 1 AS id, coalesce(p, 0.5) AS prediction
+      FROM (SELECT * FROM ans WHERE answerCode = -1)
+      LEFT JOIN (SELECT assessmentItemID, avg(answerCode) AS p FROM sc GROUP BY 1) USING (assessmentItemID)"""
+
 FINALS: dict[str, str] = {
     "answers": f"SELECT userID, assessmentItemID, testId, answerCode, {_US}, KnowledgeTag, split, row_id FROM ans",
     "lineitem_answers": f"SELECT userID, assessmentItemID, testId, answerCode, {_US}, KnowledgeTag, split, row_id FROM line",
     "union_logs": "SELECT row_id, userID, answerCode, split FROM ans",
     "scored_rows": "SELECT row_id, userID, answerCode FROM sc",
     "unscored_rows": "SELECT row_id, userID, answerCode FROM ans WHERE answerCode = -1",
-    "submission_rows": f"""SELECT row_number() OVER (ORDER BY {_FRAME}) - 1 AS id, coalesce(p, 0.5) AS prediction
-      FROM (SELECT * FROM ans WHERE answerCode = -1)
-      LEFT JOIN (SELECT assessmentItemID, avg(answerCode) AS p FROM sc GROUP BY 1) USING (assessmentItemID)""",
+    "submission_rows": _SUBMISSION,
+    "template_round_trip": _SUBMISSION,
     "calendar_codes": """SELECT row_id, category_high, problem_num, CAST(category_high AS INT) AS grade,
       CAST(problem_num AS INT) AS assessmentItemNumber, hour, weekofyear FROM coded""",
     "time_divide": """SELECT row_id, CASE WHEN hour < 6 THEN 'dawn' WHEN hour < 12 THEN 'morning'
@@ -526,6 +552,7 @@ FINALS: dict[str, str] = {
       LEFT JOIN (SELECT testId, CAST(count(*) AS DOUBLE) AS vt, avg(answerCode) AS mt FROM tr GROUP BY 1) USING (testId)
       LEFT JOIN (SELECT KnowledgeTag, avg(answerCode) AS mg FROM tr GROUP BY 1) USING (KnowledgeTag)
       WHERE a.split = 1""",
+    "target_statistics": _targets(["userID", *_DICT]),
     "outlier_replace": "SELECT row_id, consumedTime FROM clean",
     "outlier_replace_elapsed": """SELECT row_id,
         CASE WHEN elapsed_us > q3 + 1.5 * (q3 - q1) THEN q2 ELSE CAST(elapsed_us AS DOUBLE) END AS elapsed_us
@@ -596,7 +623,7 @@ FINALS: dict[str, str] = {
       LEFT JOIN (SELECT testId, count(*) AS vt FROM f_clean GROUP BY 1) t ON t.testId = x.testId
       {' '.join(f'LEFT JOIN (SELECT {k}, avg(answerCode) AS a, avg(consumedTime) AS t FROM f_scaled GROUP BY 1) m{i} ON m{i}.{k} = x.{k}' for i, k in enumerate(_DICT))}""",
     "csv_round_trip": """SELECT userID, assessmentItemID, testId, answerCode, CAST(floor(epoch(Timestamp)) AS BIGINT) AS epoch,
-      KnowledgeTag, split FROM tr""",
+      KnowledgeTag, split, row_number() OVER (PARTITION BY userID ORDER BY Timestamp, row_id) AS nth FROM tr""",
     "assets_round_trip": "SELECT 'value_counts_testId' AS asset, testId AS key, 'value' AS stat, CAST(count(*) AS DOUBLE) AS value FROM sc GROUP BY testId UNION ALL "
     + " UNION ALL ".join(
         f"SELECT 'mean_{c}_answerCode', CAST({c} AS VARCHAR), 'value', avg(answerCode) FROM sc GROUP BY {c}" for c in _DICT

@@ -26,9 +26,9 @@ from quizframe.functions.columns import (
     to_epoch,
 )
 from quizframe.operators import elo as elo_ops
-from quizframe.operators import encode, grains, graph, metrics, models, sequences, splits, windows
+from quizframe.operators import encode, grains, graph, metrics, models, sequences, splits, targets, windows
 from quizframe.operators.joins import apply_lookup, minus_rows
-from quizframe.operators.ordered import FRAME_ORD
+from quizframe.operators.ordered import FRAME_ORD, RunCount, ordered_features
 from quizframe.plans import tables
 from quizframe.runtime import run_dir, written
 from quizframe.sources import answers as src
@@ -109,14 +109,20 @@ def _saved(spark: SparkSession) -> str:
 
 @query("csv_round_trip")
 def csv_round_trip(spark, sf_dir):
-    """The train log written as CSV in two folders and read by path."""
+    """The train log written as CSV in two folders, in the learners' order of time, and read by path.
+
+    One half is read with times, the other with texts that are converted; ``nth`` is a
+    row's place among its learner's by ``row_id``, which follows the files.
+    """
     log = event_log(spark, sf_dir).where("split = 0")
     folder = _saved(spark)
+    halves = []
     for half in (0, 1):
-        part = log.where(F.col("userID") % 2 == half)
+        part = log.where(F.col("userID") % 2 == half).repartitionByRange(4, "userID").sortWithinPartitions(*FRAME_ORD)
         part.select("userID", "assessmentItemID", "testId", "answerCode", F.date_format("Timestamp", "yyyy-MM-dd HH:mm:ss").alias("Timestamp"), "KnowledgeTag").write.csv(f"{folder}/day={half}", header=True)
-    found = src.read_answers(spark, f"{folder}/*")
-    return found.select("userID", "assessmentItemID", "testId", "answerCode", to_epoch(F.col("Timestamp")).alias("epoch"), "KnowledgeTag", "split")
+        halves.append(src.read_answers(spark, f"{folder}/day={half}", parse_ts=half == 0))
+    found = ordered_features(halves[0].unionByName(halves[1]), ["userID"], ["row_id"], [RunCount("nth")])
+    return found.select("userID", "assessmentItemID", "testId", "answerCode", to_epoch(F.col("Timestamp")).alias("epoch"), "KnowledgeTag", "split", "nth")
 
 
 @query("assets_round_trip")
@@ -152,6 +158,17 @@ def submission_rows(spark, sf_dir):
     return src.submission_rows(test, FRAME_ORD)
 
 
+@query("template_round_trip")
+def template_round_trip(spark, sf_dir):
+    """The same predictions through the CSV sink and the reader of the id template."""
+    log = event_log(spark, sf_dir)
+    rates = grains.mean_encoding(src.scored(log), "assessmentItemID", "answerCode")
+    test = apply_lookup(src.unscored(log), "assessmentItemID", rates, "prediction", F.lit(0.5))
+    folder = _saved(spark)
+    src.write_predictions(test, folder, FRAME_ORD)
+    return src.read_template(spark, folder)
+
+
 # ---- projections and scalar functions ------------------------------------------
 
 
@@ -490,8 +507,8 @@ def encode_first_seen(spark, sf_dir):
 
 @query("lookup_apply")
 def lookup_apply(spark, sf_dir):
-    log = event_log(spark, sf_dir)
     """Fitted on the train log, applied to the test log."""
+    log = event_log(spark, sf_dir)
     train, test = src.scored(log).where("split = 0"), log.where("split = 1")
     rates = grains.mean_encoding(train, "testId", "answerCode")
     found = apply_lookup(test, "testId", rates, "test_rate", F.lit(0.5))
@@ -687,11 +704,12 @@ def sequence_table(spark, sf_dir):
 
 
 def _boosted(spark, sf_dir, wanted):
-    parts, _ = tables.encoded_parts(tables.boosting_parts(event_log(spark, sf_dir), ("train_split", "valid", wanted)))
+    log = event_log(spark, sf_dir)
+    parts, features = tables.boosting_inputs(tables.boosting_parts(log, ("train_split", "valid", wanted)))
     train, valid = written(parts["train_split"], "train"), written(parts["valid"], "valid")
-    model = models.fit_boosting(train, valid, tables.BOOSTING_FEATURES)
+    model = models.fit_boosting(train, valid, features)
     rows = valid if wanted == "valid" else parts[wanted]
-    return models.score(model, models.filled(rows, tables.BOOSTING_FEATURES), "p")
+    return models.score(model, models.filled(rows, features), "p")
 
 
 @query("boosting_scores")
@@ -699,6 +717,29 @@ def boosting_scores(spark, sf_dir):
     return _boosted(spark, sf_dir, "test").select("row_id", "p")
 
 
+@query("boosting_submission")
+def boosting_submission(spark, sf_dir):
+    """Fitted, scored, written as the id template in the order of the test log, and read again."""
+    scores = _boosted(spark, sf_dir, "test").withColumn("prediction", F.col("p"))
+    folder = _saved(spark)
+    src.write_predictions(scores, folder, ["userID", "row_id"])
+    return src.read_template(spark, folder)
+
+
+@query("target_statistics")
+def target_statistics(spark, sf_dir):
+    """Categories as ordered means for the rows before each learner's last, as fitted means for the last."""
+    columns = ["userID", *DICT_COLUMNS]
+    rows = written(splits.split_last(src.scored(event_log(spark, sf_dir))), "rows")
+    train, valid = rows.where("part = 'train'"), rows.where("part = 'valid'")
+    prior = targets.label_mean(train, "answerCode")
+    fitted = written(targets.fit_targets(train, columns, prior=prior), "targets")
+    both = targets.ordered_targets(train, columns, prior=prior).unionByName(
+        targets.apply_targets(valid, fitted, columns, prior).select(*train.columns, *[targets.encoded_name(c) for c in columns])
+    )
+    return both.select("row_id", "part", *[rounded(targets.encoded_name(c), 9) for c in columns])
+
+
 def _scored_well(rows):
     """AUC, accuracy and RMSE of a model's scores, one row."""
     rows = written(rows.select("answerCode", "p"), "scores")
@@ -715,19 +756,31 @@ def boosting_metrics(spark, sf_dir):
     return _scored_well(_boosted(spark, sf_dir, "valid"))
 
 
+def _last3(rows, log):
+    """``rows`` of the training part before and among the last three of every learner."""
+    parts = splits.split_last3(log).select("row_id", F.col("part").alias("half"))
+    cut = written(rows.join(parts, "row_id"), "context-split")
+    return cut.where("half = 'train'").drop("half"), cut.where("half = 'valid'").drop("half")
+
+
 def _fm(spark, sf_dir, held_out):
+    """Scores of the test rows, or of every learner's last three training rows (then left out of the fit).
+
+    The number of iterations is chosen on the last three rows of what the fit may see.
+    """
     log = event_log(spark, sf_dir)
     rows, dictionary = tables.context_table(log)
     rows = written(rows, "context-table")
     dims = {r["field"]: r["size"] for r in cardinality(dictionary).collect()}
     fields = {c: dims[c] for c in tables.CONTEXT_FIELDS}
-    train, test = rows.where("part = 'train'"), rows.where("part = 'test'")
+    train, wanted = rows.where("part = 'train'"), rows.where("part = 'test'")
+    seen = written(splits.context_rows(log), "context-rows")
     if held_out:
-        parts = splits.split_last3(written(splits.context_rows(log), "context-rows")).select("row_id", F.col("part").alias("half"))
-        train = written(train.join(parts, "row_id"), "context-split")
-        train, test = train.where("half = 'train'"), train.where("half = 'valid'")
-    model = models.fit_fm(train, fields)
-    return models.score(model, models.fm_fields(test, fields), "p")
+        train, wanted = _last3(train, seen)
+        seen = written(seen.join(train.select("row_id"), "row_id", "left_semi"), "context-seen")
+    train, valid = _last3(train, seen)
+    model = models.fit_fm(train, fields, valid)
+    return models.score(model, models.fm_fields(wanted, fields), "p")
 
 
 @query("fm_scores")

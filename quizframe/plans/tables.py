@@ -23,6 +23,7 @@ from quizframe.operators.grains import grain_lookups, join_lookups, mean_encodin
 from quizframe.operators.ordered import FRAME_ORD, USER_ORD, lay_out
 from quizframe.operators.sequences import padded_sequences
 from quizframe.operators.splits import context_rows, split_last
+from quizframe.operators.targets import apply_targets, encoded_name, fit_targets, label_mean, ordered_targets
 from quizframe.operators.windows import (
     answer_lags,
     category_correct,
@@ -39,7 +40,7 @@ from quizframe.operators.windows import (
     with_codes,
     with_context_codes,
 )
-from quizframe.runtime import written
+from quizframe.runtime import bucketed, written
 from quizframe.sources.answers import scored, unscored
 
 # The output schema of the table.
@@ -102,10 +103,11 @@ def row_features(
 
     Learner windows run back to back, so the log is partitioned by learner once
     for all of them; the table-wide running counts follow. The log is written
-    once, since its size is counted, the answer times need a threshold over all
-    rows, and the ratings start from it again.
+    once, bucketed by learner, since its size is counted, the answer times need a
+    threshold over all rows, and the ratings start from it again: no window or join
+    by learner shuffles it after that.
     """
-    log = written(log, "log")
+    log = bucketed(log, "log", "userID")
     df, layout = lay_out(with_codes(with_calendar(log)), ["userID"], USER_ORD)
     df = answer_lags(df, layout=layout)
     df = elapsed(df, layout=layout)
@@ -128,7 +130,8 @@ def boosting_parts(
     scored rows, ``valid`` and ``train_split`` only from the rows before the
     held-out ones.
     """
-    rows = written(split_last(row_features(log, **options)), "row-features")
+    # Bucketed by learner like the log: neither the aggregates nor the join by learner shuffle it.
+    rows = bucketed(split_last(row_features(log, **options)), "row-features", "userID")
     base = scored(rows)
     before = base.where(F.col("part") == "train")
     sources = {
@@ -154,6 +157,40 @@ def encoded_parts(parts: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], Da
     return {name: encode_text_columns(df, dictionary) for name, df in parts.items()}, dictionary
 
 
+#: Features that name something; the others are numbers.
+BOOSTING_CATEGORIES = [
+    "userID",
+    "assessmentItemID",
+    "KnowledgeTag",
+    "category_high",
+    "problem_num",
+    "hour",
+    "weekofyear",
+]
+
+
+def boosting_inputs(
+    parts: dict[str, DataFrame], categories: list[str] | None = None
+) -> tuple[dict[str, DataFrame], list[str]]:
+    """All parts with their categories as target statistics, and the names of the features.
+
+    ``train_split`` gets ordered statistics, in which no row sees its own label; the other
+    parts get the means of ``train_split``. ``categories`` may name any feature, numbers too.
+    """
+    categories = BOOSTING_CATEGORIES if categories is None else categories
+    train = written(parts["train_split"], "train")
+    prior = label_mean(train, "answerCode")
+    fitted = written(fit_targets(train, categories, prior=prior), "targets")
+    features = [encoded_name(c) if c in categories else c for c in BOOSTING_FEATURES]
+    made = {
+        name: ordered_targets(train, categories, prior=prior)
+        if name == "train_split"
+        else apply_targets(df, fitted, categories, prior)
+        for name, df in parts.items()
+    }
+    return {name: df.select("row_id", "userID", "answerCode", *features) for name, df in made.items()}, features
+
+
 # ---- factorisation machine -------------------------------------------------------
 
 CONTEXT_FIELDS = [
@@ -178,14 +215,15 @@ def context_raw(log: DataFrame) -> DataFrame:
         .withColumn("part", F.lit("train"))
         .unionByName(unscored(log).withColumn("part", F.lit("test")))
     )
-    # Deduplicated once, read by the tag counts, the dictionary and the table.
+    # Deduplicated once, read for its size and by the tag counts.
     rows = written(
         with_context_codes(rows).select(
             *FRAME_ORD, "part", "answerCode", *[c for c in CONTEXT_FIELDS if c not in ("userID", "tagCount")]
         ),
         "context-rows",
     )
-    return tag_occurrence(rows, "part", rows.count())
+    # Read by the dictionary and by the table.
+    return written(tag_occurrence(rows, "part", rows.count()), "context-fields")
 
 
 def fit_context_dictionary(log: DataFrame, train: DataFrame) -> DataFrame:

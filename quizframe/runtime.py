@@ -56,6 +56,9 @@ def clean_up(spark: SparkSession) -> None:
     Results are computed when they are read, from these tables: call it only
     when every result has been read or saved.
     """
+    for table in spark.catalog.listTables():
+        if table.name.startswith("quizframe_") and not table.isTemporary:
+            spark.sql(f"DROP TABLE IF EXISTS {table.name}")
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(run_dir(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
@@ -75,6 +78,22 @@ def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Write ``df`` as a table of this application, bucketed by ``key``, and read it back.
+
+    One shuffle deals the rows into as many buckets as the session has shuffle
+    partitions; windows, groups and joins by ``key`` then need none. Tables bucketed
+    alike meet without any. The table lies in the application's folder; ``clean_up``
+    deletes it.
+    """
+    spark = df.sparkSession
+    table = f"quizframe_{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartition(n, key)
+    dealt.write.bucketBy(n, key).option("path", f"{run_dir(spark)}/{table}").saveAsTable(table)
+    return spark.read.table(table)
+
+
 def row_bytes(kind: T.DataType) -> int:
     """Estimated bytes of a value: texts count 48, arrays 32 elements."""
     match kind:

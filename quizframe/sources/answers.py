@@ -2,11 +2,14 @@
 
 Columns: userID INT, assessmentItemID STRING, testId STRING, answerCode INT
 (1 right, 0 wrong, -1 to be predicted), Timestamp TIMESTAMP_NTZ,
-KnowledgeTag INT, split INT (0 train, 1 test), row_id (unique tiebreaker).
+KnowledgeTag INT, split INT (0 train, 1 test), row_id (unique tiebreaker, a BIGINT
+for logs read from CSV).
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +18,11 @@ from quizframe.operators.joins import lookup_join
 from quizframe.operators.ordered import index_keys
 
 _TS = "yyyy-MM-dd HH:mm:ss"
+# A row number holds, from the top: one bit for the split, the file's number, the place in the file.
+_SPLIT_BIT, _FILE_BIT = 62, 44
+# A path without a host may begin with one or three slashes.
+_NO_HOST = "^([a-z0-9+.-]+:)///"
+MAX_FILES = 1 << (_SPLIT_BIT - _FILE_BIT)
 
 
 def _csv_schema(timestamp: T.DataType) -> T.StructType:
@@ -38,10 +46,11 @@ TEMPLATE_SCHEMA = T.StructType(
 def read_answers(spark: SparkSession, path: str, split: int = 0, parse_ts: bool = True) -> DataFrame:
     """CSV log with a ``row_id`` that follows the order of the file.
 
-    A row is known by its file, the start of its file split and its position in
-    the reading task; splits of one file are read in order, so the text sorts
-    like the file. With ``parse_ts=False`` the time is read as text and
-    converted afterwards (values that are no time become NULL).
+    A row is known by the number of its file, in the order of the paths, and its place:
+    the start of its file split in bytes plus its position in the reading task. Rows take
+    a byte or more each, so places grow along the file and never meet the next split's.
+    With ``parse_ts=False`` the time is read as text and converted afterwards (values that
+    are no time become NULL).
     """
     schema = _csv_schema(T.TimestampNTZType() if parse_ts else T.StringType())
     raw = (
@@ -50,18 +59,22 @@ def read_answers(spark: SparkSession, path: str, split: int = 0, parse_ts: bool
         .option("timestampNTZFormat", _TS)
         .csv(path)
     )
+    files = sorted(re.sub(_NO_HOST, r"\1/", f) for f in raw.inputFiles())
+    if len(files) > MAX_FILES:
+        raise ValueError(f"{len(files)} files are more than row numbers have room for: {MAX_FILES}")
+    numbers = spark.createDataFrame(list(enumerate(files)), "_number LONG, _path STRING")
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    log = raw.select(
+    placed = raw.select(
         "*",
         F.lit(split).alias("split"),
-        F.format_string(
-            "%d|%s|%020d|%012d",
-            F.lit(split),
-            F.col("_metadata.file_path"),
-            F.col("_metadata.file_block_start"),
-            position,
-        ).alias("row_id"),
+        F.regexp_replace("_metadata.file_path", _NO_HOST, "$1/").alias("_path"),
+        (F.col("_metadata.file_block_start") + position).alias("_place"),
     )
+    start = F.lit(split).cast("long") * (1 << _SPLIT_BIT)
+    # As many short rows as files, far fewer than MAX_FILES; a path that is not listed is an error.
+    named = placed.join(F.broadcast(numbers), "_path", "left")
+    number = F.coalesce("_number", F.raise_error(F.concat(F.lit("no such input file: "), "_path")).cast("long"))
+    log = named.withColumn("row_id", start + number * (1 << _FILE_BIT) + F.col("_place")).drop("_path", "_number", "_place")
     if not parse_ts:
         log = log.withColumn("Timestamp", parse_time(F.col("Timestamp")))
     return log

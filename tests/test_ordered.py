@@ -245,6 +245,21 @@ def test_elo_is_close_to_the_serial_fold(make_log, skilled, key, column_):
     assert abs(np.mean([more[i] - found[i] for i in range(len(rows))])) < 0.02
 
 
+def test_elo_rounds_write_only_what_they_move(make_log, monkeypatch):
+    """One learner of 64 answers and 40 of two: late rounds write one learner and its items."""
+    from quizframe.operators import elo as module
+
+    rows = [(1, f"A010000010{i % 20:02d}", i % 2, i) for i in range(64)]
+    rows += [(2 + u, f"A0100000110{(u + t) % 5}", (u + t) % 2, t) for u in range(40) for t in range(2)]
+    tables = []
+    monkeypatch.setattr(module, "written", lambda df, name, *rest: tables.append((name, w := module_written(df, name, *rest))) or w)
+    module_written = __import__("quizframe.runtime", fromlist=["written"]).written
+    module.elo_fit(make_log(rows), ["assessmentItemID"])
+    sizes = [t.count() for name, t in tables if name == "elo-moved"]
+    assert len(sizes) == 7 and sizes[0] == 41 + 6
+    assert all(n <= 1 + 20 for n in sizes[2:]) and sum(sizes) <= 2 * len(rows)
+
+
 def test_elo_of_an_empty_log(make_log):
     assert elo_fit(make_log([]), ["testId"]).count() == 0
 
@@ -268,3 +283,26 @@ def test_quantiles_have_the_same_digits_on_every_path(spark):
     plain = found()
     assert found(groupRows=3, stateRows=3, blockRows=40) == plain
     assert found(groupRows=3, stateRows=800) == plain
+
+
+@pytest.mark.parametrize("bracket", [None, 1e-9])
+def test_bracketed_quantiles_of_many_values(spark, monkeypatch, bracket):
+    """Few values are left inside the brackets; a bracket that misses its rank is noticed."""
+    from quizframe.operators import ordered
+
+    if bracket:
+        monkeypatch.setattr(ordered, "BRACKET", bracket)
+    df = spark.range(40_000).select((F.col("id") % 2).alias("k"), (F.hash("id") / 7).alias("v"), (F.hash("id") % 50).alias("w"))
+    probs = [0.0, 0.25, 0.5, 0.99, 1.0]
+    values = {"v": F.col("v"), "w": F.col("w")}
+    plain = rows_of(quantiles(df, ["k"], values, probs)), quantiles(df, [], values, probs).first()
+    for name in ("groupRows", "stateRows"):
+        spark.conf.set(f"quizframe.{name}", "1000")
+    try:
+        assert (rows_of(quantiles(df, ["k"], values, probs)), quantiles(df, [], values, probs).first()) == plain
+        long = df.select("k", F.lit(0).alias("_slot"), F.col("v").alias("_v"))
+        kept = ordered._bracketed(long, ["k", "_slot"], probs).count()
+        assert kept < 2000 if bracket is None else kept > 10_000
+    finally:
+        for name in ("groupRows", "stateRows"):
+            spark.conf.unset(f"quizframe.{name}")

@@ -6,7 +6,7 @@ import pytest
 from conftest import column
 from pyspark.sql import functions as F
 
-from quizframe.operators import encode, models, windows
+from quizframe.operators import encode, metrics, models, windows
 from quizframe.sources import answers as src
 from quizframe.sources import assets
 
@@ -166,13 +166,66 @@ def test_fm_finds_planted_interaction(spark):
     ).withColumn("answerCode", (F.col("a") == F.col("b")).cast("int"))
     fields = {"a": 2, "b": 2}
     for width in (None, 64):
-        model = models.fit_fm(df, fields, factor_size=4, max_iter=100, step_size=0.1, hash_width=width)
+        model = models.fit_fm(df, fields, factor_size=4, iterations=(100,), step_size=0.1, reg_param=0.0, hash_width=width)
         scored = models.score(model, models.fm_fields(df, fields), "p")
         assert auc_of(scored) > 0.95
     unseen = df.limit(1).withColumn("a", F.lit(None).cast("int"))
     assert 0 <= models.score(model, models.fm_fields(unseen, fields), "p").first()["p"] <= 1
 
 
+def test_fm_keeps_the_iterations_that_do_best_on_held_out_rows(spark):
+    """Labels without any signal: a long fit overfits, the chosen one is no worse than a constant."""
+    df = spark.range(900).select(
+        "id", (F.col("id") % 90).cast("int").alias("a"), (F.floor(F.col("id") / 10)).cast("int").alias("b"), (F.xxhash64("id") % 2 == 0).cast("int").alias("answerCode")
+    )
+    train, valid = df.where("pmod(xxhash64(id, 1), 4) < 3"), df.where("pmod(xxhash64(id, 1), 4) = 3")
+    fields = {"a": 90, "b": 90}
+
+    def loss(model):
+        scored = models.score(model, models.fm_fields(valid, fields), "p")
+        return scored.agg(metrics.rmse(F.col("answerCode"), F.col("p"))).first()[0]
+
+    chosen = loss(models.fit_fm(train, fields, valid, step_size=0.1))
+    assert chosen <= loss(models.fit_fm(train, fields, iterations=(60,), step_size=0.1, reg_param=0.0))
+    assert chosen < 0.51
+
+
+def test_first_trees_equal_a_model_grown_with_so_many(spark):
+    df = planted(spark).withColumn("answerCode", F.when(F.col("noise") == 3, 1 - F.col("answerCode")).otherwise(F.col("answerCode")))
+    from pyspark.ml import PipelineModel
+
+    def grown(n):
+        return models.fit_boosting(df, df.limit(0), ["x", "noise"], max_iter=n, max_depth=2, learning_rate=0.3)
+
+    long, short = grown(7), grown(4)
+    cut = models.first_trees(long.stages[1], 4)
+    assert cut.getNumTrees == 4
+    scores = [column(models.score(m, models.filled(df, ["x", "noise"]), "p"), "p") for m in (PipelineModel([long.stages[0], cut]), short)]
+    assert scores[0] == scores[1]
+    rows = long.stages[0].transform(df)
+    staged = models.staged_auc(long.stages[1], rows, "answerCode")
+    assert staged[3] == pytest.approx(auc_of(models.score(short, models.filled(df, ["x", "noise"]), "p")), abs=1e-12)
+    assert models.staged_auc(long.stages[1], rows.where("answerCode = 1"), "answerCode") == []
+
+
+def test_row_ids_with_strange_file_names_and_many_splits(spark, tmp_path):
+    head, body = CSV.split("\n", 1)
+    names = ["a b.csv", "c%20d.csv", "é.csv", "x+y#.csv"]
+    for n, name in enumerate(names):
+        write(tmp_path, head + "\n" + "".join(f"{n * 1000 + i},A060001001,A060001,1,2020-03-24 00:17:11,7225\n" for i in range(200)), name)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        rows = src.read_answers(spark, str(tmp_path)).orderBy("row_id").select("userID", "row_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len({r["row_id"] for r in rows}) == 800
+    groups = [[r["userID"] for r in rows[at : at + 200]] for at in range(0, 800, 200)]
+    assert all(g == list(range(g[0], g[0] + 200)) for g in groups)
+    assert src.read_answers(spark, str(tmp_path)).schema["row_id"].dataType.simpleString() == "bigint"
+    test = src.read_answers(spark, str(tmp_path), split=1)
+    assert test.agg(F.min("row_id")).first()[0] > rows[-1]["row_id"]
+
+
 def test_wide_fields_need_a_chosen_hash_width(spark):
     df = spark.createDataFrame([(1, 1, 1)], "row_id int, a int, answerCode int")
     with pytest.raises(ValueError, match="hash_width"):
