@@ -27,7 +27,8 @@ Method
 5. **Exact verification.** Pairs whose sketches agree in fewer than ``ALIKE`` of the
    128 coordinates go (a pair of similarity 0.75 does with a probability of 4e-7). If more
    pairs than classes are left, and in the blocks, **long sketches** of 1,024 coordinates
-   with one bit of each are made: pairs that agree in fewer than ``CLOSE`` bits go (probability 1e-7 at 0.75; of pairs of similarity
+   with one bit of each are made, and of a star's pairs the best of each class is confirmed
+   first, then those that the links found do not connect: pairs that agree in fewer than ``CLOSE`` bits go (probability 1e-7 at 0.75; of pairs of similarity
    0.5 less than one in a million stays). What is left is confirmed on full shingle sets.
    Long sketches and sets are computed for candidates only, from a scan that a bit table
    of their ids filters; neither texts nor the sets of all documents are shuffled.
@@ -196,33 +197,34 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(x) + len(y) - shared)
 
 
-def _tested(pairs: DataFrame, values: DataFrame, column: str, passes) -> DataFrame:
-    """Pairs ``(a, b)`` whose values, by ``rep``, pass a vectorised test.
+def _tested(pairs: DataFrame, values: DataFrame, column: str, agreement, least: int) -> DataFrame:
+    """``(a, b, agree)`` of the pairs whose values, by ``rep``, agree in ``least`` places or more.
 
     Stars have few centres ``a`` and many rays ``b``: if the values of all centres fit a
     broadcast, by their count, the pairs are dealt by ``b`` only.
     """
-    left = values.select(F.col("rep").alias("a"), F.col(column).alias("xa"))
-    right = values.select(F.col("rep").alias("b"), F.col(column).alias("xb"))
+    left = values.select(F.col("rep").alias("a"), F.col(column).alias(f"{column}_a"))
+    right = values.select(F.col("rep").alias("b"), F.col(column).alias(f"{column}_b"))
     centres = written(pairs.select("a").distinct(), "centres")
-    n = centres.count()
-    few = n * (BINS + 64) <= limit(pairs.sparkSession, "broadcastBytes")
-    if few:
+    if centres.count() * 4 * BINS <= limit(pairs.sparkSession, "broadcastBytes"):
         left = F.broadcast(left.join(F.broadcast(centres), "a", "left_semi"))
     else:
         left = left.hint("merge")
+    schema = T.StructType([*[T.StructField(c, pairs.schema[c].dataType) for c in ("a", "b")], T.StructField("agree", T.IntegerType())])
 
     def run(batches):
         for batch in batches:
-            yield batch.select(["a", "b"]).filter(pa.array(passes(words_of(batch.column("xa")), words_of(batch.column("xb")))))
+            agree = agreement(words_of(batch.column(f"{column}_a")), words_of(batch.column(f"{column}_b")))
+            kept = batch.select(["a", "b"]).filter(pa.array(agree >= least))
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(agree[agree >= least].astype(np.int32))], names=schema.names)
 
-    joined = pairs.join(right.hint("merge"), "b").join(left, "a")
-    return joined.select("a", "b", "xa", "xb").mapInArrow(run, pairs.select("a", "b").schema)
+    joined = pairs.select("a", "b").join(right.hint("merge"), "b").join(left, "a")
+    return joined.select("a", "b", f"{column}_a", f"{column}_b").mapInArrow(run, schema)
 
 
-def _alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Do sketches agree in enough coordinates?"""
-    return (x.view(np.uint8) == y.view(np.uint8)).sum(axis=1) >= ALIKE
+def _coordinates(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Coordinates in which sketches agree."""
+    return (x.view(np.uint8) == y.view(np.uint8)).sum(axis=1)
 
 
 def _agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -230,10 +232,6 @@ def _agreement(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return LONG_BINS - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
 
 
-def _close(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return _agreement(x, y) >= CLOSE
-
-
 def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` with 100 * |intersection| >= percent * |union| of their full sets."""
     sets = shingled(docs, key, text, pairs.select(F.col("a").alias(key)).union(pairs.select("b")))
@@ -249,10 +247,18 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent:
             ]
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    joined = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a")
+    joined = pairs.select("a", "b").join(right.hint("merge"), "b").join(left.hint("merge"), "a")
     return joined.select("a", "b", "xa", "xb").mapInArrow(run, pairs.select("a", "b").schema)
 
 
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs whose ends lie in different components."""
+    for c in ("a", "b"):
+        own = found.select(F.col("rep").alias(c), F.col("comp").alias(f"comp_{c}"))
+        pairs = pairs.join(own.hint("merge"), c, "left").withColumn(f"comp_{c}", F.coalesce(f"comp_{c}", c))
+    return pairs.filter("comp_a != comp_b").select("a", "b")
+
+
 def _open_rows(members: DataFrame, found: DataFrame) -> DataFrame:
     """``(key, rep, comp)`` of the buckets whose classes lie in several components; written."""
     labelled = written(
@@ -351,7 +357,7 @@ def _block_pairs(rows: DataFrame, classes: DataFrame, long: DataFrame, block: in
 
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
     found = written(sent.groupBy("key", "i", "j").applyInArrow(run, schema).distinct(), "candidates")
-    return _tested(found, classes.select("rep", "sig"), "sig", _alike)
+    return _tested(found, classes.select("rep", "sig"), "sig", _coordinates, ALIKE)
 
 
 def near_duplicates(
@@ -385,16 +391,23 @@ def near_duplicates(
     members = written(keys.join(leads.hint("merge"), "key").filter("rep != lead"), "members")
 
     def confirmed(pairs: DataFrame) -> DataFrame | None:
-        """Written links of the pairs, or None if there are none."""
-        alike = written(_tested(pairs, classes.select("rep", "sig"), "sig", _alike), "alike")
+        """Written links that connect what the linked ones of the pairs do, or None if there are none."""
+        alike = written(_tested(pairs, classes.select("rep", "sig"), "sig", _coordinates, ALIKE), "alike")
         n = alike.count()
         if not n:
             return None
-        if n > n_classes:
-            # Many pairs for their classes: most are not linked, and long sketches cost less than sets.
-            ids = alike.select(F.col("a").alias(key)).union(alike.select("b"))
-            alike = written(_tested(alike, long_sketched(docs, key, text, ids), "bits", _close), "close")
-        verified = written(_confirmed(alike, docs, key, text, percent), "links")
+        if n <= n_classes:
+            verified = written(_confirmed(alike, docs, key, text, percent), "links")
+            return None if verified.isEmpty() else verified
+        # Many pairs for their classes. If most are not linked, long sketches cost less than sets; if most
+        # are, each class's best pair connects nearly all, and few others are left to confirm.
+        ids = alike.select(F.col("a").alias(key)).union(alike.select("b"))
+        close = written(_tested(alike, long_sketched(docs, key, text, ids), "bits", _agreement, CLOSE), "close")
+        best = close.groupBy("b").agg(F.max(F.struct("agree", "a"))["a"].alias("a"))
+        verified = written(_confirmed(best, docs, key, text, percent), "links")
+        rest = written(_apart(close, components(verified).toDF("rep", "comp")), "apart")
+        if not rest.isEmpty():
+            verified = written(verified.unionByName(_confirmed(rest, docs, key, text, percent)), "links")
         return None if verified.isEmpty() else verified
 
     none = classes.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)

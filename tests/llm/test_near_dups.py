@@ -8,7 +8,7 @@ from llm_cases import docs, words  # noqa: F401
 from llm_cases import plain_shingles
 
 from quizframe.llm import near_dups
-from quizframe.llm.near_dups import _close, long_sketch, near_duplicates, words_of
+from quizframe.llm.near_dups import CLOSE, _agreement, long_sketch, near_duplicates, words_of
 
 
 def brute_force(rows):
@@ -88,7 +88,8 @@ def test_long_sketches_tell_similarities_apart():
     near = len(plain_shingles(text(8)) & plain_shingles(" ".join(base))) / len(plain_shingles(text(8)) | plain_shingles(" ".join(base)))
     far = len(plain_shingles(text(45)) & plain_shingles(" ".join(base))) / len(plain_shingles(text(45)) | plain_shingles(" ".join(base)))
     assert near > 0.75 and far < 0.55
-    assert _close(bits[:1], bits[1:2]).all() and not _close(bits[:1], bits[2:3]).any() and _close(bits[3:4], bits[4:5]).all()
+    same = lambda i, j: _agreement(bits[i : i + 1], bits[j : j + 1])[0]
+    assert same(0, 1) >= CLOSE > same(0, 2) and same(3, 4) == 1024
 
 
 def test_low_thresholds_are_refused(spark, docs):
