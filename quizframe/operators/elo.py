@@ -9,7 +9,9 @@ reached by the batches before it. The steps of a parameter in one batch are
 summed and damped: serial steps would each start from where the one before
 ended, which shrinks their sum by the slope of the probability. A parameter
 with one answer in the batch moves as in the serial fold, so the result equals
-that fold where a batch holds each learner and question at most once.
+that fold where a batch holds each learner and question at most once. The first
+``exact_levels`` levels of answers that depend on each other can be replayed
+exactly before the batches.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from quizframe.functions.columns import lr_beta, lr_theta, sigmoid
 from quizframe.operators.heavy import group_sizes
 from quizframe.operators.joins import lookup_join
-from quizframe.operators.ordered import USER_ORD, RunCount, ordered_features
+from quizframe.operators.ordered import USER_ORD, Lag, RunCount, ordered_features
 from quizframe.runtime import key_sizes, written
 from quizframe.sources.answers import scored
 
@@ -84,14 +86,57 @@ def _latest(rounds: list[DataFrame]) -> DataFrame:
     return moved.groupBy("key", "kind", "id").agg(F.max_by("value", "round").alias("value"))
 
 
+def dependency_levels(log: DataFrame, by: list[str], most: int, key: str = "row_id") -> DataFrame:
+    """``(key, level)`` of the rows of level ``most`` or less, from 1; written.
+
+    A row depends on the previous row, in ``USER_ORD``, of each of its groups ``by``; its
+    level is one more than the highest level among these. Rows of one level share no
+    group, so they can be replayed at once, as a serial fold would one by one. Only rows
+    among the first ``most`` of all their groups are looked at.
+    """
+    rows = log.select(*dict.fromkeys([*USER_ORD, key, *by]))
+    for i, c in enumerate(by):
+        features = [Lag(f"_before_{i}", F.col(key)), RunCount(f"_n_{i}", current=False)]
+        rows = ordered_features(rows, [c], USER_ORD, features)
+    early = F.lit(True)
+    for i in range(len(by)):
+        early = early & (F.col(f"_n_{i}") < most)
+    befores = [f"_before_{i}" for i in range(len(by))]
+    left = written(rows.where(early).select(key, *befores), "early")
+    first = F.lit(True)
+    for c in befores:
+        first = first & F.col(c).isNull()
+    level = written(left.where(first).select(key, F.lit(1).alias("level")), "level")
+    found, of_level = level, level
+    for n in range(2, most + 1):
+        if of_level.isEmpty():
+            break
+        ready = left.join(found.select(key), key, "left_anti")
+        for c in befores:
+            done = found.select(F.col(key).alias(c), F.lit(True).alias(f"_done{c}"))
+            ready = ready.join(done, c, "left").where(F.col(c).isNull() | F.col(f"_done{c}"))
+        of_level = written(ready.select(key, F.lit(n).alias("level")), "level")
+        found = found.unionByName(of_level)
+    return written(found, "levels")
+
+
 def elo_fit(
-    log: DataFrame, keys: list[str], formula: str = "logistic", scored_only: bool = True
+    log: DataFrame,
+    keys: list[str],
+    formula: str = "logistic",
+    scored_only: bool = True,
+    exact_levels: int = 0,
 ) -> DataFrame:
     """Ratings ``(key, kind, id, value)`` for every column in ``keys``.
 
     All keys share one pass per batch. ``scored_only`` leaves out the rows to
     be predicted, which otherwise count as answers of value -1.
 
+    ``exact_levels`` rounds replay the answers of so many dependency levels first, each
+    level at once and each answer by itself, exactly as the serial fold in order of time
+    does; the other answers follow in batches. A log that has no more levels is folded
+    exactly. Every level is a round of its own, so this suits short histories.
+
     A round writes the parameters that it moved and no others, so all rounds
     together write at most one row per answer and parameter. A learner of one
     batch was in all batches before, so a round reads learners from the round
@@ -102,9 +147,15 @@ def elo_fit(
     n, most = group_sizes(rows, ["userID"])
     if not n:
         return spark.createDataFrame([], PARAMS_SCHEMA)
+    if exact_levels:
+        rows = written(rows, "elo-log")
     rows = ordered_features(rows, ["userID"], USER_ORD, [RunCount("n_user", current=False)], rows=n)
     for k in keys:
         rows = ordered_features(rows, [k], USER_ORD, [RunCount(f"n_{k}", current=False)], rows=n)
+    levels = [f"_level_{k}" for k in keys if exact_levels]
+    for k, c in zip(keys, levels, strict=False):
+        found = dependency_levels(rows.select(*USER_ORD, "userID", k), ["userID", k], exact_levels)
+        rows = rows.join(found.withColumnRenamed("level", c), "row_id", "left")
     rows = rows.withColumn("batch", batch_of(F.col("n_user"))).drop(*USER_ORD)
     # One folder per batch: a round reads its own rows only.
     rows = written(rows, "elo-rows", ("batch",))
@@ -112,8 +163,13 @@ def elo_fit(
     _, sizes = key_sizes(rows, ["userID", *keys])
 
     rounds: list[DataFrame] = []
-    for b in range(max(most - 1, 0).bit_length() + 1):
-        part = _rated(rows.where(F.col("batch") == b), *((rounds[-1], _latest(rounds)) if rounds else (None, None)), sizes, keys)
+
+    def play(part: DataFrame, counts: dict[str, Column]) -> None:
+        """One round over ``part``; a key's answers count where ``counts`` says so."""
+        known = (None, None)
+        if rounds:
+            latest = _latest(rounds)
+            known = (latest if levels else rounds[-1], latest)
         steps = []
         for k in keys:
             theta, beta = F.col(f"_theta_{k}"), F.col(f"_beta_{k}")
@@ -131,13 +187,27 @@ def elo_fit(
                         (sign * rate * miss).alias("step"),
                         (rate * slope).alias("pull"),
                         old.alias("old"),
+                        counts.get(k, F.lit(True)).alias("counts"),
                     )
                 )
         # Summed per task before the shuffle, so a heavy key moves few rows.
-        moved = part.select(F.inline(F.array(*steps))).groupBy("key", "kind", "id").agg(
+        moved = _rated(part, *known, sizes, keys).select(F.inline(F.array(*steps))).where("counts")
+        moved = moved.groupBy("key", "kind", "id").agg(
             (F.max("old") + F.sum("step") / (1 + F.sum("pull") - F.max("pull"))).alias("value")
         )
-        rounds.append(written(moved.withColumn("round", F.lit(b)), "elo-moved"))
+        rounds.append(written(moved.withColumn("round", F.lit(len(rounds))), "elo-moved"))
+
+    if levels:
+        early = written(rows.where(F.coalesce(*levels).isNotNull()), "elo-early")
+        for level in range(1, exact_levels + 1):
+            of_level = {k: F.coalesce(F.col(c) == level, F.lit(False)) for k, c in zip(keys, levels, strict=True)}
+            part = early.where(F.array_contains(F.array(*levels), level))
+            if part.isEmpty():
+                break
+            play(part, of_level)
+    later = {k: F.col(c).isNull() for k, c in zip(keys, levels, strict=False)}
+    for b in range(max(most - 1, 0).bit_length() + 1):
+        play(rows.where(F.col("batch") == b), later)
     return written(_latest(rounds), "elo-params")
 
 
@@ -161,6 +231,6 @@ def with_elo(log: DataFrame, params: DataFrame, outs: dict[str, str]) -> DataFra
 
 
 def elo(
-    log: DataFrame, key: str, out: str, formula: str = "logistic", scored_only: bool = True
+    log: DataFrame, key: str, out: str, formula: str = "logistic", scored_only: bool = True, exact_levels: int = 0
 ) -> DataFrame:
-    return with_elo(log, elo_fit(log, [key], formula, scored_only), {key: out})
+    return with_elo(log, elo_fit(log, [key], formula, scored_only, exact_levels), {key: out})

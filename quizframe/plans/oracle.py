@@ -162,6 +162,19 @@ PARTS["elo_rows"] = (
     )
 )
 
+# ---- dependency levels of answers ------------------------------------------------
+
+PARTS["lv_rows"] = """
+  SELECT row_id, lag(row_id) OVER (PARTITION BY userID ORDER BY Timestamp, row_id) AS pu,
+         lag(row_id) OVER (PARTITION BY assessmentItemID ORDER BY Timestamp, row_id) AS pi FROM sc"""
+PARTS["lv_1"] = "SELECT row_id, 1 AS level FROM lv_rows WHERE pu IS NULL AND pi IS NULL"
+for _n in range(2, 7):
+    PARTS[f"lv_{_n}"] = f"""
+      SELECT row_id, level FROM lv_{_n - 1} UNION ALL
+      SELECT row_id, {_n} FROM lv_rows r WHERE NOT EXISTS (SELECT 1 FROM lv_{_n - 1} x WHERE x.row_id = r.row_id)
+        AND (pu IS NULL OR EXISTS (SELECT 1 FROM lv_{_n - 1} x WHERE x.row_id = r.pu))
+        AND (pi IS NULL OR EXISTS (SELECT 1 FROM lv_{_n - 1} x WHERE x.row_id = r.pi))"""
+
 # ---- splits ----------------------------------------------------------------------
 
 PARTS["parted"] = """
@@ -592,6 +605,7 @@ FINALS: dict[str, str] = {
             FROM (SELECT DISTINCT assessmentItemID FROM ans)) i USING (assessmentItemID)""",
     **{out: _elo_final(key, f"e_{out}_", out) for key, out in _ELO_KEYS.items()},
     "elo_assessment_as_written": _elo_final("assessmentItemID", "e_written_", "elo_assessment"),
+    "answer_levels": "SELECT row_id, level FROM lv_6",
     "boosting_table": _table("answerCode >= 0", "answerCode >= 0"),
     "features_valid": _table("part = 'train'", "part = 'valid'"),
     "features_test": _table("answerCode >= 0", "part = 'test'", label=False),

@@ -665,6 +665,13 @@ def elo_assessment_as_written(spark, sf_dir):
     return _elo(spark, sf_dir, "assessmentItemID", "elo_assessment", formula="as_written", scored_only=False)
 
 
+@query("answer_levels")
+def answer_levels(spark, sf_dir):
+    """Dependency levels of the answers by learner and question, up to the sixth."""
+    log = written(src.scored(event_log(spark, sf_dir)).select("Timestamp", "row_id", "userID", "assessmentItemID"), "log")
+    return elo_ops.dependency_levels(log, ["userID", "assessmentItemID"], 6)
+
+
 # ---- model tables ---------------------------------------------------------------------
 
 

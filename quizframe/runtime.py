@@ -26,6 +26,8 @@ _DEFAULTS = {
 # A list of heavy groups is broadcast, so its length is bounded: a group counts
 # as heavy only from total/_MAX_HEAVY rows on.
 _MAX_HEAVY = 1_000_000
+# Spark refuses tables of more buckets than twice this, by default.
+_MAX_BUCKETS = 50_000
 
 
 def limit(spark: SparkSession, name: str) -> int:
@@ -88,7 +90,7 @@ def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     """
     spark = df.sparkSession
     table = f"quizframe_{name.replace('-', '_')}_{uuid.uuid4().hex}"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), _MAX_BUCKETS)
     dealt = df.repartition(n, key)
     dealt.write.bucketBy(n, key).option("path", f"{run_dir(spark)}/{table}").saveAsTable(table)
     return spark.read.table(table)

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quizframe.operators import windows
-from quizframe.operators.elo import elo, elo_fit
+from quizframe.operators.elo import dependency_levels, elo, elo_fit
 from quizframe.operators.joins import lookup_join
 from quizframe.operators.ordered import (
     USER_ORD,
@@ -245,6 +245,36 @@ def test_elo_is_close_to_the_serial_fold(make_log, skilled, key, column_):
     assert abs(np.mean([more[i] - found[i] for i in range(len(rows))])) < 0.02
 
 
+def test_levels_share_no_group(make_log):
+    rows = [(1, "A01000001001", 1, 0), (1, "A01000001002", 1, 1), (2, "A01000001001", 0, 2), (2, "A01000001002", 1, 3), (3, "A01000001003", 1, 0), (1, "A01000001003", 1, 5)]
+    log = make_log(rows)
+    found = {r["row_id"]: r["level"] for r in dependency_levels(log, ["userID", "assessmentItemID"], 9).collect()}
+    assert found == {0: 1, 1: 2, 2: 2, 3: 3, 4: 1, 5: 3}
+    cut = {r["row_id"] for r in dependency_levels(log, ["userID", "assessmentItemID"], 2).collect()}
+    assert cut == {0, 1, 2, 4}
+    assert dependency_levels(log.limit(0), ["userID", "assessmentItemID"], 3).count() == 0
+
+
+@pytest.mark.parametrize("key,column_", [("assessmentItemID", 1), ("KnowledgeTag", 4)])
+def test_elo_equals_the_serial_fold_within_the_levels(make_log, key, column_):
+    """Random answers with many conflicts: as many levels as the log has make it exact."""
+    rng = random.Random(7)
+    rows = [(rng.randint(1, 12), f"A010000010{rng.randint(0, 9):02d}", rng.randint(0, 1), t, rng.randint(0, 5)) for t in range(60)]
+    theta, beta = serial_elo([(r[0], str(r[column_]), r[2]) for r in rows])
+    log = make_log(rows)
+    depth = dependency_levels(log, ["userID", key], 60).agg(F.max("level")).first()[0]
+    assert depth > 8
+    want = {("learner", str(u)): v for u, v in theta.items()} | {("item", i): v for i, v in beta.items()}
+
+    def error(levels):
+        got = {(r["kind"], r["id"]): r["value"] for r in elo_fit(log, [key], exact_levels=levels).collect()}
+        assert got.keys() == want.keys()
+        return max(abs(got[k] - want[k]) for k in want)
+
+    assert error(depth) < 1e-12
+    assert error(depth // 2) < error(0)
+
+
 def test_elo_rounds_write_only_what_they_move(make_log, monkeypatch):
     """One learner of 64 answers and 40 of two: late rounds write one learner and its items."""
     from quizframe.operators import elo as module
