@@ -19,11 +19,12 @@ Method
    more than ``EACH`` pairs per class between components, new stars are tried, around the
    smallest class outside the components led so far, as long as each halves the pairs: a
    dense group under an unrelated lead becomes one component. What is still open, classes
-   outside the bucket's largest component, meet all classes of other components: in blocks
-   of about ``BLOCK`` classes with their long sketches of 128 bytes, each pair of blocks one
-   task's work with bounded memory. A task leaves out pairs that its own pairs of ``SURE``
-   agreement connect already (an unlinked pair reaches that with a probability of 1e-9), so
-   a dense group sends few. No bucket is capped or skipped.
+   outside the bucket's largest component, meet all classes of other components: first in
+   blocks of about ``BLOCK`` classes with their long sketches of 128 bytes, which name the
+   classes that are close to one of another component; then these, in blocks of
+   ``BLOCK_BYTES`` of sets. Each pair of blocks is one task's work with bounded memory; it
+   returns classes or links, never pairs to be looked at, and no link that its others
+   already imply. No bucket is capped or skipped.
 5. **Exact verification.** Pairs whose sketches agree in fewer than ``ALIKE`` of the
    128 coordinates go (a pair of similarity 0.75 does with a probability of 4e-7). If more
    pairs than classes are left, and in the blocks, **long sketches** of 1,024 coordinates
@@ -56,8 +57,9 @@ from quizframe.runtime import limit, written
 BINS = 128
 BAND_ROWS = 4
 BANDS = BINS // BAND_ROWS
-#: Classes in a block of an unresolved bucket, on average.
+#: Classes with long sketches in a block of an unresolved bucket, and bytes of sets, on average.
 BLOCK = 4096
+BLOCK_BYTES = 4 << 20
 #: Pairs per class between the components of open buckets that are looked at without trying further stars.
 EACH = 2000
 #: Coordinates of alike sketches.
@@ -65,7 +67,6 @@ ALIKE = 71
 #: Coordinates of the long sketches, of which one bit is kept, and those that close ones share.
 LONG_BINS = 1024
 CLOSE = 840
-SURE = 960
 #: The similarity that bands and ALIKE are made for.
 LEAST_PERCENT = 75
 
@@ -298,38 +299,88 @@ def _star_pairs(rows: DataFrame, leads: DataFrame, found: DataFrame) -> tuple[Da
     return pairs, leads.unionByName(fresh.select("key", "lead"))
 
 
-def _block_pairs(rows: DataFrame, classes: DataFrame, long: DataFrame, block: int) -> DataFrame:
-    """Pairs ``(a, b)`` of open buckets, between components, that both sketches allow."""
-    counted = rows.groupBy("key", "comp").agg(F.count("*").alias("c"))
+def _dealt(rows: DataFrame, weight, per_block: int, *columns: str) -> DataFrame:
+    """``rows`` (key, rep, comp, columns) sent to the pairs of blocks (key, i, j) in which they meet others.
+
+    Classes outside a bucket's largest component are minor. Blocks 0 to few - 1 hold minor
+    classes, the next ones the others; blocks hold about ``per_block`` of ``weight``. Minor
+    blocks meet all blocks, and each other once; ``own`` is a row's block.
+    """
+    weighed = rows.groupBy("key", "comp").agg(F.sum(weight).alias("w"))
     sizes = (
-        counted.groupBy("key")
-        .agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("n"))
+        weighed.groupBy("key")
+        .agg(F.max(F.struct("w", "comp")).alias("top"), F.sum("w").alias("all"), F.count("*").alias("comps"))
+        .filter("comps > 1")
         .select(
             "key",
             F.col("top.comp").alias("top"),
-            F.ceil((F.col("n") - F.col("top.c")) / block).cast("int").alias("few"),
-            F.ceil(F.col("top.c") / block).cast("int").alias("many"),
+            F.ceil((F.col("all") - F.col("top.w")) / per_block).cast("int").alias("few"),
+            F.ceil(F.col("top.w") / per_block).cast("int").alias("many"),
         )
     )
     dealt = (
         rows.join(written(sizes, "sizes").hint("merge"), "key")
         .withColumn("minor", F.expr("comp != top"))
         .withColumn("own", F.expr("cast(pmod(xxhash64(rep), if(minor, few, many)) + if(minor, 0, few) as int)"))
-        .join(long.hint("merge"), "rep")
+        .withColumn("other", F.explode(F.expr("sequence(0, few - 1 + if(minor, many, 0))")))
     )
-    # Blocks 0 to few - 1 hold minor classes, the next ones the others. Minor blocks meet all blocks, and each other once.
-    sent = dealt.withColumn("other", F.explode(F.expr("sequence(0, few - 1 + if(minor, many, 0))"))).select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "comp", "minor", "bits"
+    return dealt.select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "comp", *columns
     )
+
+
+def _close_pairs(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each row of the first block: the rows of the second, of other components, that are close, and how close."""
+    rep, comp, own = (table[c].to_numpy() for c in ("rep", "comp", "own"))
+    sketches = words_of(table["bits"])
+    within = table["i"][0] == table["j"][0]
+    first, second = (np.flatnonzero(own == table[c][0].as_py()) for c in ("i", "j"))
+    for r in first.tolist():
+        y = second[comp[second] != comp[r]]
+        if within:
+            y = y[rep[y] > rep[r]]
+        agree = _agreement(sketches[y], sketches[r])
+        near = agree >= CLOSE
+        yield r, y[near], agree[near]
+
+
+def _rest_links(rows: DataFrame, docs: DataFrame, key: str, text: str, percent: int, block: int, block_bytes: int) -> DataFrame:
+    """Links between the components of open buckets, enough to connect what is linked.
+
+    First long sketches meet and name the classes of a bucket that are close to one of
+    another component; then these meet with their sets.
+    """
     kind = rows.schema["rep"].dataType
+    long = long_sketched(docs, key, text, rows.select(F.col("rep").alias(key)))
+    met = _dealt(rows.join(long.hint("merge"), "rep"), F.lit(1), block, "bits")
+
+    def name(table: pa.Table) -> pa.Table:
+        found: set[int] = set()
+        for r, y, _ in _close_pairs(table):
+            if len(y):
+                found.add(r)
+                found.update(y.tolist())
+        return table.select(["key", "rep"]).take(pa.array(sorted(found), pa.int64()))
+
+    named = T.StructType([rows.schema["key"], T.StructField("rep", kind)])
+    close = written(met.groupBy("key", "i", "j").applyInArrow(name, named).distinct(), "close")
+    if close.isEmpty():
+        return close.select(F.col("rep").alias("a"), F.col("rep").alias("b"))
+    sets = shingled(docs, key, text, close.select(F.col("rep").alias(key)))
+    full = (
+        rows.join(close.hint("merge"), ["key", "rep"])
+        .join(long.hint("merge"), "rep")
+        .join(sets.hint("merge"), "rep")
+        .select("key", "rep", "comp", "bits", "shingles")
+    )
+    size = (F.octet_length("shingles") + F.octet_length("bits")).cast("long")
+    sent = _dealt(written(full, "meeting"), size, block_bytes, "bits", "shingles")
 
-    def run(table: pa.Table) -> pa.Table:
-        rep, comp, own = (table[c].to_numpy() for c in ("rep", "comp", "own"))
-        within = table["i"][0] == table["j"][0]
-        sketches = words_of(table["bits"])
-        first, second = (np.arange(len(rep)),) * 2 if within else (np.flatnonzero(own == x[0].as_py()) for x in (table["i"], table["j"]))
-        # Local components: those known, joined by the sure pairs met so far.
-        parent = {c: c for c in comp.tolist()}
+    def links(table: pa.Table) -> pa.Table:
+        rep, comp = table["rep"].to_numpy(), table["comp"].to_pylist()
+        sets = [np.frombuffer(x.as_buffer(), U) for x in table["shingles"]]
+        # Components as known so far, joined by the links found here.
+        parent = {c: c for c in comp}
 
         def root(c):
             while parent[c] != c:
@@ -338,26 +389,19 @@ def _block_pairs(rows: DataFrame, classes: DataFrame, long: DataFrame, block: in
             return c
 
         a, b = [], []
-        for r in first:
-            y = second[comp[second] != comp[r]]
-            if within:
-                y = y[rep[y] > rep[r]]
-            agree = _agreement(sketches[y], sketches[r])
-            near = np.flatnonzero(agree >= CLOSE)
-            # The most alike first, so that sure pairs connect before others are looked at.
-            for at in near[np.argsort(-agree[near], kind="stable")].tolist():
-                own, other = root(comp[r].item()), root(comp[y[at]].item())
-                if own != other:
-                    a.append(min(rep[r], rep[y[at]]))
-                    b.append(max(rep[r], rep[y[at]]))
-                    if agree[at] >= SURE:
-                        parent[other] = own
+        for r, y, agree in _close_pairs(table):
+            # The closest first, so that most of the others are connected when they come.
+            for c in y[np.argsort(-agree, kind="stable")].tolist():
+                own, other = root(comp[r]), root(comp[c])
+                if own != other and _linked(sets[r], sets[c], percent):
+                    parent[other] = own
+                    a.append(min(rep[r], rep[c]))
+                    b.append(max(rep[r], rep[c]))
         of = table.schema.field("rep").type
         return pa.table({"a": pa.array(a, of), "b": pa.array(b, of)})
 
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
-    found = written(sent.groupBy("key", "i", "j").applyInArrow(run, schema).distinct(), "candidates")
-    return _tested(found, classes.select("rep", "sig"), "sig", _coordinates, ALIKE)
+    return written(sent.groupBy("key", "i", "j").applyInArrow(links, schema).distinct(), "links")
 
 
 def near_duplicates(
@@ -366,6 +410,7 @@ def near_duplicates(
     text: str = "text",
     percent: int = 75,
     block: int = BLOCK,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``(key, n_shingles, component_id, kept)``, one row for every row of ``docs``.
 
@@ -430,10 +475,8 @@ def near_duplicates(
         if 2 * work > before:
             break
     if not rows.isEmpty():
-        long = long_sketched(docs, key, text, rows.select(F.col("rep").alias(key)))
-        pairs = written(_block_pairs(rows, classes, long, block), "pairs")
-        if not pairs.isEmpty():
-            more = written(_confirmed(pairs, docs, key, text, percent), "links")
+        more = _rest_links(rows, docs, key, text, percent, block, block_bytes)
+        if not more.isEmpty():
             found = components(links.unionByName(more)).toDF("rep", "comp")
 
     named = (

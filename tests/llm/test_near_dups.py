@@ -62,7 +62,7 @@ def test_links_that_stars_miss(spark, docs):
     rng = random.Random(5)
     base = words(80)
     rows = [(i, edited(rng, base, 0.035)) for i in range(60)]
-    found = result(near_duplicates(docs(rows), block=4))
+    found = result(near_duplicates(docs(rows), block=4, block_bytes=2000))
     assert found == {i: (n, c, i == c) for i, (n, c) in brute_force(rows).items()}
 
 
@@ -76,7 +76,7 @@ def test_alike_but_unlinked_texts_beside_groups(spark, docs, monkeypatch):
     # Once with further stars, once with blocks alone.
     for block, each in ((4096, 2000), (8, 2000), (8, 0)):
         monkeypatch.setattr(near_dups, "EACH", each)
-        found = result(near_duplicates(docs(rows), block=block))
+        found = result(near_duplicates(docs(rows), block=block, block_bytes=block * 1000))
         assert found == {i: (n, c, i == c) for i, (n, c) in brute_force(rows).items()}
 
 
