@@ -159,12 +159,13 @@ def fit_scaler(df: DataFrame, columns: list[str]) -> DataFrame:
 def apply_scaler(df: DataFrame, fitted: DataFrame, columns: list[str]) -> DataFrame:
     """(x - mean) / std; a constant column is only centred.
 
-    The fit is a handful of rows, read through scalar subqueries.
+    The fit is one row per column; its numbers go through the driver.
     """
-    scaled = {}
-    for c in columns:
-        row = fitted.where(F.col("column") == c)
-        mean = row.agg(F.max("mean").alias("m")).scalar()
-        std = row.agg(F.max(F.when(F.col("std") == 0, 1.0).otherwise(F.col("std"))).alias("s")).scalar()
-        scaled[c] = (F.col(c) - mean) / std
-    return df.withColumns(scaled)
+    found = {r["column"]: r for r in fitted.where(F.col("column").isin(columns)).collect()}
+
+    def scaled(c: str) -> Column:
+        if c not in found or found[c]["mean"] is None:
+            return F.lit(None).cast("double")
+        return (F.col(c) - F.lit(found[c]["mean"])) / F.lit(found[c]["std"] or 1.0)
+
+    return df.withColumns({c: scaled(c) for c in columns})

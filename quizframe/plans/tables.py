@@ -291,7 +291,8 @@ def fit_sequence_assets(rows: DataFrame) -> DataFrame:
     return assets
 
 
-def _cleaned(rows: DataFrame, assets: DataFrame) -> DataFrame:
+def _cleaned(rows: DataFrame, assets: DataFrame, more: dict[str, str] | None = None) -> DataFrame:
+    """Outliers replaced, counts and means of answers joined, and ``more`` encoders: one join per key."""
     q = (
         assets.where(F.col("asset") == _QUARTILES)
         .groupBy("key")
@@ -300,7 +301,7 @@ def _cleaned(rows: DataFrame, assets: DataFrame) -> DataFrame:
     rows = replace_outliers(rows, "assessmentItemID", "consumedTime", q)
     encoders = {f"value_counts_{k}": k for k in SEQUENCE_COUNTS}
     encoders |= {f"mean_{k}_answerCode": k for k in SEQUENCE_KEYS}
-    return apply_encoders(rows, assets, encoders)
+    return apply_encoders(rows, assets, encoders | (more or {}))
 
 
 def apply_sequence_assets(rows: DataFrame, assets: DataFrame) -> DataFrame:
@@ -309,8 +310,8 @@ def apply_sequence_assets(rows: DataFrame, assets: DataFrame) -> DataFrame:
         .groupBy(F.col("key").alias("column"))
         .agg(*[F.max(F.when(F.col("stat") == s, F.col("value"))).alias(s) for s in ("mean", "std")])
     )
-    scaled = apply_scaler(_cleaned(rows, assets), fitted, SEQUENCE_SCALED)
-    return apply_encoders(scaled, assets, {f"mean_{k}_consumedTime": k for k in SEQUENCE_KEYS})
+    joined = _cleaned(rows, assets, {f"mean_{k}_consumedTime": k for k in SEQUENCE_KEYS})
+    return apply_scaler(joined, fitted, SEQUENCE_SCALED)
 
 
 def sequence_table(log: DataFrame, n: int = 20) -> DataFrame:
