@@ -86,8 +86,10 @@ def test_op2_language_against_plain_sets(spark):
         grams = plain_grams(text)
         hits = {lang: sum(g in s for g in grams) / max(1, len(grams)) for lang, s in sets.items()}
         top = sorted(hits.values())[-2:]
-        assert abs(found[i]["score"] - max(hits.values())) < 0.02
-        if top[1] - top[0] > 0.02:
+        # In a short text a single false positive counts.
+        near = 0.02 + 2 / max(1, len(grams))
+        assert abs(found[i]["score"] - max(hits.values())) < near
+        if top[1] - top[0] > near:
             assert found[i]["lang_pred"] == max(hits, key=hits.get)
 
 
