@@ -156,6 +156,9 @@ def index_keys(df: DataFrame, order: list[str], out: str = "idx", by: list[str]
 
 
 def _plain(df: DataFrame, by: list[str], order: list[str], features: list[Feature]) -> DataFrame:
+        if layout.block is None and len(by) > 1:
+            # Dealt by the first column, rows stay where they are for its other groups and joins.
+            laid = laid.repartition(by[0])
     w = W.partitionBy(*by).orderBy(*order)
     upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
     before = w.rowsBetween(W.unboundedPreceding, -1)
@@ -270,6 +273,50 @@ def quantiles(
     df: DataFrame,
     by: list[str],
     values: dict[str, Column],
+def in_cells(df: DataFrame, by: list[str], order: list[str], features: list[Feature], key: str) -> DataFrame:
+    """Add running sums and counts of groups of any size whose ``order`` begins with columns up to ``key``.
+
+    All rows of one ``key`` must fit one task. What a group holds of one value of these
+    leading columns is a cell: plain windows run inside the cells, and the sums and counts
+    of a group's earlier cells come from a table of one row per ``key``. So a frame that
+    lies by ``key`` stays where it is, and no row is dealt out by group.
+    """
+    lead, rest = order[: order.index(key) + 1], order[order.index(key) + 1 :]
+    sums = [f for f in features if isinstance(f, RunSum)]
+    totals = [F.count(F.lit(1)).alias("__n")]
+    for f in sums:
+        totals += [F.sum(f.value).alias(f"__s_{f.out}"), F.count(f.value).alias(f"__c_{f.out}")]
+    cells = written(df.groupBy(*by, *lead).agg(*totals), "cells")
+    measures = ["__n", *[f"__{m}_{f.out}" for f in sums for m in ("s", "c")]]
+    before = [RunSum(f"_{m}", F.col(m), current=False) for m in measures]
+    past = ordered_features(cells, by, lead, before, rows=cells.count())
+    names = [*[c for c in lead if c != key], *by]
+    entry = F.struct(F.struct(*names).alias("key"), F.struct(*[b.out for b in before]).alias("value"))
+    lookup = past.groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias("__cells"))
+    met = F.col("__cells")
+    if not cells.where(F.col(key).isNull()).isEmpty():
+        met = F.coalesce(met, lookup.where(F.col(key).isNull()).agg(F.any_value("__cells")).scalar())
+
+    w = W.partitionBy(key, *names).orderBy(*rest)
+    upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
+    earlier = w.rowsBetween(W.unboundedPreceding, -1)
+    inside = {"__pos": F.row_number().over(w).cast("bigint")}
+    inside |= {f"__w_{f.out}": F.sum(f.value).over(upto if f.current else earlier) for f in sums}
+    rows = lookup_join(df.withColumns(inside), lookup, [key])
+    rows = rows.withColumn("__past", F.try_element_at(met, F.struct(*names)))
+    result = {}
+    for f in features:
+        if isinstance(f, RunCount):
+            n = F.col("__past.___n") + F.col("__pos")
+            result[f.out] = n if f.current else n - 1
+        else:
+            # NULL only while no non-NULL value has been met, as in a window.
+            here, there = F.col(f"__w_{f.out}"), F.when(F.col(f"__past.___c_{f.out}") > 0, F.col(f"__past.___s_{f.out}"))
+            total = F.coalesce(here + there, here, there)
+            result[f.out] = total if f.current else F.coalesce(total, F.lit(0))
+    return rows.withColumns(result).select(*df.columns, *result)
+
+
     probs: list[float],
     aggregates: list[Agg] | None = None,
     rows: int | None = None,

@@ -19,19 +19,22 @@ from quizframe.functions.columns import (
     time_divide,
     to_epoch,
 )
+from quizframe.operators.heavy import group_sizes
 from quizframe.operators.joins import lookup_join
 from quizframe.operators.ordered import (
     FRAME_ORD,
     USER_ORD,
+    Feature,
     Lag,
     Layout,
     RunCount,
     RunSum,
+    in_cells,
     in_layout,
     ordered_features,
     quantiles,
 )
-from quizframe.runtime import written
+from quizframe.runtime import limit, written
 
 
 def with_calendar(log: DataFrame) -> DataFrame:
@@ -153,14 +156,32 @@ def category_correct(log: DataFrame, layout: Layout | None = None) -> DataFrame:
     )
 
 
-def category_running(log: DataFrame, rows: int | None = None) -> DataFrame:
+def _over_table(
+    log: DataFrame, by: str, features: list[Feature], rows: int | None, layout: Layout | None
+) -> DataFrame:
+    """``features`` of ``by`` over the whole table: in the cells of learners, as long as these fit a task.
+
+    ``layout``, the learners' one, tells whether they do.
+    """
+    most = limit(log.sparkSession, "groupRows")
+    if rows is None or (rows > most and layout is None):
+        rows, largest = group_sizes(log, ["userID"])
+        fits = largest <= most
+    else:
+        fits = layout is not None and layout.block is None
+    if rows > most and fits:
+        return in_cells(log, [by], FRAME_ORD, features, "userID")
+    return ordered_features(log, [by], FRAME_ORD, features, rows=rows)
+
+
+def category_running(log: DataFrame, rows: int | None = None, layout: Layout | None = None) -> DataFrame:
     """Earlier rows of the category over the whole table, and its ratio.
 
     Expects ``correct_answer_per_cat``, which is per learner and category; the
     ratio mixes the two grains on purpose.
     """
-    return ordered_features(
-        log, ["category_high"], FRAME_ORD, [RunCount("acc_count_per_cat", current=False)], rows=rows
+    return _over_table(
+        log, "category_high", [RunCount("acc_count_per_cat", current=False)], rows, layout
     ).withColumn(
         "acc_answerRate_per_cat", ratio(F.col("correct_answer_per_cat"), F.col("acc_count_per_cat"))
     )
@@ -169,7 +190,7 @@ def category_running(log: DataFrame, rows: int | None = None) -> DataFrame:
 def week_running(log: DataFrame, exclude_current: bool = False, rows: int | None = None) -> DataFrame:
     """Right answers, answers and their rate so far per ISO week over the whole table."""
     current = not exclude_current
-    return ordered_features(
+    return _over_table(
         log,
         ["weekofyear"],
         FRAME_ORD,
