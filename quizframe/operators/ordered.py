@@ -19,13 +19,18 @@ from pyspark.sql import functions as F
 
 from quizframe.operators.heavy import find_heavy, group_sizes
 from quizframe.operators.joins import lookup_join
-from quizframe.runtime import fits_broadcast, limit, written
+from quizframe.runtime import bucketed, fits_broadcast, limit, written
 
 USER_ORD = ["Timestamp", "row_id"]
 FRAME_ORD = ["split", "userID", "Timestamp", "row_id"]
 
 # Reducers one range shuffle should have at most; above it blocks grow instead.
 MAX_BLOCKS = 50_000
+# Rows a reducer of a range shuffle should have at least: smaller blocks share one, so that
+# the driver gets samples and results of few tasks however small the blocks are.
+_TASK_ROWS = 100_000
+# Rows of a bucket of a laid out frame.
+_BUCKET_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -63,11 +68,20 @@ def blocked(df: DataFrame, order: list[str], rows: int, column: str = "_block")
 
     ``order`` must be unique per row, so any run of rows can be cut. The range
     cuts come from a sample, so the numbered rows are written once: every later
-    use then sees the same blocks.
+    use then sees the same blocks. They are written in buckets of whole blocks, so
+    windows and groups inside the blocks need no further shuffle.
     """
-    n = min(max(1, ceil(rows / limit(df.sparkSession, "blockRows"))), MAX_BLOCKS)
-    cut = df.repartitionByRange(n, *order).withColumn(column, F.spark_partition_id())
-    return written(cut, "blocks")
+    size = max(limit(df.sparkSession, "blockRows"), ceil(rows / MAX_BLOCKS))
+    n = max(1, ceil(rows / max(size, _TASK_ROWS)))
+    cut = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # A row's number holds the partition, then the place in it from the lowest 33 bits on.
+    place = F.monotonically_increasing_id()
+    inside = place.bitwiseAND(F.lit((1 << 33) - 1))
+    return bucketed(cut.withColumn(column, place - inside + F.floor(inside / size)), "blocks", column, _buckets(rows))
+
+
+def _buckets(rows: int) -> int:
+    return ceil(rows / _BUCKET_ROWS)
 
 
 @dataclass(frozen=True)
@@ -86,19 +100,20 @@ class Layout:
 
 
 def lay_out(
-    df: DataFrame, by: list[str], order: list[str], rows: int | None = None
+    df: DataFrame, by: list[str], order: list[str], rows: int | None = None, keep: bool = False
 ) -> tuple[DataFrame, Layout]:
     """Prepare ``df`` for ordered features of ``by`` and of finer groups.
 
     ``rows``, the known size of the frame, saves the count of the groups when
-    it already fits one task.
+    it already fits one task. A frame that is read more than once should be kept: it is
+    then written, in buckets of its groups unless it is cut into blocks (written too).
     """
     most = limit(df.sparkSession, "groupRows")
-    if rows is not None and rows <= most:
+    if not keep and rows is not None and rows <= most:
         return df, Layout(tuple(by), rows)
     total, largest = group_sizes(df, by) if by else [df.count()] * 2
     if largest <= most:
-        return df, Layout(tuple(by), total)
+        return bucketed(df, "log", by[0], _buckets(total)) if keep else df, Layout(tuple(by), total)
     block = "_".join(["_block", *by])
     cut = blocked(df, [*by, *order], total, block)
     spanning = None
@@ -114,11 +129,12 @@ def in_layout(
     order: list[str],
     layout: Layout | None,
     work: Callable[[DataFrame, Layout], DataFrame],
+    keep: bool = False,
 ) -> DataFrame:
     """Run ``work`` in the given layout, or in one made for it."""
     if layout is not None:
         return work(df, layout)
-    laid, layout = lay_out(df, by, order)
+    laid, layout = lay_out(df, by, order, keep=keep)
     return work(laid, layout).drop(layout.block or "_block")
 
 
@@ -140,6 +156,9 @@ def ordered_features(
     """
     if layout is None:
         laid, layout = lay_out(df, by[:1], order, rows)
+        if layout.block is None and len(by) > 1:
+            # Dealt by the first column, rows stay where they are for its other groups and joins.
+            laid = laid.repartition(by[0])
         return ordered_features(laid, by, order, features, layout).select(
             *df.columns, *[f.out for f in features]
         )
@@ -156,9 +175,6 @@ def index_keys(df: DataFrame, order: list[str], out: str = "idx", by: list[str]
 
 
 def _plain(df: DataFrame, by: list[str], order: list[str], features: list[Feature]) -> DataFrame:
-        if layout.block is None and len(by) > 1:
-            # Dealt by the first column, rows stay where they are for its other groups and joins.
-            laid = laid.repartition(by[0])
     w = W.partitionBy(*by).orderBy(*order)
     upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
     before = w.rowsBetween(W.unboundedPreceding, -1)
@@ -257,22 +273,6 @@ def _in_blocks(
     return rows.withColumns(result).select(*df.columns, *result)
 
 
-# ---- exact quantiles ---------------------------------------------------------
-
-
-@dataclass(frozen=True)
-class Agg:
-    """An ordinary aggregate next to quantiles: ``fn`` of ``value``."""
-
-    out: str
-    fn: Callable[[Column], Column]
-    value: Column
-
-
-def quantiles(
-    df: DataFrame,
-    by: list[str],
-    values: dict[str, Column],
 def in_cells(df: DataFrame, by: list[str], order: list[str], features: list[Feature], key: str) -> DataFrame:
     """Add running sums and counts of groups of any size whose ``order`` begins with columns up to ``key``.
 
@@ -317,6 +317,22 @@ def in_cells(df: DataFrame, by: list[str], order: list[str], features: list[Feat
     return rows.withColumns(result).select(*df.columns, *result)
 
 
+# ---- exact quantiles ---------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Agg:
+    """An ordinary aggregate next to quantiles: ``fn`` of ``value``."""
+
+    out: str
+    fn: Callable[[Column], Column]
+    value: Column
+
+
+def quantiles(
+    df: DataFrame,
+    by: list[str],
+    values: dict[str, Column],
     probs: list[float],
     aggregates: list[Agg] | None = None,
     rows: int | None = None,

@@ -84,11 +84,10 @@ def elapsed(log: DataFrame, q: float = 0.99, layout: Layout | None = None) -> Da
     A gap at or above the ``q`` quantile of all gaps starts a new session, and
     the first row of a session took 0. So the gap itself is the answer time of
     every row below the threshold; no second window is needed. Without a layout
-    the log is written first: it is counted, searched for the threshold and read.
+    the log is kept in one by learner: it is searched for the threshold and read.
     """
-    log = log if layout else written(log, "log")
     return in_layout(
-        log, ["userID"], USER_ORD, layout, lambda df, made: _elapsed(df, q, made).drop("_gap")
+        log, ["userID"], USER_ORD, layout, lambda df, made: _elapsed(df, q, made).drop("_gap"), keep=True
     )
 
 
@@ -113,8 +112,7 @@ def sessionize(log: DataFrame, q: float = 0.99, layout: Layout | None = None) ->
             timed, ["userID", "testId"], USER_ORD, [RunSum("session", F.col("_gap"))], made
         ).drop("_gap")
 
-    log = log if layout else written(log, "log")
-    return in_layout(log, ["userID"], USER_ORD, layout, work)
+    return in_layout(log, ["userID"], USER_ORD, layout, work, keep=True)
 
 
 def user_running(
@@ -187,18 +185,20 @@ def category_running(log: DataFrame, rows: int | None = None, layout: Layout | N
     )
 
 
-def week_running(log: DataFrame, exclude_current: bool = False, rows: int | None = None) -> DataFrame:
+def week_running(
+    log: DataFrame, exclude_current: bool = False, rows: int | None = None, layout: Layout | None = None
+) -> DataFrame:
     """Right answers, answers and their rate so far per ISO week over the whole table."""
     current = not exclude_current
     return _over_table(
         log,
-        ["weekofyear"],
-        FRAME_ORD,
+        "weekofyear",
         [
             RunSum("problem_correct_per_woy", F.col("answerCode"), current),
             RunCount("problem_solved_per_woy", current),
         ],
-        rows=rows,
+        rows,
+        layout,
     ).withColumn(
         "cum_answerRate_per_woy",
         ratio(F.col("problem_correct_per_woy"), F.col("problem_solved_per_woy")),

@@ -80,17 +80,17 @@ def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+def bucketed(df: DataFrame, name: str, key: str, least: int = 0) -> DataFrame:
     """Write ``df`` as a table of this application, bucketed by ``key``, and read it back.
 
     One shuffle deals the rows into as many buckets as the session has shuffle
-    partitions; windows, groups and joins by ``key`` then need none. Tables bucketed
+    partitions, or ``least`` if these are too few; windows, groups and joins by ``key`` then need none. Tables bucketed
     alike meet without any. The table lies in the application's folder; ``clean_up``
     deletes it.
     """
     spark = df.sparkSession
     table = f"quizframe_{name.replace('-', '_')}_{uuid.uuid4().hex}"
-    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), _MAX_BUCKETS)
+    n = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), least), _MAX_BUCKETS)
     dealt = df.repartition(n, key)
     dealt.write.bucketBy(n, key).option("path", f"{run_dir(spark)}/{table}").saveAsTable(table)
     return spark.read.table(table)
