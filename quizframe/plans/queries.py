@@ -28,7 +28,7 @@ from quizframe.functions.columns import (
 from quizframe.operators import elo as elo_ops
 from quizframe.operators import encode, grains, graph, metrics, models, sequences, splits, targets, windows
 from quizframe.operators.joins import apply_lookup, minus_rows
-from quizframe.operators.ordered import FRAME_ORD, RunCount, ordered_features
+from quizframe.operators.ordered import FRAME_ORD, USER_ORD, RunCount, lay_out, ordered_features
 from quizframe.plans import tables
 from quizframe.runtime import run_dir, written
 from quizframe.sources import answers as src
@@ -374,7 +374,9 @@ def user_running_strict(spark, sf_dir):
 
 @query("lineitem_user_running")
 def lineitem_user_running(spark, sf_dir):
-    return windows.user_running(timed(line_log(spark, sf_dir))).select(*_USER_RUNNING)
+    # Laid out once: times and sums are of the same learners.
+    log, layout = lay_out(line_log(spark, sf_dir), ["userID"], USER_ORD, keep=True)
+    return windows.user_running(windows.elapsed(log, layout=layout), layout=layout).select(*_USER_RUNNING)
 
 
 @query("lineitem_user_running_blocks")
