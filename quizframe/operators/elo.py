@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from quizframe.functions.columns import lr_beta, lr_theta, sigmoid
 from quizframe.operators.heavy import group_sizes
 from quizframe.operators.joins import lookup_join
-from quizframe.operators.ordered import USER_ORD, Lag, RunCount, ordered_features
-from quizframe.runtime import key_sizes, written
+from quizframe.operators.ordered import USER_ORD, Lag, Layout, RunCount, lay_out, ordered_features
+from quizframe.runtime import key_sizes, limit, written
 from quizframe.sources.answers import scored
 
 PARAMS_SCHEMA = "key STRING, kind STRING, id STRING, value DOUBLE"
@@ -120,6 +120,21 @@ def dependency_levels(log: DataFrame, by: list[str], most: int, key: str = "row_
     return written(found, "levels")
 
 
+def _attempts(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """Add ``n_<key>``: earlier answers of the key, from 0. One layout in order of time serves
+    all keys with a value of too many rows for one task."""
+    most = limit(rows.sparkSession, "groupRows")
+    heavy = [k for k in keys if n > most and group_sizes(rows, [k])[1] > most]
+    for k in (k for k in keys if k not in heavy):
+        rows = ordered_features(rows, [k], USER_ORD, [RunCount(f"n_{k}", current=False)], Layout((k,), n))
+    if not heavy:
+        return rows
+    rows, layout = lay_out(rows, [], USER_ORD, n)
+    for k in heavy:
+        rows = ordered_features(rows, [k], USER_ORD, [RunCount(f"n_{k}", current=False)], layout)
+    return rows.drop(layout.block)
+
+
 def elo_fit(
     log: DataFrame,
     keys: list[str],
@@ -150,8 +165,7 @@ def elo_fit(
     if exact_levels:
         rows = written(rows, "elo-log")
     rows = ordered_features(rows, ["userID"], USER_ORD, [RunCount("n_user", current=False)], rows=n)
-    for k in keys:
-        rows = ordered_features(rows, [k], USER_ORD, [RunCount(f"n_{k}", current=False)], rows=n)
+    rows = _attempts(rows, keys, n)
     levels = [f"_level_{k}" for k in keys if exact_levels]
     for k, c in zip(keys, levels, strict=False):
         found = dependency_levels(rows.select(*USER_ORD, "userID", k), ["userID", k], exact_levels)

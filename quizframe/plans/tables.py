@@ -114,8 +114,8 @@ def row_features(
     df = user_running(df, exclude_current, layout)
     df = category_correct(df, layout)
     df = time_delta_user(df, layout).drop(layout.block or "_block")
-    df = category_running(df, layout.rows)
-    df = week_running(df, exclude_current, layout.rows)
+    df = category_running(df, layout.rows, layout)
+    df = week_running(df, exclude_current, layout.rows, layout)
     params = elo_fit(log, list(ELO_FEATURES), formula, scored_only)
     return with_elo(df, params, ELO_FEATURES)
 
