@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import FMClassifier, GBTClassificationModel, GBTClassifier
+from pyspark.ml.classification import FMClassificationModel, FMClassifier, GBTClassificationModel, GBTClassifier
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseMatrix, Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +22,12 @@ from quizframe.runtime import written
 
 # One weight vector per one-hot column travels to every task and back.
 MAX_WEIGHTS = 1 << 27
+# Rows of one numpy step, and weights of one summed block of a gradient.
+_STEP_ROWS = 8192
+_BLOCK_WEIGHTS = 8192
+# Decay of the moments in AdamW, and what keeps its denominator from 0.
+_BETAS = (0.9, 0.999)
+_EPSILON = 1e-8
 
 
 def fit_boosting(
@@ -146,8 +155,8 @@ def fit_fm(
     """Factorisation machine over indexed fields (``field -> number of codes``).
 
     Weights decay by ``reg_param``. With ``valid`` rows, models of more and more
-    ``iterations`` are fitted until one has no smaller RMSE on them, and the best is
-    returned; without, the model of the last number. Codes unseen in training share one
+    ``iterations`` are fitted, each from where the one before ended, until one has no
+    smaller RMSE on them, and the best is returned; without, the model of the last number. Codes unseen in training share one
     extra column per field. The caller chooses the encoder, whatever the size: one
     column per code, or ``hash_width`` columns that codes share by hash.
     """
@@ -185,13 +194,18 @@ def fit_fm(
         return fm_fields(df, fields).select(*shifted, F.col(label).cast("double").alias(label))
 
     coder = Pipeline(stages=encode).fit(prepared(train))
-    coded = written(coder.transform(prepared(train)).select("_x", label), "fm-rows")
+    rows = coder.transform(prepared(train)).select("_x", label)
+    # As many tasks as cores, alike long, for every step of the fit.
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    dealt = _entries(rows, label, len(columns), ones=hash_width is None).repartition(cores)
+    coded = written(dealt, "fm-rows")
+    # No step on one row: the weights that a fit begins with.
+    start = fm.copy().setMaxIter(0).fit(rows.limit(1))
     if valid is None:
-        return PipelineModel([*coder.stages, fm.setMaxIter(iterations[-1]).fit(coded)])
+        return PipelineModel([*coder.stages, *_fm_path(start, fm, coded, iterations[-1:])])
     checked = written(coder.transform(prepared(valid)).select("_x", label), "fm-valid")
     best, least = None, None
-    for n in iterations:
-        model = fm.copy().setMaxIter(n).fit(coded)
+    for model in _fm_path(start, fm, coded, iterations):
         p = vector_to_array("probability")[1]
         loss = model.transform(checked).agg(rmse(F.col(label), p)).first()[0]
         if best is not None and (loss is None or loss >= least):
@@ -200,6 +214,130 @@ def fit_fm(
     return PipelineModel([*coder.stages, best])
 
 
+def _entries(rows: DataFrame, label: str, most: int, ones: bool) -> DataFrame:
+    """The up to ``most`` entries of every vector, place and value in columns of their own, and the label.
+
+    Missing entries are zeros; values that are all ``ones`` are left out. Plain columns
+    reach the tasks' numpy much faster than arrays.
+    """
+    x = F.unwrap_udt("_x")
+    held = F.filter(F.sequence(F.lit(0), F.size(x["values"]) - 1), lambda i: F.get(x["values"], i) != 0)
+    rows = rows.select(
+        F.coalesce(x["indices"], held).alias("_at"),
+        F.when(x["indices"].isNull(), F.transform(held, lambda i: F.get(x["values"], i))).otherwise(x["values"]).alias("_v"),
+        F.col(label).alias("_label"),
+    )
+    places = [F.coalesce(F.get("_at", F.lit(i)), F.lit(0)).alias(f"_at{i}") for i in range(most)]
+    values = [F.coalesce(F.get("_v", F.lit(i)), F.lit(0.0)).alias(f"_v{i}") for i in range(most)]
+    return rows.select("_label", *places, *([] if ones else values))
+
+
+def _fm_path(
+    start: FMClassificationModel, fm: FMClassifier, coded: DataFrame, iterations: tuple[int, ...]
+) -> Iterator[FMClassificationModel]:
+    """The models of ``fm`` after each number of ``iterations``, ascending, on one way from ``start``.
+
+    Full-batch AdamW on the log loss, as ``fm`` itself takes it, but a longer fit goes on
+    where the shorter one ended. Tasks sum the gradients of their rows, a shuffle adds
+    them up by block of weights.
+    """
+    n, k = start.numFeatures, fm.getFactorSize()
+    weights = np.concatenate([start.factors.toArray().ravel(), start.linear.toArray(), [start.intercept]])
+    mean, square = np.zeros_like(weights), np.zeros_like(weights)
+    rate, decay, tol = fm.getStepSize(), fm.getRegParam(), fm.getTol()
+    done, settled = 0, False
+    for wanted in iterations:
+        while done < wanted and not settled:
+            gradient, rows = _fm_gradient(coded, weights, n, k)
+            if not rows:
+                break
+            gradient /= rows
+            done += 1
+            mean += (1 - _BETAS[0]) * (gradient - mean)
+            square += (1 - _BETAS[1]) * (gradient * gradient - square)
+            step = rate * (mean / (1 - _BETAS[0] ** done)) / (np.sqrt(square / (1 - _BETAS[1] ** done)) + _EPSILON)
+            step += decay * weights
+            weights = weights - step
+            settled = done > 1 and np.linalg.norm(step) < tol * max(np.linalg.norm(weights), 1.0)
+        yield fm.copy({fm.maxIter: wanted})._copyValues(_fm_model(start.uid, weights, n, k))
+
+
+def _fm_gradient(coded: DataFrame, weights: np.ndarray, n: int, k: int) -> tuple[np.ndarray, int]:
+    """Sum of the gradients of the log loss over all rows, and the number of rows."""
+    context = coded.sparkSession.sparkContext
+    sent = context.broadcast(weights)
+    step_rows, block = _STEP_ROWS, _BLOCK_WEIGHTS
+    places_of = [c for c in coded.columns if c.startswith("_at")]
+    values_of = [c for c in coded.columns if c.startswith("_v")]
+
+    def summed(batches):
+        flat = sent.value
+        factors, linear, intercept = flat[: n * k].reshape(n, k), flat[n * k : -1], flat[-1]
+        squares = np.einsum("ij,ij->i", factors, factors)
+        # Of every column: sums of error x value x the row's factor sums, of error x value squared, of error x value.
+        total, own, plain = np.zeros((n, k)), np.zeros(n), np.zeros(n)
+        error, rows = 0.0, 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, step_rows):
+                part = batch.slice(at, step_rows)
+                label = part.column("_label").to_numpy(zero_copy_only=False)
+                if not np.isin(label, (0.0, 1.0)).all():
+                    raise ValueError("labels must be 0 or 1")
+                values = [part.column(c).to_numpy() for c in values_of] or [np.ones(len(label))] * len(places_of)
+                met = [(part.column(c).to_numpy(), v) for c, v in zip(places_of, values)]
+                sums, twice = np.zeros((len(label), k)), np.zeros(len(label))
+                margin = np.full(len(label), intercept)
+                for places, values in met:
+                    sums += factors.take(places, axis=0) * values[:, None]
+                    twice += squares[places] * values * values
+                    margin += linear[places] * values
+                margin += 0.5 * (np.einsum("rk,rk->r", sums, sums) - twice)
+                miss = 1 / (1 + np.exp(-margin)) - label
+                sums *= miss[:, None]
+                for places, values in met:
+                    order = np.argsort(places)
+                    ordered, values = places[order], values[order]
+                    first = np.flatnonzero(np.diff(ordered, prepend=-1))
+                    columns, pull = ordered[first], miss[order] * values
+                    total[columns] += np.add.reduceat(sums.take(order, axis=0) * values[:, None], first, axis=0)
+                    own[columns] += np.add.reduceat(pull * values, first)
+                    plain[columns] += np.add.reduceat(pull, first)
+                error += miss.sum()
+                rows += len(label)
+        if not rows:
+            return
+        total -= factors * own[:, None]
+        found = np.concatenate([total.ravel(), plain, [error, rows]])
+        blocks = [i for i in range(0, len(found), block) if found[i : i + block].any()]
+        for at in range(0, len(blocks), 64):
+            some = blocks[at : at + 64]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int64()), pa.array([found[i : i + block].tobytes() for i in some], pa.binary())],
+                names=["_from", "_sums"],
+            )
+
+    def added(parts):
+        sums = [np.frombuffer(b) for b in parts.column("_sums").to_pylist()]
+        return pa.table({"_from": parts.column("_from")[:1], "_sums": pa.array([np.sum(sums, axis=0).tobytes()], pa.binary())})
+
+    schema = "_from long, _sums binary"
+    found = coded.mapInArrow(summed, schema).groupBy("_from").applyInArrow(added, schema).toArrow()
+    sent.destroy()
+    gradient = np.zeros(len(weights) + 1)
+    for at, sums in zip(found.column("_from").to_pylist(), found.column("_sums").to_pylist()):
+        gradient[at : at + len(sums) // 8] = np.frombuffer(sums)
+    return gradient[:-1], int(gradient[-1])
+
+
+def _fm_model(uid: str, weights: np.ndarray, n: int, k: int) -> FMClassificationModel:
+    context = SparkContext._active_spark_context
+    linear, factors = Vectors.dense(weights[n * k : -1]), DenseMatrix(n, k, weights[: n * k], isTransposed=True)
+    made = context._jvm.org.apache.spark.ml.classification.FMClassificationModel(
+        uid, float(weights[-1]), _py2java(context, linear), _py2java(context, factors)
+    )
+    return FMClassificationModel(made)
+
+
 def fm_fields(df: DataFrame, fields: dict[str, int]) -> DataFrame:
     """Codes for the model; an unseen code becomes the first one past the field."""
     return df.withColumns(

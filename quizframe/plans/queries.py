@@ -777,13 +777,12 @@ def _fm(spark, sf_dir, held_out):
 
     The number of iterations is chosen on the last three rows of what the fit may see.
     """
-    log = event_log(spark, sf_dir)
-    rows, dictionary = tables.context_table(log)
+    raw, rows, dictionary = tables.context_parts(event_log(spark, sf_dir))
     rows = written(rows, "context-table")
     dims = {r["field"]: r["size"] for r in cardinality(dictionary).collect()}
     fields = {c: dims[c] for c in tables.CONTEXT_FIELDS}
     train, wanted = rows.where("part = 'train'"), rows.where("part = 'test'")
-    seen = written(splits.context_rows(log), "context-rows")
+    seen = raw.where("part = 'train'")
     if held_out:
         train, wanted = _last3(train, seen)
         seen = written(seen.join(train.select("row_id"), "row_id", "left_semi"), "context-seen")

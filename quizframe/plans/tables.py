@@ -234,8 +234,8 @@ def fit_context_dictionary(log: DataFrame, train: DataFrame) -> DataFrame:
     return ids.unionByName(rest)
 
 
-def context_table(log: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Indexed context rows with ``part`` train or test, and their dictionary.
+def context_parts(log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The context rows before indexing (written), indexed with ``part`` train or test, and their dictionary.
 
     Both parts are coded by the same dictionary; a value unseen in training is
     NULL.
@@ -244,7 +244,13 @@ def context_table(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     train = rows.where(F.col("part") == "train")
     dictionary = written(fit_context_dictionary(log, train), "context-dictionary")
     coded = apply_dictionary(rows, dictionary, CONTEXT_FIELDS)
-    return coded.select("row_id", "part", *CONTEXT_FIELDS, "answerCode"), dictionary
+    return rows, coded.select("row_id", "part", *CONTEXT_FIELDS, "answerCode"), dictionary
+
+
+def context_table(log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Indexed context rows with ``part`` train or test, and their dictionary."""
+    _, coded, dictionary = context_parts(log)
+    return coded, dictionary
 
 
 # ---- sequence model --------------------------------------------------------------
