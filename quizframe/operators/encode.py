@@ -35,10 +35,21 @@ def fit_ordinal(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def fit_first_seen(df: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
-    """Codes in the order in which the values first appear."""
+    """Codes in the order in which the values first appear.
+
+    Each column is grouped by its own values, as they are: tasks sort numbers, not texts
+    of all fields. ``df`` is read once per column; pass a written table.
+    """
+    at = F.min(F.struct(*order)).alias("_at")
+    met = [
+        df.groupBy(F.col(c).alias("value")).agg(at).select(F.lit(c).alias("field"), F.col("value").cast("string"), "_at")
+        for c in columns
+    ]
+    cells = met[0]
+    for more in met[1:]:
+        cells = cells.unionByName(more)
     first = (
-        _cells(df, columns, F.struct(*order).alias("_at"))
-        .groupBy("field", "value")
+        cells.groupBy("field", "value")
         .agg(F.min("_at").alias("_at"))
         .select("field", "value", *[F.col(f"_at.{c}").alias(f"_o_{c}") for c in order])
     )

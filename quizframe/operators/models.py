@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +23,10 @@ from quizframe.runtime import written
 
 # One weight vector per one-hot column travels to every task and back.
 MAX_WEIGHTS = 1 << 27
-# Rows of one numpy step, and weights of one summed block of a gradient.
+# Rows of one numpy step, weights of one summed block of a gradient, and rows of a task.
 _STEP_ROWS = 8192
 _BLOCK_WEIGHTS = 8192
+_TASK_ROWS = 1 << 21
 # Decay of the moments in AdamW, and what keeps its denominator from 0.
 _BETAS = (0.9, 0.999)
 _EPSILON = 1e-8
@@ -194,16 +196,22 @@ def fit_fm(
         return fm_fields(df, fields).select(*shifted, F.col(label).cast("double").alias(label))
 
     coder = Pipeline(stages=encode).fit(prepared(train))
-    rows = coder.transform(prepared(train)).select("_x", label)
-    # As many tasks as cores, alike long, for every step of the fit.
+
+    def vectors(df: DataFrame) -> DataFrame:
+        # Without the names of all columns, which every task and every file would repeat.
+        return coder.transform(df).select(F.col("_x").alias("_x", metadata={}), label)
+
+    # As many tasks as cores (or times as many), alike long, for every step of the fit. Cut by their
+    # codes, rows of a code of many meet in one task or two, so what tasks sum up hardly overlaps.
     cores = train.sparkSession.sparkContext.defaultParallelism
-    dealt = _entries(rows, label, len(columns), ones=hash_width is None).repartition(cores)
-    coded = written(dealt, "fm-rows")
+    tasks = cores * max(1, ceil(train.count() / (cores * _TASK_ROWS)))
+    dealt = prepared(train).repartitionByRange(tasks, *shifted)
+    coded = written(_packed(_entries(vectors(dealt), label, len(columns), ones=hash_width is None)), "fm-rows")
     # No step on one row: the weights that a fit begins with.
-    start = fm.copy().setMaxIter(0).fit(rows.limit(1))
+    start = fm.copy().setMaxIter(0).fit(vectors(prepared(train).limit(1)))
     if valid is None:
         return PipelineModel([*coder.stages, *_fm_path(start, fm, coded, iterations[-1:])])
-    checked = written(coder.transform(prepared(valid)).select("_x", label), "fm-valid")
+    checked = written(vectors(prepared(valid)), "fm-valid")
     best, least = None, None
     for model in _fm_path(start, fm, coded, iterations):
         p = vector_to_array("probability")[1]
@@ -232,6 +240,27 @@ def _entries(rows: DataFrame, label: str, most: int, ones: bool) -> DataFrame:
     return rows.select("_label", *places, *([] if ones else values))
 
 
+def _packed(entries: DataFrame) -> DataFrame:
+    """Up to 8192 rows of ``entries`` in one, every column as the bytes of its numpy array.
+
+    Each step of a fit reads all rows: as blocks they reach the tasks' numpy unchanged.
+    """
+    names, step_rows = entries.columns, _STEP_ROWS
+
+    def packed(batches):
+        for batch in batches:
+            blocks = []
+            for at in range(0, batch.num_rows, step_rows):
+                part = batch.slice(at, step_rows)
+                if not np.isin(part.column("_label").to_numpy(zero_copy_only=False), (0.0, 1.0)).all():
+                    raise ValueError("labels must be 0 or 1")
+                blocks.append([part.column(c).to_numpy().tobytes() for c in names])
+            if blocks:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*blocks)], names=names)
+
+    return entries.mapInArrow(packed, ", ".join(f"{c} binary" for c in names))
+
+
 def _fm_path(
     start: FMClassificationModel, fm: FMClassifier, coded: DataFrame, iterations: tuple[int, ...]
 ) -> Iterator[FMClassificationModel]:
@@ -278,30 +307,39 @@ def _fm_gradient(coded: DataFrame, weights: np.ndarray, n: int, k: int) -> tuple
         total, own, plain = np.zeros((n, k)), np.zeros(n), np.zeros(n)
         error, rows = 0.0, 0
         for batch in batches:
-            for at in range(0, batch.num_rows, step_rows):
-                part = batch.slice(at, step_rows)
-                label = part.column("_label").to_numpy(zero_copy_only=False)
-                if not np.isin(label, (0.0, 1.0)).all():
-                    raise ValueError("labels must be 0 or 1")
-                values = [part.column(c).to_numpy() for c in values_of] or [np.ones(len(label))] * len(places_of)
-                met = [(part.column(c).to_numpy(), v) for c, v in zip(places_of, values)]
-                sums, twice = np.zeros((len(label), k)), np.zeros(len(label))
+            for part in batch.to_pylist():
+                label = np.frombuffer(part["_label"])
+                met = []
+                for i, c in enumerate(places_of):
+                    # The columns that the rows meet, and where each row's is among them.
+                    places = np.frombuffer(part[c], np.int32).astype(np.int64)
+                    low, high = places.min(), places.max() + 1
+                    if high - low <= step_rows:
+                        columns, places = slice(low, high), places - low
+                    else:
+                        columns, places = np.unique(places, return_inverse=True)
+                    met.append((columns, places, np.frombuffer(part[values_of[i]]) if values_of else None))
+                # Factors by row of the arrays, rows of the data along it.
+                sums, twice = np.zeros((k, len(label))), np.zeros(len(label))
                 margin = np.full(len(label), intercept)
-                for places, values in met:
-                    sums += factors.take(places, axis=0) * values[:, None]
-                    twice += squares[places] * values * values
-                    margin += linear[places] * values
-                margin += 0.5 * (np.einsum("rk,rk->r", sums, sums) - twice)
+                for columns, places, values in met:
+                    here = np.ascontiguousarray(factors[columns].T).take(places, axis=1)
+                    square, line = squares[columns].take(places), linear[columns].take(places)
+                    if values is not None:
+                        here, square, line = here * values, square * values * values, line * values
+                    sums += here
+                    twice += square
+                    margin += line
+                margin += 0.5 * (np.einsum("kr,kr->r", sums, sums) - twice)
                 miss = 1 / (1 + np.exp(-margin)) - label
-                sums *= miss[:, None]
-                for places, values in met:
-                    order = np.argsort(places)
-                    ordered, values = places[order], values[order]
-                    first = np.flatnonzero(np.diff(ordered, prepend=-1))
-                    columns, pull = ordered[first], miss[order] * values
-                    total[columns] += np.add.reduceat(sums.take(order, axis=0) * values[:, None], first, axis=0)
-                    own[columns] += np.add.reduceat(pull * values, first)
-                    plain[columns] += np.add.reduceat(pull, first)
+                sums *= miss
+                for columns, places, values in met:
+                    pull = miss if values is None else miss * values
+                    pulled = np.bincount(places, pull)
+                    own[columns] += pulled if values is None else np.bincount(places, pull * values)
+                    plain[columns] += pulled
+                    added = sums if values is None else sums * values
+                    total[columns] += np.stack([np.bincount(places, s) for s in added], axis=1)
                 error += miss.sum()
                 rows += len(label)
         if not rows:

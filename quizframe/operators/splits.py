@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quizframe.operators.joins import lookup_join, minus_rows
@@ -35,6 +36,15 @@ def context_rows(log: DataFrame) -> DataFrame:
     return keep_last(scored(log), ITEM_KEY, FRAME_ORD)
 
 
+def context_with_wanted(log: DataFrame) -> DataFrame:
+    """``context_rows`` as ``part`` train and all rows to predict as test, in one pass over the learners' rows."""
+    part = F.when(F.col("answerCode") >= 0, "train").when(F.col("answerCode") == -1, "test")
+    parts = log.withColumn("part", part).where(F.col("part").isNotNull())
+    w = W.partitionBy(*ITEM_KEY, "part").orderBy(*[F.desc(c) for c in FRAME_ORD])
+    placed = parts.withColumn("_r", F.row_number().over(w))
+    return placed.where((F.col("part") == "test") | (F.col("_r") == 1)).drop("_r")
+
+
 def split_last3(log: DataFrame, n: int = 3) -> DataFrame:
     """``part``: valid = last ``n`` rows per learner (latest per item), train = the rest.
 
@@ -48,6 +58,11 @@ def split_last3(log: DataFrame, n: int = 3) -> DataFrame:
     )
 
 
+def known_by(df: DataFrame, key: str) -> bool:
+    """Is ``key`` never NULL and never twice in ``df``?"""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col(key).isNull() | (F.col("_n") > 1)).isEmpty()
+
+
 def hash_bucket(key: Column, seed: int) -> Column:
     """0..999, the same for a key whatever the partitioning."""
     digest = F.substring(F.md5(F.concat(key.cast("string"), F.lit(f"|{seed}"))), 1, 8)

@@ -234,10 +234,12 @@ def answer_lags(log: DataFrame, n: int = 5, layout: Layout | None = None) -> Dat
     )
 
 
-def tag_occurrence(log: DataFrame, frame: str = "split", rows: int | None = None) -> DataFrame:
+def tag_occurrence(
+    log: DataFrame, frame: str = "split", rows: int | None = None, layout: Layout | None = None
+) -> DataFrame:
     """How often the learner has met the tag, this row included; each ``frame`` on its own."""
     return ordered_features(
-        log, ["userID", frame, "KnowledgeTag"], USER_ORD, [RunCount("tagCount")], rows=rows
+        log, ["userID", frame, "KnowledgeTag"], USER_ORD, [RunCount("tagCount")], layout, rows
     )
 
 

@@ -504,6 +504,7 @@ def encode_table(spark, sf_dir):
 @query("encode_first_seen")
 def encode_first_seen(spark, sf_dir):
     log = src.scored(event_log(spark, sf_dir))
+    log = written(log.select(*FRAME_ORD, *DICT_COLUMNS), "log")
     return encode.fit_first_seen(log, DICT_COLUMNS, FRAME_ORD)
 
 
@@ -772,6 +773,25 @@ def _last3(rows, log):
     return cut.where("half = 'train'").drop("half"), cut.where("half = 'valid'").drop("half")
 
 
+def _fm_parts(raw, rows, held_out):
+    """The rows of a fit, those that choose its iterations, and those to score.
+
+    ``rows`` are the written rows of the context table, ``raw`` the same before indexing.
+    """
+    train, wanted = rows.where("part = 'train'"), rows.where("part = 'test'")
+    seen = raw.where("part = 'train'")
+    if train.where("recency IS NULL").isEmpty() and splits.known_by(seen, "row_id"):
+        # Rows are numbered from each learner's latest: no join has to find the last ones.
+        first = 1
+        if held_out:
+            train, wanted, first = train.where("recency > 3"), train.where("recency <= 3"), 4
+        return train.where(F.col("recency") >= first + 3), train.where(F.col("recency") < first + 3), wanted
+    if held_out:
+        train, wanted = _last3(train, seen)
+        seen = written(seen.join(train.select("row_id"), "row_id", "left_semi"), "context-seen")
+    return *_last3(train, seen), wanted
+
+
 def _fm(spark, sf_dir, held_out):
     """Scores of the test rows, or of every learner's last three training rows (then left out of the fit).
 
@@ -781,12 +801,7 @@ def _fm(spark, sf_dir, held_out):
     rows = written(rows, "context-table")
     dims = {r["field"]: r["size"] for r in cardinality(dictionary).collect()}
     fields = {c: dims[c] for c in tables.CONTEXT_FIELDS}
-    train, wanted = rows.where("part = 'train'"), rows.where("part = 'test'")
-    seen = raw.where("part = 'train'")
-    if held_out:
-        train, wanted = _last3(train, seen)
-        seen = written(seen.join(train.select("row_id"), "row_id", "left_semi"), "context-seen")
-    train, valid = _last3(train, seen)
+    train, valid, wanted = _fm_parts(raw, rows, held_out)
     model = models.fit_fm(train, fields, valid)
     return models.score(model, models.fm_fields(wanted, fields), "p")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quizframe.operators.elo import elo_fit, with_elo
@@ -20,9 +21,10 @@ from quizframe.operators.encode import (
     text_columns,
 )
 from quizframe.operators.grains import grain_lookups, join_lookups, mean_encoding, quartiles, value_counts
-from quizframe.operators.ordered import FRAME_ORD, USER_ORD, lay_out
+from quizframe.operators.heavy import group_sizes
+from quizframe.operators.ordered import FRAME_ORD, USER_ORD, Layout, lay_out
 from quizframe.operators.sequences import padded_sequences
-from quizframe.operators.splits import context_rows, split_last
+from quizframe.operators.splits import ITEM_KEY, context_with_wanted, split_last
 from quizframe.operators.targets import apply_targets, encoded_name, fit_targets, label_mean, ordered_targets
 from quizframe.operators.windows import (
     answer_lags,
@@ -40,7 +42,7 @@ from quizframe.operators.windows import (
     with_codes,
     with_context_codes,
 )
-from quizframe.runtime import bucketed, written
+from quizframe.runtime import bucketed, limit, written
 from quizframe.sources.answers import scored, unscored
 
 # The output schema of the table.
@@ -204,26 +206,41 @@ CONTEXT_FIELDS = [
 ]
 
 
+def _context_log(log: DataFrame) -> DataFrame:
+    """What the context table needs of the log, written once in buckets of learners."""
+    wanted = log.where((F.col("answerCode") >= 0) | (F.col("answerCode") == -1))
+    return bucketed(wanted.select(*FRAME_ORD, "answerCode", "assessmentItemID", "testId", "KnowledgeTag"), "log", "userID")
+
+
+def _context_fields(log: DataFrame) -> DataFrame:
+    """The context rows of a log in buckets of learners, written.
+
+    While every learner fits one task, rows are deduplicated and counted where they lie, and
+    ``recency`` numbers each learner's training rows from the latest. With longer learners,
+    rows are dealt out for both, and ``recency`` is NULL.
+    """
+    size, largest = group_sizes(log, ["userID"])
+    fits = largest <= limit(log.sparkSession, "groupRows")
+    rows = context_with_wanted(log if fits else log.repartition(*ITEM_KEY))
+    rows = with_context_codes(rows).select(
+        *FRAME_ORD, "part", "answerCode", *[c for c in CONTEXT_FIELDS if c not in ("userID", "tagCount")]
+    )
+    if not fits:
+        # Deduplicated once, read by the tag counts more than once.
+        counted = tag_occurrence(written(rows, "context-rows"), "part", size)
+        return written(counted.withColumn("recency", F.lit(None).cast("int")), "context-fields")
+    counted = tag_occurrence(rows, "part", layout=Layout(("userID",), size))
+    latest = W.partitionBy("userID", "part").orderBy(*[F.desc(c) for c in FRAME_ORD])
+    return bucketed(counted.withColumn("recency", F.row_number().over(latest)), "context-fields", "userID")
+
+
 def context_raw(log: DataFrame) -> DataFrame:
     """Seven context fields before indexing.
 
     ``part`` train: scored rows, the latest per learner and item. ``part``
     test: rows to predict. Tags are counted in each part on its own.
     """
-    rows = (
-        context_rows(log)
-        .withColumn("part", F.lit("train"))
-        .unionByName(unscored(log).withColumn("part", F.lit("test")))
-    )
-    # Deduplicated once, read for its size and by the tag counts.
-    rows = written(
-        with_context_codes(rows).select(
-            *FRAME_ORD, "part", "answerCode", *[c for c in CONTEXT_FIELDS if c not in ("userID", "tagCount")]
-        ),
-        "context-rows",
-    )
-    # Read by the dictionary and by the table.
-    return written(tag_occurrence(rows, "part", rows.count()), "context-fields")
+    return _context_fields(_context_log(log))
 
 
 def fit_context_dictionary(log: DataFrame, train: DataFrame) -> DataFrame:
@@ -238,19 +255,21 @@ def context_parts(log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The context rows before indexing (written), indexed with ``part`` train or test, and their dictionary.
 
     Both parts are coded by the same dictionary; a value unseen in training is
-    NULL.
+    NULL. ``recency`` numbers each learner's training rows from the latest, NULL if a
+    learner is too long for one task.
     """
-    rows = context_raw(log)
+    log = _context_log(log)
+    rows = _context_fields(log)
     train = rows.where(F.col("part") == "train")
     dictionary = written(fit_context_dictionary(log, train), "context-dictionary")
     coded = apply_dictionary(rows, dictionary, CONTEXT_FIELDS)
-    return rows, coded.select("row_id", "part", *CONTEXT_FIELDS, "answerCode"), dictionary
+    return rows, coded.select("row_id", "part", *CONTEXT_FIELDS, "answerCode", "recency"), dictionary
 
 
 def context_table(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Indexed context rows with ``part`` train or test, and their dictionary."""
     _, coded, dictionary = context_parts(log)
-    return coded, dictionary
+    return coded.drop("recency"), dictionary
 
 
 # ---- sequence model --------------------------------------------------------------

@@ -177,3 +177,60 @@ def test_row_features_in_blocks_equal_plain(spark, make_log):
         spark.conf.unset("quizframe.groupRows")
         spark.conf.unset("quizframe.blockRows")
     assert cut == plain
+
+
+CONTEXT_LOG = [(u, f"A0{1 + i % 2}00000{i % 3}00{i % 5}", -1 if u == 3 and i == 11 else (u + i) % 2, 7 * i + u, i % 2) for u in (1, 2, 3) for i in range(12)]
+
+
+@pytest.fixture
+def context(make_log):
+    """A log with a learner of NULL, and rows that come twice."""
+    log = make_log([*CONTEXT_LOG, (None, A, 1, 5), (None, B, 0, 6), (None, A, 0, 9), (4, A, 1, 1)])
+    return log.unionByName(log.where("userID = 2 OR answerCode = -1"))
+
+
+def test_context_rows_lie_where_their_learners_lie(spark, context):
+    """Deduplicated, counted and numbered from the latest, without a shuffle of the rows."""
+    rows, _, _ = tables.context_parts(context)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0
+    by_learner = rows.where("part = 'train'").groupBy("userID").agg(F.max("recency"))
+    assert "Exchange" not in by_learner._jdf.queryExecution().executedPlan().toString()
+    latest = [tuple(r) for r in rows.where("part = 'train' AND recency <= 3").select("userID", "row_id").collect()]
+    last = windows.tail_per_user(splits.context_rows(context), 3).select("userID", "row_id").collect()
+    assert sorted(latest, key=str) == sorted((tuple(r) for r in last), key=str)
+    assert rows.where("part = 'test'").count() == 2
+
+
+def test_context_rows_of_long_learners_are_the_same(context, request):
+    def found():
+        rows = tables.context_raw(context)
+        return sorted((str(tuple(r)) for r in rows.drop("recency").collect())), rows.where("recency IS NULL").count()
+
+    plain, missing = found()
+    request.getfixturevalue("tiny_limits")
+    assert found() == (plain, len(plain)) and missing == 0
+
+
+@pytest.mark.parametrize("held_out", [False, True])
+def test_fm_parts_need_no_join_of_rows(monkeypatch, context, held_out):
+    """Numbers from the latest tell the parts that joins by row tell; these stay for repeated or missing numbers of rows."""
+    from quizframe.plans import queries
+    from quizframe.runtime import written
+
+    raw, rows, _ = tables.context_parts(context)
+    rows = written(rows, "table")
+
+    def parts(raw=raw, rows=rows):
+        return [sorted(r["row_id"] for r in p.select("row_id").collect()) for p in queries._fm_parts(raw, rows, held_out)]
+
+    joined = []
+    by_rows = queries._last3
+    monkeypatch.setattr(queries, "_last3", lambda *a: joined.append(1) or by_rows(*a))
+    quick = parts()
+    assert not joined and all(quick)
+    monkeypatch.setattr(splits, "known_by", lambda *a: False)
+    assert parts() == quick and joined
+    monkeypatch.undo()
+    assert splits.known_by(raw.where("part = 'train'"), "row_id")
+    assert not splits.known_by(raw.unionByName(raw), "row_id")
+    assert not splits.known_by(raw.withColumn("row_id", F.nullif("row_id", F.lit(1))), "row_id")
