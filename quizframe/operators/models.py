@@ -18,6 +18,7 @@ from pyspark.ml.linalg import DenseMatrix, Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quizframe.operators.boosting import grown
 from quizframe.operators.metrics import auc, rmse
 from quizframe.runtime import written
 
@@ -54,22 +55,19 @@ def fit_boosting(
     def prepared(df: DataFrame) -> DataFrame:
         return filled(df.select(*columns), features).withColumn(label, F.col(label).cast("double"))
 
-    stages = [
-        VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="keep"),
-        GBTClassifier(
-            labelCol=label,
-            featuresCol="_x",
-            maxIter=max_iter,
-            stepSize=learning_rate,
-            maxDepth=max_depth,
-            seed=seed,
-        ),
-    ]
-    model = Pipeline(stages=stages).fit(prepared(train))
-    assembler, trees = model.stages
+    assembler = VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="keep")
+    booster = GBTClassifier(
+        labelCol=label,
+        featuresCol="_x",
+        maxIter=max_iter,
+        stepSize=learning_rate,
+        maxDepth=max_depth,
+        seed=seed,
+    )
+    trees = grown(booster, assembler.transform(prepared(train)), features, label)
     checked = assembler.transform(prepared(valid))
     if checked.isEmpty():
-        return model
+        return PipelineModel([assembler, trees])
     quality = staged_auc(trees, checked, label)
     losses = [-q for q in quality] if quality else trees.evaluateEachIteration(checked)
     return PipelineModel([assembler, first_trees(trees, best_round(losses, patience))])
