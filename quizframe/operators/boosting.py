@@ -33,6 +33,8 @@ _TASK_ROWS = 1 << 20
 _DRIVER_BYTES = 4 << 20
 # Trees between two checkpoints of the margins, as the library has them.
 _CHECKPOINT = 10
+# What a booster may differ in from the library's defaults; any other is fitted by the library.
+_KNOWN = {"featuresCol", "labelCol", "maxDepth", "maxIter", "seed", "stepSize"}
 # Gains, and deviations inside a node, that differ by less of the node's mean square are rounding.
 _ROUNDING = 1e-12
 
@@ -334,9 +336,11 @@ def _grow(data: RDD, margins: RDD, root: np.ndarray, features: int, max_depth: i
 
 
 def grown(booster: GBTClassifier, rows: DataFrame, features: list[str], label: str) -> GBTClassificationModel:
-    """``booster`` fitted to the assembled ``rows``: the trees of ``booster.fit(rows)``, to rounding."""
+    """``booster`` fitted to the assembled ``rows``: the trees of ``booster.fit(rows)``, but for rounding."""
+    if {p.name for p in booster.extractParamMap() if booster.isSet(p)} - _KNOWN:
+        return booster.fit(rows)
     cuts, n = thresholds(booster, rows)
-    if cuts is None or booster.getMaxBins() > 1 << _BITS:
+    if cuts is None:
         return booster.fit(rows)
     context = rows.sparkSession.sparkContext
     if not context.getCheckpointDir():

@@ -105,3 +105,9 @@ def test_trees_of_odd_rows(spark):
         boosting.grown(booster(), assembled(rows(spark, 50).withColumn("answerCode", F.lit(2)), FEATURES), FEATURES, "answerCode")
     with pytest.raises(Exception, match="size of input"):
         boosting.grown(booster(), assembled(rows(spark, 0), FEATURES), FEATURES, "answerCode")
+
+
+def test_other_parameters_are_those_of_the_library(spark):
+    few = booster(maxIter=2, minInstancesPerNode=100, maxBins=50)
+    fitted, _ = compared(rows(spark, 300), few, FEATURES)
+    assert fitted.trees[0].numNodes <= 5
