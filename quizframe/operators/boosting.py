@@ -2,7 +2,7 @@
 
 The library keeps every row as an object with one int per feature, which 6 GB of answers
 push out of memory, and reads all of them one by one for each level of each tree. Here a
-row takes a byte per feature: two features of up to 32 bins share a 16-bit code, and
+row takes a byte per feature: the bins of two features share a 16-bit code, and
 blocks of codes are counted by numpy. Bins, gains, stops and leaf values are those of the
 library; sums of the larger child of a split follow from those of its parent.
 """
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from quizframe.runtime import run_dir
 
-# Bits of a feature's bin in a code; two bins share a code.
-_BITS = 5
+# Most bins of a feature: two bins share a code of 16 bits.
+_MOST_BINS = 256
 # Rows of one numpy step, and rows of a task.
 _BLOCK_ROWS = 1 << 17
 _TASK_ROWS = 1 << 20
@@ -85,9 +85,12 @@ def thresholds(booster: GBTClassifier, rows: DataFrame) -> tuple[list[list[float
     return [[s.threshold() for s in splits] for splits in found], metadata.numExamples()
 
 
-def dealt(rows: DataFrame, features: list[str], label: str, cuts: list[list[float]], n: int) -> RDD:
-    """All ``n`` rows in blocks of bytes: a line of codes per two features, then labels as -1 and 1."""
-    bounds, bits, most = [np.array(c) for c in cuts], _BITS, _BLOCK_ROWS
+def dealt(rows: DataFrame, features: list[str], label: str, cuts: list[list[float]], side: int, n: int) -> RDD:
+    """All ``n`` rows in blocks of bytes: a line of codes per two features, then labels as -1 and 1.
+
+    A code is the first feature's bin and ``side`` times that of the second.
+    """
+    bounds, most = [np.array(c) for c in cuts], _BLOCK_ROWS
     pairs = (len(cuts) + 1) // 2
 
     def packed(batches):
@@ -101,7 +104,7 @@ def dealt(rows: DataFrame, features: list[str], label: str, cuts: list[list[floa
             codes = np.zeros((pairs, batch.num_rows), np.uint16)
             for i, bound in enumerate(bounds):
                 bins = np.searchsorted(bound, batch.column(i + 1).to_numpy(zero_copy_only=False))
-                codes[i // 2] |= (bins << bits * (i % 2)).astype(np.uint16)
+                codes[i // 2] += (bins * side ** (i % 2)).astype(np.uint16)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number]), pa.array([codes.tobytes()], pa.binary()), pa.array([labels.tobytes()], pa.binary())],
                 names=["_at", "_codes", "_labels"],
@@ -134,9 +137,9 @@ def _kept(blocks: RDD) -> RDD:
     return blocks._reserialize(NoOpSerializer()).persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
 
-def _descent(tree: Grown):
+def _descent(tree: Grown, side: int):
     """A function from codes to the rows of the wanted nodes; None stands for all rows."""
-    splits, bits = [(n, tree.feature[n], tree.cut[n]) for n in sorted(tree.feature)], _BITS
+    splits = [(n, tree.feature[n], tree.cut[n]) for n in sorted(tree.feature)]
 
     def rows_of(codes, wanted):
         lists = {1: None}
@@ -146,10 +149,11 @@ def _descent(tree: Grown):
                 continue
             rows = lists.pop(node)
             line = codes[feature // 2] if rows is None else codes[feature // 2].take(rows)
-            right = ((line >> bits * (feature % 2)) & ((1 << bits) - 1)) > cut
-            for child, side in ((2 * node, ~right), (2 * node + 1, right)):
+            # Bins of the second feature come before those of the first in a code.
+            right = line >= side * (cut + 1) if feature % 2 else line % side > cut
+            for child, met in ((2 * node, ~right), (2 * node + 1, right)):
                 if child in above:
-                    lists[child] = np.flatnonzero(side) if rows is None else rows[side]
+                    lists[child] = np.flatnonzero(met) if rows is None else rows[met]
         return [lists[n] for n in wanted]
 
     return rows_of
@@ -168,9 +172,9 @@ def _pulls(first: bool):
     return pulls
 
 
-def _counter():
-    """A function that counts and sums ``pull`` by slot and code, and adds its squares by slot."""
-    side, width = 1 << _BITS, 1 << 2 * _BITS
+def _counter(side: int):
+    """A function that counts and sums ``pull`` by slot, feature and bin, and adds its squares by slot."""
+    width = side * side
 
     def counted(codes, pull, rows=None, slots=None, n=1):
         found = np.empty((n, len(codes), 2, width))
@@ -180,7 +184,7 @@ def _counter():
             found[:, i, 0] = np.bincount(at, minlength=n * width).reshape(n, width)
             found[:, i, 1] = np.bincount(at, pull, n * width).reshape(n, width)
         squares = [pull @ pull] if slots is None else np.bincount(slots, pull * pull, n)
-        # By feature and bin: the low bits of a code are its first feature.
+        # The bins of a code's first feature lie next to each other.
         both = found.reshape(n, len(codes), 2, side, side)
         bins = np.stack([both.sum(axis=3), both.sum(axis=4)], axis=2)
         return np.column_stack([bins.reshape(n, -1), squares])
@@ -215,9 +219,9 @@ def _added(parts: RDD, numbers: int, slots: int) -> dict[int, np.ndarray]:
     return {slot: sums for slot, (_, sums) in added(parts.collect())}
 
 
-def _sums(data: RDD, margins: RDD, tree: Grown, wanted: list[int], features: int, first: bool) -> dict[int, np.ndarray]:
+def _sums(data: RDD, margins: RDD, tree: Grown, wanted: list[int], features: int, side: int, first: bool) -> dict[int, np.ndarray]:
     """Of every wanted node, rows and sums of pulls by feature and bin, then their sum of squares."""
-    rows_of, pulls, counted, block = _descent(tree), _pulls(first), _counter(), _block(features)
+    rows_of, pulls, counted, block = _descent(tree, side), _pulls(first), _counter(side), _block(features)
 
     def summed(index, pairs):
         total = None
@@ -232,13 +236,13 @@ def _sums(data: RDD, margins: RDD, tree: Grown, wanted: list[int], features: int
             yield from ((slot, (index, sums)) for slot, sums in enumerate(total))
 
     parts = data.zip(margins).mapPartitionsWithIndex(summed)
-    found = _added(parts, len(wanted) * 2 * features << _BITS, len(wanted))
+    found = _added(parts, len(wanted) * 2 * features * side, len(wanted))
     return {node: found[slot] for slot, node in enumerate(wanted)}
 
 
-def _begun(data: RDD, features: int) -> RDD:
+def _begun(data: RDD, features: int, side: int) -> RDD:
     """For every block its margins, 0, and the sums of the root of the first tree."""
-    pulls, counted, block = _pulls(True), _counter(), _block(features)
+    pulls, counted, block = _pulls(True), _counter(side), _block(features)
 
     def begun(data):
         codes, signs = block(data)
@@ -248,10 +252,10 @@ def _begun(data: RDD, features: int) -> RDD:
     return _kept(data.map(begun))
 
 
-def _moved(data: RDD, margins: RDD, tree: Grown, weight: float, features: int, first: bool) -> RDD:
+def _moved(data: RDD, margins: RDD, tree: Grown, weight: float, features: int, side: int, first: bool) -> RDD:
     """For every block its margins after ``tree``, the sums of the next tree's root, and the squares in the leaves of ``tree``."""
     leaves = tree.leaves()
-    values, rows_of, counted, block = [weight * tree.value(n) for n in leaves], _descent(tree), _counter(), _block(features)
+    values, rows_of, counted, block = [weight * tree.value(n) for n in leaves], _descent(tree, side), _counter(side), _block(features)
     pulls, next_pulls = _pulls(first), _pulls(False)
 
     def moved(pair):
@@ -268,9 +272,9 @@ def _moved(data: RDD, margins: RDD, tree: Grown, weight: float, features: int, f
     return _kept(data.zip(margins).map(moved))
 
 
-def _noted(margins: RDD, features: int, leaves: int) -> tuple[np.ndarray, np.ndarray]:
+def _noted(margins: RDD, features: int, side: int, leaves: int) -> tuple[np.ndarray, np.ndarray]:
     """The sums of the next root and the squares in the last leaves, noted with the margins."""
-    roots = ((features + 1) // 2 * 4 << _BITS) + 1
+    roots = (features + 1) // 2 * 4 * side + 1
 
     def noted(index, blocks):
         total = sum(np.frombuffer(b, offset=len(b) - 8 * (roots + leaves)) for b in blocks)
@@ -303,13 +307,13 @@ def _best(counts: np.ndarray, sums: np.ndarray, squares: float, first: bool) ->
     return feature, cut, float(gains[feature, cut])
 
 
-def _grow(data: RDD, margins: RDD, root: np.ndarray, features: int, max_depth: int, first: bool) -> Grown:
+def _grow(data: RDD, margins: RDD, root: np.ndarray, features: int, side: int, max_depth: int, first: bool) -> Grown:
     """A tree on the pulls at the present margins, from the sums of its root."""
     tree, found = Grown(), {1: root}
     for level in range(max_depth + 1):
         parents = {}
         for node, sums in found.items():
-            counts, totals = sums[:-1].reshape(-1, 2, 1 << _BITS)[:features].swapaxes(0, 1)
+            counts, totals = sums[:-1].reshape(-1, 2, side)[:features].swapaxes(0, 1)
             n, total, squares = counts[0].sum(), totals[0].sum(), sums[-1]
             tree.stats[node] = [n, total, squares]
             if level == max_depth or squares - total * total / n <= _ROUNDING * squares:
@@ -328,7 +332,7 @@ def _grow(data: RDD, margins: RDD, root: np.ndarray, features: int, max_depth: i
         if not parents:
             break
         small = {node: 2 * node + int(right[0] < left[0]) for node, (_, left, right) in parents.items()}
-        counted = _sums(data, margins, tree, list(small.values()), features, first)
+        counted = _sums(data, margins, tree, list(small.values()), features, side, first)
         found = {}
         for node, child in small.items():
             found[child], found[child ^ 1] = counted[child], parents[node][0] - counted[child]
@@ -340,24 +344,26 @@ def grown(booster: GBTClassifier, rows: DataFrame, features: list[str], label: s
     if {p.name for p in booster.extractParamMap() if booster.isSet(p)} - _KNOWN:
         return booster.fit(rows)
     cuts, n = thresholds(booster, rows)
-    if cuts is None:
+    # A sample larger than expected makes a bin or two more than the booster's number.
+    side = max(2, *(1 + len(c) for c in cuts)) if cuts is not None else None
+    if side is None or side > _MOST_BINS:
         return booster.fit(rows)
     context = rows.sparkSession.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(run_dir(rows.sparkSession))
-    data = dealt(rows, features, label, cuts, n)
+    data = dealt(rows, features, label, cuts, side, n)
     trees, weights, width = [], [], len(features)
-    margins, saved = _begun(data, width), []
-    root, _ = _noted(margins, width, 0)
+    margins, saved = _begun(data, width, side), []
+    root, _ = _noted(margins, width, side, 0)
     for i in range(booster.getMaxIter()):
-        tree = _grow(data, margins, root, width, booster.getMaxDepth(), i == 0)
+        tree = _grow(data, margins, root, width, side, booster.getMaxDepth(), i == 0)
         trees.append(tree)
         weights.append(booster.getStepSize() if i else 1.0)
-        before, margins = margins, _moved(data, margins, tree, weights[-1], width, i == 0)
+        before, margins = margins, _moved(data, margins, tree, weights[-1], width, side, i == 0)
         if i % _CHECKPOINT == _CHECKPOINT - 1:
             margins.checkpoint()
             saved.append(margins)
-        root, squares = _noted(margins, width, len(tree.leaves()))
+        root, squares = _noted(margins, width, side, len(tree.leaves()))
         for leaf, square in zip(tree.leaves(), squares):
             tree.stats[leaf][2] = square
         _free([before], saved[:-1])

@@ -111,3 +111,14 @@ def test_other_parameters_are_those_of_the_library(spark):
     few = booster(maxIter=2, minInstancesPerNode=100, maxBins=50)
     fitted, _ = compared(rows(spark, 300), few, FEATURES)
     assert fitted.trees[0].numNodes <= 5
+
+
+def test_more_bins_than_asked_for(spark):
+    """More than 10,000 rows: the library samples its thresholds, and a larger sample than expected gives more bins."""
+    df = rows(spark, 12_000).select("id", "d", F.sin(F.col("id") * 2).alias("e"), F.cos("id").alias("f"), "answerCode")
+    most = []
+    for seed in range(4):
+        one = booster(maxIter=2, maxDepth=3, seed=seed)
+        most.append(max(map(len, boosting.thresholds(one, assembled(df, ["d", "e", "f"]))[0])))
+        compared(df, one, ["d", "e", "f"])
+    assert max(most) > 31
